@@ -114,4 +114,4 @@ def amount_balance(bronze: DataFrame, silver: DataFrame, gold: DataFrame) -> Dat
 
 def total_if(condition: Column, column: str) -> Column:
     """Sum of the rows that meet a condition, zero for none."""
-    return F.coalesce(F.sum(F.when(condition, F.col(column))), F.lit(0)).cast(MONEY)
+    return total(F.when(condition, F.col(column)))

@@ -20,7 +20,9 @@ def rows_since(source: DataFrame, column: str, mark: object, strict: bool = Fals
     if mark is None:
         return source
     c = F.col(column)
-    return source.filter(c > F.lit(mark) if strict else c >= F.lit(mark))
+    # The literal takes the column's type, or the column would be cast and the filter not pushed.
+    bound = F.lit(mark).cast(source.schema[column].dataType)
+    return source.filter(c > bound if strict else c >= bound)
 
 
 def slice_predicates(column: str, values: list[object]) -> list[str]:
