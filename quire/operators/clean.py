@@ -15,6 +15,18 @@ FIXED_WIDTH_TYPES = ("CHAR", "GRAPHIC")
 FRENCH_EBCDIC = 297
 
 
+def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add derived columns that a later filter must not derive again.
+
+    Catalyst pushes a filter on a projected column below the projection, with the column's expression in
+    place of every mention; a filter shares no subexpressions, so a checksum would trim and parse its text
+    a dozen times and outgrow the JVM's compile limit. Filters stay above a generator's output, and inside
+    it the expression is evaluated once.
+    """
+    values = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select("*", F.inline(F.array(values)))
+
+
 def to_raw(df: DataFrame, table: SourceTable) -> DataFrame:
     """Bronze: the declared columns in order with their declared types, text left as it is."""
     return df.select([F.col(f.source).try_cast(f.raw_type).alias(f.source) for f in table.fields])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import isbn13_valid, movement_label, stock_total
 from quire.model import table
-from quire.operators.clean import clean
+from quire.operators.clean import clean, computed_once
 from quire.operators.dedupe import keep_latest
 
 # Columns that a cleaned table does not pass on.
@@ -21,11 +21,10 @@ DEDUPED = (
 
 def _added(name: str, df: DataFrame) -> DataFrame:
     if name == "ouvrages":
-        return df.withColumn("isbn_valide", isbn13_valid("isbn"))
+        return computed_once(df, isbn_valide=isbn13_valid("isbn"))
     if name == "ventes":
-        return df.withColumns(
-            {"type_mouvement": movement_label("statut"), "isbn_valide": isbn13_valid("isbn")}
-        )
+        labelled = df.withColumn("type_mouvement", movement_label("statut"))
+        return computed_once(labelled, isbn_valide=isbn13_valid("isbn"))
     if name == "stocks":
         return df.withColumn(
             "qte_totale", stock_total("qte_disponible", "qte_reservee", "qte_transit")

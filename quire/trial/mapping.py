@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from quire.functions import date_to_cyymmdd, isbn13_check_digit
 from quire.functions.codes import label
 from quire.functions.columns import int_div
+from quire.operators.clean import computed_once
 
 # How the star schema's codes read as the model's.
 CHANNELS = {1: "LIB", 2: "GMS", 3: "WEB", 4: "EXP", 5: "CLB"}
@@ -41,17 +42,6 @@ def isbn_of(part: Column) -> Column:
     return (twelve * 10 + check % 10).cast("string")
 
 
-def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
-    """Add derived columns behind a one-row generator.
-
-    A filter on a projected column is pushed below the projection with the column's whole expression in
-    place of each mention; a synthetic ISBN under a checksum would then be derived a dozen times over.
-    Filters stay above a generator's output. Stored tables need none of this.
-    """
-    values = F.struct(*[c.alias(name) for name, c in columns.items()])
-    return df.select("*", F.inline(F.array(values)))
-
-
 def code_of(prefix: str, key: Column, width: int = 9) -> Column:
     return F.concat(F.lit(prefix), F.lpad(key.cast("string"), width, "0"))
 
@@ -61,23 +51,28 @@ def money(value: Column, precision: int = 11) -> Column:
 
 
 def sales(spark: SparkSession, folder: str) -> DataFrame:
-    line = computed_once(read(spark, folder, "lineitem"), _isbn=isbn_of(F.col("l_partkey")))
+    ship = F.col("l_shipdate").cast("date")
+    settled = F.when(F.col("l_returnflag") == "N", date_to_cyymmdd(F.date_add(ship, SETTLEMENT_DAYS)))
+    line = computed_once(
+        read(spark, folder, "lineitem"),
+        _isbn=isbn_of(F.col("l_partkey")),
+        _sold=date_to_cyymmdd(ship),
+        _settled=settled,
+    )
     sign = F.when(F.col("l_returnflag") == "R", -1).otherwise(1)
     net = money(F.col("l_extendedprice"))
     gross = money(net * (F.lit(1) + F.col("l_tax").cast("decimal(5,2)")))
-    ship = F.col("l_shipdate").cast("date")
-    settled = F.when(F.col("l_returnflag") == "N", date_to_cyymmdd(F.date_add(ship, SETTLEMENT_DAYS)))
     return line.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("VENUMR"),
         F.col("_isbn").alias("VEISBN"),
-        date_to_cyymmdd(ship).alias("VEDTVT"),
+        F.col("_sold").alias("VEDTVT"),
         (F.col("l_quantity").cast("int") * sign).alias("VEQTE"),
         money(net * sign).alias("VEMTHT"),
         money(gross * sign).alias("VEMTTTC"),
         label("l_linenumber", CHANNELS, UNKNOWN).alias("VECANL"),
         F.concat(code_of("P", F.col("l_suppkey"), 6), F.lit("   ")).alias("VECLIE"),
         code_of("W", F.col("l_suppkey")).alias("VEENTR"),
-        settled.alias("VEDTRG"),
+        F.col("_settled").alias("VEDTRG"),
         label("l_returnflag", MOVEMENTS, UNKNOWN).alias("VESTAT"),
     )
 
@@ -247,7 +242,11 @@ def book_authors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stock(spark: SparkSession, folder: str) -> DataFrame:
-    line = computed_once(read(spark, folder, "lineitem"), _isbn=isbn_of(F.col("l_partkey")))
+    line = computed_once(
+        read(spark, folder, "lineitem"),
+        _isbn=isbn_of(F.col("l_partkey")),
+        _day=date_to_cyymmdd(F.col("l_shipdate").cast("date")),
+    )
 
     def cents(column: str) -> Column:
         return (F.col(column).cast("decimal(5,2)") * 100).cast("int")
@@ -255,7 +254,7 @@ def stock(spark: SparkSession, folder: str) -> DataFrame:
     return line.select(
         F.col("_isbn").alias("SKISBN"),
         code_of("W", F.col("l_suppkey")).alias("SKENTR"),
-        date_to_cyymmdd(F.col("l_shipdate").cast("date")).alias("SKDTPS"),
+        F.col("_day").alias("SKDTPS"),
         F.col("l_quantity").cast("int").alias("SKQTDS"),
         F.col("l_linenumber").alias("SKQTRS"),
         F.nullif(cents("l_discount"), F.lit(0)).alias("SKQTTR"),
