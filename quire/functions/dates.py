@@ -1,4 +1,8 @@
-"""Century-coded dates (CYYMMDD: C=0 is 19xx, C=1 is 20xx) and ISO dates."""
+"""Century-coded dates (CYYMMDD: C=0 is 19xx, C=1 is 20xx) and ISO dates.
+
+The longer expressions are SQL text: one parse instead of hundreds of calls into the JVM. They take a
+column name or any SQL expression.
+"""
 
 from __future__ import annotations
 
@@ -7,37 +11,33 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quire.functions.columns import ColumnOrName, as_column, int_div
+from quire.functions.columns import ColumnOrName, as_column
 
 CENTURY_BASE = 19_000_000
 SHORTEST_CODE, LONGEST_CODE = 101, 9_991_231
 
 
-def cyymmdd_to_date(code: ColumnOrName) -> Column:
+def cyymmdd_to_date(code: str) -> Column:
     """Decode a CYYMMDD number; anything that is no calendar day gives NULL.
 
     Integer arithmetic instead of a format parser: about 40 ns a row against microseconds, with a short
     enough code for a stage with several dates to stay under the JVM's compile limit for a method.
     """
-    number = as_column(code).try_cast("bigint")
-    year = (int_div(number, 10_000) + 1900).cast("int")
-    month = (int_div(number, 100) % 100).cast("int")
-    day = (number % 100).cast("int")
-    first = F.make_date(year, month, F.lit(1))
+    number = f"try_cast({code} AS BIGINT)"
+    month = f"int({number} DIV 100 % 100)"
+    day = f"int({number} % 100)"
+    first = f"make_date(int({number} DIV 10000 + 1900), {month}, 1)"
     # The first of the month is only formed once the month is known to be one.
-    real_day = (
-        number.between(SHORTEST_CODE, LONGEST_CODE)
-        & month.between(1, 12)
-        & (day >= 1)
-        & (day <= F.dayofmonth(F.last_day(first)))
+    return F.expr(
+        f"CASE WHEN {number} >= {SHORTEST_CODE} AND {number} <= {LONGEST_CODE}"
+        f" AND {month} >= 1 AND {month} <= 12 AND {day} >= 1 AND {day} <= dayofmonth(last_day({first}))"
+        f" THEN date_add({first}, {day} - 1) END"
     )
-    return F.when(real_day, F.date_add(first, day - 1))
 
 
-def date_to_cyymmdd(day: ColumnOrName) -> Column:
+def date_to_cyymmdd(day: str) -> Column:
     """Encode a date as a CYYMMDD number."""
-    d = as_column(day)
-    return ((F.year(d) - 1900) * 10_000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")
+    return F.expr(f"int((year({day}) - 1900) * 10000 + month({day}) * 100 + dayofmonth({day}))")
 
 
 def encode_mark(day: dt.date) -> int:

@@ -36,7 +36,7 @@ class Field:
         if self.kind == "char":
             value = trim_fixed(raw)
         elif self.kind == "cyymmdd":
-            value = cyymmdd_to_date(raw)
+            value = cyymmdd_to_date(self.source)
         else:
             value = raw.try_cast(self.raw_type)
         return value.alias(self.name)

@@ -54,7 +54,7 @@ def _cleaned_by(meta: dict) -> Column:
     if source_type in FIXED_WIDTH_TYPES:
         value = trim_fixed(value)
     if "CYYMMDD" in (meta.get("format") or ""):
-        return cyymmdd_to_date(value).alias(name.lower())
+        return cyymmdd_to_date(name).alias(name.lower())
     if meta.get("ccsid") == FRENCH_EBCDIC:
         value = strip_controls(value)
     target = meta.get("spark_type") or spark_type_name(

@@ -10,7 +10,7 @@ SPLITTABLE = ("inner", "left", "left_semi", "left_anti")
 
 
 def planned_size(df: DataFrame) -> int:
-    """Catalyst's size estimate of a DataFrame in bytes."""
+    """Catalyst's size estimate of a DataFrame in bytes; huge when it knows nothing of the source."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 

@@ -18,6 +18,16 @@ CENT = Decimal("0.01")
 MONEY = "decimal(28,2)"
 SHARE = "decimal(9,6)"
 LAST_PLANNED_YEAR = 2030
+DAY_BITS, NUMBER_BITS, DAY_OFFSET = 18, 34, 100_000
+
+
+def cents(value: Column) -> Column:
+    """Money as a whole number of cents."""
+    return (value * 100).cast("bigint")
+
+
+def from_cents(value: Column) -> Column:
+    return (F.coalesce(value, F.lit(0)).cast("decimal(20,0)") * F.lit(CENT)).cast(MONEY)
 
 
 def total(column: str | Column, type_name: str = MONEY) -> Column:
@@ -26,8 +36,7 @@ def total(column: str | Column, type_name: str = MONEY) -> Column:
     value = as_column(column)
     if type_name != MONEY:
         return F.coalesce(F.sum(value), F.lit(0)).cast(type_name)
-    cents = F.sum((value * 100).cast("bigint"))
-    return (F.coalesce(cents, F.lit(0)).cast("decimal(20,0)") * F.lit(CENT)).cast(MONEY)
+    return from_cents(F.sum(cents(value)))
 
 
 def net_sales(sales: DataFrame) -> DataFrame:
@@ -195,26 +204,33 @@ def royalties(
 
     A sale counts once per author of the book: under the author's contract for the title if one is in
     term on that day, else under a contract without title; among several the latest start and then the
-    highest number. The status does not matter inside the term.
+    highest number. The status does not matter inside the term. `last_year` is the last year with sales.
 
     Sales are summed to book and day before they meet contracts. Contracts are cut into calendar years
     and joined on book and year, so a long-lived pair is spread over tasks and hardly any row that
-    misses the term is formed.
+    misses the term is formed. The choice among contracts is a maximum over one number, so it needs no
+    sort, and it groups by the join's own keys first, so it needs no further shuffle.
     """
     daily = (
         sales.filter(F.col("date_vente").isNotNull())
         .groupBy("isbn", "date_vente")
-        .agg(total("montant_ht").alias("montant_ht"))
+        .agg(F.sum(cents(F.col("montant_ht"))).alias("_cents"))
         .withColumn("_year", F.year("date_vente"))
     )
+    # Title first, then start, then number: 18 bits hold the day from about 1696 on, 34 the number.
+    preference = (
+        f"shiftleft(bigint(_for_title), {DAY_BITS + NUMBER_BITS})"
+        f" + shiftleft(bigint(unix_date(date_debut) + {DAY_OFFSET}), {NUMBER_BITS}) + num_contrat"
+    )
     terms = contracts.select(
         "num_contrat",
         "code_auteur",
         F.nullif("isbn", F.lit("")).alias("isbn"),
-        "pct_droits",
         "date_debut",
         "date_fin",
-    )
+        F.year("date_debut").alias("_first"),
+        F.least(F.coalesce(F.year("date_fin"), F.lit(last_year)), F.lit(last_year)).alias("_last"),
+    ).filter("_last >= _first")
     titled = terms.filter(F.col("isbn").isNotNull()).withColumn("_for_title", F.lit(1))
     wrote = bridge.select("isbn", "code_auteur").distinct()
     anywhere = (
@@ -223,43 +239,32 @@ def royalties(
         .join(wrote, "code_auteur")
         .withColumn("_for_title", F.lit(0))
     )
-    last = F.coalesce(F.year("date_fin"), F.lit(last_year))
-    first = F.year("date_debut")
-    by_year = (
-        titled.unionByName(anywhere)
-        .filter(last >= first)
-        .withColumn("_year", F.explode(F.sequence(first, last)))
+    by_year = titled.unionByName(anywhere).select(
+        "isbn",
+        "code_auteur",
+        "date_debut",
+        "date_fin",
+        F.expr(preference).alias("_preference"),
+        F.explode(F.sequence("_first", "_last")).alias("_year"),
     )
     in_term = (F.col("date_vente") >= F.col("date_debut")) & (
         F.col("date_fin").isNull() | (F.col("date_vente") <= F.col("date_fin"))
     )
-    covered = daily.join(by_year, ["isbn", "_year"]).filter(in_term)
-    choice = F.row_number().over(
-        Window.partitionBy("isbn", "date_vente", "code_auteur").orderBy(
-            F.desc("_for_title"), F.desc("date_debut"), F.desc("num_contrat")
-        )
-    )
     earned = (
-        covered.withColumn("_choice", choice)
-        .filter("_choice = 1")
-        .groupBy("num_contrat")
-        .agg(total("montant_ht").alias("base_ht"))
+        daily.join(by_year, ["isbn", "_year"])
+        .filter(in_term)
+        .groupBy("isbn", "_year", "date_vente", "code_auteur")
+        .agg(F.max("_preference").alias("_best"), F.max("_cents").alias("_cents"))
+        .groupBy(F.col("_best").bitwiseAND(F.lit((1 << NUMBER_BITS) - 1)).alias("num_contrat"))
+        .agg(F.sum("_cents").alias("_cents"))
     )
-    due = F.round(
-        F.coalesce("base_ht", F.lit(0).cast(MONEY)) * F.col("pct_droits") / 100, 2
-    ).cast(MONEY)
-    advance = F.coalesce("avance", F.lit(0)).cast(MONEY)
-    return (
-        contracts.join(earned, "num_contrat", "left")
-        .select(
-            "num_contrat",
-            "code_auteur",
-            F.coalesce("base_ht", F.lit(0)).cast(MONEY).alias("base_ht"),
-            due.alias("droits_dus"),
-            advance.alias("avance"),
-        )
-        .withColumn(
-            "droits_a_payer",
-            F.greatest(F.col("droits_dus") - F.col("avance"), F.lit(0)).cast(MONEY),
-        )
+    base = from_cents(F.col("_cents"))
+    owed = contracts.join(earned, "num_contrat", "left").select(
+        "num_contrat",
+        "code_auteur",
+        base.alias("base_ht"),
+        F.round(base * F.col("pct_droits") / 100, 2).cast(MONEY).alias("droits_dus"),
+        F.coalesce("avance", F.lit(0)).cast(MONEY).alias("avance"),
     )
+    payable = F.greatest(F.col("droits_dus") - F.col("avance"), F.lit(0)).cast(MONEY)
+    return owed.withColumn("droits_a_payer", payable)

@@ -36,7 +36,7 @@ def read_delimited(
 
 
 def write_delimited(df: DataFrame, path: str, encoding: str = "UTF-8") -> None:
-    """Write the same format. Padding is kept, and empty text stays apart from NULL."""
+    """Write the same format. Padding is kept; an empty text cannot be told from NULL and reads as NULL."""
     (
         df.write.mode("overwrite")
         .option("sep", "|")
@@ -44,6 +44,5 @@ def write_delimited(df: DataFrame, path: str, encoding: str = "UTF-8") -> None:
         .option("encoding", encoding)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .option("emptyValue", '""')
         .csv(path)
     )

@@ -236,14 +236,12 @@ def trim_fixed_width(spark, folder):
     )
 
 
-def _damaged_code(code, line):
-    return F.when(line == 7, code + 1200).when(line == 6, 0).otherwise(code)
-
-
 @query
 def cyymmdd_to_date_lines(spark, folder):
     lines = Tables(spark, folder).given("lineitem")
-    code = _damaged_code(date_to_cyymmdd(F.col("l_shipdate").cast("date")), F.col("l_linenumber"))
+    good = date_to_cyymmdd("date(l_shipdate)")
+    line = F.col("l_linenumber")
+    code = F.when(line == 7, good + 1200).when(line == 6, 0).otherwise(good)
     return (
         lines.select(code.alias("code"))
         .select("code", cyymmdd_to_date("code").alias("decoded"))
@@ -255,7 +253,7 @@ def cyymmdd_to_date_lines(spark, folder):
 @query
 def date_to_cyymmdd_orders(spark, folder):
     return Tables(spark, folder).given("orders").select(
-        "o_orderkey", date_to_cyymmdd(F.col("o_orderdate").cast("date")).alias("code")
+        "o_orderkey", date_to_cyymmdd("date(o_orderdate)").alias("code")
     )
 
 
@@ -347,7 +345,7 @@ def isbn13_valid_sales(spark, folder):
 @query
 def isbn13_shape(spark, folder):
     part = Tables(spark, folder).given("part")
-    isbn = mapping.isbn_of(F.col("p_partkey"))
+    isbn = mapping.isbn_of("p_partkey")
     size = F.col("p_size")
     written = (
         F.when(size == 1, F.lit(None))
@@ -366,12 +364,12 @@ def isbn13_shape(spark, folder):
 @query
 def isbn10_to_13_books(spark, folder):
     part = Tables(spark, folder).given("part")
-    short = mapping.isbn10_of(F.col("p_partkey"))
+    short = mapping.isbn10_of("p_partkey")
     return part.select("p_partkey", short.alias("isbn10")).select(
         "p_partkey",
         "isbn10",
         isbn10_to_13("isbn10").alias("isbn13"),
-        normalise_isbn(F.concat_ws("-", F.substring("isbn10", 1, 4), F.substring("isbn10", 5, 6))).alias("normalise"),
+        normalise_isbn("concat_ws('-', substring(isbn10, 1, 4), substring(isbn10, 5, 6))").alias("normalise"),
     )
 
 
@@ -549,7 +547,8 @@ def author_total_window(spark, folder):
 @query
 def royalties(spark, folder):
     t = Tables(spark, folder)
-    return measures.royalties(t.fact_sales, t.silver("contrats"), t.bridge)
+    last_sale = high_water_mark(t.given("lineitem"), "l_shipdate")
+    return measures.royalties(t.fact_sales, t.silver("contrats"), t.bridge, last_sale.year)
 
 
 @query

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from quire.functions import date_to_cyymmdd, isbn13_check_digit
 from quire.functions.codes import label
-from quire.functions.columns import int_div
 from quire.operators.clean import computed_once
 
 # How the star schema's codes read as the model's.
@@ -35,11 +34,11 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def isbn_of(part: Column) -> Column:
+def isbn_of(part: str) -> Column:
     """A 13-digit number from a part key; one part in 97 gets a wrong check digit."""
-    twelve = part + F.lit(978 * 10**9)
-    check = isbn13_check_digit(twelve) + F.when(part % BAD_ISBN_EVERY == 0, 1).otherwise(0)
-    return (twelve * 10 + check % 10).cast("string")
+    twelve = f"({part} + {978 * 10**9}L)"
+    check = isbn13_check_digit(twelve) + F.expr(f"int({part} % {BAD_ISBN_EVERY} = 0)")
+    return (F.expr(twelve) * 10 + check % 10).cast("string")
 
 
 def code_of(prefix: str, key: Column, width: int = 9) -> Column:
@@ -51,13 +50,12 @@ def money(value: Column, precision: int = 11) -> Column:
 
 
 def sales(spark: SparkSession, folder: str) -> DataFrame:
-    ship = F.col("l_shipdate").cast("date")
-    settled = F.when(F.col("l_returnflag") == "N", date_to_cyymmdd(F.date_add(ship, SETTLEMENT_DAYS)))
+    settled = date_to_cyymmdd(f"date_add(date(l_shipdate), {SETTLEMENT_DAYS})")
     line = computed_once(
         read(spark, folder, "lineitem"),
-        _isbn=isbn_of(F.col("l_partkey")),
-        _sold=date_to_cyymmdd(ship),
-        _settled=settled,
+        _isbn=isbn_of("l_partkey"),
+        _sold=date_to_cyymmdd("date(l_shipdate)"),
+        _settled=F.when(F.col("l_returnflag") == "N", settled),
     )
     sign = F.when(F.col("l_returnflag") == "R", -1).otherwise(1)
     net = money(F.col("l_extendedprice"))
@@ -78,11 +76,11 @@ def sales(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def books(spark: SparkSession, folder: str) -> DataFrame:
-    part = computed_once(read(spark, folder, "part"), _isbn=isbn_of(F.col("p_partkey")))
+    part = computed_once(read(spark, folder, "part"), _isbn=isbn_of("p_partkey"))
     key = F.col("p_partkey")
     price = (F.col("p_retailprice").cast("decimal(9,2)") - 900) / 3
     net = price.cast("decimal(9,2)")
-    published = date_to_cyymmdd(F.date_add(F.lit("1960-01-01").cast("date"), (key * 7 % 25000).cast("int")))
+    published = date_to_cyymmdd("date_add(DATE '1960-01-01', int(p_partkey * 7 % 25000))")
     flawed = (
         F.when(key % EMPTY_DATE_EVERY == 0, 0)
         .when(key % WRONG_MONTH_EVERY == 0, 1251301)
@@ -116,8 +114,8 @@ def authors(spark: SparkSession, folder: str) -> DataFrame:
     party = read(spark, folder, "customer")
     balance = F.col("c_acctbal").cast("decimal(11,2)")
     key = F.col("c_custkey")
-    born = date_to_cyymmdd(F.date_add(F.lit("1930-01-01").cast("date"), (key * 11 % 20000).cast("int")))
-    died = date_to_cyymmdd(F.date_add(F.lit("1995-01-01").cast("date"), (key * 3 % 9000).cast("int")))
+    born = date_to_cyymmdd("date_add(DATE '1930-01-01', int(c_custkey * 11 % 20000))")
+    died = date_to_cyymmdd("date_add(DATE '1995-01-01', int(c_custkey * 3 % 9000))")
     pseudonym = (
         F.when(balance < 1000, F.lit("          "))
         .when(balance > 9000, F.concat(F.lit("Plume "), key.cast("string"), F.lit("   ")))
@@ -195,8 +193,8 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
     joined = read(spark, folder, "orders").join(_line_totals(spark, folder), "o_orderkey")
     return joined.select(
         F.col("o_orderkey").alias("CMNUMR"),
-        isbn_of(F.col("_part")).alias("CMISBN"),
-        date_to_cyymmdd(F.col("o_orderdate").cast("date")).alias("CMDTCM"),
+        isbn_of("_part").alias("CMISBN"),
+        date_to_cyymmdd("date(o_orderdate)").alias("CMDTCM"),
         date_to_cyymmdd("_last").alias("CMDTLV"),
         F.col("_ordered").cast("int").alias("CMQTE"),
         F.col("_sent").cast("int").alias("CMQTLV"),
@@ -208,9 +206,8 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
 
 def contracts(spark: SparkSession, folder: str) -> DataFrame:
     joined = read(spark, folder, "orders").join(_line_totals(spark, folder), "o_orderkey")
-    start = F.col("o_orderdate").cast("date")
-    title = F.when(F.col("o_orderpriority") != "5-LOW", isbn_of(F.col("_part")))
-    end = F.when(F.col("o_orderstatus") == "F", date_to_cyymmdd(F.date_add(start, 1000)))
+    title = F.when(F.col("o_orderpriority") != "5-LOW", isbn_of("_part"))
+    end = F.when(F.col("o_orderstatus") == "F", date_to_cyymmdd("date_add(date(o_orderdate), 1000)"))
     return joined.select(
         F.col("o_orderkey").alias("CTNUM"),
         code_of("A", F.col("o_custkey")).alias("CTAUTE"),
@@ -218,7 +215,7 @@ def contracts(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("CES").alias("CTTYPE"),
         label("o_orderpriority", RATES, "0.00").cast("decimal(5,2)").alias("CTPCTD"),
         (money(F.col("o_totalprice")) / 100).cast("decimal(11,2)").alias("CTAVNC"),
-        date_to_cyymmdd(start).alias("CTDTDB"),
+        date_to_cyymmdd("date(o_orderdate)").alias("CTDTDB"),
         end.alias("CTDTFN"),
         F.when(F.col("o_orderstatus") == "F", "T").otherwise("A").alias("CTSTAT"),
     )
@@ -234,7 +231,7 @@ def book_authors(spark: SparkSession, folder: str) -> DataFrame:
         F.min("l_linenumber").alias("_place")
     )
     return pairs.select(
-        isbn_of(F.col("l_partkey")).alias("JAISBN"),
+        isbn_of("l_partkey").alias("JAISBN"),
         code_of("A", F.col("o_custkey")).alias("JAAUTE"),
         F.col("_role").alias("JAROLE"),
         F.col("_place").alias("JAORDR"),
@@ -244,8 +241,8 @@ def book_authors(spark: SparkSession, folder: str) -> DataFrame:
 def stock(spark: SparkSession, folder: str) -> DataFrame:
     line = computed_once(
         read(spark, folder, "lineitem"),
-        _isbn=isbn_of(F.col("l_partkey")),
-        _day=date_to_cyymmdd(F.col("l_shipdate").cast("date")),
+        _isbn=isbn_of("l_partkey"),
+        _day=date_to_cyymmdd("date(l_shipdate)"),
     )
 
     def cents(column: str) -> Column:
@@ -286,12 +283,9 @@ SOURCES = {
 }
 
 
-def isbn10_of(part: Column) -> Column:
+def isbn10_of(part: str) -> Column:
     """A 10-character number from a part key, with X as check digit where due; wrong for one in 97."""
-    weighted = F.lit(0).cast("bigint")
-    for place in range(9):
-        weighted = weighted + (int_div(part, 10**place) % 10) * (place + 2)
-    check = (11 - weighted % 11) % 11
-    check = F.when(part % BAD_ISBN_EVERY == 0, (check + 1) % 11).otherwise(check)
+    weighted = " + ".join(f"{part} DIV {10**place}L % 10L * {place + 2}L" for place in range(9))
+    check = F.expr(f"((11L - ({weighted}) % 11L) % 11L + int({part} % {BAD_ISBN_EVERY} = 0)) % 11L")
     last = F.when(check == 10, F.lit("X")).otherwise(check.cast("string"))
-    return F.concat(F.lpad(part.cast("string"), 9, "0"), last)
+    return F.concat(F.lpad(F.col(part).cast("string"), 9, "0"), last)

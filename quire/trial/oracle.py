@@ -135,7 +135,7 @@ CTES = {
                CASE WHEN o_orderpriority <> '5-LOW' THEN isbn END AS isbn,
                CAST(CASE o_orderpriority WHEN '1-URGENT' THEN 8 WHEN '2-HIGH' THEN 12 WHEN '3-MEDIUM' THEN 10
                     WHEN '4-NOT SPECIFIED' THEN 6 WHEN '5-LOW' THEN 3 ELSE 0 END AS DECIMAL(5,2)) AS pct,
-               CAST(CAST(o_totalprice AS DECIMAL(11,2)) / 100 AS DECIMAL(11,2)) AS avance,
+               CAST(CAST(o_totalprice AS DECIMAL(11,2)) * 0.01 AS DECIMAL(11,2)) AS avance,
                CAST(o_orderdate AS DATE) AS date_debut,
                CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderdate AS DATE) + 1000 END AS date_fin
         FROM orders JOIN line_totals ON o_orderkey = l_orderkey JOIN isbns ON part = k""",
