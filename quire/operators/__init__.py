@@ -8,10 +8,11 @@ from quire.operators.joins import join_dimension, orphan_keys, resolve_code
 from quire.operators.keys import key_collisions, with_surrogate_key
 from quire.operators.merge import snapshot_diff, union_evolved, upsert
 from quire.operators.profile import profile_columns
+from quire.operators.vectors import cosine_topk
 
 __all__ = [
     "calendar", "calendar_covering", "clean", "clean_by_metadata", "cluster_by",
-    "collapse_report", "file_skipping_report", "join_dimension", "keep_latest",
+    "collapse_report", "cosine_topk", "file_skipping_report", "join_dimension", "keep_latest",
     "key_collisions", "latest_with_ties", "orphan_keys", "pad_fixed", "profile_columns",
     "resolve_code", "snapshot_diff", "to_raw", "union_evolved", "upsert", "with_surrogate_key",
 ]

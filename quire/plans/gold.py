@@ -72,7 +72,7 @@ def dim_book(books: DataFrame) -> DataFrame:
 def dim_collection(collections: DataFrame, publishers: DataFrame) -> DataFrame:
     """Collections with the publisher that owns them; an unknown owner stays NULL."""
     owners = publishers.select("code_editeur", "nom_editeur")
-    named = collections.join(owners, "code_editeur", "left").select(
+    named = join_dimension(collections, owners, ["code_editeur"], "left").select(
         "code_collection", "nom_collection", "code_editeur", "nom_editeur", "date_creation", "statut"
     )
     return with_surrogate_key(named, "collection_key", ["code_collection"])
@@ -132,7 +132,7 @@ def fact_orders(orders: DataFrame) -> DataFrame:
 def book_authors(bridge: DataFrame, authors: DataFrame) -> DataFrame:
     """Book-author pairs with role, order and the author's name, one row each."""
     names = authors.select("code_auteur", "nom_complet")
-    return bridge.join(names, "code_auteur").select(
+    return join_dimension(bridge, names, ["code_auteur"]).select(
         "isbn", "code_auteur", "role", "ordre", "nom_complet"
     )
 

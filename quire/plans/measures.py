@@ -13,8 +13,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.columns import as_column
+from quire.operators.joins import join_dimension
 
 CENT = Decimal("0.01")
+AUTHOR = "AUT"
 MONEY = "decimal(28,2)"
 SHARE = "decimal(9,6)"
 LAST_PLANNED_YEAR = 2030
@@ -86,12 +88,15 @@ def share_by_format(sales: DataFrame, books: DataFrame) -> DataFrame:
     )
 
 
-def revenue_by_author(sales: DataFrame, bridge: DataFrame, role: str = "AUT") -> DataFrame:
+def _written(bridge: DataFrame, role: str) -> DataFrame:
+    """Book-author pairs of one role. In joins they are the large side: a book may have very many."""
+    return bridge.filter(F.col("role") == role).select("isbn", "code_auteur").distinct()
+
+
+def revenue_by_author(sales: DataFrame, bridge: DataFrame, role: str = AUTHOR) -> DataFrame:
     """Revenue per author over the books they wrote."""
-    wrote = bridge.filter(F.col("role") == role).select("isbn", "code_auteur").distinct()
     return (
-        _per_book(sales)
-        .join(wrote, "isbn")
+        join_dimension(_written(bridge, role), _per_book(sales), ["isbn"])
         .groupBy("code_auteur")
         .agg(total("quantite", "bigint").alias("quantite"), total("montant_ttc").alias("montant_ttc"))
     )
@@ -112,7 +117,7 @@ def sales_by_publisher_author_month(
 
     With the lead author of `gold.lead_authors` each sale counts once.
     """
-    first = leads.filter("role = 'AUT'").select("isbn", "code_auteur", "nom_complet")
+    first = leads.filter(F.col("role") == AUTHOR).select("isbn", "code_auteur", "nom_complet")
     summed = (
         _per_book(sales, "annee_vente", "mois_vente")
         .join(books.select("isbn", "code_editeur"), "isbn")
@@ -153,10 +158,8 @@ def author_totals(sales: DataFrame, bridge: DataFrame) -> DataFrame:
 
     Sums per author and year are taken first, so the window holds one row per year.
     """
-    wrote = bridge.filter("role = 'AUT'").select("isbn", "code_auteur").distinct()
     yearly = (
-        _per_book(sales, "annee_vente")
-        .join(wrote, "isbn")
+        join_dimension(_written(bridge, AUTHOR), _per_book(sales, "annee_vente"), ["isbn"])
         .groupBy("code_auteur", "annee_vente")
         .agg(total("montant_ttc").alias("montant_ttc"))
     )

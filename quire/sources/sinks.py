@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from quire.operators.clustering import cluster_by
 
-SPREAD_BUCKETS = 8
-
 
 def overwrite(df: DataFrame, path: str) -> None:
     """Replace a table together with its schema."""
@@ -20,17 +18,21 @@ def overwrite_sorted(df: DataFrame, path: str, key: str) -> None:
     df.repartitionByRange(key).sortWithinPartitions(key).write.mode("overwrite").parquet(path)
 
 
-def overwrite_partitioned(df: DataFrame, path: str, by: str, spread: int = SPREAD_BUCKETS) -> None:
-    """One folder per value of `by`; each value is cut over `spread` tasks, so a heavy year is not one task."""
-    part = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns]), F.lit(spread))
-    (
-        df.withColumn("_part", part)
-        .repartition(by, "_part")
-        .drop("_part")
-        .write.mode("overwrite")
-        .partitionBy(by)
-        .parquet(path)
+def overwrite_partitioned(df: DataFrame, path: str, by: str, partitions: int | None = None) -> None:
+    """One folder per value of `by`.
+
+    Ranges over the value and a row hash have even sizes: a heavy year is cut over as many tasks as its
+    rows need, and a task writes to one or two folders.
+    """
+    spread = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns])
+    spreadable = df.withColumn("_spread", spread)
+    order = [F.col(by), F.col("_spread")]
+    ranged = (
+        spreadable.repartitionByRange(partitions, *order)
+        if partitions
+        else spreadable.repartitionByRange(*order)
     )
+    ranged.drop("_spread").write.mode("overwrite").partitionBy(by).parquet(path)
 
 
 def overwrite_clustered(

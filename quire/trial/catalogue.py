@@ -35,6 +35,7 @@ from quire.operators.joins import orphan_keys
 from quire.operators.keys import key_collisions
 from quire.operators.merge import snapshot_diff, union_evolved, upsert
 from quire.operators.profile import profile_columns
+from quire.operators.vectors import cosine_topk
 from quire.plans import gate, gold, measures, monitor, recon
 from quire.plans.silver import excluded_rows, silver
 from quire.session import scratch_folder
@@ -668,6 +669,15 @@ def volume_anomaly(spark, folder):
     return monitor.volume_anomalies(mapping.load_log(spark, folder), deviations=2)
 
 
+@query
+def cosine_topk_per_label(spark, folder):
+    """The nearest vectors to the first vector of each label."""
+    vectors = Tables(spark, folder).given("embeddings")
+    first = vectors.groupBy("label").agg(F.min("vec_id").alias("vec_id")).select("vec_id")
+    chosen = vectors.join(first, "vec_id", "left_semi").select(F.col("vec_id").alias("query_id"), "embedding")
+    return cosine_topk(vectors, chosen, k=5)
+
+
 # Quality gate ------------------------------------------------------------------------------------
 
 ENTITIES = ("ouvrages", "ventes", "stocks", "editeurs", "auteurs")

@@ -614,6 +614,14 @@ ORACLE: dict[str, str] = {
                CASE WHEN n >= 2 THEN CAST(CAST(s AS DOUBLE) / n AS DECIMAL(18,4)) END AS trailing_mean,
                coalesce(n >= 2 AND (row_count * n - s) * (row_count * n - s) > 4 * (n * q - s * s), false) AS is_anomaly
         FROM seen"""),
+    "cosine_topk_per_label": """
+        WITH q AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+                   WHERE vec_id IN (SELECT min(vec_id) FROM embeddings GROUP BY label)),
+        scored AS (SELECT query_id, vec_id, list_cosine_similarity(e, CAST(embedding AS DOUBLE[])) AS s
+                   FROM q JOIN embeddings ON vec_id <> query_id)
+        SELECT query_id, vec_id, CAST(place AS INTEGER) AS place, CAST(s AS DECIMAL(9,6)) AS score
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id) AS place FROM scored)
+        WHERE place <= 5""",
     "gate_completeness": with_("isbns sales good_sales publishers", COMPLETENESS),
     "gate_row_loss": "SELECT " + gate_row(
         "'row_loss ventes'", f"CASE WHEN {pct('b - s', 'b')} > 0.1 THEN 'FAIL' ELSE 'PASS' END", pct("b - s", "b"), 0.1,

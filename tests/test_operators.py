@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quire.operators import (
-    calendar, clean_by_metadata, cluster_by, collapse_report, file_skipping_report, join_dimension, keep_latest,
+    calendar, clean_by_metadata, cluster_by, collapse_report, cosine_topk, file_skipping_report, join_dimension, keep_latest,
     key_collisions, latest_with_ties, orphan_keys, profile_columns, resolve_code, snapshot_diff, union_evolved,
     upsert, with_surrogate_key,
 )
@@ -183,3 +183,22 @@ def test_one_value_does_not_fill_one_partition(spark):
     same = spark.range(8000).select(F.lit("x").alias("k"), F.col("id"))
     sizes = [r["count"] for r in cluster_by(same, ("k",), partitions=8).groupBy(F.spark_partition_id()).count().collect()]
     assert sum(sizes) == 8000 and max(sizes) < 4000
+
+
+def test_cosine_topk_equals_brute_force(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    points = [[float(x) for x in p] for p in rng.normal(size=(200, 4))]
+    points[5] = points[6] = points[7] = points[0]
+    rows = [(i, p) for i, p in enumerate(points)] + [(900, [0.0] * 4), (901, None)]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").repartition(7)
+    asked = vectors.filter("vec_id in (0, 3, 900, 901)").withColumnRenamed("vec_id", "query_id")
+    single = np.array(points, dtype=np.float32).astype(np.float64)
+    unit = single / np.linalg.norm(single, axis=1)[:, None]
+    expected = set()
+    for q in (0, 3):
+        order = sorted((i for i in range(200) if i != q), key=lambda i: (-round(float(unit[i] @ unit[q]), 12), i))
+        expected |= {(q, i, place + 1) for place, i in enumerate(order[:4])}
+    got = cosine_topk(vectors, asked, 4)
+    assert {(r["query_id"], r["vec_id"], r["place"]) for r in got.collect()} == expected
