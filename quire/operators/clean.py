@@ -1,4 +1,4 @@
-"""Cleaning driven by a table declaration or by column metadata: always one projection."""
+"""Cleaning driven by a table declaration or by column metadata, without a loop of projections."""
 
 from __future__ import annotations
 
@@ -43,18 +43,27 @@ def pad_fixed(df: DataFrame, table: SourceTable) -> DataFrame:
 
 
 def clean(df: DataFrame, table: SourceTable) -> DataFrame:
-    """Trim, decode, cast and rename every declared column in one projection; no shuffle."""
-    return df.select([f.cleaned() for f in table.fields])
+    """Trim, decode, cast and rename every declared column; no shuffle.
+
+    Decoded dates are what reports filter on, so they are computed once.
+    """
+    coded = [f for f in table.fields if f.kind == "cyymmdd"]
+    plain = df.select([F.col(f.source) if f in coded else f.cleaned() for f in table.fields])
+    if not coded:
+        return plain
+    dated = computed_once(plain, **{f.name: f.cleaned() for f in coded})
+    return dated.select([f.name for f in table.fields])
+
+
+def _is_coded_date(meta: dict) -> bool:
+    return "CYYMMDD" in (meta.get("format") or "")
 
 
 def _cleaned_by(meta: dict) -> Column:
-    name = meta["name"]
-    value = F.col(name)
+    value = F.col(meta["name"])
     source_type = meta["type"].upper()
     if source_type in FIXED_WIDTH_TYPES:
         value = trim_fixed(value)
-    if "CYYMMDD" in (meta.get("format") or ""):
-        return cyymmdd_to_date(name).alias(name.lower())
     if meta.get("ccsid") == FRENCH_EBCDIC:
         value = strip_controls(value)
     target = meta.get("spark_type") or spark_type_name(
@@ -62,7 +71,7 @@ def _cleaned_by(meta: dict) -> Column:
     )
     if target != "STRING":
         value = typed(value, target)
-    return value.alias(name.lower())
+    return value.alias(meta["name"].lower())
 
 
 def clean_by_metadata(
@@ -73,6 +82,17 @@ def clean_by_metadata(
     The format decides on date decoding, because the coded dates are declared as decimals. Columns
     come out in lower case; a declared key is deduplicated, the newest row by `newest_by` stays.
     """
-    cleaned = df.select([_cleaned_by(meta) for meta in columns])
+    names = [meta["name"].lower() for meta in columns]
+    # Coded dates keep their raw value under another name until they are decoded.
+    raw = {meta["name"].lower(): f"_raw_{meta['name'].lower()}" for meta in columns if _is_coded_date(meta)}
+    cleaned = df.select(
+        [
+            F.col(meta["name"]).alias(raw[name]) if name in raw else _cleaned_by(meta)
+            for name, meta in zip(names, columns)
+        ]
+    )
+    if raw:
+        decoded = {name: cyymmdd_to_date(source) for name, source in raw.items()}
+        cleaned = computed_once(cleaned, **decoded).select(names)
     keys = [meta["name"].lower() for meta in columns if meta.get("is_pk")]
     return keep_latest(cleaned, keys, newest_by) if keys else cleaned
