@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DEFAULT_BITS = 6
+from quire.functions.columns import literal
+
+MOST_BITS = 6  # per column
+CELL_BITS = 12  # of all columns together
 PREFIX_BYTES = 7  # as many leading bytes of a text as fit a positive long
 QUANTILE_ACCURACY = 2_000
 
@@ -15,7 +20,7 @@ CLUSTER_COLUMNS = {
     "fact_ventes": ("date_vente", "isbn"),
     "fact_stocks": ("date_position", "code_entrepot"),
     "fact_commandes": ("date_commande", "isbn"),
-    "fact_droits": ("periode", "code_auteur"),
+    "fact_droits": ("code_auteur", "num_contrat"),
 }
 
 
@@ -53,13 +58,35 @@ def _interleave(buckets: list[Column], bits: int) -> Column:
     return z
 
 
-def cluster_by(df: DataFrame, columns: tuple[str, ...], partitions: int | None = None, bits: int = DEFAULT_BITS) -> DataFrame:
-    """Rows range-partitioned and sorted along a space-filling order of several columns.
+def _placed(counts: dict[int, int], cells: int, partitions: int) -> tuple[list[int], list[int]]:
+    """First partition and number of partitions of every cell, so that partitions get equal row counts."""
+    share = max(sum(counts.values()), 1) / partitions
+    first, width, before = [0] * cells, [1] * cells, 0
+    for cell in range(cells):
+        after = before + counts.get(cell, 0)
+        start = min(int(before / share), partitions - 1)
+        end = max(start, min(math.ceil(after / share), partitions) - 1)
+        first[cell], width[cell] = start, end - start + 1
+        before = after
+    return first, width
+
+
+def _lookup(numbers: list[int], place: Column) -> Column:
+    """Element of a fixed list; the text is folded into one array when the query is planned."""
+    listed = F.split(F.lit(",".join(map(str, numbers))), ",").cast("array<int>")
+    return F.get(listed, place)
+
+
+def cluster_by(df: DataFrame, columns: tuple[str, ...], partitions: int | None = None) -> DataFrame:
+    """Rows partitioned and sorted along a space-filling order of several columns.
 
-    Quantiles of all columns come from one aggregate and bring at most 2^bits numbers per column to the
-    driver. The range partitioning ends on a row hash, so one value that fills a third of the table is
-    cut over many partitions instead of making one huge file.
+    Two passes over the clustering columns alone prepare it: quantiles cut each column into ranges, and
+    the row counts of the cells, at most 4,096, say how many partitions a cell needs. Rows then go
+    straight to their partition; a range partitioning would read all columns once more to sample them. A
+    cell that holds a third of the table is spread by row hash over a third of the partitions.
     """
+    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bits = min(MOST_BITS, CELL_BITS // len(columns))
     shares = [i / (1 << bits) for i in range(1, 1 << bits)]
     # Numbers and buckets are columns of their own: they are used many times below.
     numbered = df.withColumns({f"_n{i}": _as_number(df, c) for i, c in enumerate(columns)})
@@ -77,12 +104,14 @@ def cluster_by(df: DataFrame, columns: tuple[str, ...], partitions: int | None =
             for i in range(len(columns))
         }
     )
-    spread = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns])
-    z = _interleave([F.col(f"_b{i}") for i in range(len(columns))], bits)
-    ordered = bucketed.select(*df.columns, z.alias("_z"), spread.alias("_spread"))
-    order = ["_z", *columns, "_spread"]
-    ranged = ordered.repartitionByRange(partitions, *order) if partitions else ordered.repartitionByRange(*order)
-    return ranged.sortWithinPartitions("_z", *columns).drop("_z", "_spread")
+    z = _interleave([F.col(f"_b{i}") for i in range(len(columns))], bits).cast("int")
+    celled = bucketed.select(*df.columns, z.alias("_z"))
+    counts = {r["_z"]: r["count"] for r in celled.groupBy("_z").count().collect()}
+    first, width = _placed(counts, 1 << (bits * len(columns)), partitions)
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), _lookup(width, F.col("_z")))
+    target = _lookup(first, F.col("_z")) + spread.cast("int")
+    placed = celled.withColumn("_target", target).repartitionById(partitions, "_target")
+    return placed.sortWithinPartitions("_z", *columns).drop("_z", "_target")
 
 
 def file_skipping_report(df: DataFrame, columns: tuple[str, ...], bounds: dict[str, tuple]) -> DataFrame:
@@ -99,8 +128,9 @@ def file_skipping_report(df: DataFrame, columns: tuple[str, ...], bounds: dict[s
         F.count("*").alias("row_count"), *ranges
     )
     must_read = F.lit(True)
-    for c, (low, high) in bounds.items():
-        must_read = must_read & (F.col(f"min_{c}") <= F.lit(high)) & (F.col(f"max_{c}") >= F.lit(low))
+    for c, edges in bounds.items():
+        low, high = (literal(edge, df.schema[c].dataType) for edge in edges)
+        must_read = must_read & (F.col(f"min_{c}") <= high) & (F.col(f"max_{c}") >= low)
     return files.withColumn("must_read", must_read)
 
 

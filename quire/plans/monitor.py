@@ -6,6 +6,9 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from quire.functions.columns import literal
 
 MAX_AGE_HOURS = 24
 TRAILING_LOADS = 7
@@ -18,7 +21,7 @@ def load_entry(table_name: str, df: DataFrame, loaded_at: dt.datetime) -> DataFr
     """One row for the load log: which table, when, how many rows."""
     return df.agg(F.count("*").alias("row_count")).select(
         F.lit(table_name).alias("table_name"),
-        F.lit(loaded_at).cast("timestamp_ntz").alias("loaded_at"),
+        literal(loaded_at, T.TimestampNTZType()).alias("loaded_at"),
         "row_count",
     )
 
@@ -27,7 +30,7 @@ def freshness(
     load_log: DataFrame, tables: list[str], as_of: dt.datetime, max_age_hours: int = MAX_AGE_HOURS
 ) -> DataFrame:
     """Last load and age per expected table at a given moment; a table never loaded is stale."""
-    moment = F.lit(as_of).cast("timestamp_ntz")
+    moment = literal(as_of, T.TimestampNTZType())
     loaded = (
         load_log.filter(F.col("loaded_at") <= moment)
         .groupBy("table_name")

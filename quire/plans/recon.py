@@ -8,7 +8,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from quire.functions.columns import literal
+from quire.functions.types import spark_type_name
 from quire.model import table
 from quire.operators.merge import union_evolved
 from quire.plans.measures import MONEY, SHARE, total
@@ -39,7 +42,7 @@ def manifest(tables: Mapping[str, DataFrame], extracted_at: dt.datetime, status:
                 F.lit(table(name).source).alias("source_name"),
                 "row_count",
                 F.lit(table(name).column_organised).alias("is_blu_source"),
-                F.lit(extracted_at).cast("timestamp_ntz").alias("extracted_at"),
+                literal(extracted_at, T.TimestampNTZType()).alias("extracted_at"),
                 F.lit(status).alias("status"),
             )
             for name, df in tables.items()
@@ -47,6 +50,37 @@ def manifest(tables: Mapping[str, DataFrame], extracted_at: dt.datetime, status:
     )
 
 
+def inventory(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per column of every table: storage kind, rows, type, length, scale, nullable, code page.
+
+    The table's rows are counted once; its declared columns are unfolded from the one result row.
+    """
+    parts = []
+    for name, df in tables.items():
+        declared = table(name)
+        described = F.array(
+            *[
+                F.struct(
+                    F.lit(place).alias("ordinal"),
+                    F.lit(meta["name"]).alias("column_name"),
+                    F.lit(meta["type"]).alias("column_type"),
+                    F.lit(meta["length"]).alias("length"),
+                    F.lit(meta["scale"]).alias("scale"),
+                    F.lit(meta["nullable"]).alias("nullable"),
+                    F.lit(meta["ccsid"]).alias("ccsid"),
+                    F.lit(spark_type_name(meta["type"], meta["length"], meta["scale"])).alias("spark_type"),
+                )
+                for place, meta in enumerate(declared.metadata(), 1)
+            ]
+        )
+        storage = "COLUMN" if declared.column_organised else "ROW"
+        counted = df.agg(F.count("*").alias("row_count")).select(
+            F.lit(declared.source).alias("table_name"), F.lit(storage).alias("storage"), "row_count"
+        )
+        parts.append(counted.select("*", F.inline(described)))
+    return union_all(parts)
+
+
 def control_totals(df: DataFrame, name: str, ht: str, ttc: str, quantity: str, day: str) -> DataFrame:
     """Count, amounts, quantity and date range in one pass."""
     return df.agg(

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.functions.columns import literal
+
 
 def high_water_mark(target: DataFrame, column: str) -> object:
     """The newest value already loaded; one number comes to the driver, None for an empty target."""
@@ -21,7 +23,7 @@ def rows_since(source: DataFrame, column: str, mark: object, strict: bool = Fals
         return source
     c = F.col(column)
     # The literal takes the column's type, or the column would be cast and the filter not pushed.
-    bound = F.lit(mark).cast(source.schema[column].dataType)
+    bound = literal(mark, source.schema[column].dataType)
     return source.filter(c > bound if strict else c >= bound)
 
 

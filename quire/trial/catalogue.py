@@ -211,6 +211,12 @@ def bronze_manifest(spark, folder):
     return recon.manifest({n: t.bronze(n) for n in COUNTED}, EXTRACTED_AT)
 
 
+@query
+def table_inventory(spark, folder):
+    t = Tables(spark, folder)
+    return recon.inventory({n: t.bronze(n) for n in COUNTED})
+
+
 @query
 def column_profile(spark, folder):
     orders = to_raw(Tables(spark, folder).bronze("commandes"), table("commandes"))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from quire.functions import ACCENTS
 from quire.functions.text import DAMAGE, SEARCHED_IN_NAMES
+from quire.model import table
 from quire.trial import catalogue as cat
 
 
@@ -375,6 +376,14 @@ ORACLE: dict[str, str] = {
         f"{str(n == 'ventes').lower()} AS is_blu_source, TIMESTAMP '{cat.EXTRACTED_AT}' AS extracted_at, 'OK' AS status FROM {given}"
         for n, (src, given) in COUNT_SOURCES.items()
     ),
+    "table_inventory": " UNION ALL ".join(
+        f"SELECT '{src}' AS table_name, '{'COLUMN' if src == 'VENTEP' else 'ROW'}' AS storage, "
+        f"(SELECT count(*) FROM {given}) AS row_count, {i} AS ordinal, '{f.source}' AS column_name, "
+        f"'{'CHAR' if f.kind == 'char' else 'DECIMAL'}' AS column_type, {f.length} AS \"length\", {f.scale} AS scale, "
+        f"{str(not f.required).lower()} AS nullable, {297 if f.kind == 'char' else 0} AS ccsid, "
+        f"'{'STRING' if f.kind == 'char' else f'DECIMAL({f.length},{f.scale})'}' AS spark_type"
+        for n, (src, given) in COUNT_SOURCES.items() for i, f in enumerate(table(n).fields, 1)
+    ),
     "column_profile": with_("isbns line_totals cmd", f", raw_cmd AS ({RAW_ORDERS}) " + " UNION ALL ".join(
         profile(c, i + 1, k) for i, (c, k) in enumerate([
             ("CMNUMR", "bigint"), ("CMISBN", "string"), ("CMDTCM", "int"), ("CMDTLV", "int"), ("CMQTE", "int"),
