@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.functions.columns import literal
+from quire.operators.clean import computed_once
 
 MOST_BITS = 6  # per column
 CELL_BITS = 12  # of all columns together
@@ -38,24 +39,21 @@ def _as_number(df: DataFrame, name: str) -> Column:
     return c.try_cast("bigint")
 
 
-def _bucket(value: Column, bounds: list[int], first: int = 0) -> Column:
-    """Number of bounds below a value, as a balanced tree of comparisons."""
-    if not bounds:
-        return F.lit(first)
-    middle = len(bounds) // 2
-    return F.when(value > bounds[middle], _bucket(value, bounds[middle + 1:], first + middle + 1)).otherwise(
-        _bucket(value, bounds[:middle], first)
+def _interleaved(bucket: int, place: int, columns: int, bits: int) -> int:
+    """The bits of a bucket number moved to its column's places in the cell number, highest bits first."""
+    return sum(
+        (bucket >> bit & 1) << (bit * columns + columns - 1 - place) for bit in range(bits)
     )
 
 
-def _interleave(buckets: list[Column], bits: int) -> Column:
-    """Bits of the bucket numbers in turns, highest first, so that near cells get near numbers."""
-    z = F.lit(0).cast("bigint")
-    for bit in range(bits):
-        for place, bucket in enumerate(buckets):
-            one = F.shiftright(bucket, bit).bitwiseAND(F.lit(1)).cast("bigint")
-            z = z.bitwiseOR(F.shiftleft(one, bit * len(buckets) + len(buckets) - 1 - place))
-    return z
+def _cell_part(number: str, bounds: list[int], parts: list[int]) -> str:
+    """A column's share of the cell number, found by halving its bounds; NULL goes with the lowest."""
+    if not bounds:
+        return str(parts[0])
+    middle = len(bounds) // 2
+    above = _cell_part(number, bounds[middle + 1:], parts[middle + 1:])
+    below = _cell_part(number, bounds[:middle], parts)
+    return f"CASE WHEN {number} > {bounds[middle]}L THEN {above} ELSE {below} END"
 
 
 def _placed(counts: dict[int, int], cells: int, partitions: int) -> tuple[list[int], list[int]]:
@@ -88,24 +86,19 @@ def cluster_by(df: DataFrame, columns: tuple[str, ...], partitions: int | None =
     partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bits = min(MOST_BITS, CELL_BITS // len(columns))
     shares = [i / (1 << bits) for i in range(1, 1 << bits)]
-    # Numbers and buckets are columns of their own: they are used many times below.
-    numbered = df.withColumns({f"_n{i}": _as_number(df, c) for i, c in enumerate(columns)})
-    quantiles = numbered.agg(
+    celled = df.withColumns({f"_n{i}": _as_number(df, c) for i, c in enumerate(columns)})
+    quantiles = celled.agg(
         *[
             F.percentile_approx(f"_n{i}", shares, QUANTILE_ACCURACY).alias(f"_n{i}")
             for i in range(len(columns))
         ]
     ).first()
-    bucketed = numbered.withColumns(
-        {
-            f"_b{i}": F.coalesce(
-                _bucket(F.col(f"_n{i}"), sorted(set(quantiles[f"_n{i}"] or []))), F.lit(0)
-            )
-            for i in range(len(columns))
-        }
-    )
-    z = _interleave([F.col(f"_b{i}") for i in range(len(columns))], bits).cast("int")
-    celled = bucketed.select(*df.columns, z.alias("_z"))
+    for i in range(len(columns)):
+        parts = [_interleaved(b, i, len(columns), bits) for b in range(1 << bits)]
+        bounds = sorted(set(quantiles[f"_n{i}"] or []))
+        celled = computed_once(celled, **{f"_p{i}": F.expr(_cell_part(f"_n{i}", bounds, parts))})
+    z = sum((F.col(f"_p{i}") for i in range(1, len(columns))), F.col("_p0"))
+    celled = celled.select(*df.columns, z.alias("_z"))
     counts = {r["_z"]: r["count"] for r in celled.groupBy("_z").count().collect()}
     first, width = _placed(counts, 1 << (bits * len(columns)), partitions)
     spread = F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), _lookup(width, F.col("_z")))
