@@ -15,7 +15,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 def stored(frame: DataFrame, label: str) -> DataFrame:
     """Write a frame once to the shared scratch folder and read it back: later steps neither recompute nor lose it."""
     folder = scratch_folder(frame.sparkSession, label)
-    frame.write.parquet(folder)
+    frame.write.option("compression", "zstd").parquet(folder)
     return frame.sparkSession.read.schema(frame.schema).parquet(folder)
 
 

@@ -5,17 +5,56 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quire.llm import simhash
+from quire.llm import decontaminate, simhash, toxicity
 from quire.llm.common import table
 
 
+def op1_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    listed = F.array_join(F.array_sort(F.transform("items", lambda item: item.cast("string"))), ",")
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(listed.cast("binary"), 256).alias("items_sha256"), "contaminated"
+    )
+
+
 def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op10_toxicity": op10_toxicity,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_benchmark_decontamination": r"""
+WITH doc AS (
+  SELECT doc_id, row_number() OVER () AS place,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents),
+item AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS s
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i FROM item WHERE len(w) > 0)),
+size AS (SELECT DISTINCT n FROM win),
+piece AS (
+  SELECT place, i, n, array_to_string(w[i:i + n - 1], ' ') AS s
+  FROM (SELECT place, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc, size WHERE len(w) >= n)),
+hit AS (SELECT p.place, p.i, p.n, win.item_id FROM piece p JOIN win ON p.n = win.n AND p.s = win.s),
+word AS (SELECT place, count(DISTINCT k) AS n_hit FROM (SELECT place, unnest(range(i, i + n)) AS k FROM hit) GROUP BY place),
+named AS (SELECT place, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+          FROM (SELECT DISTINCT place, CAST(item_id AS VARCHAR) AS id FROM hit WHERE item_id IS NOT NULL) GROUP BY place)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN word USING (place) LEFT JOIN named USING (place)
+""",
+}
