@@ -102,13 +102,14 @@ class _Windows:
     """The test windows of a block of items: term numbers, padded with -1, in order of rarity once counts are known."""
 
     def __init__(self, items: Iterable[tuple[int | None, str | None]], window: int) -> None:
-        self.ids: defaultdict[bytes, int] = defaultdict()
-        self.ids.default_factory = self.ids.__len__
+        ids: defaultdict[bytes, int] = defaultdict()
+        ids.default_factory = ids.__len__
         rows, owners = {}, []
         for item, text in items:
-            numbers = [self.ids[word] for word in words_of(text)]
+            numbers = [ids[word] for word in words_of(text)]
             for at in range(max(1, len(numbers) - window + 1) if numbers else 0):
                 rows.setdefault(tuple(numbers[at : at + window]), set()).add(item)
+        self.ids = dict(ids)
         self.sizes = np.array([len(row) for row in rows], np.int64)
         self.terms = np.full((len(rows), window), -1, np.int64)
         for at, row in enumerate(rows):
@@ -259,8 +260,8 @@ def _items_by_doc(windows: _Windows, row: np.ndarray, doc: np.ndarray) -> dict[i
 
 
 def _search_block(index: DataFrame, windows: _Windows, within: int) -> DataFrame:
-    windows.by_rarity(_frequencies(index, dict(windows.ids)))
-    ids = dict(windows.ids)
+    windows.by_rarity(_frequencies(index, windows.ids))
+    ids = windows.ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
