@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import decontaminate, simhash, toxicity
+from quire.llm import decontaminate, mixing, simhash, token_files, toxicity
 from quire.llm.common import table
 
 
@@ -23,6 +24,23 @@ def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    """The text of a tokenizer file; the package that knows its place need only be on the driver."""
+    import public_tokenizers
+
+    return Path(public_tokenizers.path(name)).read_text(encoding="utf-8")
+
+
+def op7_token_id_orc(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.token_files(table(spark, folder, "documents"), vocabulary())
+
+
+def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "source", "text")
+    counted = mixing.copies(docs, mixing.plan(docs))
+    return counted.select("doc_id", "source", F.col("mix_weight").alias("weight"), F.col("mix_copies").alias("copies"))
+
+
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -30,6 +48,8 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op7_token_id_orc": op7_token_id_orc,
+    "op8_mixing": op8_mixing,
     "op10_toxicity": op10_toxicity,
 }
 
