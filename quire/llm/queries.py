@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import chat, decontaminate, mixing, simhash, token_files, toxicity
+from quire.llm import chat, decontaminate, kdtree, licences, mixing, simhash, token_files, toxicity
 from quire.llm.common import table
 
 
@@ -39,6 +39,10 @@ def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op6_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return kdtree.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
     """The text of a tokenizer file; the package that knows its place need only be on the driver."""
     import public_tokenizers
@@ -56,6 +60,15 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("doc_id", "source", F.col("mix_weight").alias("weight"), F.col("mix_copies").alias("copies"))
 
 
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licences.scan(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
+        F.array_min("places").cast("long").alias("first_word"), F.array_max("places").cast("long").alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score",
+    )
+
+
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -64,8 +77,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_chat_format": op2_chat_format,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op6_exact_top_k": op6_exact_top_k,
     "op7_token_id_orc": op7_token_id_orc,
     "op8_mixing": op8_mixing,
+    "op9_license_scan": op9_license_scan,
     "op10_toxicity": op10_toxicity,
 }
 
@@ -105,5 +120,16 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(length('<|im_start|>') + length(role) + 1 + escaped + length('<|im_end|>') + 1) AS BIGINT) AS formatted_chars
 FROM marked GROUP BY conv_id
+""",
+    "op6_exact_top_k": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """,
 }
