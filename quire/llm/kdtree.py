@@ -189,7 +189,8 @@ def _block(trees: DataFrame, queries: _Queries) -> DataFrame:
         for batch in batches:
             for at in range(batch.num_rows):
                 raw = [np.frombuffer(batch.column(i)[at].as_buffer(), "<i8") for i in range(4)]
-                search_tree(queries, best, raw[0], raw[1].reshape(len(raw[0]), dim), raw[2].reshape(-1, 2, dim), raw[3].reshape(-1, 4))
+                nodes = raw[3].reshape(-1, 4)
+                search_tree(queries, best, raw[0], raw[1].reshape(len(raw[0]), dim), raw[2].reshape(len(nodes), 2, dim), nodes)
         found = [(int(q), -i, score) for q, heap in zip(queries.ids, best) for score, i in heap]
         columns = zip(*found) if found else ((), (), ())
         yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], schema)
@@ -203,8 +204,9 @@ def _sampled(trees: DataFrame, dim: int) -> tuple[np.ndarray, np.ndarray]:
     row = trees.where(F.col("dim") == dim).select("ids", "vectors").first()
     if row is None:
         return np.zeros(0, np.int64), np.zeros((0, dim), np.int64)
-    ids, first = np.unique(np.frombuffer(row[0], "<i8"), return_index=True)
-    return ids, np.frombuffer(row[1], "<i8").reshape(-1, dim)[first]
+    every = np.frombuffer(row[0], "<i8")
+    ids, first = np.unique(every, return_index=True)
+    return ids, np.frombuffer(row[1], "<i8").reshape(len(every), dim)[first]
 
 
 def _query_blocks(rows: Iterable, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:

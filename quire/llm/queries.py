@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import chat, decontaminate, kdtree, licences, mixing, simhash, token_files, toxicity
+from quire.llm import chat, decontaminate, kdtree, licences, mixing, simhash, suffixes, token_files, toxicity
 from quire.llm.common import table
 
 
@@ -39,6 +39,14 @@ def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffixes.remove_repeats(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", suffixes.removed(F.col("spans")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op6_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return kdtree.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -77,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_chat_format": op2_chat_format,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_exact_top_k": op6_exact_top_k,
     "op7_token_id_orc": op7_token_id_orc,
     "op8_mixing": op8_mixing,
