@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import chat, decontaminate, kdtree, licences, mixing, simhash, suffixes, token_files, toxicity
+from quire.llm import chat, decontaminate, kdtree, licences, line_dedup, mixing, simhash, suffixes, token_files, toxicity
 from quire.llm.common import table
 
 
@@ -35,6 +35,14 @@ def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = line_dedup.dedup_lines(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "n_links",
+        F.sha2(F.coalesce("kept", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
@@ -84,6 +92,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_chat_format": op2_chat_format,
+    "op3_line_dedup": op3_line_dedup,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_exact_top_k": op6_exact_top_k,
