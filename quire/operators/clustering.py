@@ -2,19 +2,14 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quire.functions.columns import literal
-from quire.operators.clean import computed_once
 
 MOST_BITS = 6  # per column
-CELL_BITS = 12  # of all columns together
-PREFIX_BYTES = 7  # as many leading bytes of a text as fit a positive long
-QUANTILE_ACCURACY = 2_000
+CELL_BITS = 12  # of all columns together; cells are cut further by value
+SAMPLE_ROWS = 20_000
 
 # Clustering columns per gold table; dimensions are small and stay as they are.
 CLUSTER_COLUMNS = {
@@ -25,20 +20,6 @@ CLUSTER_COLUMNS = {
 }
 
 
-def _as_number(df: DataFrame, name: str) -> Column:
-    """An order-preserving number for a column: days, microseconds, values, or a text's first bytes."""
-    kind = df.schema[name].dataType
-    c = F.col(name)
-    if isinstance(kind, T.StringType):
-        prefix = F.conv(F.hex(F.rpad(F.substring(c, 1, PREFIX_BYTES), PREFIX_BYTES, " ")), 16, 10)
-        return F.coalesce(c.try_cast("bigint"), prefix.try_cast("bigint"))
-    if isinstance(kind, T.DateType):
-        return F.unix_date(c).cast("bigint")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp"))
-    return c.try_cast("bigint")
-
-
 def _interleaved(bucket: int, place: int, columns: int, bits: int) -> int:
     """The bits of a bucket number moved to its column's places in the cell number, highest bits first."""
     return sum(
@@ -46,65 +27,43 @@ def _interleaved(bucket: int, place: int, columns: int, bits: int) -> int:
     )
 
 
-def _cell_part(number: str, bounds: list[int], parts: list[int]) -> str:
+def _cell_part(column: Column, bounds: list[Column], parts: list[int]) -> Column:
     """A column's share of the cell number, found by halving its bounds; NULL goes with the lowest."""
     if not bounds:
-        return str(parts[0])
+        return F.lit(parts[0])
     middle = len(bounds) // 2
-    above = _cell_part(number, bounds[middle + 1:], parts[middle + 1:])
-    below = _cell_part(number, bounds[:middle], parts)
-    return f"CASE WHEN {number} > {bounds[middle]}L THEN {above} ELSE {below} END"
+    above = _cell_part(column, bounds[middle + 1 :], parts[middle + 1 :])
+    below = _cell_part(column, bounds[:middle], parts)
+    return F.when(column > bounds[middle], above).otherwise(below)
 
 
-def _placed(counts: dict[int, int], cells: int, partitions: int) -> tuple[list[int], list[int]]:
-    """First partition and number of partitions of every cell, so that partitions get equal row counts."""
-    share = max(sum(counts.values()), 1) / partitions
-    first, width, before = [0] * cells, [1] * cells, 0
-    for cell in range(cells):
-        after = before + counts.get(cell, 0)
-        start = min(int(before / share), partitions - 1)
-        end = max(start, min(math.ceil(after / share), partitions) - 1)
-        first[cell], width[cell] = start, end - start + 1
-        before = after
-    return first, width
-
-
-def _lookup(numbers: list[int], place: Column) -> Column:
-    """Element of a fixed list; the text is folded into one array when the query is planned."""
-    listed = F.split(F.lit(",".join(map(str, numbers))), ",").cast("array<int>")
-    return F.get(listed, place)
+def _bounds(values: list, ranges: int) -> list:
+    """Values that cut a sample into ranges of about equal size, in Spark's order: texts by their bytes."""
+    known = sorted(
+        (v for v in values if v is not None and v == v), key=lambda v: v.encode() if isinstance(v, str) else v
+    )
+    return list(dict.fromkeys(known[len(known) * i // ranges] for i in range(1, ranges))) if known else []
 
 
 def cluster_by(df: DataFrame, columns: tuple[str, ...], partitions: int | None = None) -> DataFrame:
     """Rows partitioned and sorted along a space-filling order of several columns.
 
-    Two passes over the clustering columns alone prepare it: quantiles cut each column into ranges, and
-    the row counts of the cells, at most 4,096, say how many partitions a cell needs. Rows then go
-    straight to their partition; a range partitioning would read all columns once more to sample them. A
-    cell that holds a third of the table is spread by row hash over a third of the partitions.
+    A sample of fixed size cuts each column, whatever its type, into ranges by its own values; the ranges
+    are the cells of the order. Rows are dealt out by range of cell and values, so a cell of any size is
+    cut by value over as many partitions as its rows need, and one value by the row's place in the input.
     """
     partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bits = min(MOST_BITS, CELL_BITS // len(columns))
-    shares = [i / (1 << bits) for i in range(1, 1 << bits)]
-    celled = df.withColumns({f"_n{i}": _as_number(df, c) for i, c in enumerate(columns)})
-    quantiles = celled.agg(
-        *[
-            F.percentile_approx(f"_n{i}", shares, QUANTILE_ACCURACY).alias(f"_n{i}")
-            for i in range(len(columns))
-        ]
-    ).first()
-    for i in range(len(columns)):
+    bits = max(1, min(MOST_BITS, CELL_BITS // len(columns)))
+    chosen = df.select(*columns).withColumn("_row", F.monotonically_increasing_id())
+    sample = chosen.orderBy(F.xxhash64("_row")).limit(SAMPLE_ROWS).select(*columns).collect()
+    z = F.lit(0).cast("bigint")
+    for i, c in enumerate(columns):
         parts = [_interleaved(b, i, len(columns), bits) for b in range(1 << bits)]
-        bounds = sorted(set(quantiles[f"_n{i}"] or []))
-        celled = computed_once(celled, **{f"_p{i}": F.expr(_cell_part(f"_n{i}", bounds, parts))})
-    z = sum((F.col(f"_p{i}") for i in range(1, len(columns))), F.col("_p0"))
-    celled = celled.select(*df.columns, z.alias("_z"))
-    counts = {r["_z"]: r["count"] for r in celled.groupBy("_z").count().collect()}
-    first, width = _placed(counts, 1 << (bits * len(columns)), partitions)
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), _lookup(width, F.col("_z")))
-    target = _lookup(first, F.col("_z")) + spread.cast("int")
-    placed = celled.withColumn("_target", target).repartitionById(partitions, "_target")
-    return placed.sortWithinPartitions("_z", *columns).drop("_z", "_target")
+        bounds = [literal(v, df.schema[c].dataType) for v in _bounds([row[i] for row in sample], 1 << bits)]
+        z = z + _cell_part(F.col(c), bounds, parts)
+    celled = df.withColumns({"_z": z, "_row": F.monotonically_increasing_id()})
+    placed = celled.repartitionByRange(partitions, "_z", *columns, "_row")
+    return placed.sortWithinPartitions("_z", *columns).drop("_z", "_row")
 
 
 def file_skipping_report(df: DataFrame, columns: tuple[str, ...], bounds: dict[str, tuple]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_SALTS = 16
+HOT_ROWS = 5_000_000
 SPLITTABLE = ("inner", "left", "left_semi", "left_anti")
 
 
@@ -24,25 +24,35 @@ def join_dimension(
     dimension: DataFrame,
     on: list[str],
     how: str = "inner",
-    salts: int = DEFAULT_SALTS,
+    hot_rows: int = HOT_ROWS,
     limit: int | None = None,
 ) -> DataFrame:
     """Join a fact with a dimension on equal key names, safe for a fact key that holds a third of the rows.
 
     A dimension estimated under the broadcast threshold is broadcast by Catalyst and the fact is not
-    shuffled. Beyond it each fact row takes one of `salts` numbers and the dimension is repeated once
-    per number, so that many tasks share a hot key. The result is the same either way. The input
-    partition is part of the salt, which spreads identical rows and stays the same in a retried task.
+    shuffled. Beyond it the fact's rows are counted by key, reading the key alone. A key with more than
+    `hot_rows` rows is split into as many parts as it needs and only its dimension rows are repeated;
+    adaptive execution still broadcasts a dimension that turns out small. The input partition is part of
+    the salt, which spreads identical rows and stays the same in a retried task.
     """
     if how not in SPLITTABLE:
         raise ValueError(f"{how} cannot be split on the fact side")
     size_limit = broadcast_limit(fact) if limit is None else limit
     if planned_size(dimension) <= size_limit:
         return fact.join(dimension, on, how)
-    numbers = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    copies = dimension.withColumn("_salt", numbers)
+    counted = fact.groupBy(*[F.col(c).alias(f"_h_{c}") for c in on]).agg(F.count("*").alias("_rows"))
+    # At most one row for every `hot_rows` rows of the fact.
+    hot = F.broadcast(counted.filter(F.col("_rows") > hot_rows).withColumn("_parts", F.ceil(F.col("_rows") / hot_rows).cast("int")))
+    same = None
+    for c in on:
+        equal = F.col(c).eqNullSafe(F.col(f"_h_{c}"))
+        same = equal if same is None else same & equal
+    parts = F.coalesce("_parts", F.lit(1))
     spread = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in fact.columns])
-    salted = fact.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int"))
+    salted = fact.withColumn("_spread", spread).join(hot, same, "left")
+    salted = salted.select(*fact.columns, F.pmod("_spread", parts).cast("int").alias("_salt"))
+    numbers = F.explode(F.sequence(F.lit(0), parts - 1)).alias("_salt")
+    copies = dimension.join(hot, same, "left").select(*dimension.columns, numbers)
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 

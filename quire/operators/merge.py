@@ -17,17 +17,26 @@ def union_evolved(*frames: DataFrame) -> DataFrame:
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str], newest_by: tuple[str, ...]) -> DataFrame:
     """The target with the batch applied: per key the newest row, on equal marks the batch's.
 
-    One union and one shuffle on the key, with each key cut to one row per partition beforehand; a
-    full join would need the same shuffle of both sides and could not be split on a hot key. Rows
-    that are equal in key, marks and side are ordered by all columns, so reruns agree.
+    The target has a row per key, as upserts leave it. Rows whose key the batch does not name pass as they
+    are: with a batch small enough to broadcast the target is filtered where it lies, and only the rows
+    that the batch touches meet it in a shuffle. A NULL key is a key. Rows that are equal in key, marks
+    and side are ordered by all columns, so reruns agree.
     """
+    names = batch.select(*[F.col(k).alias(f"_b_{k}") for k in keys]).distinct()
+    same = None
+    for k in keys:
+        equal = F.col(k).eqNullSafe(F.col(f"_b_{k}"))
+        same = equal if same is None else same & equal
+    untouched = target.join(names, same, "left_anti")
+    touched = target.join(names, same, "left_semi")
     both = union_evolved(
-        target.withColumn("_from_batch", F.lit(0)), batch.withColumn("_from_batch", F.lit(1))
+        touched.withColumn("_from_batch", F.lit(0)), batch.withColumn("_from_batch", F.lit(1))
     )
     rest = [c for c in both.columns if c not in (*keys, *newest_by, "_from_batch")]
     order = [F.col(c).desc_nulls_last() for c in (*newest_by, "_from_batch", *rest)]
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return both.withColumn("_place", place).filter("_place = 1").drop("_place", "_from_batch")
+    winners = both.withColumn("_place", place).filter("_place = 1").drop("_place", "_from_batch")
+    return union_evolved(untouched, winners)
 
 
 LOW_HALF = 0xFFFFFFFF
@@ -45,11 +54,14 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     Both sides are reduced to keys and a 128-bit fingerprint of the other columns (NULLs included), so
     wide rows never travel; one aggregate with map-side partials compares them. Repeated keys are
     compared as bags: equal bags sum to zero when the new side counts negative. The halves are summed
-    apart because whole 64-bit hashes would overflow.
+    apart because whole 64-bit hashes would overflow. A column that one side lacks is NULL there.
     """
-    columns = [c for c in old.columns if c not in keys]
+    columns = [c for c in dict.fromkeys([*old.columns, *new.columns]) if c not in keys]
+    kinds = {**{f.name: f.dataType for f in new.schema}, **{f.name: f.dataType for f in old.schema}}
 
     def reduced(df: DataFrame, sign: int) -> DataFrame:
+        missing = {c: F.lit(None).cast(kinds[c]) for c in columns if c not in df.columns}
+        df = df.withColumns(missing) if missing else df
         a, b = _fingerprint(columns, 1), _fingerprint(columns, 2)
         return df.select(
             *keys,

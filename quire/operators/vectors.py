@@ -1,15 +1,16 @@
-"""Exact nearest vectors by cosine for a small set of queries."""
+"""Exact nearest vectors by cosine."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MOST_QUERIES = 1_000
+QUERY_BLOCK = 1_000
 
 
 def cosine_topk(
@@ -19,19 +20,41 @@ def cosine_topk(
     vector_id: str = "vec_id",
     query_id: str = "query_id",
     embedding: str = "embedding",
+    query_block: int = QUERY_BLOCK,
 ) -> DataFrame:
     """The k nearest vectors of every query, itself left out; equal scores are ordered by id.
 
-    The queries go to every task, so their number is checked. Each task multiplies its Arrow batches with
-    the query matrix and keeps its own k best per query; only those meet in the final ranking. A zero or
-    missing vector is near to nothing and is left out.
+    Queries come to the driver in blocks, of which one at a time is held, and each block is a pass over
+    the vectors: a task multiplies its Arrow batches with the block's matrix and keeps its own k best per
+    query; only those meet in the final ranking. A zero or missing vector is near to nothing and left out.
     """
-    rows = queries.select(query_id, embedding).limit(MOST_QUERIES + 1).collect()
-    if len(rows) > MOST_QUERIES:
-        raise ValueError(f"more than {MOST_QUERIES} queries: run them in groups")
-    usable = [(r[0], np.array(r[1], dtype=np.float64)) for r in rows if r[1] is not None and any(r[1])]
-    ids = np.array([i for i, _ in usable], dtype=np.int64)
-    matrix = np.array([v / np.linalg.norm(v) for _, v in usable])
+    usable = F.col(embedding).isNotNull() & F.exists(embedding, lambda x: x != 0)
+    vectors = vectors.filter(usable).select(vector_id, embedding)
+    asked = queries.filter(usable).select(query_id, embedding).toLocalIterator()
+    near = None
+    while block := list(islice(asked, query_block)):
+        found = _near(vectors, block, k, vector_id, embedding)
+        near = found if near is None else near.unionByName(found)
+    if near is None:
+        near = _near(vectors.limit(0), [], k, vector_id, embedding)
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vector_id"))
+    return (
+        near.withColumn("place", place)
+        .filter(F.col("place") <= k)
+        .select(
+            F.col("query_id").alias(query_id),
+            F.col("vector_id").alias(vector_id),
+            "place",
+            F.col("score").cast("decimal(9,6)").alias("score"),
+        )
+    )
+
+
+def _near(vectors: DataFrame, block: list, k: int, vector_id: str, embedding: str) -> DataFrame:
+    """Each task's k best vectors per query of the block, and what ties with them."""
+    ids = np.array([row[0] for row in block], dtype=np.int64)
+    points_of = [np.array(row[1], dtype=np.float64) for row in block]
+    matrix = np.array([v / np.linalg.norm(v) for v in points_of])
 
     def best_of(frame: pd.DataFrame) -> pd.DataFrame:
         ordered = frame.sort_values(["query_id", "score", "vector_id"], ascending=[True, False, True])
@@ -40,7 +63,6 @@ def cosine_topk(
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best = None
         for batch in batches:
-            batch = batch[[v is not None and np.any(v) for v in batch[embedding]]]
             if batch.empty or not len(ids):
                 continue
             points, found = np.stack(batch[embedding].to_numpy()).astype(np.float64), batch[vector_id].to_numpy()
@@ -49,23 +71,11 @@ def cosine_topk(
             # A batch's k-th best score bounds what can matter; ties with it stay in.
             cut = min(k, len(found))
             parts = [] if best is None else [best]
-            for q in range(len(ids)):
-                floor = np.partition(scores[:, q], -cut)[-cut]
-                near = np.flatnonzero((scores[:, q] >= floor) & np.isfinite(scores[:, q]))
-                parts.append(pd.DataFrame({"query_id": ids[q], "vector_id": found[near], "score": scores[near, q]}))
+            floor = -np.partition(-scores, cut - 1, axis=0)[cut - 1]
+            near, q = np.nonzero((scores >= floor) & np.isfinite(scores))
+            parts.append(pd.DataFrame({"query_id": ids[q], "vector_id": found[near], "score": scores[near, q]}))
             best = best_of(pd.concat([p for p in parts if len(p)] or parts[:1]))
         if best is not None:
             yield best[["query_id", "vector_id", "score"]]
 
-    near = vectors.select(vector_id, embedding).mapInPandas(scan, "query_id bigint, vector_id bigint, score double")
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vector_id"))
-    return (
-        near.withColumn("place", place)
-        .filter(F.col("place") <= k)
-        .select(
-            F.col("query_id").alias(query_id),
-            F.col("vector_id").alias(vector_id),
-            "place",
-            F.col("score").cast("decimal(9,6)").alias("score"),
-        )
-    )
+    return vectors.mapInPandas(scan, "query_id bigint, vector_id bigint, score double")

@@ -242,7 +242,9 @@ def expected_values(df: DataFrame, expected: list[Expected]) -> DataFrame:
 def amounts(bronze: DataFrame, silver: DataFrame, gold: DataFrame, limits: Limits = STAGE_LIMITS) -> DataFrame:
     """Cleaning must not move the total; gold must differ by exactly the excluded rows."""
     totals = amount_balance(bronze, silver, gold)
-    gap = percent(F.abs("ecart_bronze_silver"), F.abs("total_bronze"))
+    # Against a total of zero any difference is a whole one.
+    lost = F.abs("ecart_bronze_silver")
+    gap = F.when((F.col("total_bronze") == 0) & (lost > 0), F.lit(100.0)).otherwise(percent(lost, F.abs("total_bronze")))
     unexplained = F.abs(F.col("ecart_silver_gold") - F.col("total_exclu"))
     return report(
         totals,

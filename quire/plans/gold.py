@@ -130,10 +130,10 @@ def fact_orders(orders: DataFrame) -> DataFrame:
 
 
 def book_authors(bridge: DataFrame, authors: DataFrame) -> DataFrame:
-    """Book-author pairs with role, order and the author's name, one row each."""
+    """Book-author pairs with role, order and the author's name; a pair without author record stays, unnamed."""
     names = authors.select("code_auteur", "nom_complet")
-    return join_dimension(bridge, names, ["code_auteur"]).select(
-        "isbn", "code_auteur", "role", "ordre", "nom_complet"
+    return join_dimension(bridge, names, ["code_auteur"], "left").select(
+        "isbn", "code_auteur", "role", "ordre", F.coalesce("nom_complet", F.lit("Inconnu")).alias("nom_complet")
     )
 
 

@@ -19,8 +19,7 @@ CENT = Decimal("0.01")
 AUTHOR = "AUT"
 MONEY = "decimal(28,2)"
 SHARE = "decimal(9,6)"
-LAST_PLANNED_YEAR = 2030
-DAY_BITS, NUMBER_BITS, DAY_OFFSET = 18, 34, 100_000
+UNKNOWN = "Inconnu"
 
 
 def cents(value: Column) -> Column:
@@ -74,13 +73,16 @@ def _per_book(sales: DataFrame, *more: str) -> DataFrame:
 
 
 def share_by_format(sales: DataFrame, books: DataFrame) -> DataFrame:
-    """Revenue per format and its share of all revenue.
+    """Revenue per format and its share of all revenue; books that the dimension lacks have an unknown format.
 
     The window runs over the handful of formats, after both aggregates.
     """
     formats = books.select("isbn", "libelle_format")
     by_format = (
-        _per_book(sales).join(formats, "isbn").groupBy("libelle_format").agg(total("montant_ttc").alias("montant_ttc"))
+        _per_book(sales)
+        .join(formats, "isbn", "left")
+        .groupBy(F.coalesce("libelle_format", F.lit(UNKNOWN)).alias("libelle_format"))
+        .agg(total("montant_ttc").alias("montant_ttc"))
     )
     everything = F.sum("montant_ttc").over(Window.partitionBy())
     return by_format.withColumn(
@@ -105,8 +107,8 @@ def revenue_by_author(sales: DataFrame, bridge: DataFrame, role: str = AUTHOR) -
 def top_authors(sales: DataFrame, bridge: DataFrame, authors: DataFrame, k: int = 10) -> DataFrame:
     """The k best-selling authors; the code settles equal revenue."""
     best = revenue_by_author(sales, bridge).orderBy(F.desc("montant_ttc"), "code_auteur").limit(k)
-    return best.join(authors.select("code_auteur", "nom_complet"), "code_auteur").select(
-        "code_auteur", "nom_complet", "quantite", "montant_ttc"
+    return best.join(authors.select("code_auteur", "nom_complet"), "code_auteur", "left").select(
+        "code_auteur", F.coalesce("nom_complet", F.lit(UNKNOWN)).alias("nom_complet"), "quantite", "montant_ttc"
     )
 
 
@@ -115,18 +117,25 @@ def sales_by_publisher_author_month(
 ) -> DataFrame:
     """Star report: revenue per publisher, lead author and month.
 
-    With the lead author of `gold.lead_authors` each sale counts once.
+    With the lead author of `gold.lead_authors` each sale counts once. No sale is lost: a book, author or
+    publisher that the dimensions lack shows as unknown, so the report adds up to the fact.
     """
     first = leads.filter(F.col("role") == AUTHOR).select("isbn", "code_auteur", "nom_complet")
     summed = (
         _per_book(sales, "annee_vente", "mois_vente")
-        .join(books.select("isbn", "code_editeur"), "isbn")
-        .join(first, "isbn")
+        .join(books.select("isbn", "code_editeur"), "isbn", "left")
+        .join(first, "isbn", "left")
         .groupBy("code_editeur", "code_auteur", "nom_complet", "annee_vente", "mois_vente")
         .agg(total("montant_ttc").alias("montant_ttc"))
     )
-    return summed.join(publishers.select("code_editeur", "nom_editeur"), "code_editeur").select(
-        "code_editeur", "nom_editeur", "code_auteur", "nom_complet", "annee_vente", "mois_vente", "montant_ttc"
+    return join_dimension(summed, publishers.select("code_editeur", "nom_editeur"), ["code_editeur"], "left").select(
+        "code_editeur",
+        F.coalesce("nom_editeur", F.lit(UNKNOWN)).alias("nom_editeur"),
+        "code_auteur",
+        F.coalesce("nom_complet", F.lit(UNKNOWN)).alias("nom_complet"),
+        "annee_vente",
+        "mois_vente",
+        "montant_ttc",
     )
 
 
@@ -200,19 +209,16 @@ def stock_by_site(stock: DataFrame) -> DataFrame:
     )
 
 
-def royalties(
-    sales: DataFrame, contracts: DataFrame, bridge: DataFrame, last_year: int = LAST_PLANNED_YEAR
-) -> DataFrame:
+def royalties(sales: DataFrame, contracts: DataFrame, bridge: DataFrame) -> DataFrame:
     """What each contract earned: net HT sales in its term times its rate, against the advance.
 
     A sale counts once per author of the book: under the author's contract for the title if one is in
     term on that day, else under a contract without title; among several the latest start and then the
-    highest number. The status does not matter inside the term. `last_year` is the last year with sales.
+    highest number. The status does not matter inside the term, and a term without end stays open.
 
-    Sales are summed to book and day before they meet contracts. Contracts are cut into calendar years
-    and joined on book and year, so a long-lived pair is spread over tasks and hardly any row that
-    misses the term is formed. The choice among contracts is a maximum over one number, so it needs no
-    sort, and it groups by the join's own keys first, so it needs no further shuffle.
+    Sales are summed to book and day before they meet contracts. Contracts meet the years in which their
+    books were sold, and then the days by book and year, so a long-lived pair is spread over tasks. The
+    choice among contracts groups by the join's own keys first, so it needs no further shuffle.
     """
     daily = (
         sales.filter(F.col("date_vente").isNotNull())
@@ -220,36 +226,22 @@ def royalties(
         .agg(F.sum(cents(F.col("montant_ht"))).alias("_cents"))
         .withColumn("_year", F.year("date_vente"))
     )
-    # Title first, then start, then number: 18 bits hold the day from about 1696 on, 34 the number.
-    preference = (
-        f"shiftleft(bigint(_for_title), {DAY_BITS + NUMBER_BITS})"
-        f" + shiftleft(bigint(unix_date(date_debut) + {DAY_OFFSET}), {NUMBER_BITS}) + num_contrat"
-    )
+    sold = daily.select("isbn", "_year").distinct()
     terms = contracts.select(
-        "num_contrat",
-        "code_auteur",
-        F.nullif("isbn", F.lit("")).alias("isbn"),
-        "date_debut",
-        "date_fin",
-        F.year("date_debut").alias("_first"),
-        F.least(F.coalesce(F.year("date_fin"), F.lit(last_year)), F.lit(last_year)).alias("_last"),
-    ).filter("_last >= _first")
-    titled = terms.filter(F.col("isbn").isNotNull()).withColumn("_for_title", F.lit(1))
-    wrote = bridge.select("isbn", "code_auteur").distinct()
-    anywhere = (
-        terms.filter(F.col("isbn").isNull())
-        .drop("isbn")
-        .join(wrote, "code_auteur")
-        .withColumn("_for_title", F.lit(0))
+        "num_contrat", "code_auteur", F.nullif("isbn", F.lit("")).alias("isbn"), "date_debut", "date_fin"
     )
-    by_year = titled.unionByName(anywhere).select(
-        "isbn",
-        "code_auteur",
-        "date_debut",
-        "date_fin",
-        F.expr(preference).alias("_preference"),
-        F.explode(F.sequence("_first", "_last")).alias("_year"),
+    titled = terms.filter(F.col("isbn").isNotNull()).withColumn("_for_title", F.lit(1))
+    # Only books with sales; an author of very many is split.
+    wrote = bridge.select("isbn", "code_auteur").distinct().join(sold.select("isbn").distinct(), "isbn", "left_semi")
+    untitled = terms.filter(F.col("isbn").isNull()).drop("isbn")
+    anywhere = join_dimension(wrote, untitled, ["code_auteur"]).withColumn("_for_title", F.lit(0))
+    open_year = (F.year("date_debut") <= F.col("_year")) & (
+        F.col("date_fin").isNull() | (F.year("date_fin") >= F.col("_year"))
     )
+    by_year = titled.unionByName(anywhere).join(sold, "isbn").filter(open_year).select(
+        "isbn", "_year", "code_auteur", "date_debut", "date_fin",
+        F.struct("_for_title", "date_debut", "num_contrat").alias("_preference"),
+    )
     in_term = (F.col("date_vente") >= F.col("date_debut")) & (
         F.col("date_fin").isNull() | (F.col("date_vente") <= F.col("date_fin"))
     )
@@ -258,7 +250,7 @@ def royalties(
         .filter(in_term)
         .groupBy("isbn", "_year", "date_vente", "code_auteur")
         .agg(F.max("_preference").alias("_best"), F.max("_cents").alias("_cents"))
-        .groupBy(F.col("_best").bitwiseAND(F.lit((1 << NUMBER_BITS) - 1)).alias("num_contrat"))
+        .groupBy("_best.num_contrat")
         .agg(F.sum("_cents").alias("_cents"))
     )
     base = from_cents(F.col("_cents"))

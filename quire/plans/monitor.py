@@ -29,14 +29,17 @@ def load_entry(table_name: str, df: DataFrame, loaded_at: dt.datetime) -> DataFr
 def freshness(
     load_log: DataFrame, tables: list[str], as_of: dt.datetime, max_age_hours: int = MAX_AGE_HOURS
 ) -> DataFrame:
-    """Last load and age per expected table at a given moment; a table never loaded is stale."""
+    """Last load, its rows and its age per expected table at a given moment; a table never loaded is stale.
+
+    Of loads at the same moment the larger one counts.
+    """
     moment = literal(as_of, T.TimestampNTZType())
     loaded = (
         load_log.filter(F.col("loaded_at") <= moment)
         .groupBy("table_name")
         .agg(
             F.max("loaded_at").alias("last_load"),
-            F.sum("row_count").cast("bigint").alias("row_count"),
+            F.max(F.struct("loaded_at", "row_count"))["row_count"].cast("bigint").alias("row_count"),
         )
     )
     expected = load_log.sparkSession.range(1).select(

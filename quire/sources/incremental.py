@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quire.functions.columns import literal
 
@@ -17,14 +20,18 @@ def rows_since(source: DataFrame, column: str, mark: object, strict: bool = Fals
     """Rows changed since a mark.
 
     The mark is a literal, so the filter is pushed to Parquet or to the database. By default the mark's
-    own day is read again, as rows of that day may have come later; an upsert by key absorbs the repeats.
+    own day is read again from its start, as rows of that day may have come later, and so are rows without
+    a change date, which no mark can prove to be loaded; an upsert by key absorbs the repeats.
     """
     if mark is None:
         return source
     c = F.col(column)
+    kind = source.schema[column].dataType
+    if not strict and isinstance(mark, dt.datetime) and isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        mark = mark.replace(hour=0, minute=0, second=0, microsecond=0)
     # The literal takes the column's type, or the column would be cast and the filter not pushed.
-    bound = literal(mark, source.schema[column].dataType)
-    return source.filter(c > bound if strict else c >= bound)
+    bound = literal(mark, kind)
+    return source.filter(c > bound if strict else (c >= bound) | c.isNull())
 
 
 def slice_predicates(column: str, values: list[object]) -> list[str]:
@@ -34,6 +41,8 @@ def slice_predicates(column: str, values: list[object]) -> list[str]:
         return str(value) if isinstance(value, (int, float)) else "'" + str(value).replace("'", "''") + "'"
 
     listed = [quoted(v) for v in values]
+    if not listed:
+        return ["1=1"]
     rest = f"{column} IS NULL OR {column} NOT IN ({', '.join(listed)})"
     return [f"{column} = {v}" for v in listed] + [rest]
 

@@ -51,6 +51,9 @@ def read_jdbc(
     """Read by the options above, or one task per predicate (such as one year or one publisher each)."""
     if predicates is None:
         return spark.read.format("jdbc").options(**jdbc_options(**settings)).load()
+    if settings.get("partition_column") is not None:
+        raise ValueError("slice by predicates or by a partition column, not by both")
     options = jdbc_options(**settings)
-    url, source = options.pop("url"), options.pop("dbtable")
+    query = options.pop("query", None)
+    url, source = options.pop("url"), options.pop("dbtable", f"({query}) sliced")
     return spark.read.jdbc(url, source, predicates=predicates, properties=options)

@@ -190,7 +190,7 @@ def _line_totals(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def orders(spark: SparkSession, folder: str) -> DataFrame:
-    joined = read(spark, folder, "orders").join(_line_totals(spark, folder), "o_orderkey")
+    joined = read(spark, folder, "orders").join(_line_totals(spark, folder), "o_orderkey", "left")
     return joined.select(
         F.col("o_orderkey").alias("CMNUMR"),
         isbn_of("_part").alias("CMISBN"),
@@ -205,7 +205,7 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def contracts(spark: SparkSession, folder: str) -> DataFrame:
-    joined = read(spark, folder, "orders").join(_line_totals(spark, folder), "o_orderkey")
+    joined = read(spark, folder, "orders").join(_line_totals(spark, folder), "o_orderkey", "left")
     title = F.when(F.col("o_orderpriority") != "5-LOW", isbn_of("_part"))
     end = F.when(F.col("o_orderstatus") == "F", date_to_cyymmdd("date_add(date(o_orderdate), 1000)"))
     return joined.select(

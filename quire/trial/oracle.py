@@ -130,7 +130,7 @@ CTES = {
                CAST(sent AS INTEGER) AS qte_livree, CAST(o_totalprice AS DECIMAL(11,2)) AS montant_ht,
                {keyed('A', 'o_custkey')} AS code_client,
                CASE o_orderstatus WHEN 'F' THEN 'LV' WHEN 'O' THEN 'EN' WHEN 'P' THEN 'PA' ELSE 'XXX' END AS statut
-        FROM orders JOIN line_totals ON o_orderkey = l_orderkey JOIN isbns ON part = k""",
+        FROM orders LEFT JOIN line_totals ON o_orderkey = l_orderkey LEFT JOIN isbns ON part = k""",
     "contracts": f"""
         SELECT o_orderkey AS num_contrat, {keyed('A', 'o_custkey')} AS code_auteur,
                CASE WHEN o_orderpriority <> '5-LOW' THEN isbn END AS isbn,
@@ -139,7 +139,7 @@ CTES = {
                CAST(CAST(o_totalprice AS DECIMAL(11,2)) * 0.01 AS DECIMAL(11,2)) AS avance,
                CAST(o_orderdate AS DATE) AS date_debut,
                CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderdate AS DATE) + 1000 END AS date_fin
-        FROM orders JOIN line_totals ON o_orderkey = l_orderkey JOIN isbns ON part = k""",
+        FROM orders LEFT JOIN line_totals ON o_orderkey = l_orderkey LEFT JOIN isbns ON part = k""",
     "priced": """
         SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(11,2)) AS o_totalprice,
                CAST(o_orderdate AS DATE) AS o_orderdate FROM orders""",
@@ -198,9 +198,9 @@ RAW_ORDERS = f"""SELECT num_commande AS CMNUMR, isbn AS CMISBN, {code('date_comm
 COUNT_SOURCES = {
     "ouvrages": ("OUVRGP", "part"), "auteurs": ("AUTURP", "customer"), "editeurs": ("EDITRP", "supplier"),
     "ventes": ("VENTEP", "lineitem"),
-    "commandes": ("CMDEP", "(SELECT * FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem))"),
+    "commandes": ("CMDEP", "orders"),
     "stocks": ("STCKP", "lineitem"),
-    "contrats": ("CNTRTP", "(SELECT * FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem))"),
+    "contrats": ("CNTRTP", "orders"),
 }
 
 LATEST_SALES = """
@@ -346,7 +346,7 @@ ORACLE: dict[str, str] = {
     "extract_orders": with_("isbns line_totals cmd", RAW_ORDERS),
     "incremental_since": f"""
         SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate, o_orderstatus FROM orders
-        WHERE o_orderdate >= (SELECT max(o_orderdate) FROM orders WHERE o_orderdate < DATE '{cat.FIRST_LOAD_END}')""",
+        WHERE o_orderdate IS NULL OR o_orderdate >= (SELECT date_trunc('day', max(o_orderdate)) FROM orders WHERE o_orderdate < DATE '{cat.FIRST_LOAD_END}')""",
     "upsert_by_key": with_("priced", f"""
         , batch AS (SELECT * REPLACE ('X' AS o_orderstatus) FROM priced WHERE o_orderdate >= DATE '{cat.SECOND_LOAD_START}')
         SELECT * FROM batch UNION ALL
@@ -477,12 +477,13 @@ ORACLE: dict[str, str] = {
         FROM (SELECT *, rank() OVER (PARTITION BY isbn, code_entrepot ORDER BY date_position DESC) AS r FROM stock)
         WHERE r = 1"""),
     "book_authors": with_("isbns bridge authors", """
-        SELECT isbn, code_auteur, role, ordre, nom_complet FROM bridge JOIN authors USING (code_auteur)"""),
+        SELECT isbn, code_auteur, role, ordre, coalesce(nom_complet, 'Inconnu') AS nom_complet
+        FROM bridge LEFT JOIN authors USING (code_auteur)"""),
     "lead_authors": with_("isbns bridge authors", """
-        SELECT isbn, role, code_auteur, nom_complet, nb_auteurs FROM (
+        SELECT isbn, role, code_auteur, coalesce(nom_complet, 'Inconnu') AS nom_complet, nb_auteurs FROM (
             SELECT isbn, role, code_auteur, nom_complet, count(*) OVER (PARTITION BY isbn, role) AS nb_auteurs,
                    row_number() OVER (PARTITION BY isbn, role ORDER BY ordre, code_auteur) AS place
-            FROM bridge JOIN authors USING (code_auteur)) WHERE place = 1"""),
+            FROM bridge LEFT JOIN authors USING (code_auteur)) WHERE place = 1"""),
     "resolve_codes": with_("isbns sales", f"""
         SELECT canal, code_entrepot, count(*) AS nb_mouvements, {cash('sum(montant_ttc)')} AS montant_ttc,
                coalesce(any_value(r_name), 'Inconnu') AS libelle_canal, coalesce(any_value(s_name), 'Inconnu') AS libelle_entrepot
@@ -491,10 +492,13 @@ ORACLE: dict[str, str] = {
     "sales_by_publisher_author_month": with_("isbns sales good_sales books publishers authors bridge", f"""
         , lead AS (SELECT isbn, code_auteur, row_number() OVER (PARTITION BY isbn ORDER BY ordre, code_auteur) AS place
                    FROM bridge WHERE role = 'AUT')
-        SELECT p.code_editeur, p.nom_editeur, a.code_auteur, a.nom_complet, CAST(y AS INTEGER) AS annee_vente,
+        SELECT b.code_editeur, coalesce(p.nom_editeur, 'Inconnu') AS nom_editeur, l.code_auteur,
+               coalesce(a.nom_complet, 'Inconnu') AS nom_complet, CAST(y AS INTEGER) AS annee_vente,
                CAST(m AS INTEGER) AS mois_vente, {cash('sum(montant_ttc)')} AS montant_ttc
-        FROM good_sales s JOIN books b USING (isbn) JOIN publishers p ON p.code_editeur = b.code_editeur AND p.active
-        JOIN lead l ON l.isbn = s.isbn AND l.place = 1 JOIN authors a ON a.code_auteur = l.code_auteur GROUP BY ALL"""),
+        FROM good_sales s LEFT JOIN books b USING (isbn)
+        LEFT JOIN publishers p ON p.code_editeur = b.code_editeur AND p.active
+        LEFT JOIN lead l ON l.isbn = s.isbn AND l.place = 1
+        LEFT JOIN authors a ON a.code_auteur = l.code_auteur GROUP BY ALL"""),
     "amount_balance": with_("isbns sales good_sales", f"""
         SELECT {cash('b')} AS total_bronze, {cash('s')} AS total_silver, {cash('g')} AS total_gold,
                {cash('x')} AS total_exclu, {cash('b - s')} AS ecart_bronze_silver, {cash('s - g')} AS ecart_silver_gold
@@ -523,12 +527,13 @@ ORACLE: dict[str, str] = {
         SELECT CAST(y AS INTEGER) AS annee_vente, CAST(m AS INTEGER) AS mois_vente, count(*) AS nb_mouvements, {SALE_SUMS}
         FROM good_sales GROUP BY ALL"""),
     "top_authors": with_("isbns sales good_sales bridge wrote authors", f"""
-        SELECT code_auteur, any_value(nom_complet) AS nom_complet, {SALE_SUMS}
-        FROM good_sales JOIN wrote USING (isbn) JOIN authors USING (code_auteur)
+        SELECT code_auteur, coalesce(any_value(nom_complet), 'Inconnu') AS nom_complet, {SALE_SUMS}
+        FROM good_sales JOIN wrote USING (isbn) LEFT JOIN authors USING (code_auteur)
         GROUP BY code_auteur ORDER BY sum(montant_ttc) DESC, code_auteur LIMIT 10"""),
     "share_by_format": with_("isbns sales good_sales books", f"""
         SELECT libelle_format, {cash('t')} AS montant_ttc, CAST(CAST(t AS DOUBLE) / sum(t) OVER () AS DECIMAL(9,6)) AS part
-        FROM (SELECT libelle_format, sum(montant_ttc) AS t FROM good_sales JOIN books USING (isbn) GROUP BY libelle_format)"""),
+        FROM (SELECT coalesce(libelle_format, 'Inconnu') AS libelle_format, sum(montant_ttc) AS t
+              FROM good_sales LEFT JOIN books USING (isbn) GROUP BY 1)"""),
     "sales_filtered": with_("isbns sales good_sales books", f"""
         SELECT CAST(y AS INTEGER) AS annee_vente, CAST(m AS INTEGER) AS mois_vente, {SALE_SUMS}
         FROM good_sales JOIN books USING (isbn)
@@ -607,7 +612,8 @@ ORACLE: dict[str, str] = {
     "cluster_same_rows": FACT_SALES,
     "freshness": with_("log", f"""
         , watched AS (SELECT unnest({cat.WATCHED}) AS table_name),
-        seen AS (SELECT table_name, max(loaded_at) AS last_load, sum(row_count) AS n FROM log
+        seen AS (SELECT table_name, max(loaded_at) AS last_load,
+                        last(row_count ORDER BY loaded_at, row_count) AS n FROM log
                  WHERE loaded_at <= TIMESTAMP '{cat.AS_OF}' GROUP BY table_name),
         aged AS (SELECT table_name, last_load, n, date_sub('second', last_load, TIMESTAMP '{cat.AS_OF}') AS age
                  FROM watched LEFT JOIN seen USING (table_name))

@@ -29,7 +29,7 @@ def hot(spark):
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_salted_join_equals_plain(spark, hot, how):
     dimension = spark.range(0, 30).select(F.col("id").cast("int").alias("k"), (F.col("id") * 2).alias("w"))
-    salted = join_dimension(hot, dimension, ["k"], how, salts=8, limit=-1)
+    salted = join_dimension(hot, dimension, ["k"], how, hot_rows=100, limit=-1)
     assert bag(salted) == bag(hot.join(dimension, ["k"], how))
     assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
 
@@ -48,7 +48,7 @@ def static_plans(spark):
 
 def test_salting_spreads_a_hot_key_of_copies(spark, hot, static_plans):
     dimension = spark.range(5).select(F.col("id").cast("int").alias("k"))
-    salted = join_dimension(hot.repartition(16), dimension, ["k"], "inner", 8)
+    salted = join_dimension(hot.repartition(16), dimension, ["k"], "inner", 100)
     sizes = [r["count"] for r in salted.filter("k = 1").groupBy(F.spark_partition_id()).count().collect()]
     assert sum(sizes) == hot.filter("k = 1").count() and len(sizes) > 1
 
