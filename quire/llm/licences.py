@@ -115,7 +115,11 @@ def _matches(words: Column, template: Template, idf: dict[str, float]) -> Column
     own = template.words
     probes = sorted(range(len(own)), key=lambda at: (-idf[own[at]], at))[:PROBES]
     least = math.ceil(2 * len(probes) / 3)
-    votes = F.flatten(F.array(*[F.transform(_places(words, [own[at]]), lambda i, at=at: i - at) for at in probes]))
+
+    def distances(at: int) -> Column:
+        return F.transform(_places(words, [own[at]]), lambda i: i - at)
+
+    votes = F.flatten(F.array(*map(distances, probes)))
     weights = [idf[word] for word in own]
     total = sum(weights) or 1.0
 
