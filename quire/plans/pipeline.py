@@ -14,7 +14,8 @@ from quire.operators.clean import to_raw
 from quire.operators.clustering import CLUSTER_COLUMNS
 from quire.plans import gate, gold, measures, monitor, recon
 from quire.plans.silver import silver
-from quire.sources.sinks import overwrite, overwrite_clustered
+from quire.session import scratch_folder
+from quire.sources.sinks import overwrite, overwrite_clustered, write_json
 
 
 @dataclass(frozen=True)
@@ -35,7 +36,10 @@ class Lake:
         columns = CLUSTER_COLUMNS.get(name) if layer == "gold" else None
         present = columns and all(c in df.columns for c in columns)
         if present:
-            overwrite_clustered(df, self.path(layer, name), columns)
+            # Clustering reads its rows several times.
+            once = scratch_folder(self.spark, f"{layer}-{name}")
+            df.write.parquet(once)
+            overwrite_clustered(self.spark.read.parquet(once), self.path(layer, name), columns)
         else:
             overwrite(df, self.path(layer, name))
         return self.read(layer, name)
@@ -93,7 +97,10 @@ def run(
     known_books: list[gate.Expected] | None = None,
     known_authors: list[gate.Expected] | None = None,
 ) -> Outcome:
-    """Load the given source tables (by cleaned name) through all layers."""
+    """Load the given source tables (by cleaned name) through all layers.
+
+    The load log and the manifest grow by this run under `history`; the report is written there as JSON.
+    """
     lake = Lake(spark, root)
     bronze = {n: lake.store("bronze", n, to_raw(df, table(n))) for n, df in sources.items()}
     clean = {n: lake.store("silver", n, silver(n, df)) for n, df in bronze.items()}
@@ -103,4 +110,8 @@ def run(
         bronze, clean, built, known_books=known_books, known_authors=known_authors
     )
     log = recon.union_all([monitor.load_entry(n, df, loaded_at) for n, df in built.items()])
-    return Outcome(bronze, clean, built, manifest, report, log)
+    past = lake.path("history", "load_log")
+    log.write.mode("append").parquet(past)
+    manifest.write.mode("append").parquet(lake.path("history", "manifest"))
+    write_json(report, lake.path("history", f"report-{loaded_at:%Y%m%dT%H%M%S}"))
+    return Outcome(bronze, clean, built, manifest, report, spark.read.parquet(past))

@@ -768,11 +768,9 @@ def gate_integrity(spark, folder):
 @query
 def gate_summary(spark, folder):
     t = Tables(spark, folder)
-    gold_names = {"ouvrages": "dim_ouvrages", "ventes": "fact_ventes", "stocks": "fact_stocks",
-                  "editeurs": "dim_editeurs", "auteurs": "dim_auteurs"}
     checks = gate.full_gate(
         {n: t.bronze(n) for n in ENTITIES},
         {n: t.silver(n) for n in ENTITIES},
-        {g: t.gold(n) for n, g in gold_names.items()},
+        {g: t.gold(n) for n, g in gate.GOLD_NAMES.items()},
     )
     return gate.summary(checks)

@@ -318,8 +318,33 @@ def orphan_sql(child: str, key: str, known: str) -> str:
     return f"SELECT {key} AS k FROM {child} WHERE {key} IS NULL OR {key} NOT IN (SELECT kk FROM ({known}) WHERE kk IS NOT NULL)"
 
 
+NULL_GATES = null_gates(
+    "auteurs", "authors",
+    ["code_auteur", "nom", "prenom", "pseudonyme", "nationalite", "date_naissance", "date_deces",
+     "CAST(DATE '2020-01-01' AS DATE)", "statut"],
+).replace("auteurs.CAST(DATE '2020-01-01' AS DATE)", "auteurs.date_creation_fiche") + " UNION ALL " + null_gates(
+    "ventes", "sales",
+    ["num_mouvement", "isbn", "date_vente", "quantite", "montant_ht", "montant_ttc", "canal", "code_client",
+     "code_entrepot", "date_reglement", "type_mouvement", "valid"],
+)
+
+
+def isbn_shape_gate(limit: float) -> str:
+    return "SELECT " + gate_row(
+        "'isbn shape ventes'", f"CASE WHEN {pct('bad', 'n')} > {limit} THEN 'FAIL' ELSE 'PASS' END", pct("bad", "n"), limit,
+        told(("invalid", "bad"), ("rows", "n")),
+    ) + " FROM (SELECT count(*) FILTER (NOT regexp_full_match(isbn, '97[89][0-9]{10}')) AS bad, count(*) AS n FROM sales)"
+
+
+NO_ROW_LOST = "SELECT " + gate_row(
+    "'row_loss ventes'", "'PASS'", "0", 1.0, told(("bronze", "n"), ("silver", "n")),
+) + " FROM (SELECT count(*) AS n FROM lineitem)"
+
 GATE_PARTS = " UNION ALL ".join([
     COMPLETENESS,
+    NO_ROW_LOST,
+    NULL_GATES,
+    isbn_shape_gate(5.0),
     isbn_gate("ouvrages", "books", 5.0),
     date_gates("ouvrages", "books", "date_publication"),
     AMOUNT_GATES,
@@ -642,20 +667,9 @@ ORACLE: dict[str, str] = {
         "'row_loss ventes'", f"CASE WHEN {pct('b - s', 'b')} > 0.1 THEN 'FAIL' ELSE 'PASS' END", pct("b - s", "b"), 0.1,
         told(("bronze", "b"), ("silver", "s")),
     ) + " FROM (SELECT count(*) AS b, count(DISTINCT l_orderkey * 10 + l_linenumber) AS s FROM lineitem)",
-    "gate_null_ratio": with_("isbns sales authors", null_gates(
-        "auteurs", "authors",
-        ["code_auteur", "nom", "prenom", "pseudonyme", "nationalite", "date_naissance", "date_deces",
-         "CAST(DATE '2020-01-01' AS DATE)", "statut"],
-    ).replace("auteurs.CAST(DATE '2020-01-01' AS DATE)", "auteurs.date_creation_fiche") + " UNION ALL " + null_gates(
-        "ventes", "sales",
-        ["num_mouvement", "isbn", "date_vente", "quantite", "montant_ht", "montant_ttc", "canal", "code_client",
-         "code_entrepot", "date_reglement", "type_mouvement", "valid"],
-    )),
+    "gate_null_ratio": with_("isbns sales authors", NULL_GATES),
     "gate_isbn": with_("isbns sales", isbn_gate("ouvrages", "isbns", 5.0) + " UNION ALL " + isbn_gate("ventes", "sales", 1.0)),
-    "gate_isbn_shape": with_("isbns sales", "SELECT " + gate_row(
-        "'isbn shape ventes'", f"CASE WHEN {pct('bad', 'n')} > 1.0 THEN 'FAIL' ELSE 'PASS' END", pct("bad", "n"), 1.0,
-        told(("invalid", "bad"), ("rows", "n")),
-    ) + " FROM (SELECT count(*) FILTER (NOT regexp_full_match(isbn, '97[89][0-9]{10}')) AS bad, count(*) AS n FROM sales)"),
+    "gate_isbn_shape": with_("isbns sales", isbn_shape_gate(1.0)),
     "gate_dates": with_("isbns sales books",
                         date_gates("ouvrages", "books", "date_publication") + " UNION ALL "
                         + date_gates("ventes", "sales", "date_reglement")),
