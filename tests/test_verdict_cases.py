@@ -110,3 +110,20 @@ def test_amounts_against_a_total_of_zero(spark):
 def test_jdbc_refuses_two_ways_of_slicing(spark):
     with pytest.raises(ValueError):
         read_jdbc(spark, predicates=["1=1"], url="jdbc:x", table="t", partition_column="k", bounds=(1, 2), partitions=2)
+
+
+def test_repeated_titles_and_contributors_stay(spark, tmp_path):
+    from quire.sources.xml import product_contributors, product_identifiers, read_products
+
+    (tmp_path / "a.xml").write_text("""<ONIX><Product><RecordReference>r1</RecordReference>
+      <ProductIdentifier><ProductIDType>15</ProductIDType><IDValue>9780000000002</IDValue></ProductIdentifier>
+      <DescriptiveDetail>
+        <TitleDetail><TitleType>03</TitleType><TitleElement><TitleText>Other</TitleText></TitleElement></TitleDetail>
+        <TitleDetail><TitleType>01</TitleType><TitleElement><TitleText>Main</TitleText></TitleElement></TitleDetail>
+        <Contributor><ContributorRole>A01</ContributorRole><ContributorRole>A12</ContributorRole><PersonName>X</PersonName></Contributor>
+        <Contributor><ContributorRole>B06</ContributorRole><PersonName>Y</PersonName></Contributor>
+      </DescriptiveDetail></Product></ONIX>""", encoding="utf-8")
+    products = read_products(spark, str(tmp_path))
+    assert [t.TitleElement[0].TitleText for t in products.first().DescriptiveDetail.TitleDetail] == ["Other", "Main"]
+    assert product_identifiers(products).first().titre == "Main"
+    assert bag(product_contributors(products)) == [("r1", 1, "A01", "X"), ("r1", 1, "A12", "X"), ("r1", 2, "B06", "Y")]
