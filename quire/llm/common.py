@@ -62,8 +62,12 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id is not among the rejected ones; rows without a doc_id stay."""
-    return docs.join(rejected.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    """The rows of docs whose doc_id is not among the rejected ones; rows without a doc_id stay.
+
+    A number of rejected rows has no bound, so they are never broadcast, however few they look: the plan is one at all sizes.
+    """
+    names = rejected.select("doc_id").distinct().hint("merge")
+    return docs.join(names, "doc_id", "left_anti").select(docs.columns)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

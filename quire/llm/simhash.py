@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import connected_components, stored, utf8
+from quire.llm.common import connected_components, stored, utf8, without
 
 SEED = 42
 SHINGLE = 3
@@ -169,10 +169,10 @@ def keep_one(docs: DataFrame, **options: int) -> DataFrame:
     marks = stored(groups.where("doc_id is not null").groupBy("doc_id").agg(
         F.min("component_id").alias("component_id"), F.count("*").alias("rows")
     ), "groups")
-    kept = docs.join(marks.where("doc_id <> component_id").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    kept = without(docs, marks.where("doc_id <> component_id"))
     again = marks.where("rows > 1").select("doc_id")
     if again.isEmpty():
         return kept
-    single = kept.join(again, "doc_id", "left_anti").select(docs.columns)
+    single = without(kept, again)
     repeated = kept.join(again, "doc_id", "left_semi").select(docs.columns)
     return single.unionByName(repeated.dropDuplicates(["doc_id"]))

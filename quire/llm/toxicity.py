@@ -24,7 +24,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import WORD, stored, utf8, without
+from quire.llm.common import WORD, stored, utf8
 
 PER_CLASS = 4000
 FOLDS, HELD_OUT, CALIBRATION = 5, 0, 1
@@ -32,6 +32,7 @@ STEMS = range(3, 9)
 LEXICON_ROWS = 400
 SURE = 30.0
 NEAR = 5
+LIMIT = 0.5
 # Words of address in the languages of the corpus.
 ADDRESS = frozenset("you your yours yourself u ur du dich dir dein deine ihr euch sie ihnen tu te toi ton ta tes vous votre tú ti usted ustedes vosotros".split())
 # Digits and signs written for letters.
@@ -92,16 +93,16 @@ def features(text: str | None, lexicon: dict[str, float], heads: frozenset[str]
     ]
 
 
-def with_features(docs: DataFrame, lexicon: dict[str, float]) -> DataFrame:
-    """The frame's columns except the text, and a column `features`."""
-    kept = [name for name in docs.columns if name != "text"]
+def with_features(docs: DataFrame, lexicon: dict[str, float], text: str = "text", keep_text: bool = False) -> DataFrame:
+    """The frame's columns, the text only if asked for, and a column `features`."""
+    kept = [name for name in docs.columns if keep_text or name != text]
     schema = docs.select(*kept).withColumn("features", F.array(F.lit(0.0))).schema
 
-    heads = _heads(lexicon)
+    heads, at = _heads(lexicon), docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [features(text, lexicon, heads) for text in batch.column("text").to_pylist()]
+            rows = [features(text, lexicon, heads) for text in batch.column(at).to_pylist()]
             values = pa.array(rows, pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([*(batch.column(name) for name in kept), values], [*kept, "features"])
 
@@ -169,14 +170,23 @@ class Scorer:
     def score(self, docs: DataFrame) -> DataFrame:
         """(doc_id, score) of every row."""
         rows = with_features(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), self.lexicon)
+        return self._scored(rows).select("doc_id", "score")
+
+    def below(self, docs: DataFrame, limit: float) -> DataFrame:
+        """The rows of docs with a lower score; scores travel with their rows, so nothing is shuffled."""
+        renamed = docs.select(*[F.col(name).alias(f"row_{name}") for name in docs.columns])
+        scored = self._scored(with_features(renamed, self.lexicon, "row_text", keep_text=True))
+        return scored.where(F.col("score") < limit).select(*[F.col(f"row_{name}").alias(name) for name in docs.columns])
+
+    def _scored(self, rows: DataFrame) -> DataFrame:
         if self.trees is None:
-            return rows.select("doc_id", F.lit(self.prior).alias("score"))
+            return rows.withColumn("score", F.lit(self.prior))
         marked = self._raw(rows.withColumn("features", array_to_vector("features")))
         if self.calibration is not None:
             marked = self.calibration.setFeaturesCol("margin").setPredictionCol("score").transform(marked)
         else:
             marked = marked.withColumn("score", F.col("margin"))
-        return marked.select("doc_id", F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("score"))).alias("score"))
+        return marked.withColumn("score", F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("score"))))
 
     def _raw(self, rows: DataFrame) -> DataFrame:
         return self.trees.transform(rows).withColumn("margin", vector_to_array("probability")[1])
@@ -207,9 +217,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, **options: int) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every document."""
     scored = train(docs, labels, **options).score(docs)
     held = F.coalesce(fold() == HELD_OUT, F.lit(False)).alias("held_out")
-    return scored.select("doc_id", held, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return scored.select("doc_id", held, "score", (F.col("score") >= LIMIT).cast("int").alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, **options: int) -> DataFrame:
-    """The documents that are not predicted toxic; rows without a doc_id cannot be named and stay."""
-    return without(docs, toxicity(docs, labels, **options).where("predicted = 1"))
+    """The documents that are not predicted toxic."""
+    return train(docs, labels, **options).below(docs, LIMIT)
