@@ -35,10 +35,10 @@ def read_delimited(
     return reader.option("mode", "FAILFAST").schema(schema).csv(path)
 
 
-def write_delimited(df: DataFrame, path: str, encoding: str = "UTF-8") -> None:
+def write_delimited(df: DataFrame, path: str, encoding: str = "UTF-8", mode: str = "overwrite") -> None:
     """Write the same format. Padding is kept; an empty text cannot be told from NULL and reads as NULL."""
     (
-        df.write.mode("overwrite")
+        df.write.mode(mode)
         .option("sep", "|")
         .option("header", True)
         .option("encoding", encoding)

@@ -25,11 +25,12 @@ from quire.functions import (
     trim_fixed,
     typed,
 )
+from quire.functions.dates import iso_date
 from quire.functions.text import SEARCHED_IN_NAMES
 from quire.model import table
 from quire.operators.calendar import calendar_covering
 from quire.operators.clean import clean_by_metadata, pad_fixed, to_raw
-from quire.operators.clustering import cluster_by, file_skipping_report
+from quire.operators.clustering import cluster_by, file_skipping_report, skipping_summary
 from quire.operators.dedupe import collapse_report, keep_latest, latest_with_ties
 from quire.operators.joins import orphan_keys
 from quire.operators.keys import key_collisions
@@ -47,6 +48,9 @@ from quire.sources import (
     slice_counts,
     write_delimited,
 )
+from quire.sources.sinks import overwrite, overwrite_clustered, overwrite_partitioned, overwrite_sorted, write_json
+from quire.sources.xml import product_identifiers, read_products
+from quire.streaming.drop_folder import load_drop_folder
 from quire.trial import mapping
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -229,6 +233,129 @@ def column_profile_sketched(spark, folder):
     return profile_columns(sales, "VENTEP")
 
 
+# Written and read back ---------------------------------------------------------------------------
+
+
+@query
+def extract_authors(spark, folder):
+    return Tables(spark, folder).bronze("auteurs").select(table("auteurs").source_columns)
+
+
+@query
+def extract_publishers(spark, folder):
+    return Tables(spark, folder).bronze("editeurs").select(table("editeurs").source_columns)
+
+
+@query
+def extract_contracts(spark, folder):
+    return Tables(spark, folder).bronze("contrats").select(table("contrats").source_columns)
+
+
+@query
+def sorted_load(spark, folder):
+    path = scratch_folder(spark, "sorted")
+    overwrite_sorted(_orders_priced(Tables(spark, folder)), path, "o_orderkey")
+    return read_parquet(spark, path)
+
+
+@query
+def overwrite_new_schema(spark, folder):
+    """A table replaced by one with more columns."""
+    priced, path = _orders_priced(Tables(spark, folder)), scratch_folder(spark, "replaced")
+    overwrite(priced.select("o_orderkey", "o_orderstatus"), path)
+    overwrite(priced, path)
+    return read_parquet(spark, path)
+
+
+@query
+def partitioned_write(spark, folder):
+    path = scratch_folder(spark, "by-year")
+    yearly = _orders_priced(Tables(spark, folder)).withColumn("o_year", F.year("o_orderdate"))
+    overwrite_partitioned(yearly, path, "o_year")
+    return read_parquet(spark, path).select("o_orderkey", "o_totalprice", "o_year")
+
+
+@query
+def drop_folder_load(spark, folder):
+    """Files dropped before a run are loaded by it, and by no later run again."""
+    orders, place = Tables(spark, folder).bronze("commandes"), scratch_folder(spark, "drop")
+    raw = to_raw(orders, table("commandes"))
+    for part in (F.col("CMNUMR") % 2 == 0, F.col("CMNUMR") % 2 == 1):
+        write_delimited(raw.filter(part), f"{place}/in", mode="append")
+        load_drop_folder(spark, f"{place}/in", table("commandes"), f"{place}/table", f"{place}/seen")
+    return read_parquet(spark, f"{place}/table")
+
+
+@query
+def json_report_roundtrip(spark, folder):
+    t = Tables(spark, folder)
+    report, path = gate.amounts(t.bronze("ventes"), t.silver("ventes"), t.fact_sales), scratch_folder(spark, "report")
+    write_json(report, path)
+    return spark.read.schema(report.schema).json(path)
+
+
+@query
+def xml_products(spark, folder):
+    """Products with two identifiers and two titles, written as XML and read back."""
+    path = scratch_folder(spark, "products")
+    both = Tables(spark, folder).given("part").select(
+        mapping.isbn_of("p_partkey").alias("_isbn"), F.lpad(F.col("p_partkey").cast("string"), 10, "0").alias("_short"), "p_name", "p_type"
+    )
+    pair = lambda kind, value: F.struct(F.lit(kind).alias("ProductIDType"), F.col(value).alias("IDValue"))
+    title = lambda kind, value: F.struct(F.lit(kind).alias("TitleType"), F.array(F.struct(F.col(value).alias("TitleText"))).alias("TitleElement"))
+    products = both.select(
+        F.col("_isbn").alias("RecordReference"),
+        F.array(pair("15", "_isbn"), pair("02", "_short")).alias("ProductIdentifier"),
+        F.struct(F.array(title("03", "p_type"), title("01", "p_name")).alias("TitleDetail")).alias("DescriptiveDetail"),
+    )
+    products.write.format("xml").option("rowTag", "Product").option("rootTag", "ONIXMessage").save(path)
+    return product_identifiers(read_products(spark, path))
+
+
+@query
+def iso_dates(spark, folder):
+    text = F.when(F.col("o_orderstatus") == "P", "1998-02-30").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    return Tables(spark, folder).given("orders").select("o_orderkey", iso_date(text).alias("o_day"))
+
+
+@query
+def incremental_pipeline_counts(spark, folder):
+    """A first load, then what changed since its mark, merged by key: the table is whole."""
+    source, path = _orders_priced(Tables(spark, folder)), scratch_folder(spark, "incremental")
+    overwrite(source.filter(F.col("o_orderdate") < F.lit(FIRST_LOAD_END)), f"{path}/1")
+    first = read_parquet(spark, f"{path}/1")
+    fresh = rows_since(source, "o_orderdate", high_water_mark(first, "o_orderdate"))
+    overwrite(upsert(first, fresh, ["o_orderkey"], ("o_orderdate",)), f"{path}/2")
+    return read_parquet(spark, f"{path}/2").groupBy("o_orderstatus").agg(
+        F.count("*").alias("nb_commandes"), measures.total("o_totalprice").alias("montant")
+    )
+
+
+@query
+def layout_proof(spark, folder):
+    """The same rows clustered and dealt out by chance: a range filter reads fewer of the clustered files."""
+    sales, place = Tables(spark, folder).fact_sales, scratch_folder(spark, "layout")
+    overwrite(sales.repartition(16), f"{place}/plain")
+    plain = read_parquet(spark, f"{place}/plain")
+    overwrite_clustered(plain, f"{place}/clustered", ("date_vente", "isbn"), 16)
+    bounds = {"date_vente": (dt.date(1998, 1, 1), dt.date(1998, 6, 30))}
+    read = {n: skipping_summary(file_skipping_report(read_parquet(spark, f"{place}/{n}"), ("date_vente", "isbn"), bounds)) for n in ("plain", "clustered")}
+    sides = [read[n].select(*[F.col(c).alias(f"{n}_{c}") for c in ("files_read", "row_count")]) for n in read]
+    fewer = (F.col("clustered_files_read") < F.col("plain_files_read")).alias("reads_fewer")
+    # Two tables of one row each.
+    return sides[0].join(sides[1], F.lit(True)).select(F.col("clustered_row_count").alias("row_count"), fewer)
+
+
+@query
+def sketches_within_bound(spark, folder):
+    """Sketched distinct counts against exact ones, column by column; 15 % is three standard errors."""
+    sales = to_raw(Tables(spark, folder).bronze("ventes"), table("ventes"))
+    exact = sales.agg(*[F.count_distinct(c).alias(c) for c in sales.columns])
+    counted = exact.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("exact")) for c in sales.columns])))
+    near = F.abs(F.col("approx_distinct") - F.col("exact")) <= F.col("exact") * 0.15
+    return profile_columns(sales, "VENTEP").join(counted, "column_name").select("column_name", "row_count", near.alias("within_bound"))
+
+
 # Projections, filters, predicates ----------------------------------------------------------------
 
 

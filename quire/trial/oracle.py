@@ -369,6 +369,37 @@ ORACLE: dict[str, str] = {
     "csv_bronze_roundtrip": RAW_SALES,
     "bronze_copy": "SELECT * REPLACE (CAST(o_orderdate AS DATE) AS o_orderdate) FROM orders",
     "extract_orders": with_("isbns line_totals cmd", RAW_ORDERS),
+    "extract_authors": f"""
+        SELECT {keyed('A', 'c_custkey')} AS AUCODE, rpad(c_name, 30, ' ') AS AUNOM, rpad(c_mktsegment, 20, ' ') AS AUPRN,
+               CASE WHEN bal < 1000 THEN '          ' WHEN bal > 9000 THEN 'Plume ' || CAST(c_custkey AS VARCHAR) || '   ' END AS AUPSEUD,
+               'N' || CAST(c_nationkey AS VARCHAR) AS AUNATI,
+               {code("DATE '1930-01-01' + CAST(c_custkey * 11 % 20000 AS INTEGER)")} AS AUDTNS,
+               CASE WHEN bal > 5000 THEN {code("DATE '1995-01-01' + CAST(c_custkey * 3 % 9000 AS INTEGER)")} END AS AUDTDC,
+               CAST(NULL AS VARCHAR) AS AUEMAIL, 1200101 AS AUDTCR, CASE WHEN bal > 0 THEN 'A' ELSE 'I' END AS AUSTAT
+        FROM (SELECT *, CAST(c_acctbal AS DECIMAL(11,2)) AS bal FROM customer)""",
+    "extract_publishers": f"""
+        SELECT {keyed('S', 's_suppkey')} AS EDCODE, rpad(s_name, 40, ' ') AS EDNOM, rpad(s_name, 40, ' ') AS EDIMPR,
+               'G' || CAST(s_nationkey AS VARCHAR) AS EDGRPE, lpad(CAST(s_nationkey AS VARCHAR), 2, '0') AS EDPAYS,
+               CASE WHEN CAST(s_acctbal AS DECIMAL(11,2)) > 1000 THEN 'A' ELSE 'I' END AS EDSTAT FROM supplier""",
+    "extract_contracts": with_("isbns line_totals contracts", f"""
+        SELECT num_contrat AS CTNUM, code_auteur AS CTAUTE, isbn AS CTISBN, 'CES' AS CTTYPE, pct AS CTPCTD,
+               avance AS CTAVNC, {code('date_debut')} AS CTDTDB, {code('date_fin')} AS CTDTFN,
+               CASE WHEN date_fin IS NOT NULL THEN 'T' ELSE 'A' END AS CTSTAT FROM contracts"""),
+    "sorted_load": with_("priced", "SELECT * FROM priced"),
+    "overwrite_new_schema": with_("priced", "SELECT * FROM priced"),
+    "partitioned_write": with_("priced", "SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS o_year FROM priced"),
+    "drop_folder_load": with_("isbns line_totals cmd", RAW_ORDERS),
+    "json_report_roundtrip": with_("isbns sales good_sales", AMOUNT_GATES),
+    "xml_products": with_("isbns", """
+        SELECT isbn AS reference, isbn AS isbn13, lpad(CAST(p_partkey AS VARCHAR), 10, '0') AS isbn10, p_name AS titre
+        FROM part JOIN isbns ON p_partkey = k"""),
+    "iso_dates": """
+        SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderdate AS DATE) END AS o_day FROM orders""",
+    "incremental_pipeline_counts": with_("priced", f"""
+        SELECT o_orderstatus, count(*) AS nb_commandes, {cash('sum(o_totalprice)')} AS montant FROM priced GROUP BY 1"""),
+    "layout_proof": with_("isbns sales good_sales", "SELECT count(*) AS row_count, true AS reads_fewer FROM good_sales"),
+    "sketches_within_bound": "SELECT column_name, (SELECT count(*) FROM lineitem) AS row_count, true AS within_bound FROM ("
+        + " UNION ALL ".join(f"SELECT '{c}' AS column_name" for c in table("ventes").source_columns) + ")",
     "incremental_since": f"""
         SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate, o_orderstatus FROM orders
         WHERE o_orderdate IS NULL OR o_orderdate >= (SELECT date_trunc('day', max(o_orderdate)) FROM orders WHERE o_orderdate < DATE '{cat.FIRST_LOAD_END}')""",
