@@ -33,7 +33,9 @@ LENGTH, GRAM = 100, 32
 SLICE = 1 << 19
 PLACE_BITS = 20
 BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
-HOT_SAMPLE, HOT_SHARE, HOT_GRAMS = 0.02, 0.002, 10_000
+HOT_SAMPLE, HOT_GRAMS = 0.02, 10_000
+# A gram is hot if it alone would make up this part of a bucket.
+HOT_PART = 0.25
 SENT = "bucket int, docs binary, keys binary, marks binary, owners binary, starts binary, counts binary"
 CUTS = "doc long, mark long, kind int, starts binary, ends binary, keys binary"
 PIECES = "bucket int, docs binary, texts binary, keys binary, offsets binary, owners binary, starts binary, counts binary"
@@ -139,20 +141,19 @@ def _entries(texts: list[str | None], length: int, gram: int) -> list[np.ndarray
     return [np.concatenate(column) for column in zip(*parts)]
 
 
-def _hot_grams(docs: DataFrame, length: int, gram: int) -> np.ndarray:
-    """Grams of very many documents of a sample, at most HOT_GRAMS: only a hint how to deal out the work."""
+def _hot_grams(docs: DataFrame, buckets: int, length: int, gram: int) -> np.ndarray:
+    """Grams with a large part of all runs in a sample, at most HOT_GRAMS: only a hint how to deal out the work."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, _, owners, *_ = _entries(batch.column(0).to_pylist(), length, gram)
-            pairs = np.unique(np.stack([keys.view(np.int64), owners], axis=1), axis=0)
-            keys, counts = np.unique(pairs[:, 0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts.astype(np.int64))], ["key", "n"])
+            keys, counts = np.unique(_entries(batch.column(0).to_pylist(), length, gram)[0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int64))], ["key", "n"])
 
     sampled = docs.select("text").sample(HOT_SAMPLE, seed=1)
-    n = sampled.count()
-    sums = sampled.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    rows = sums.where(F.col("n") >= max(8, HOT_SHARE * n)).orderBy(F.desc("n"), "key").limit(HOT_GRAMS).collect()
+    sums = stored(sampled.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "suffix-sample")
+    total = sums.agg(F.sum("n")).first()[0] or 0
+    hot = sums.where(F.col("n") >= max(2, HOT_PART * total / buckets))
+    rows = hot.orderBy(F.desc("n"), "key").limit(HOT_GRAMS).collect()
     return np.sort(np.array([row.key for row in rows], np.int64).view(np.uint64))
 
 
@@ -207,7 +208,7 @@ def _ids(batch: pa.RecordBatch, doc: str = "doc", mark: str = "mark") -> np.ndar
 
 def find_runs(docs: DataFrame, buckets: int, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """Step 1: per document, intervals that go (DROPPED) and runs to be compared with others (starts, ends, grams)."""
-    hot = _hot_grams(docs, length, gram)
+    hot = _hot_grams(docs, buckets, length, gram)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shift = TaskContext.get().partitionId()

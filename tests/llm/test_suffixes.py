@@ -59,7 +59,7 @@ def test_against_every_window(spark, seed, length, gram):
 def test_hot_grams_give_the_same(spark, monkeypatch):
     rows = corpus(7)
     monkeypatch.setattr(suffixes, "HOT_SAMPLE", 1.0)
-    monkeypatch.setattr(suffixes, "HOT_SHARE", 0.01)
+    monkeypatch.setattr(suffixes, "HOT_PART", 0.001)
     assert got(spark, rows, length=20, gram=8) == brute(rows, 20)
 
 
