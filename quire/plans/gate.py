@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions import ACCENTS, isbn13_has_shape
+from quire.functions.dates import cyymmdd_to_date
 from quire.functions.text import DAMAGE
+from quire.model.fields import SourceTable
 from quire.operators.joins import orphan_keys
 from quire.plans.recon import amount_balance, union_all
 
@@ -163,6 +165,28 @@ def null_ratio(name: str, df: DataFrame, limits: Limits = STAGE_LIMITS) -> DataF
     return report(measured, *entries)
 
 
+def unreadable(name: str, delivered: DataFrame, table: SourceTable) -> DataFrame:
+    """Values that cleaning turns into NULL: numbers that do not fit their type FAIL, codes that are no day WARN.
+
+    An absent value or a date code of zero is no loss. All columns are measured in one aggregate.
+    """
+    fields = [f for f in table.fields if f.kind != "char"]
+    measures = [F.count("*").alias("_rows")]
+    for i, f in enumerate(fields):
+        given = F.col(f.source)
+        if f.kind == "cyymmdd":
+            lost = given.isNotNull() & F.coalesce(given.try_cast("bigint") != 0, F.lit(True)) & cyymmdd_to_date(f.source).isNull()
+        else:
+            lost = given.isNotNull() & given.try_cast(f.raw_type).isNull()
+        measures.append(F.count_if(lost).alias(f"_n{i}"))
+    entries = []
+    for i, f in enumerate(fields):
+        lost = F.col(f"_n{i}")
+        status = F.when(lost == 0, PASS).otherwise(WARN if f.kind == "cyymmdd" else FAIL)
+        entries.append(entry(f"unreadable {name}.{f.source}", status, lost, 0, counted(("unreadable", lost), ("rows", F.col("_rows")))))
+    return report(delivered.agg(*measures), *entries)
+
+
 # Books: ISBN and dates ---------------------------------------------------------------------------
 
 

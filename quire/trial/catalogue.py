@@ -839,6 +839,11 @@ def gate_null_ratio(spark, folder):
     )
 
 
+@query
+def gate_unreadable(spark, folder):
+    return gate.unreadable("ouvrages", Tables(spark, folder).bronze("ouvrages"), table("ouvrages"))
+
+
 @query
 def gate_isbn(spark, folder):
     t = Tables(spark, folder)

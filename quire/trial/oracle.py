@@ -699,6 +699,13 @@ ORACLE: dict[str, str] = {
         told(("bronze", "b"), ("silver", "s")),
     ) + " FROM (SELECT count(*) AS b, count(DISTINCT l_orderkey * 10 + l_linenumber) AS s FROM lineitem)",
     "gate_null_ratio": with_("isbns sales authors", NULL_GATES),
+    "gate_unreadable": " UNION ALL ".join(
+        "SELECT " + gate_row(
+            f"'unreadable ouvrages.{f.source}'", f"CASE WHEN bad = 0 THEN 'PASS' ELSE '{'WARN' if f.kind == 'cyymmdd' else 'FAIL'}' END",
+            "bad", 0, told(("unreadable", "bad"), ("rows", "n")))
+        + f" FROM (SELECT count(*) FILTER ({'k % 503 = 0 AND k % 211 <> 0' if f.source == 'OVDTPB' else 'false'}) AS bad, count(*) AS n"
+        " FROM (SELECT p_partkey AS k FROM part))"
+        for f in table("ouvrages").fields if f.kind != "char"),
     "gate_isbn": with_("isbns sales", isbn_gate("ouvrages", "isbns", 5.0) + " UNION ALL " + isbn_gate("ventes", "sales", 1.0)),
     "gate_isbn_shape": with_("isbns sales", isbn_shape_gate(1.0)),
     "gate_dates": with_("isbns sales books",

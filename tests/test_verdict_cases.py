@@ -127,3 +127,14 @@ def test_repeated_titles_and_contributors_stay(spark, tmp_path):
     assert [t.TitleElement[0].TitleText for t in products.first().DescriptiveDetail.TitleDetail] == ["Other", "Main"]
     assert product_identifiers(products).first().titre == "Main"
     assert bag(product_contributors(products)) == [("r1", 1, "A01", "X"), ("r1", 1, "A12", "X"), ("r1", 2, "B06", "Y")]
+
+
+def test_unreadable_values_are_counted(spark):
+    from quire.model import table
+
+    rows = spark.createDataFrame([("1251301", "12"), ("0", "x"), (None, None), ("1250101", "99999999999999")], "OVDTPB string, OVNBPG string")
+    fields = [f for f in table("ouvrages").fields if f.source in rows.columns]
+    from quire.model.fields import SourceTable
+
+    got = {r.check: (r.status, int(r.measured)) for r in gate.unreadable("o", rows, SourceTable("O", "o", (), tuple(fields))).collect()}
+    assert got == {"unreadable o.OVNBPG": ("FAIL", 2), "unreadable o.OVDTPB": ("WARN", 1)}
