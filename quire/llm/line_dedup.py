@@ -2,8 +2,9 @@
 
 A line goes if an earlier line (a smaller doc_id, or further up in the same document) is that similar, judged on the input.
 Words are ordered by rarity, so that similar sets must share one of their first words; every set is listed under these prefix
-words only. Under a word, pairs pass the length filter, the positional filter and a bitmap of the sets; what is left is verified
-on the words themselves. Equal sets are reduced to the first one before any pair is formed.
+words only. Under a word, pairs pass the length filter, the positional filter and a bitmap of the sets; sets that are left come
+together once more with all their words, known by 64-bit hashes, and a pair is verified and counted under its first common word.
+Equal sets are reduced to the first one before any pair is formed, and pairs never leave the task that forms them.
 
 Rarity comes from a table of counters over all words, of fixed size: words that share a counter only look more frequent. Any
 order is right as long as all lines use the same. Words with very high counts are dealt out by set size too.
@@ -15,62 +16,89 @@ are one document and each get its result. Null doc_ids come first. An empty tabl
 
 from __future__ import annotations
 
-import re
 from collections import defaultdict
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import WORD, stored, utf8
+from quire.llm.common import stored, utf8
+from quire.llm.suffixes import BASES, Hashes
 
 SLOT_BITS, SLICES = 22, 16
-HOT_COUNT = 50_000
+# A word is hot if it has this part of a bucket's words.
+HOT_PART = 0.125
 PAIRS = 1 << 21
+VERIFIED = 1 << 15
 DROPPED, SETS, LISTED = 0, 1, 2
 
-_token = re.compile(rb"\n|" + WORD.encode("ascii"))
-_word = re.compile(WORD.encode("ascii"))
-SENT = "bucket int, kind int, docs binary, tokens binary, sets binary, bitmaps binary, sizes binary, places binary, owners binary, lines binary"
-FOUND = "kind int, a_doc long, a_mark long, a_line int, b_doc long, b_mark long, b_line int"
-
-
-class _Batch:
-    """The words of a batch of texts as numbers, a line's distinct words together."""
-
-    def __init__(self, texts: list[str | None]) -> None:
-        ids: defaultdict[bytes, int] = defaultdict()
-        ids.default_factory = ids.__len__
-        ids[b"\n"]
-        found = [_token.findall(utf8(text).lower()) for text in texts]
-        sizes = np.array([len(one) for one in found], np.int64)
-        self.tokens = np.concatenate([np.fromiter(map(ids.__getitem__, one), np.int64, len(one)) for one in found]) if found else np.zeros(0, np.int64)
-        self.owner = np.repeat(np.arange(len(texts)), sizes)
-        self.hashes = np.array([xxhash.xxh64_intdigest(word) for word in ids], np.uint64)
-
-    def sets(self, counts: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Per line with words: document, line number, first place and number of its words in `ranks`; and ranks, rank hashes, rank counts."""
-        seen = counts[(self.hashes & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)]
-        by_rank = np.lexsort((self.hashes, seen))
-        rank = np.empty(len(by_rank), np.int64)
-        rank[by_rank] = np.arange(len(by_rank))
-        feed = self.tokens == 0
-        fresh = np.append(True, self.owner[1:] != self.owner[:-1]) if len(self.owner) else np.zeros(0, bool)
-        breaks = np.cumsum(feed)
-        line = breaks - (breaks - feed)[fresh.nonzero()[0]][np.cumsum(fresh) - 1] if len(breaks) else breaks
-        use = ~feed
-        # A number for each (document, line), then its distinct ranks in ascending order.
-        group = np.cumsum(np.append(0, (np.diff(self.owner[use]) != 0) | (np.diff(line[use]) != 0))) if use.any() else np.zeros(0, np.int64)
-        first = np.nonzero(np.append(True, np.diff(group) != 0))[0] if len(group) else np.zeros(0, np.int64)
-        packed = np.unique((group << 32) | rank[self.tokens[use]])
-        ranks = packed & 0xFFFFFFFF
-        begins = np.nonzero(np.append(True, np.diff(packed >> 32) != 0))[0] if len(packed) else np.zeros(0, np.int64)
-        return self.owner[use][first], line[use][first], begins, np.diff(np.append(begins, len(packed))), ranks, self.hashes[by_rank], seen[by_rank]
+SLICE, PIECE = 1 << 20, 1 << 23
+FILTER_BITS = 20
+# The bytes of a word, once A-Z are lower-cased.
+IN_WORD = np.array([48 <= b <= 57 or 97 <= b <= 122 or b >= 128 for b in range(256)])
+SENT = "bucket int, kind int, docs binary, tokens binary, lasts binary, sets binary, bitmaps binary, sizes binary, places binary, owners binary, lines binary"
+FOUND = "kind int, bucket int, doc long, mark long, line int"
+WHOLE = "bucket int, docs binary, tokens binary, sizes binary, owners binary, lines binary"
+LINKS = "doc long, mark long, line int, links long, gone boolean"
+
+
+def _word_hashes(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, text and line of every word, in order; the texts go through in slices of bounded size."""
+    parts, held, size = [], [], 0
+    for number, text in enumerate(raw):
+        held.append(number)
+        size += len(text) + 1
+        if size >= SLICE or number == len(raw) - 1:
+            bytes_of = np.frombuffer(b"\n".join([*(raw[n].lower() for n in held), b""]), np.uint8)
+            inside = IN_WORD[bytes_of]
+            first = np.nonzero(inside & np.append(True, ~inside[:-1]))[0]
+            end = np.nonzero(inside & np.append(~inside[1:], True))[0] + 1
+            hashes = Hashes(bytes_of, BASES[0]).of(first, end - first) + (end - first).astype(np.uint64)
+            starts = np.cumsum([0, *(len(raw[n]) + 1 for n in held[:-1])])
+            own = np.searchsorted(starts, first, "right") - 1
+            feeds = np.cumsum(bytes_of == 10)
+            before = np.append(0, feeds)[starts]
+            parts.append((_mixed(hashes), np.array(held)[own], feeds[first] - before[own]))
+            held, size = [], 0
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return tuple(np.concatenate(column) for column in zip(*parts))
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut to PIECE bytes of text, or to one row where it has more."""
+    for batch in batches:
+        sizes = np.array([len(v.as_buffer()) if v.is_valid else 0 for v in batch.column(column)], np.int64)
+        group = np.cumsum(sizes) // PIECE
+        bounds = [0, *(np.nonzero(np.diff(group))[0] + 1).tolist(), batch.num_rows] if batch.num_rows else []
+        for low, high in zip(bounds, bounds[1:]):
+            yield batch.slice(low, high - low)
+
+
+def _slots(hashes: np.ndarray) -> np.ndarray:
+    return (hashes & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)
+
+
+def _line_sets(texts: list[str | None], counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Per line with words: text, line number, first place and number of its distinct words; and these words by rarity:
+    hashes and counts."""
+    hashes, owner, line = _word_hashes([utf8(text) for text in texts])
+    unique, place = np.unique(hashes, return_inverse=True)
+    seen = counts[_slots(unique)]
+    by_rank = np.lexsort((unique, seen))
+    rank = np.empty(len(by_rank), np.int64)
+    rank[by_rank] = np.arange(len(by_rank))
+    group = np.cumsum(np.append(0, (np.diff(owner) != 0) | (np.diff(line) != 0))) if len(owner) else owner
+    first = np.nonzero(np.append(True, np.diff(group) != 0))[0] if len(group) else group
+    packed = np.unique((group << 32) | rank[place])
+    begins = np.nonzero(np.append(True, np.diff(packed >> 32) != 0))[0] if len(packed) else packed
+    words = by_rank[packed & 0xFFFFFFFF]
+    return owner[first], line[first], begins, np.diff(np.append(begins, len(packed))), unique[words], seen[words]
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
@@ -84,12 +112,8 @@ def word_counts(docs: DataFrame) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << SLOT_BITS, np.int64)
-        for batch in batches:
-            words = _Batch(batch.column(0).to_pylist())
-            slots = (words.hashes & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)
-            seen = np.bincount(words.tokens, minlength=len(slots))
-            seen[0] = 0
-            np.add.at(total, slots, seen)
+        for batch in _pieces(batches, 0):
+            total += np.bincount(_slots(_word_hashes([utf8(text) for text in batch.column(0).to_pylist()])[0]), minlength=len(total))
         for part in range(SLICES):
             own = total[part * width : (part + 1) * width]
             used = np.nonzero(own)[0]
@@ -129,20 +153,63 @@ def _size_class(size: np.ndarray) -> np.ndarray:
     return np.floor(np.log(np.maximum(size, 1)) / np.log(1.25) + 1e-9).astype(np.int64)
 
 
+class _Listing(NamedTuple):
+    """Sets under their prefix words: set, key of the group, place of the word, the word before it (or 0), and whether a visitor."""
+
+    row: np.ndarray
+    keys: np.ndarray
+    places: np.ndarray
+    lasts: np.ndarray
+    visitor: np.ndarray
+
+
+def _hot_count(counts: np.ndarray, buckets: int) -> int:
+    return max(2, int(HOT_PART * counts.sum(dtype=np.int64) / buckets))
+
+
+def _listed(tokens: np.ndarray, seen: np.ndarray, begins: np.ndarray, sizes: np.ndarray, hot_count: int) -> _Listing:
+    """List sets, given as runs of word hashes in order of rarity, under their prefix words.
+
+    Under a word with more than hot_count occurrences only sets of similar size meet: in its own size class a set
+    meets all, and in the class above it is a visitor, which meets only the owners.
+    """
+    row, place = _spread(_prefix(sizes))
+    at = begins[row] + place
+    # A word seen once in all texts has no partner.
+    use = seen[at] > 1
+    row, place, at = row[use], place[use], at[use]
+    key, last = tokens[at], np.where(place > 0, tokens[np.maximum(at - 1, 0)], np.uint64(0))
+    hot = seen[at] > hot_count
+    level = _size_class(sizes[row]).astype(np.uint64)
+    own = np.where(hot, key ^ _mixed(level + np.uint64(1)), key)
+    above = (key ^ _mixed(level + np.uint64(2)))[hot]
+    visitor = np.append(np.zeros(len(row), np.int64), np.ones(len(above), np.int64))
+    return _Listing(np.append(row, row[hot]), np.append(own, above), np.append(place, place[hot]), np.append(last, last[hot]), visitor)
+
+
+def _bitmaps(tokens: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Two words of 64 bits per set in which each of its tokens sets one bit: two sets differ in at least as many tokens as bits."""
+    bit, half = np.uint64(1) << (tokens >> np.uint64(58)), ((tokens >> np.uint64(57)) & np.uint64(1)).astype(bool)
+    return np.stack([np.bitwise_or.reduceat(np.where(half, bit, np.uint64(0)), begins), np.bitwise_or.reduceat(np.where(half, np.uint64(0), bit), begins)], axis=1)
+
+
+def _names(tokens: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    return _mixed(np.add.reduceat(tokens, begins) + sizes.astype(np.uint64))
+
+
 def _send(docs: DataFrame, counts: np.ndarray, buckets: int) -> DataFrame:
+    hot_count = _hot_count(counts, buckets)
     # A table of fixed size.
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shift = TaskContext.get().partitionId()
-        for number, batch in enumerate(batches):
+        for number, batch in enumerate(_pieces(batches, 2)):
             ids = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1)], axis=1)
-            owner, line, begins, sizes, ranks, hashes, seen = _Batch(batch.column(2).to_pylist()).sets(shared.value)
+            owner, line, begins, sizes, token, seen = _line_sets(batch.column(2).to_pylist(), shared.value)
             if not len(owner):
                 continue
-            token = _mixed(hashes)[ranks]
-            names = _mixed(np.add.reduceat(token, begins) + sizes.astype(np.uint64))
-            bitmaps = np.bitwise_or.reduceat(np.uint64(1) << (token >> np.uint64(58)), begins)
+            names, bitmaps = _names(token, begins, sizes), _bitmaps(token, begins)
             order = np.lexsort((line, ids[owner, 1], ids[owner, 0], names))
             first = np.append(True, names[order][1:] != names[order][:-1])
             head = order[np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
@@ -150,26 +217,14 @@ def _send(docs: DataFrame, counts: np.ndarray, buckets: int) -> DataFrame:
             rows = order[first]
             empty = np.zeros(0, np.uint64)
             if len(again):
-                yield _row((shift + number) % buckets, DROPPED, ids, empty, empty, empty, empty, empty, owner[again], line[again])
+                yield _row((shift + number) % buckets, DROPPED, ids, empty, empty, empty, empty, empty, empty, owner[again], line[again])
             for bucket, own in _by_bucket(names[rows], buckets):
                 own = rows[own]
-                yield _row(bucket, SETS, ids, empty, names[own], empty, empty, empty, owner[own], line[own])
-            at, place = _spread(_prefix(sizes[rows]))
-            row = rows[at]
-            listed = ranks[begins[row] + place]
-            # A word seen once in all texts has no partner.
-            use = seen[listed] > 1
-            row, place, listed = row[use], place[use], listed[use]
-            key, size = _mixed(hashes)[listed], sizes[row]
-            hot = np.nonzero(seen[listed] > HOT_COUNT)[0]
-            level = _size_class(size)
-            keys = np.concatenate([np.where(seen[listed] > HOT_COUNT, key ^ _mixed(level.astype(np.uint64) + np.uint64(1)), key), key[hot] ^ _mixed((level[hot] + 2).astype(np.uint64))])
-            # In its own class a set meets all; in the class above it is a visitor that meets only the owners.
-            visitor = np.append(np.zeros(len(row), np.int64), np.ones(len(hot), np.int64))
-            row, place = np.append(row, row[hot]), np.append(place, place[hot])
-            for bucket, own in _by_bucket(keys, buckets):
-                r = row[own]
-                yield _row(bucket, LISTED, ids, keys[own], names[r], bitmaps[r], sizes[r], place[own] * 2 + visitor[own], owner[r], line[r])
+                yield _row(bucket, SETS, ids, empty, empty, names[own], empty, empty, empty, owner[own], line[own])
+            found = _listed(token, seen, begins[rows], sizes[rows], hot_count)
+            for bucket, own in _by_bucket(found.keys, buckets):
+                r = rows[found.row[own]]
+                yield _row(bucket, LISTED, ids, found.keys[own], found.lasts[own], names[r], bitmaps[r], sizes[r], found.places[own] * 2 + found.visitor[own], owner[r], line[r])
 
     return docs.select("doc", "mark", "text").mapInArrow(run, SENT)
 
@@ -185,9 +240,9 @@ def _by_bucket(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray
 def _row(bucket: int, kind: int, ids: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
     *rest, owners, lines = columns
     used, owner = np.unique(owners, return_inverse=True)
-    kinds = ["<u8", "<u8", "<u8", "<i4", "<i4"]
+    kinds = ["<u8", "<u8", "<u8", "<u8", "<i4", "<i4"]
     values = [ids[used].astype("<i8"), *(v.astype(k) for v, k in zip(rest, kinds)), owner.astype("<i4"), lines.astype("<i4")]
-    names = ["bucket", "kind", "docs", "tokens", "sets", "bitmaps", "sizes", "places", "owners", "lines"]
+    names = ["bucket", "kind", "docs", "tokens", "lasts", "sets", "bitmaps", "sizes", "places", "owners", "lines"]
     return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([kind], pa.int32()), *(pa.array([v.tobytes()], pa.binary()) for v in values)], names)
 
 
@@ -204,7 +259,8 @@ class _Group:
         self.ids = np.concatenate(docs).reshape(-1, 2)
         base = np.cumsum([0, *(len(d) // 2 for d in docs[:-1])])
         self.owner = np.concatenate([own + at for own, at in zip(column("owners", "<i4"), base)]).astype(np.int64)
-        self.tokens, self.sets, self.bitmaps = (np.concatenate(column(name, "<u8")) for name in ("tokens", "sets", "bitmaps"))
+        self.tokens, self.lasts, self.sets, self.bitmaps = (np.concatenate(column(name, "<u8")) for name in ("tokens", "lasts", "sets", "bitmaps"))
+        self.bitmaps = self.bitmaps.reshape(-1, 2)
         self.sizes, self.places, self.lines = (np.concatenate(column(name, "<i4")).astype(np.int64) for name in ("sizes", "places", "lines"))
 
     def where(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -212,20 +268,17 @@ class _Group:
         return self.lines, self.ids[self.owner, 1], self.ids[self.owner, 0]
 
 
-def _candidates(found: _Group) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of rows under a common word that pass the length, positional and bitmap filters."""
-    # Of equal sets under a word the first one stands for all.
-    order = np.lexsort((*found.where(), found.sets, found.tokens))
-    tokens, sets = found.tokens[order], found.sets[order]
-    first = np.append(True, (tokens[1:] != tokens[:-1]) | (sets[1:] != sets[:-1])) if len(order) else np.zeros(0, bool)
-    order = order[first]
-    order = order[np.lexsort((found.sizes[order], found.tokens[order]))]
-    size, place, bitmap = found.sizes[order], found.places[order] >> 1, found.bitmaps[order]
-    visitor = found.places[order] & 1
-    group = np.cumsum(np.append(0, np.diff(found.tokens[order]) != 0)) if len(order) else np.zeros(0, np.int64)
+def _candidates(tokens: np.ndarray, lasts: np.ndarray, sizes: np.ndarray, places: np.ndarray, visitor: np.ndarray, bitmaps: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows under a common word that pass the length, positional and bitmap filters.
+
+    A pair with the same word before is formed under that word.
+    """
+    order = np.lexsort((sizes, tokens))
+    size, place, bitmap, last, guest = sizes[order], places[order], bitmaps[order], lasts[order], visitor[order]
+    group = np.cumsum(np.append(0, np.diff(tokens[order]) != 0)) if len(order) else np.zeros(0, np.int64)
     key = (group << 32) | size
-    last = np.searchsorted(key, (group << 32) | np.minimum(5 * size // 4, 2**31), "right")
-    counts = last - np.arange(len(order)) - 1
+    to_last = np.searchsorted(key, (group << 32) | np.minimum(5 * size // 4, 2**31), "right")
+    counts = to_last - np.arange(len(order)) - 1
     ends = np.cumsum(counts)
     at = 0
     while at < len(order):
@@ -233,26 +286,26 @@ def _candidates(found: _Group) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         one, step = _spread(counts[at:to])
         one = one + at
         two = one + 1 + step
-        most = np.minimum(place[one], place[two]) + 1 + np.minimum(size[one] - place[one], size[two] - place[two]) - 1
+        most = np.minimum(place[one], place[two]) + np.minimum(size[one] - place[one], size[two] - place[two])
         both = size[one] + size[two]
         least = (4 * both + 8) // 9
-        keep = (most >= least) & (np.bitwise_count(bitmap[one] ^ bitmap[two]) <= both - 2 * least) & (visitor[one] + visitor[two] < 2)
+        keep = (most >= least) & (np.bitwise_count(bitmap[one] ^ bitmap[two]).sum(axis=1) <= both - 2 * least) & (guest[one] + guest[two] < 2)
+        keep &= (last[one] != last[two]) | (place[one] == 0) | (place[two] == 0)
         yield order[one[keep]], order[two[keep]]
         at = to
 
 
-def _found(kind: int, *columns: np.ndarray) -> pa.RecordBatch:
-    names = ["kind", "a_doc", "a_mark", "a_line", "b_doc", "b_mark", "b_line"]
-    forms = [pa.int64(), pa.int64(), pa.int32()] * 2
-    values = [pa.array(v, f) for v, f in zip(columns, forms)]
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(columns[0]), kind, np.int32)), *values], names)
+def _found(kind: int, bucket: int, doc: np.ndarray, mark: np.ndarray, line: np.ndarray) -> pa.RecordBatch:
+    kinds, buckets = (pa.array(np.full(len(doc), v, np.int32)) for v in (kind, bucket))
+    return pa.RecordBatch.from_arrays([kinds, buckets, pa.array(doc, pa.int64()), pa.array(mark, pa.int64()), pa.array(line, pa.int32())], ["kind", "bucket", "doc", "mark", "line"])
 
 
 def _resolve(group: pa.Table) -> pa.Table:
-    """Lines that repeat a word set (DROPPED, in a_*) and pairs of first lines that may be similar (LISTED)."""
+    """Lines that repeat a word set (DROPPED), and first lines of sets that may be similar to another one (LISTED)."""
+    bucket = group.column("bucket")[0].as_py()
     gone = _Group(group, DROPPED)
     line, mark, doc = gone.where()
-    out = [_found(DROPPED, doc, mark, line, doc, mark, line)]
+    out = [_found(DROPPED, bucket, doc, mark, line)]
     own = _Group(group, SETS)
     line, mark, doc = own.where()
     order = np.lexsort((line, mark, doc, own.sets))
@@ -260,75 +313,154 @@ def _resolve(group: pa.Table) -> pa.Table:
         first = np.append(True, own.sets[order][1:] != own.sets[order][:-1])
         head = order[np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
         again = order[~first & ((doc[order] != doc[head]) | (mark[order] != mark[head]) | (line[order] != line[head]))]
-        out.append(_found(DROPPED, doc[again], mark[again], line[again], doc[again], mark[again], line[again]))
-    listed = _Group(group, LISTED)
-    line, mark, doc = listed.where()
-    for a, b in _candidates(listed):
-        # The earlier line first, so that a pair found under several words is one row.
-        swap = (doc[a] > doc[b]) | ((doc[a] == doc[b]) & ((mark[a] > mark[b]) | ((mark[a] == mark[b]) & (line[a] > line[b]))))
-        a, b = np.where(swap, b, a), np.where(swap, a, b)
-        out.append(_found(LISTED, doc[a], mark[a], line[a], doc[b], mark[b], line[b]))
+        out.append(_found(DROPPED, bucket, doc[again], mark[again], line[again]))
+    some = _Group(group, LISTED)
+    line, mark, doc = some.where()
+    # Of equal sets under a word the first one stands for all.
+    order = np.lexsort((line, mark, doc, some.sets, some.tokens))
+    tokens, sets = some.tokens[order], some.sets[order]
+    if len(order):
+        order = order[np.append(True, (tokens[1:] != tokens[:-1]) | (sets[1:] != sets[:-1]))]
+    flags = np.zeros(len(some.tokens), bool)
+    for a, b in _candidates(some.tokens[order], some.lasts[order], some.sizes[order], some.places[order] >> 1, some.places[order] & 1, some.bitmaps[order]):
+        flags[order[a]] = flags[order[b]] = True
+    # A set found under several words of this bucket is one row.
+    rows = np.nonzero(flags)[0]
+    rows = rows[np.unique(some.sets[rows], return_index=True)[1]]
+    out.append(_found(LISTED, bucket, doc[rows], mark[rows], line[rows]))
     return pa.Table.from_batches(out)
 
 
-def _line_words(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(doc, mark, line, words) of the wanted lines (doc, mark, line)."""
-    lists = wanted.groupBy("doc", "mark").agg(F.collect_set("line").alias("lines"))
+def _whole_sets(docs: DataFrame, wanted: DataFrame, counts: np.ndarray) -> DataFrame:
+    """The wanted lines' word hashes in order of rarity, packed by bucket."""
+    lists = wanted.groupBy("doc", "mark").agg(F.collect_list(F.struct("bucket", "line")).alias("lines"))
+    # At most 2 ** FILTER_BITS numbers: texts whose number is not among them hold no wanted line and stay where they are.
+    slot = F.pmod(F.xxhash64("doc", "mark"), F.lit(1 << FILTER_BITS)).alias("slot")
+    near = docs.select("doc", "mark", "text", slot).join(F.broadcast(lists.select(slot).distinct()), "slot", "left_semi")
+    joined = near.select("doc", "mark", "text").join(lists, ["doc", "mark"])
+    shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for doc, mark, text, lines in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                own = utf8(text).lower().split(b"\n")
-                rows += [(doc, mark, line, sorted({w.decode("utf-8", "replace") for w in _word.findall(own[line])})) for line in lines]
-            columns = list(zip(*rows)) if rows else [(), (), (), ()]
-            forms = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.string())]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), f) for c, f in zip(columns, forms)], ["doc", "mark", "line", "words"])
-
-    # Equal rows are one document.
-    joined = docs.select("doc", "mark", "text").join(lists, ["doc", "mark"])
-    return joined.mapInArrow(run, "doc long, mark long, line int, words array<string>").dropDuplicates(["doc", "mark", "line"])
-
+            ids = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1)], axis=1)
+            texts, places, known = [], [], {}
+            for owner, (text, lines) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
+                own = utf8(text).split(b"\n")
+                for one in lines:
+                    if (owner, one["line"]) not in known:
+                        known[owner, one["line"]] = len(texts)
+                        texts.append(own[one["line"]].decode("utf-8", "replace"))
+                    places.append((one["bucket"], known[owner, one["line"]], owner, one["line"]))
+            at, _, begins, sizes, hashes, _ = _line_sets(texts, shared.value)
+            sets = {int(t): hashes[b : b + n] for t, b, n in zip(at, begins, sizes)}
+            parts: dict[int, list[tuple[np.ndarray, int, int]]] = defaultdict(list)
+            for bucket, text, owner, line in places:
+                parts[bucket].append((sets[text], owner, line))
+            for bucket, rows in parts.items():
+                used, owner = np.unique([o for _, o, _ in rows], return_inverse=True)
+                values = [ids[used].astype("<i8"), np.concatenate([h for h, _, _ in rows]), np.array([len(h) for h, _, _ in rows], "<i4"), owner.astype("<i4"), np.array([n for *_, n in rows], "<i4")]
+                yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), *(pa.array([v.tobytes()], pa.binary()) for v in values)], ["bucket", "docs", "tokens", "sizes", "owners", "lines"])
+
+    return joined.mapInArrow(run, WHOLE)
+
+
+def _verified(docs: DataFrame, wanted: DataFrame, counts: np.ndarray, buckets: int) -> DataFrame:
+    """Per set, by its first line: verified links formed in a bucket, and whether an earlier line is similar."""
+    hot_count = _hot_count(counts, buckets)
+    shared = docs.sparkSession.sparkContext.broadcast(counts)
 
-def similar_lines(docs: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
-    """(repeats, links): later lines with an equal word set, and all pairs of similar, different sets by their first lines."""
+    def run(group: pa.Table) -> pa.Table:
+        def column(name: str, form: str) -> list[np.ndarray]:
+            return [np.frombuffer(value.as_buffer(), form) for value in group.column(name)]
+
+        bucket, docs_of = group.column("bucket")[0].as_py(), column("docs", "<i8")
+        base = np.cumsum([0, *(len(d) // 2 for d in docs_of[:-1])])
+        ids = np.concatenate(docs_of).reshape(-1, 2)
+        where = ids[np.concatenate([own + at for own, at in zip(column("owners", "<i4"), base)])]
+        line = np.concatenate(column("lines", "<i4"))
+        hashes, sizes = np.concatenate(column("tokens", "<u8")), np.concatenate(column("sizes", "<i4")).astype(np.int64)
+        begins = np.cumsum(sizes) - sizes
+        # Equal rows of the table send the same line again.
+        order = np.lexsort((line, where[:, 1], where[:, 0]))
+        fresh = np.append(True, (np.diff(where[order], axis=0) != 0).any(axis=1) | (np.diff(line[order]) != 0))
+        order = order[fresh]
+        where, line, begins, sizes = where[order], line[order], begins[order], sizes[order]
+        tokens, seen = hashes, shared.value[_slots(hashes)]
+        at, step = _spread(sizes)
+        bitmaps = _bitmaps(tokens[begins[at] + step], np.cumsum(sizes) - sizes)
+        listed = _listed(tokens, seen, begins, sizes, hot_count)
+        here = np.nonzero((_mixed(listed.keys) % np.uint64(buckets)).astype(np.int64) == bucket)[0]
+        row, place = listed.row[here], listed.places[here]
+        _, word = np.unique(tokens, return_inverse=True)
+        at, step = _spread(sizes)
+        member = np.sort((at << 32) | word[begins[at] + step])
+        links, gone = np.zeros(len(line), np.int64), np.zeros(len(line), bool)
+        for a, b in _candidates(listed.keys[here], listed.lasts[here], sizes[row], place, listed.visitor[here], bitmaps[row]):
+            for low in range(0, len(a), VERIFIED):
+                one, two = row[a[low : low + VERIFIED]], row[b[low : low + VERIFIED]]
+                at, step = _spread(sizes[one])
+                wanted_key = (two[at] << 32) | word[begins[one[at]] + step]
+                hit = member[np.minimum(np.searchsorted(member, wanted_key), len(member) - 1)] == wanted_key
+                shared_words = np.bincount(at, hit, len(one)).astype(np.int64)
+                # Rarest first: the pair belongs to the first word that both have.
+                rows_hit, first = np.unique(at[hit], return_index=True)
+                begin = np.full(len(one), -1)
+                begin[rows_hit] = step[hit][first]
+                keep = (begin == place[a[low : low + VERIFIED]]) & (10 * shared_words >= 8 * (sizes[one] + sizes[two] - shared_words))
+                one, two = one[keep], two[keep]
+                np.add.at(links, one, 1)
+                np.add.at(links, two, 1)
+                # Rows are in the order of lines.
+                gone[np.maximum(one, two)] = True
+        use = np.nonzero(links)[0]
+        return pa.table({"doc": where[use, 0], "mark": where[use, 1], "line": line[use].astype(np.int32), "links": links[use], "gone": gone[use]})
+
+    return _whole_sets(docs, wanted, counts).groupBy("bucket").applyInArrow(run, LINKS)
+
+
+def similar_lines(docs: DataFrame, buckets: int) -> DataFrame:
+    """(doc, mark, line, links, gone): repeats of a word set, and first lines of sets with links."""
     counts = word_counts(docs)
     found = stored(_send(docs, counts, buckets).groupBy("bucket").applyInArrow(_resolve, FOUND), "line-candidates")
-    repeats = found.where(F.col("kind") == DROPPED).select(F.col("a_doc").alias("doc"), F.col("a_mark").alias("mark"), F.col("a_line").alias("line"))
-    pairs = found.where(F.col("kind") == LISTED).drop("kind").distinct()
-    side = lambda s: pairs.select(*[F.col(f"{s}_{n}").alias(n) for n in ("doc", "mark", "line")])
-    words = stored(_line_words(docs, side("a").unionByName(side("b")).distinct()), "line-words")
-    named = lambda s: words.select(*[F.col(n).alias(f"{s}_{n}") for n in ("doc", "mark", "line", "words")])
-    keys = lambda s: [f"{s}_{n}" for n in ("doc", "mark", "line")]
-    both = pairs.join(named("a"), keys("a")).join(named("b"), keys("b"))
-    shared = F.size(F.array_intersect("a_words", "b_words"))
-    links = both.withColumn("shared", shared).where(10 * F.col("shared") >= 8 * (F.size("a_words") + F.size("b_words") - F.col("shared")))
-    return repeats, stored(links.select(*keys("a"), *keys("b")), "line-links")
+    repeats = found.where(F.col("kind") == DROPPED).select("doc", "mark", "line", F.lit(0).cast("long").alias("links"), F.lit(True).alias("gone"))
+    return stored(repeats.unionByName(_verified(docs, found.where(F.col("kind") == LISTED), counts, buckets)), "similar-lines")
 
 
 def dedup_lines(docs: DataFrame, buckets: int | None = None) -> DataFrame:
-    """Per document: doc_id, n_lines, removed (line numbers from 0, ascending), n_links, kept (the other lines).
+    """Per document: doc_id, n_lines, removed (line numbers from 0, ascending) and n_links.
 
     n_links counts, for the word sets that occur first in this document, the different sets they are similar to.
     """
-    buckets = buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
-    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", doc.alias("doc"), F.xxhash64("text").alias("mark"))
-    repeats, links = similar_lines(known, buckets)
-    ends = [links.select(*[F.col(f"{s}_{n}").alias(n) for n in ("doc", "mark", "line")], F.lit(1).alias("link"), F.lit(s == "b").alias("gone")) for s in "ab"]
-    marks = repeats.withColumns({"link": F.lit(0), "gone": F.lit(True)}).unionByName(ends[0]).unionByName(ends[1])
-    gathered = marks.groupBy("doc", "mark").agg(
-        F.array_sort(F.collect_set(F.when(F.col("gone"), F.col("line")))).alias("removed"), F.sum("link").alias("n_links")
+    known = _identified(docs)
+    own = known.select("doc_id", "doc", "mark", F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("long").alias("n_lines"))
+    none = F.array().cast("array<int>")
+    return own.join(_removed(known, buckets), ["doc", "mark"], "left").select(
+        "doc_id", "n_lines", F.coalesce("removed", none).alias("removed"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
     )
+
+
+def kept_lines(docs: DataFrame, buckets: int | None = None) -> DataFrame:
+    """The rows of docs with the lines that stay as their text; null texts stay null."""
+    known = docs.select("*", *[c.alias(f"line_{n}") for n, c in _identity().items()])
+    found = _removed(_identified(docs), buckets).select(F.col("doc").alias("line_doc"), F.col("mark").alias("line_mark"), F.col("removed").alias("line_removed"))
+    gone = F.coalesce("line_removed", F.array().cast("array<int>"))
     lines = F.split(F.col("text"), "\n")
-    none = F.array().cast("array<int>")
-    whole = known.join(gathered, ["doc", "mark"], "left").withColumn("removed", F.coalesce("removed", none))
-    return whole.select(
-        "doc_id",
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
-        "removed",
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.array_join(_kept(lines, F.col("removed")), "\n").alias("kept"),
+    text = F.array_join(_kept(lines, gone), "\n")
+    return known.join(found, ["line_doc", "line_mark"], "left").select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns])
+
+
+def _identity() -> dict[str, Column]:
+    return {"doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), "mark": F.xxhash64("text")}
+
+
+def _identified(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[c.alias(n) for n, c in _identity().items()])
+
+
+def _removed(known: DataFrame, buckets: int | None) -> DataFrame:
+    buckets = buckets or int(known.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return similar_lines(known, buckets).groupBy("doc", "mark").agg(
+        F.array_sort(F.collect_set(F.when(F.col("gone"), F.col("line")))).alias("removed"), F.sum("links").alias("n_links")
     )
 
 

@@ -39,7 +39,7 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = line_dedup.dedup_lines(table(spark, folder, "documents"))
     return found.select(
         "doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "n_links",
-        F.sha2(F.coalesce("kept", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
+        F.sha2(F.array_join("removed", ",").cast("binary"), 256).alias("removed_sha256"),
     )
 
 
