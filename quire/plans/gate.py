@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,10 +18,12 @@ from quire.functions.dates import cyymmdd_to_date
 from quire.functions.text import DAMAGE
 from quire.model.fields import SourceTable
 from quire.operators.joins import orphan_keys
-from quire.plans.recon import amount_balance, union_all
+from quire.plans.measures import MONEY, total
+from quire.plans.recon import total_if, union_all
 
 PASS, WARN, FAIL = "PASS", "WARN", "FAIL"
 MEASURE = "decimal(18,6)"
+ANY_MEASURE = "decimal(38,6)"  # counts and money
 
 
 @dataclass(frozen=True)
@@ -79,6 +82,39 @@ def counted(*parts: tuple[str, Column]) -> Column:
     )
 
 
+class Scans:
+    """What checks ask of tables: all measures of a table come from one aggregate over one scan."""
+
+    def __init__(self) -> None:
+        self._tables: dict[int, tuple[DataFrame, list[tuple[str, Column, str]]]] = {}
+        self._count = 0
+
+    def of(self, df: DataFrame | None, measure: Column, kind: str = "bigint") -> Column:
+        """The measure's value in the row of all measures; NULL for an absent table."""
+        if df is None:
+            return F.lit(None).cast(kind)
+        name = f"_m{self._count}"
+        self._count += 1
+        self._tables.setdefault(id(df), (df, []))[1].append((name, measure, kind))
+        return F.col(name)
+
+    def report(self, entries: list[Column]) -> DataFrame:
+        if not self._tables:
+            return report(SparkSession.active().range(1), *entries)
+        parts, values = [], []
+        for df, asked in self._tables.values():
+            row = df.agg(*[measure.cast(ANY_MEASURE).alias(name) for name, measure, _ in asked])
+            named = [F.struct(F.lit(name).alias("name"), F.col(name).alias("value")) for name, *_ in asked]
+            parts.append(row.select(F.inline(F.array(*named))))
+            values += [F.max(F.when(F.col("name") == name, F.col("value"))).cast(kind).alias(name) for name, _, kind in asked]
+        return report(union_all(parts).agg(*values), *entries)
+
+
+def _alone(ask: Callable[[Scans], list[Column]]) -> DataFrame:
+    scans = Scans()
+    return scans.report(ask(scans))
+
+
 # Completeness ------------------------------------------------------------------------------------
 
 
@@ -93,76 +129,51 @@ class Layers:
     filtered_by_design: bool = False
 
 
-def layer_counts(layers: list[Layers]) -> DataFrame:
-    """Row counts per entity and layer, side by side."""
-    present = [
-        (entity, layer, df)
-        for entity in layers
-        for layer in ("bronze", "silver", "gold")
-        if (df := getattr(entity, layer)) is not None
-    ]
-    spark = SparkSession.active()
-
-    def tagged(df: DataFrame, entity: Layers, layer: str) -> DataFrame:
-        return df.select(
-            F.lit(entity.name).alias("name"),
-            F.lit(entity.filtered_by_design).alias("by_design"),
-            F.lit(layer).alias("layer"),
-            F.col("n"),
-        )
-
-    counts = [tagged(df.agg(F.count("*").alias("n")), entity, layer) for entity, layer, df in present]
-    # An entity without any table still gets its row.
-    nothing = spark.range(1).select(F.lit(None).cast("bigint").alias("n"))
-    counts += [tagged(nothing, entity, "none") for entity in layers]
-    pivoted = [F.max(F.when(F.col("layer") == k, F.col("n"))).alias(k) for k in ("bronze", "silver", "gold")]
-    return union_all(counts).groupBy("name", "by_design").agg(*pivoted)
-
-
 def completeness(layers: list[Layers], limits: Limits = STAGE_LIMITS) -> DataFrame:
     """Losses between layers: FAIL into silver, WARN into gold unless gold filters by design."""
-    b, s, g = F.col("bronze"), F.col("silver"), F.col("gold")
+    return _alone(lambda scans: [_complete(scans, entity, limits) for entity in layers])
+
+
+def _complete(scans: Scans, entity: Layers, limits: Limits) -> Column:
+    b, s, g = (scans.of(df, F.count("*")) for df in (entity.bronze, entity.silver, entity.gold))
     lost_silver, lost_gold = percent(b - s, b), percent(s - g, s)
     missing = b.isNull() | s.isNull() | g.isNull()
     status = (
         F.when(missing, FAIL)
         .when(lost_silver > limits.row_loss, FAIL)
-        .when((lost_gold > limits.row_loss) & ~F.col("by_design"), WARN)
+        .when((lost_gold > limits.row_loss) & F.lit(not entity.filtered_by_design), WARN)
         .otherwise(PASS)
     )
     measured = F.when(missing, F.lit(100.0)).otherwise(F.greatest(lost_silver, lost_gold))
-    name = F.concat(F.lit("completeness "), F.col("name"))
     detail = counted(("bronze", b), ("silver", s), ("gold", g))
-    return report(layer_counts(layers), entry(name, status, measured, limits.row_loss, detail))
+    return entry(f"completeness {entity.name}", status, measured, limits.row_loss, detail)
 
 
 def row_loss(name: str, bronze: DataFrame, silver: DataFrame, limits: Limits = STRICT_LIMITS) -> DataFrame:
     """Rows lost by cleaning, against the strict limit."""
-    counts = layer_counts([Layers(name, bronze, silver, None)])
-    b, s = F.col("bronze"), F.col("silver")
+    return _alone(lambda scans: _row_loss(scans, name, bronze, silver, limits))
+
+
+def _row_loss(scans: Scans, name: str, bronze: DataFrame, silver: DataFrame, limits: Limits) -> list[Column]:
+    b, s = (scans.of(df, F.count("*")) for df in (bronze, silver))
     loss = percent(b - s, b)
-    return report(
-        counts,
-        entry(f"row_loss {name}", fail_above(loss, limits.row_loss), loss, limits.row_loss,
-              counted(("bronze", b), ("silver", s))),
-    )
+    status = fail_above(loss, limits.row_loss)
+    return [entry(f"row_loss {name}", status, loss, limits.row_loss, counted(("bronze", b), ("silver", s)))]
 
 
 def null_ratio(name: str, df: DataFrame, limits: Limits = STAGE_LIMITS) -> DataFrame:
     """Share of NULLs of every column, measured in one aggregate."""
-    measured = df.agg(
-        F.count("*").alias("_rows"), *[F.count(c).alias(f"_n{i}") for i, c in enumerate(df.columns)]
-    )
-    entries = []
-    for i, c in enumerate(df.columns):
-        nulls = F.col("_rows") - F.col(f"_n{i}")
-        ratio = percent(nulls, F.col("_rows"))
+    return _alone(lambda scans: _null_ratio(scans, name, df, limits))
+
+
+def _null_ratio(scans: Scans, name: str, df: DataFrame, limits: Limits) -> list[Column]:
+    rows, entries = scans.of(df, F.count("*")), []
+    for c in df.columns:
+        nulls = rows - scans.of(df, F.count(c))
+        ratio = percent(nulls, rows)
         status = fail_above(ratio, limits.null_fail, F.when(ratio > limits.null_warn, WARN).otherwise(PASS))
-        entries.append(
-            entry(f"nulls {name}.{c}", status, ratio, limits.null_warn,
-                  counted(("nulls", nulls), ("rows", F.col("_rows"))))
-        )
-    return report(measured, *entries)
+        entries.append(entry(f"nulls {name}.{c}", status, ratio, limits.null_warn, counted(("nulls", nulls), ("rows", rows))))
+    return entries
 
 
 def unreadable(name: str, delivered: DataFrame, table: SourceTable) -> DataFrame:
@@ -192,44 +203,43 @@ def unreadable(name: str, delivered: DataFrame, table: SourceTable) -> DataFrame
 
 def isbn_checksum(name: str, df: DataFrame, limits: Limits = STAGE_LIMITS) -> DataFrame:
     """Checksums: FAIL above the limit, WARN for any bad one."""
-    valid = F.coalesce(F.col("isbn_valide"), F.lit(False))
-    measured = df.agg(F.count_if(~valid).alias("bad"), F.count("*").alias("rows"))
-    bad, rate = F.col("bad"), percent(F.col("bad"), F.col("rows"))
+    return _alone(lambda scans: _isbn_checksum(scans, name, df, limits))
+
+
+def _isbn_checksum(scans: Scans, name: str, df: DataFrame, limits: Limits) -> list[Column]:
+    bad = scans.of(df, F.count_if(~F.coalesce(F.col("isbn_valide"), F.lit(False))))
+    rows = scans.of(df, F.count("*"))
+    rate = percent(bad, rows)
     status = fail_above(rate, limits.bad_isbn, F.when(bad > 0, WARN).otherwise(PASS))
-    return report(
-        measured,
-        entry(f"isbn checksum {name}", status, rate, limits.bad_isbn,
-              counted(("invalid", bad), ("rows", F.col("rows")))),
-    )
+    return [entry(f"isbn checksum {name}", status, rate, limits.bad_isbn, counted(("invalid", bad), ("rows", rows)))]
 
 
 def isbn_shape(name: str, df: DataFrame, column: str = "isbn", limits: Limits = STRICT_LIMITS) -> DataFrame:
     """Shape of the ISBNs; a NULL is a bad one."""
-    measured = df.agg(F.count_if(~isbn13_has_shape(column)).alias("bad"), F.count("*").alias("rows"))
-    rate = percent(F.col("bad"), F.col("rows"))
-    return report(
-        measured,
-        entry(f"isbn shape {name}", fail_above(rate, limits.bad_isbn), rate, limits.bad_isbn,
-              counted(("invalid", F.col("bad")), ("rows", F.col("rows")))),
-    )
+    return _alone(lambda scans: _isbn_shape(scans, name, df, column, limits))
+
+
+def _isbn_shape(scans: Scans, name: str, df: DataFrame, column: str, limits: Limits) -> list[Column]:
+    bad, rows = scans.of(df, F.count_if(~isbn13_has_shape(column))), scans.of(df, F.count("*"))
+    rate = percent(bad, rows)
+    status = fail_above(rate, limits.bad_isbn)
+    return [entry(f"isbn shape {name}", status, rate, limits.bad_isbn, counted(("invalid", bad), ("rows", rows)))]
 
 
 def dates(name: str, df: DataFrame, column: str, limits: Limits = STAGE_LIMITS) -> DataFrame:
     """Decoded dates: any outside the plausible years FAIL, too many NULLs WARN."""
-    outside = ~F.year(column).between(limits.first_year, limits.last_year)
-    measured = df.agg(
-        F.count_if(outside).alias("outside"),
-        F.count_if(F.col(column).isNull()).alias("nulls"),
-        F.count("*").alias("rows"),
-    )
-    rate = percent(F.col("nulls"), F.col("rows"))
-    return report(
-        measured,
-        entry(f"date range {name}.{column}", fail_above(F.col("outside"), 0), F.col("outside"), 0,
-              counted(("outside", F.col("outside")), ("rows", F.col("rows")))),
+    return _alone(lambda scans: _dates(scans, name, df, column, limits))
+
+
+def _dates(scans: Scans, name: str, df: DataFrame, column: str, limits: Limits) -> list[Column]:
+    outside = scans.of(df, F.count_if(~F.year(column).between(limits.first_year, limits.last_year)))
+    nulls, rows = scans.of(df, F.count_if(F.col(column).isNull())), scans.of(df, F.count("*"))
+    rate = percent(nulls, rows)
+    return [
+        entry(f"date range {name}.{column}", fail_above(outside, 0), outside, 0, counted(("outside", outside), ("rows", rows))),
         entry(f"date nulls {name}.{column}", F.when(rate > limits.null_dates, WARN).otherwise(PASS), rate,
-              limits.null_dates, counted(("nulls", F.col("nulls")), ("rows", F.col("rows")))),
-    )
+              limits.null_dates, counted(("nulls", nulls), ("rows", rows))),
+    ]
 
 
 # Expected values ---------------------------------------------------------------------------------
@@ -247,17 +257,18 @@ class Expected:
 
 def expected_values(df: DataFrame, expected: list[Expected]) -> DataFrame:
     """Known values, all measured in one pass; a row that is not there does not pass."""
-    measures = []
-    for i, e in enumerate(expected):
-        picked = F.coalesce(F.expr(e.where), F.lit(False))
-        good = picked & F.coalesce(F.expr(e.holds), F.lit(False))
-        measures += [F.count_if(picked).alias(f"_rows{i}"), F.count_if(good).alias(f"_good{i}")]
+    return _alone(lambda scans: _expected_values(scans, df, expected))
+
+
+def _expected_values(scans: Scans, df: DataFrame, expected: list[Expected]) -> list[Column]:
     entries = []
-    for i, e in enumerate(expected):
-        rows, good = F.col(f"_rows{i}"), F.col(f"_good{i}")
+    for e in expected:
+        picked = F.coalesce(F.expr(e.where), F.lit(False))
+        rows = scans.of(df, F.count_if(picked))
+        good = scans.of(df, F.count_if(picked & F.coalesce(F.expr(e.holds), F.lit(False))))
         status = F.when((rows > 0) & (rows == good), PASS).otherwise(e.otherwise)
         entries.append(entry(e.check, status, rows - good, 0, counted(("rows", rows), ("as expected", good))))
-    return report(df.agg(*measures), *entries)
+    return entries
 
 
 # Amounts -----------------------------------------------------------------------------------------
@@ -265,19 +276,22 @@ def expected_values(df: DataFrame, expected: list[Expected]) -> DataFrame:
 
 def amounts(bronze: DataFrame, silver: DataFrame, gold: DataFrame, limits: Limits = STAGE_LIMITS) -> DataFrame:
     """Cleaning must not move the total; gold must differ by exactly the excluded rows."""
-    totals = amount_balance(bronze, silver, gold)
+    return _alone(lambda scans: _amounts(scans, bronze, silver, gold, limits))
+
+
+def _amounts(scans: Scans, bronze: DataFrame, silver: DataFrame, gold: DataFrame, limits: Limits) -> list[Column]:
+    left_out = ~F.coalesce(F.col("isbn_valide"), F.lit(False))
+    b = scans.of(bronze, total("VEMTTTC"), MONEY)
+    s = scans.of(silver, total("montant_ttc"), MONEY)
+    x = scans.of(silver, total_if(left_out, "montant_ttc"), MONEY)
+    g = scans.of(gold, total("montant_ttc"), MONEY)
+    lost, unexplained = F.abs(b - s), F.abs(s - g - x)
     # Against a total of zero any difference is a whole one.
-    lost = F.abs("ecart_bronze_silver")
-    gap = F.when((F.col("total_bronze") == 0) & (lost > 0), F.lit(100.0)).otherwise(percent(lost, F.abs("total_bronze")))
-    unexplained = F.abs(F.col("ecart_silver_gold") - F.col("total_exclu"))
-    return report(
-        totals,
-        entry("amounts bronze to silver", fail_above(gap, limits.amount_gap), gap, limits.amount_gap,
-              counted(("bronze", F.col("total_bronze")), ("silver", F.col("total_silver")))),
-        entry("amounts silver to gold", fail_above(unexplained, 0), unexplained, 0,
-              counted(("silver", F.col("total_silver")), ("gold", F.col("total_gold")),
-                      ("excluded", F.col("total_exclu")))),
-    )
+    gap = F.when((b == 0) & (lost > 0), F.lit(100.0)).otherwise(percent(lost, F.abs(b)))
+    return [
+        entry("amounts bronze to silver", fail_above(gap, limits.amount_gap), gap, limits.amount_gap, counted(("bronze", b), ("silver", s))),
+        entry("amounts silver to gold", fail_above(unexplained, 0), unexplained, 0, counted(("silver", s), ("gold", g), ("excluded", x))),
+    ]
 
 
 # Accents -----------------------------------------------------------------------------------------
@@ -322,6 +336,20 @@ def accents(audits: list[DataFrame]) -> DataFrame:
     )
 
 
+def _accents(scans: Scans, audited: list[tuple[DataFrame, list[str]]]) -> list[Column]:
+    """The same over tables and their columns, in the scans of the other checks."""
+
+    def rows_with(character: str) -> Column:
+        held = [scans.of(df, F.count_if(F.concat_ws(" ", *columns).contains(character))) for df, columns in audited]
+        return reduce(Column.__add__, held)
+
+    zero = F.lit(0).cast("bigint")
+    found = reduce(Column.__add__, [(rows_with(c) > 0).cast("bigint") for c in ACCENTS], zero)
+    damaged = reduce(Column.__add__, [rows_with(c) for c in DAMAGE], zero)
+    status = F.when((found > 0) & (damaged == 0), PASS).otherwise(WARN)
+    return [entry("accents", status, found, 1, counted(("characters", found), ("damaged rows", damaged)))]
+
+
 # Integrity ---------------------------------------------------------------------------------------
 
 
@@ -380,43 +408,44 @@ def full_gate(
     known_books: list[Expected] | None = None,
     known_authors: list[Expected] | None = None,
 ) -> DataFrame:
-    """All checks on the three layers; gold by the names dim_* and fact_*. What is absent fails its checks."""
+    """All checks on the three layers; gold by the names dim_* and fact_*. What is absent fails its checks.
+
+    Every table is scanned once for all checks together; only the integrity checks join.
+    """
     layers = [
         Layers(name, bronze.get(name), silver.get(name), gold.get(gold_name), name == "ventes")
         for name, gold_name in GOLD_NAMES.items()
     ]
     books, authors, sales = (silver.get(name) for name in ("ouvrages", "auteurs", "ventes"))
-    parts = [
-        completeness(layers, limits),
-        _if_there("row_loss ventes", [bronze.get("ventes"), sales], lambda b, s: row_loss("ventes", b, s, limits)),
-        _if_there("nulls auteurs", [authors], lambda df: null_ratio("auteurs", df, limits)),
-        _if_there("nulls ventes", [sales], lambda df: null_ratio("ventes", df, limits)),
-        _if_there("isbn checksum ouvrages", [books], lambda df: isbn_checksum("ouvrages", df, limits)),
-        _if_there("isbn shape ventes", [sales], lambda df: isbn_shape("ventes", df, limits=limits)),
-        _if_there("dates ouvrages", [books], lambda df: dates("ouvrages", df, "date_publication", limits)),
-        _if_there("amounts", [bronze.get("ventes"), sales, gold.get("fact_ventes")], lambda b, s, g: amounts(b, s, g, limits)),
-        _if_there(
-            "accents",
-            [authors, books],
-            lambda a, b: accents([accent_audit("auteurs", a, ["nom", "prenom"]), accent_audit("ouvrages", b, ["titre"])]),
-        ),
-        _if_there("fk ventes to ouvrages", [sales, books], lambda s, b: integrity("fk ventes to ouvrages", s, b, "isbn")),
-        _if_there(
-            "fk ouvrages to editeurs",
-            [books, silver.get("editeurs")],
-            lambda b, e: integrity("fk ouvrages to editeurs", b, e, "code_editeur"),
-        ),
-    ]
+    raw_sales, fact, editors = bronze.get("ventes"), gold.get("fact_ventes"), silver.get("editeurs")
+    scans = Scans()
+
+    def ask(check: str, tables: list[DataFrame | None], entries: Callable[..., list[Column]]) -> list[Column]:
+        """The check's entries, or one FAIL if a table that it needs is absent."""
+        if all(df is not None for df in tables):
+            return entries(*tables)
+        return [entry(check, F.lit(FAIL), F.lit(100.0), 0, F.lit("table missing"))]
+
+    entries = [_complete(scans, entity, limits) for entity in layers]
+    entries += ask("row_loss ventes", [raw_sales, sales], lambda b, s: _row_loss(scans, "ventes", b, s, limits))
+    entries += ask("nulls auteurs", [authors], lambda df: _null_ratio(scans, "auteurs", df, limits))
+    entries += ask("nulls ventes", [sales], lambda df: _null_ratio(scans, "ventes", df, limits))
+    entries += ask("isbn checksum ouvrages", [books], lambda df: _isbn_checksum(scans, "ouvrages", df, limits))
+    entries += ask("isbn shape ventes", [sales], lambda df: _isbn_shape(scans, "ventes", df, "isbn", limits))
+    entries += ask("dates ouvrages", [books], lambda df: _dates(scans, "ouvrages", df, "date_publication", limits))
+    entries += ask("amounts", [raw_sales, sales, fact], lambda b, s, g: _amounts(scans, b, s, g, limits))
+    entries += ask("accents", [authors, books], lambda a, b: _accents(scans, [(a, ["nom", "prenom"]), (b, ["titre"])]))
     if known_books:
-        parts.append(_if_there("known books", [books], lambda df: expected_values(df, known_books)))
+        entries += ask("known books", [books], lambda df: _expected_values(scans, df, known_books))
     if known_authors:
-        parts.append(_if_there("known authors", [authors], lambda df: expected_values(df, known_authors)))
-    return union_all(parts)
-
-
-def _if_there(check: str, tables: list[DataFrame | None], build: Callable[..., DataFrame]) -> DataFrame:
-    """The check's rows, or one FAIL row if a table that it needs is absent."""
-    if all(df is not None for df in tables):
-        return build(*tables)
-    nothing = SparkSession.active().range(1)
-    return report(nothing, entry(check, F.lit(FAIL), F.lit(100.0), 0, F.lit("table missing")))
+        entries += ask("known authors", [authors], lambda df: _expected_values(scans, df, known_authors))
+    parts = []
+    for check, child, parent, key in (
+        ("fk ventes to ouvrages", sales, books, "isbn"),
+        ("fk ouvrages to editeurs", books, editors, "code_editeur"),
+    ):
+        if child is not None and parent is not None:
+            parts.append(integrity(check, child, parent, key))
+        else:
+            entries += ask(check, [None], list)
+    return union_all([scans.report(entries), *parts])
