@@ -224,7 +224,16 @@ def _query_blocks(rows: Iterable, size: int) -> Iterator[tuple[np.ndarray, np.nd
                 yield ids[places], vectors
 
 
-def top_k(frame: DataFrame, is_query: Column, id_column: str = "vec_id", vector_column: str = "embedding", k: int = K, query_block: int = QUERY_BLOCK, shard: int = SHARD, leaf: int = LEAF) -> DataFrame:
+def top_k(
+    frame: DataFrame,
+    is_query: Column,
+    id_column: str = "vec_id",
+    vector_column: str = "embedding",
+    k: int = K,
+    query_block: int = QUERY_BLOCK,
+    shard: int = SHARD,
+    leaf: int = LEAF,
+) -> DataFrame:
     """(query_id, rank, vec_id, score): the k rows with the largest inner product for each row that is a query.
 
     The queries come to the driver in blocks of at most `query_block`; each block is one pass over all trees, and a pass

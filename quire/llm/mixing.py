@@ -103,7 +103,8 @@ def plan(docs: DataFrame, target_entropy: float | None = None, most_repeats: flo
     ends = by_block.withColumn("end", F.sum("tokens").over(ordered))
     cut = stored(ends.where("end > rest").groupBy("key").agg(F.min_by("block", "end").alias("cut"), F.min("end").alias("cut_end")), "mixing-cuts")
     # Blocks of equal hash would be one; only the one block of each source in which the budget ends is ordered by document.
-    last = placed.join(cut, (placed["key"] == cut["key"]) & (placed["block"] == cut["cut"])).select(placed["key"], "place", "tokens", "rest", "cut", "cut_end")
+    here = (placed["key"] == cut["key"]) & (placed["block"] == cut["cut"])
+    last = placed.join(cut, here).select(placed["key"], "place", "tokens", "rest", "cut", "cut_end")
     sizes = last.groupBy("key").agg(F.sum("tokens").alias("in_block"))
     peers = Window.partitionBy("key").orderBy("place").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     inside = last.withColumn("run", F.sum("tokens").over(peers)).join(sizes, "key").where(F.col("cut_end") - F.col("in_block") + F.col("run") <= F.col("rest"))
@@ -122,7 +123,7 @@ def _places(seed: int) -> tuple[Column, Column]:
 
 def copies(docs: DataFrame, sources: DataFrame, seed: int = SEED) -> DataFrame:
     """docs with mix_key, mix_weight and mix_copies: how often each is read. sources: what `plan` returned."""
-    names = {"key": "mix_key", "weight": "mix_weight", "epochs": "mix_epochs", "blocks": "mix_blocks", "rest": "mix_rest", "last_block": "mix_last_block", "last_place": "mix_last_place"}
+    names = {name: f"mix_{name}" for name in ("key", "weight", "epochs", "blocks", "rest", "last_block", "last_place")}
     # One row per source: Spark broadcasts it if it is small and splits a hot source if it is not.
     joined = docs.withColumn("mix_key", _key("source")).join(sources.select(*[F.col(a).alias(b) for a, b in names.items()]), "mix_key")
     home = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.col("mix_blocks"))

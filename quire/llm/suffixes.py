@@ -38,7 +38,7 @@ HOT_SAMPLE, HOT_GRAMS = 0.02, 10_000
 HOT_PART = 0.25
 SENT = "bucket int, docs binary, keys binary, marks binary, owners binary, starts binary, counts binary"
 CUTS = "doc long, mark long, kind int, starts binary, ends binary, keys binary"
-PIECES = "bucket int, docs binary, texts binary, keys binary, offsets binary, owners binary, starts binary, counts binary"
+PIECES = "bucket int, docs binary, texts binary, keys binary, owners binary, starts binary, counts binary"
 
 
 class Hashes:
@@ -259,7 +259,9 @@ def _by_bucket(bucket: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, np.n
         yield number, rows[low:high]
 
 
-def _sent(bucket: int, ids: np.ndarray, keys: np.ndarray, marks: np.ndarray, owners: np.ndarray, starts: np.ndarray, counts: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
+def _sent(
+    bucket: int, ids: np.ndarray, keys: np.ndarray, marks: np.ndarray, owners: np.ndarray, starts: np.ndarray, counts: np.ndarray, rows: np.ndarray
+) -> pa.RecordBatch:
     used, owner = np.unique(owners[rows], return_inverse=True)
     values = [ids[used].astype("<i8"), keys[rows], marks[rows], owner.astype("<i4"), starts[rows].astype("<i4"), counts[rows].astype("<i4")]
     names = ["bucket", "docs", "keys", "marks", "owners", "starts", "counts"]
@@ -360,6 +362,14 @@ def equal_classes(text: np.ndarray, starts: np.ndarray, segment: np.ndarray, dep
     return classes
 
 
+def _pieces(raw: bytes, low: int, high: int, key: int, owner: int, length: int, hot: bool) -> list[tuple]:
+    """What a run sends: (number to deal by, gram, document, start, windows, bytes), whole or, if hot, by window."""
+    if not hot:
+        return [(key, key, owner, low, high - low - length + 1, raw[low:high])]
+    marks = Hashes(np.frombuffer(raw, np.uint8)[low:high], BASES[1]).every(length).tolist()
+    return [(mark, key, owner, low + at, 1, raw[low + at : low + at + length]) for at, mark in enumerate(marks)]
+
+
 def compare_runs(docs: DataFrame, runs: DataFrame, buckets: int, length: int = LENGTH) -> DataFrame:
     """Step 2: per document, the intervals of windows that also start earlier, among the runs to be compared."""
     open_runs = runs.where(F.col("kind") != DROPPED).groupBy("doc", "mark").agg(F.collect_list(F.struct("kind", "starts", "ends", "keys")).alias("runs"))
@@ -367,7 +377,7 @@ def compare_runs(docs: DataFrame, runs: DataFrame, buckets: int, length: int = L
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts, keys, offsets, owners, starts, counts, buckets_of = _ids(batch), [], [], [], [], [], [], []
+            ids, pieces = _ids(batch), []
             seen: set[tuple[int, int]] = set()
             for owner, (text, lists) in enumerate(zip(batch.column("text").to_pylist(), batch.column("runs").to_pylist())):
                 # Equal rows are one document.
@@ -376,29 +386,23 @@ def compare_runs(docs: DataFrame, runs: DataFrame, buckets: int, length: int = L
                 seen.add(name)
                 raw = utf8(text)
                 for one in lists:
-                    columns = (np.frombuffer(one[n], "<i8") for n in ("starts", "ends", "keys"))
-                    for low, high, key in zip(*columns):
-                        key = int(key) & (2**64 - 1)
-                        if one["kind"] == COMPARED:
-                            texts.append(raw[low:high]); keys.append(key); offsets.append(0); owners.append(owner); starts.append(low); counts.append(high - low - length + 1)
-                            buckets_of.append(key)
-                        else:
-                            piece = np.frombuffer(raw, np.uint8)[low:high]
-                            marks = Hashes(piece, BASES[1]).every(length)
-                            for at, mark in enumerate(marks.tolist()):
-                                texts.append(raw[low + at : low + at + length]); keys.append(key); offsets.append(at); owners.append(owner); starts.append(low + at); counts.append(1)
-                                buckets_of.append(mark)
-            if not texts:
+                    starts, ends, keys = (np.frombuffer(one[n], "<i8").tolist() for n in ("starts", "ends", "keys"))
+                    for low, high, key in zip(starts, ends, keys):
+                        pieces += _pieces(raw, low, high, key & (2**64 - 1), owner, length, one["kind"] == COMPARED_HOT)
+            if not pieces:
                 continue
-            bucket = (_mixed(np.array(buckets_of, np.uint64)) % np.uint64(buckets)).astype(np.int64)
-            columns = [np.array(keys, np.uint64), np.array(offsets, "<i4"), np.array(owners, np.int64), np.array(starts, "<i4"), np.array(counts, "<i4")]
+            dealt, keys, owners, starts, counts, texts = (list(column) for column in zip(*pieces))
+            bucket = (_mixed(np.array(dealt, np.uint64)) % np.uint64(buckets)).astype(np.int64)
+            keys, owners = np.array(keys, np.uint64), np.array(owners, np.int64)
+            starts, counts = np.array(starts, "<i4"), np.array(counts, "<i4")
             for number, rows in _by_bucket(bucket, np.arange(len(texts))):
-                used, owner = np.unique(columns[2][rows], return_inverse=True)
-                values = [ids[used].astype("<i8").tobytes(), b"".join(texts[i] for i in rows), columns[0][rows].tobytes(), columns[1][rows].tobytes(), owner.astype("<i4").tobytes(), columns[3][rows].tobytes(), columns[4][rows].tobytes()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([number], pa.int32()), *(pa.array([v], pa.binary()) for v in values)],
-                    ["bucket", "docs", "texts", "keys", "offsets", "owners", "starts", "counts"],
-                )
+                used, owner = np.unique(owners[rows], return_inverse=True)
+                values = [
+                    ids[used].astype("<i8").tobytes(), b"".join(texts[i] for i in rows), keys[rows].tobytes(),
+                    owner.astype("<i4").tobytes(), starts[rows].tobytes(), counts[rows].tobytes(),
+                ]
+                columns = [pa.array([number], pa.int32()), *(pa.array([v], pa.binary()) for v in values)]
+                yield pa.RecordBatch.from_arrays(columns, ["bucket", "docs", "texts", "keys", "owners", "starts", "counts"])
 
     def resolve(group: pa.Table) -> pa.Table:
         column = lambda name, kind: [np.frombuffer(v.as_buffer(), kind) for v in group.column(name)]
@@ -473,10 +477,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, buck
         for batch in batches:
             texts = [utf8(text) for text in batch.column(1).to_pylist()]
             found = [_cut(text, [(c["starts"], c["ends"]) for c in cuts] if cuts else []) for text, cuts in zip(texts, batch.column(2).to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array([s for s, _ in found], pa.list_(span)), pa.array([k for _, k in found], pa.binary())],
-                ["doc_id", "n_bytes", "spans", "kept"],
-            )
+            sizes, kept = pa.array([len(t) for t in texts], pa.int64()), pa.array([k for _, k in found], pa.binary())
+            spans = pa.array([s for s, _ in found], pa.list_(span))
+            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, spans, kept], ["doc_id", "n_bytes", "spans", "kept"])
 
     return whole.mapInArrow(run, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
 

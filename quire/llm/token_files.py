@@ -149,10 +149,14 @@ class PieceEncoder:
         filled = self.filled
         raw = [utf8(text) for text in texts]
         odd = [not self.by_piece or any(start in r for start in self.control) for r in raw]
-        begins, sizes, owner = self._known([b"" if o else r.lower() if self.lowers else r for r, o in zip(raw, odd)]) if raw else (np.zeros(0, np.int64),) * 3
+        cut = [b"" if o else r.lower() if self.lowers else r for r, o in zip(raw, odd)]
+        begins, sizes, owner = self._known(cut) if raw else (np.zeros(0, np.int64),) * 3
         whole = np.nonzero(odd)[0]
         more = self._whole([texts[i] for i in whole])
-        begins, sizes, owner = np.concatenate([begins, more[0], np.zeros(len(raw), np.int64)]), np.concatenate([sizes, more[1], np.ones(len(raw), np.int64)]), np.concatenate([owner, whole, np.arange(len(raw))])
+        # Behind each text's pieces, the end id at the head of the pool.
+        begins = np.concatenate([begins, more[0], np.zeros(len(raw), np.int64)])
+        sizes = np.concatenate([sizes, more[1], np.ones(len(raw), np.int64)])
+        owner = np.concatenate([owner, whole, np.arange(len(raw))])
         order = np.argsort(owner, kind="stable")
         begins, sizes, owner = begins[order], sizes[order], owner[order]
         ids = self.pool[np.repeat(begins - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
