@@ -15,6 +15,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,7 @@ LEXICON_ROWS = 400
 SURE = 30.0
 NEAR = 5
 LIMIT = 0.5
+RANGE = 1 << 31
 # Words of address in the languages of the corpus.
 ADDRESS = frozenset("you your yours yourself u ur du dich dir dein deine ihr euch sie ihnen tu te toi ton ta tes vous votre tú ti usted ustedes vosotros".split())
 # Digits and signs written for letters.
@@ -113,13 +115,18 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Da
     """(doc_id, text, toxic, weight, part) of at most 2 * per_class labelled rows; weight restores the share of a label."""
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
-        .where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+        .where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
         .withColumn("part", fold().cast("int")).where(F.col("part") != HELD_OUT)
     )
-    totals = known.groupBy("toxic").agg(F.count("*").alias("total"))
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_class)
-    chosen = chosen.join(F.broadcast(totals), "toxic").withColumn("weight", F.greatest(F.lit(1.0), F.col("total") / per_class))
+    known = stored(known, "toxicity-labels")
+    totals = {row.toxic: row.total for row in known.groupBy("toxic").agg(F.count("*").alias("total")).collect()}
+    # A part of the hash range that holds about a quarter more than is wanted, so that few rows are ordered.
+    place, reach = F.pmod(F.xxhash64("doc_id"), F.lit(RANGE)), {t: min(1.0, (1.25 * per_class + 50) / n) for t, n in totals.items()}
+    value = lambda values: reduce(lambda rest, t: F.when(F.col("toxic") == t, F.lit(values[t])).otherwise(rest), values, F.lit(None))
+    near = known.withColumn("place", place).where(F.col("place") < value({t: int(share * RANGE) for t, share in reach.items()}))
+    order = Window.partitionBy("toxic").orderBy("place", "doc_id")
+    chosen = near.withColumn("row", F.row_number().over(order)).where(F.col("row") <= per_class)
+    chosen = chosen.withColumn("weight", value({t: max(1.0, n / per_class) for t, n in totals.items()}).cast("double"))
     # At most 2 * per_class short rows.
     chosen = F.broadcast(chosen.select("doc_id", "toxic", "weight", "part"))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, "doc_id")
