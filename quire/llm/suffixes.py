@@ -11,7 +11,8 @@ ahead in the same one. Every such string, a window, is decided exactly, in three
 3. The removed intervals of a document come together and its remaining bytes are joined.
 
 A task reduces what it sends to the first of equal runs or windows. Grams that a sample shows in very many documents are dealt
-out by run and by window instead of by gram, so no task gathers them; any choice of such grams gives the same result.
+out by run, and by as many groups of windows as they need, instead of by gram, so no task gathers them; any choice of such grams
+gives the same result.
 
 Null texts are empty. Rows with equal doc_id are ordered by a hash of their text; equal rows are one document and each get its
 result. Null doc_ids come before all others. Texts shorter than `length` keep every byte. Other columns are ignored.
@@ -19,6 +20,7 @@ result. Null doc_ids come before all others. Texts shorter than `length` keep ev
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -141,8 +143,11 @@ def _entries(texts: list[str | None], length: int, gram: int) -> list[np.ndarray
     return [np.concatenate(column) for column in zip(*parts)]
 
 
-def _hot_grams(docs: DataFrame, buckets: int, length: int, gram: int) -> np.ndarray:
-    """Grams with a large part of all runs in a sample, at most HOT_GRAMS: only a hint how to deal out the work."""
+def _hot_grams(docs: DataFrame, buckets: int, length: int, gram: int) -> dict[int, int]:
+    """Grams with a large part of all runs in a sample, at most HOT_GRAMS, and into how many parts each is split.
+
+    Only a hint how to deal out the work.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,7 +159,7 @@ def _hot_grams(docs: DataFrame, buckets: int, length: int, gram: int) -> np.ndar
     total = sums.agg(F.sum("n")).first()[0] or 0
     hot = sums.where(F.col("n") >= max(2, HOT_PART * total / buckets))
     rows = hot.orderBy(F.desc("n"), "key").limit(HOT_GRAMS).collect()
-    return np.sort(np.array([row.key for row in rows], np.int64).view(np.uint64))
+    return {row.key & (2**64 - 1): 1 + math.ceil(row.n * buckets / total / HOT_PART) for row in rows}
 
 
 def _within(values: np.ndarray, members: np.ndarray) -> np.ndarray:
@@ -199,16 +204,16 @@ def _cut_rows(ids: np.ndarray, owners: np.ndarray, starts: np.ndarray, ends: np.
     )
 
 
-DROPPED, COMPARED, COMPARED_HOT = 0, 1, 2
+DROPPED, COMPARED = 0, 1
 
 
 def _ids(batch: pa.RecordBatch, doc: str = "doc", mark: str = "mark") -> np.ndarray:
     return np.stack([batch.column(name).to_numpy(zero_copy_only=False).astype(np.int64) for name in (doc, mark)], axis=1)
 
 
-def find_runs(docs: DataFrame, buckets: int, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def find_runs(docs: DataFrame, hot_parts: dict[int, int], buckets: int, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """Step 1: per document, intervals that go (DROPPED) and runs to be compared with others (starts, ends, grams)."""
-    hot = _hot_grams(docs, buckets, length, gram)
+    hot = np.array(sorted(hot_parts), np.uint64)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shift = TaskContext.get().partitionId()
@@ -244,8 +249,8 @@ def find_runs(docs: DataFrame, buckets: int, length: int = LENGTH, gram: int = G
         out.append(_cut_rows(ids, owners[again], starts[again], starts[again] + counts[again] + length - 1, keys[again], DROPPED))
         keep = order[first]
         _, place, seen = np.unique(keys[keep], return_inverse=True, return_counts=True)
-        for kind, chosen in ((COMPARED, keep[(seen[place] > 1) & ~hotness[keep]]), (COMPARED_HOT, keep[hotness[keep]])):
-            out.append(_cut_rows(ids, owners[chosen], starts[chosen], starts[chosen] + counts[chosen] + length - 1, keys[chosen], kind))
+        chosen = keep[(seen[place] > 1) | hotness[keep]]
+        out.append(_cut_rows(ids, owners[chosen], starts[chosen], starts[chosen] + counts[chosen] + length - 1, keys[chosen], COMPARED))
         return pa.Table.from_batches(out)
 
     sent = docs.select("doc", "mark", "text").mapInArrow(send, SENT)
@@ -362,15 +367,17 @@ def equal_classes(text: np.ndarray, starts: np.ndarray, segment: np.ndarray, dep
     return classes
 
 
-def _pieces(raw: bytes, low: int, high: int, key: int, owner: int, length: int, hot: bool) -> list[tuple]:
-    """What a run sends: (number to deal by, gram, document, start, windows, bytes), whole or, if hot, by window."""
-    if not hot:
+def _pieces(raw: bytes, low: int, high: int, key: int, owner: int, length: int, parts: int) -> list[tuple]:
+    """What a run sends: (number to deal by, gram, document, start, windows, bytes), whole or, in parts, by window."""
+    if parts < 2:
         return [(key, key, owner, low, high - low - length + 1, raw[low:high])]
     marks = Hashes(np.frombuffer(raw, np.uint8)[low:high], BASES[1]).every(length).tolist()
-    return [(mark, key, owner, low + at, 1, raw[low + at : low + at + length]) for at, mark in enumerate(marks)]
+    # Equal windows have equal hashes and so the same part.
+    dealt = [(key + (mark >> 32) % parts) & (2**64 - 1) for mark in marks]
+    return [(number, key, owner, low + at, 1, raw[low + at : low + at + length]) for at, number in enumerate(dealt)]
 
 
-def compare_runs(docs: DataFrame, runs: DataFrame, buckets: int, length: int = LENGTH) -> DataFrame:
+def compare_runs(docs: DataFrame, runs: DataFrame, hot_parts: dict[int, int], buckets: int, length: int = LENGTH) -> DataFrame:
     """Step 2: per document, the intervals of windows that also start earlier, among the runs to be compared."""
     open_runs = runs.where(F.col("kind") != DROPPED).groupBy("doc", "mark").agg(F.collect_list(F.struct("kind", "starts", "ends", "keys")).alias("runs"))
     joined = docs.select("doc", "mark", "text").join(open_runs, ["doc", "mark"])
@@ -388,7 +395,8 @@ def compare_runs(docs: DataFrame, runs: DataFrame, buckets: int, length: int = L
                 for one in lists:
                     starts, ends, keys = (np.frombuffer(one[n], "<i8").tolist() for n in ("starts", "ends", "keys"))
                     for low, high, key in zip(starts, ends, keys):
-                        pieces += _pieces(raw, low, high, key & (2**64 - 1), owner, length, one["kind"] == COMPARED_HOT)
+                        gram = key & (2**64 - 1)
+                        pieces += _pieces(raw, low, high, gram, owner, length, hot_parts.get(gram, 1))
             if not pieces:
                 continue
             dealt, keys, owners, starts, counts, texts = (list(column) for column in zip(*pieces))
@@ -466,8 +474,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, buck
     """Per document: doc_id, n_bytes, spans (removed byte runs) and kept (the remaining bytes)."""
     known = _identified(docs)
     buckets = buckets or _bucket_count(docs)
-    runs = find_runs(known, buckets, length, gram)
-    cuts = runs.where(F.col("kind") == DROPPED).unionByName(compare_runs(known, runs, buckets, length))
+    hot_parts = _hot_grams(known, buckets, length, gram)
+    runs = find_runs(known, hot_parts, buckets, length, gram)
+    cuts = runs.where(F.col("kind") == DROPPED).unionByName(compare_runs(known, runs, hot_parts, buckets, length))
     cuts = stored(cuts.select("doc", "mark", "starts", "ends"), "suffix-cuts")
     gathered = cuts.groupBy("doc", "mark").agg(F.collect_list(F.struct("starts", "ends")).alias("cuts"))
     whole = known.join(gathered, ["doc", "mark"], "left").select("doc_id", "text", "cuts")
