@@ -67,3 +67,11 @@ def test_features():
     found = dict(zip(toxicity.FEATURES, toxicity.features("You ZURKLING, vomple! z0urk vomples", lexicon)))
     assert found["hits"] == 2 and found["kinds"] == 2 and found["strongest"] == 3 and found["addressed"] == 2 and found["shouting"] == pytest.approx(1 / 5)
     assert toxicity.features(None, lexicon) == toxicity.features("", lexicon) == [0.0] * len(toxicity.FEATURES)
+
+
+def test_lexicon_is_the_same_for_any_partitions(spark):
+    docs, labels = corpus(400, seed=3)
+    rows = [(doc[1], label[1]) for doc, label in zip(docs, labels)]
+    frame = spark.createDataFrame(rows, "text string, toxic int")
+    one, many = (toxicity.lexicon_of(frame.repartition(parts), sure=3.0) for parts in (1, 200))
+    assert one == many and "=zurk" in one
