@@ -17,7 +17,7 @@ are one document and each get its result. Null doc_ids come first. An empty tabl
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -107,13 +107,18 @@ def _mixed(values: np.ndarray) -> np.ndarray:
 
 
 def word_counts(docs: DataFrame) -> np.ndarray:
-    """Counters of all words of all texts, 2 ** SLOT_BITS of them: that, and no more, comes to the driver."""
+    """Counters of all words of all texts."""
+    return counted(docs, lambda raw: _word_hashes(raw)[0])
+
+
+def counted(docs: DataFrame, hashes_of: Callable[[list[bytes]], np.ndarray]) -> np.ndarray:
+    """Counters of all hashes of all texts, 2 ** SLOT_BITS of them: that, and no more, comes to the driver."""
     width = (1 << SLOT_BITS) // SLICES
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << SLOT_BITS, np.int64)
         for batch in _pieces(batches, 0):
-            total += np.bincount(_slots(_word_hashes([utf8(text) for text in batch.column(0).to_pylist()])[0]), minlength=len(total))
+            total += np.bincount(_slots(hashes_of([utf8(text) for text in batch.column(0).to_pylist()])), minlength=len(total))
         for part in range(SLICES):
             own = total[part * width : (part + 1) * width]
             used = np.nonzero(own)[0]

@@ -135,7 +135,14 @@ def _forest(left: np.ndarray, right: np.ndarray, radius: int) -> tuple[np.ndarra
     i, j = np.concatenate(rows), np.concatenate(columns)
     values, place = np.unique(np.concatenate([left[i], right[j]]), return_inverse=True)
     i, j = place[: len(i)], place[len(i) :]
-    label = np.arange(len(values))
+    label = merged(np.arange(len(values)), i, j)
+    ends = np.nonzero(label != np.arange(len(values)))[0]
+    return values[ends], values[label[ends]]
+
+
+def merged(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The labels, each the smallest place of its group, once the pairs (i, j) are linked too."""
+    i, j = label[i], label[j]
     while True:
         low = np.minimum(label[i], label[j])
         new = label.copy()
@@ -145,10 +152,8 @@ def _forest(left: np.ndarray, right: np.ndarray, radius: int) -> tuple[np.ndarra
         np.minimum.at(new, label[j], low)
         new = new[new]
         if np.array_equal(new, label):
-            break
+            return label
         label = new
-    ends = np.nonzero(label != np.arange(len(values)))[0]
-    return values[ends], values[label[ends]]
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, tile_rows: int = TILE) -> DataFrame:
