@@ -36,9 +36,13 @@ TREES = "shard long, dim int, ids binary, vectors binary, boxes binary, nodes bi
 def whole_vectors(values: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Usable rows of a column by dimension: their places and their vectors of whole numbers."""
     offsets = values.offsets.to_numpy().astype(np.int64)
-    flat = np.floor(SCALE * values.values.to_numpy(zero_copy_only=False).astype(np.float64))
-    bad = np.concatenate([[0], np.cumsum(~(np.abs(flat) < 2.0**62))])
+    given = values.values.to_numpy(zero_copy_only=False).astype(np.float64)
+    with np.errstate(over="ignore"):
+        flat = np.floor(SCALE * given)
+    bad, large = (np.concatenate([[0], np.cumsum(which)]) for which in (~np.isfinite(given), ~(np.abs(flat) < 2.0**62)))
     usable = (bad[offsets[1:]] == bad[offsets[:-1]]) & values.is_valid().to_numpy(zero_copy_only=False)
+    if (usable & (large[offsets[1:]] != large[offsets[:-1]])).any():
+        raise OverflowError("a finite component of a vector is too large for a whole number of 62 bits")
     sizes = np.diff(offsets)
     for size in np.unique(sizes[usable]):
         rows = np.nonzero(usable & (sizes == size))[0]

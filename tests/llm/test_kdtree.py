@@ -64,3 +64,13 @@ def test_bounds_skip_boxes():
     opened = kdtree.search_tree(queries, best, order, vectors[order], boxes, nodes)
     assert opened < (nodes[:, 2] < 0).sum() / 4
     assert sorted((s for s, _ in best[0]), reverse=True) == sorted((vectors @ vectors[0]).tolist(), reverse=True)[:5]
+
+
+@pytest.mark.parametrize("large", [5e15, -1e300, 1e308])
+def test_large_finite_components_fail(large):
+    import pyarrow as pa
+
+    whole = lambda rows: [r.tolist() for r, _ in kdtree.whole_vectors(pa.array(rows, pa.list_(pa.float64())))]
+    assert whole([[1.0, 2.0], None, [1.0, None], [float("inf"), large], [float("nan"), 1.0]]) == [[0]]
+    with pytest.raises(OverflowError):
+        whole([[1.0, 2.0], [1.0, large]])
