@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +23,24 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(folder)
 
 
+def fresh_name(frame: DataFrame, name: str) -> str:
+    """The name, lengthened until the frame has no such column."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def in_pieces(batches: Iterator[pa.RecordBatch], column: int, most: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+    """Batches cut to so many bytes of a text or binary column, or to one row where it has more."""
+    for batch in batches:
+        sizes = np.array([len(v.as_buffer()) if v.is_valid else 0 for v in batch.column(column)], np.int64)
+        group = np.cumsum(sizes) // most
+        bounds = [0, *(np.nonzero(np.diff(group))[0] + 1).tolist(), batch.num_rows] if batch.num_rows else []
+        for low, high in zip(bounds, bounds[1:]):
+            yield batch.slice(low, high - low)
+
+
 def utf8(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 

@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import chat, decontaminate, kdtree, licences, line_dedup, mixing, simhash, suffixes, token_files, toxicity
+from quire.llm import chat, content_sort, decontaminate, kdtree, licences, line_dedup, merkle, mixing, simhash, suffixes, token_files, toxicity, whitening
 from quire.llm.common import table
 
 
@@ -89,6 +89,19 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+def op12_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return content_sort.exact_duplicates(table(spark, folder, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    found = merkle.audit(table(spark, folder, "documents"))
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", F.element_at("copied", -1).alias("folded_root"), "verified")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_chat_format": op2_chat_format,
@@ -100,6 +113,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_license_scan": op9_license_scan,
     "op10_toxicity": op10_toxicity,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE: dict[str, str] = {
@@ -149,5 +165,58 @@ p AS (
   FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+""",
+    "op12_exact_dedup": r"""
+WITH t AS (
+  SELECT doc_id, row_number() OVER () AS place, coalesce(length(text), 0) AS chars,
+         regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS same FROM documents)
+SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY same) AS group_size,
+       row_number() OVER best = 1 AS kept, sha256(same) AS text_sha256
+FROM t WINDOW best AS (PARTITION BY same ORDER BY chars DESC, doc_id NULLS LAST, place)
+""",
+    # A source's levels are lists of digests; each level is made of the one below until one node is left.
+    "op13_merkle_manifest": r"""
+WITH RECURSIVE field AS (
+  SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered,
+         concat(coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+                coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-')) AS rest
+  FROM documents),
+crc AS (SELECT bits.i AS n, list_reduce(list_prepend(CAST(bits.i AS BIGINT), range(8)), lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, CAST(3988292384 AS BIGINT)) ELSE c >> 1 END) AS v FROM range(256) bits(i)),
+crcs AS (SELECT list(v ORDER BY n) AS v FROM crc),
+picked AS (
+  SELECT *, doc_id IS NOT NULL AND text IS NOT NULL AND xor(list_reduce(
+      list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), ''), ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+      lambda c, b: xor(c >> 8, crcs.v[(xor(c, b) & 255) + 1])), CAST(4294967295 AS BIGINT)) % 5 = 0 AS hit
+  FROM field, crcs),
+leaf AS (
+  SELECT doc_id, source, sha256(rest || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         CASE WHEN hit THEN sha256(rest || strlen(lowered) || ':' || lowered) ELSE sha256(rest || coalesce(strlen(text) || ':' || text, '-')) END AS start
+  FROM picked),
+placed AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM leaf),
+level AS (
+  SELECT source, 0 AS l, list(leaf ORDER BY place) AS nodes FROM placed GROUP BY source
+  UNION ALL
+  SELECT source, l + 1, list_transform(range(CAST(ceil(len(nodes) / 16) AS BIGINT)), lambda i: sha256(array_to_string(nodes[16 * i + 1:16 * i + 16], '')))
+  FROM level WHERE len(nodes) > 1),
+sub AS (SELECT source, nodes[1] AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place FROM level WHERE len(nodes) = 1),
+top AS (
+  SELECT 0 AS l, list(subroot ORDER BY place) AS nodes FROM sub
+  UNION ALL
+  SELECT l + 1, list_transform(range(CAST(ceil(len(nodes) / 16) AS BIGINT)), lambda i: sha256(array_to_string(nodes[16 * i + 1:16 * i + 16], '')))
+  FROM top WHERE len(nodes) > 1),
+step AS (
+  SELECT p.doc_id, p.source, p.place, v.l, p.place // CAST(16 ** v.l AS BIGINT) AS pos, v.nodes FROM placed p JOIN level v ON p.source IS NOT DISTINCT FROM v.source WHERE len(v.nodes) > 1
+  UNION ALL
+  SELECT p.doc_id, p.source, p.place, 100 + t.l, s.place // CAST(16 ** t.l AS BIGINT), t.nodes
+  FROM placed p JOIN sub s ON p.source IS NOT DISTINCT FROM s.source, top t WHERE len(t.nodes) > 1),
+cut AS (
+  SELECT source, place, l, array_to_string(nodes[pos // 16 * 16 + 1:pos], '') AS lower_side, array_to_string(nodes[pos + 2:pos // 16 * 16 + 16], '') AS upper_side FROM step),
+path AS (SELECT source, place, list({'a': lower_side, 'b': upper_side} ORDER BY l) AS sides, sha256(string_agg(lower_side || upper_side, '' ORDER BY l)) AS proof FROM cut GROUP BY source, place),
+folded AS (
+  SELECT p.doc_id, p.source, p.leaf, coalesce(h.proof, sha256('')) AS proof_sha256, (SELECT nodes[1] FROM top WHERE len(nodes) = 1) AS root,
+         list_reduce(list_prepend({'a': p.start, 'b': ''}, coalesce(h.sides, [])), lambda x, y: {'a': sha256(y.a || x.a || y.b), 'b': ''}).a AS folded_root
+  FROM placed p LEFT JOIN path h ON p.source IS NOT DISTINCT FROM h.source AND p.place = h.place)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified
+FROM folded f JOIN sub s ON f.source IS NOT DISTINCT FROM s.source
 """,
 }

@@ -18,6 +18,9 @@ COLUMNS = {
     "op8_mixing": "doc_id source weight copies",
     "op9_license_scan": "doc_id n_words n_base first_word last_word base_labels labels score",
     "op10_toxicity": "doc_id held_out score predicted",
+    "op11_embedding_whitening": "vec_id component n deviation whitened explained identity_error",
+    "op12_exact_dedup": "doc_id keep_id group_size kept text_sha256",
+    "op13_merkle_manifest": "doc_id leaf subroot root proof_sha256 folded_root verified",
 }
 
 
@@ -29,7 +32,7 @@ def connection():
 
 def test_one_query_for_each_operator():
     assert QUERIES.keys() == COLUMNS.keys() and ORACLE.keys() <= QUERIES.keys()
-    assert [re.match(r"op(\d+)_", name)[1] for name in QUERIES] == [str(n) for n in range(1, 11)]
+    assert [re.match(r"op(\d+)_", name)[1] for name in QUERIES] == [str(n) for n in range(1, 14)]
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
 
 
@@ -42,4 +45,4 @@ def test_equal_to_sql(spark, connection, name):
 def test_columns_and_rows(spark, name):
     got = QUERIES[name](spark, FOLDER)
     assert got.columns == COLUMNS[name].split()
-    assert got.count() == spark.read.parquet(f"{FOLDER}/documents.parquet").count()
+    assert got.count() == (4 * spark.read.parquet(f"{FOLDER}/embeddings.parquet").count() if "embedding" in name else spark.read.parquet(f"{FOLDER}/documents.parquet").count())
