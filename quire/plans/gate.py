@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from quire.functions import ACCENTS, isbn13_has_shape
 from quire.functions.dates import cyymmdd_to_date
 from quire.functions.text import DAMAGE
+from quire.model import table
 from quire.model.fields import SourceTable
 from quire.operators.joins import orphan_keys
 from quire.plans.measures import MONEY, total
@@ -176,26 +177,36 @@ def _null_ratio(scans: Scans, name: str, df: DataFrame, limits: Limits) -> list[
     return entries
 
 
-def unreadable(name: str, delivered: DataFrame, table: SourceTable) -> DataFrame:
-    """Values that cleaning turns into NULL: numbers that do not fit their type FAIL, codes that are no day WARN.
+def unreadable_measures(table: SourceTable) -> dict[str, Column]:
+    """For each column of numbers or coded dates, how many values cleaning turns into NULL.
 
-    An absent value or a date code of zero is no loss. All columns are measured in one aggregate.
+    An absent value or a date code of zero is no loss. The columns can be observed while a delivery is written.
     """
-    fields = [f for f in table.fields if f.kind != "char"]
-    measures = [F.count("*").alias("_rows")]
-    for i, f in enumerate(fields):
+    measures = {}
+    for f in (f for f in table.fields if f.kind != "char"):
         given = F.col(f.source)
         if f.kind == "cyymmdd":
             lost = given.isNotNull() & F.coalesce(given.try_cast("bigint") != 0, F.lit(True)) & cyymmdd_to_date(f.source).isNull()
         else:
             lost = given.isNotNull() & given.try_cast(f.raw_type).isNull()
-        measures.append(F.count_if(lost).alias(f"_n{i}"))
+        measures[f.source] = F.count_if(lost)
+    return measures
+
+
+def unreadable(name: str, delivered: DataFrame, table: SourceTable) -> DataFrame:
+    """Values that cleaning turns into NULL: numbers that do not fit their type FAIL, codes that are no day WARN."""
+    lost = [measure.alias(column) for column, measure in unreadable_measures(table).items()]
+    return unreadable_report(name, delivered.agg(F.count("*").alias("_rows"), *lost), table)
+
+
+def unreadable_report(name: str, measured: DataFrame, table: SourceTable) -> DataFrame:
+    """The same from one row of counts: `_rows` and one column for each column measured."""
     entries = []
-    for i, f in enumerate(fields):
-        lost = F.col(f"_n{i}")
+    for f in (f for f in table.fields if f.kind != "char"):
+        lost = F.col(f.source)
         status = F.when(lost == 0, PASS).otherwise(WARN if f.kind == "cyymmdd" else FAIL)
         entries.append(entry(f"unreadable {name}.{f.source}", status, lost, 0, counted(("unreadable", lost), ("rows", F.col("_rows")))))
-    return report(delivered.agg(*measures), *entries)
+    return report(measured, *entries)
 
 
 # Books: ISBN and dates ---------------------------------------------------------------------------
@@ -407,10 +418,12 @@ def full_gate(
     limits: Limits = STAGE_LIMITS,
     known_books: list[Expected] | None = None,
     known_authors: list[Expected] | None = None,
+    delivered: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """All checks on the three layers; gold by the names dim_* and fact_*. What is absent fails its checks.
 
-    Every table is scanned once for all checks together; only the integrity checks join.
+    Every table is scanned once for all checks together; only the integrity checks join. `delivered` are the tables before they
+    got their types: what bronze holds no more is counted there.
     """
     layers = [
         Layers(name, bronze.get(name), silver.get(name), gold.get(gold_name), name == "ventes")
@@ -448,4 +461,5 @@ def full_gate(
             parts.append(integrity(check, child, parent, key))
         else:
             entries += ask(check, [None], list)
+    parts += [unreadable(name, df, table(name)) for name, df in (delivered or {}).items() if unreadable_measures(table(name))]
     return union_all([scans.report(entries), *parts])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +45,25 @@ def dim_author(authors: DataFrame) -> DataFrame:
     return with_surrogate_key(named, "auteur_key", ["code_auteur"])
 
 
+def author_contracts(authors: DataFrame, contracts: DataFrame, as_of: dt.date) -> DataFrame:
+    """The author dimension with what the contracts say: how many, how many in term, rates, advances, first start.
+
+    Contracts are summed to the author first; an author without one has zeros.
+    """
+    in_term = (F.col("date_debut") <= F.lit(as_of)) & (F.col("date_fin").isNull() | (F.col("date_fin") >= F.lit(as_of)))
+    summed = contracts.groupBy("code_auteur").agg(
+        F.count("*").alias("nb_contrats"),
+        F.count_if(in_term).alias("nb_contrats_en_cours"),
+        F.min("pct_droits").alias("pct_droits_min"),
+        F.max("pct_droits").alias("pct_droits_max"),
+        F.sum("avance").cast("decimal(28,2)").alias("total_avances"),
+        F.min("date_debut").alias("premier_contrat"),
+    )
+    none = {"nb_contrats": F.lit(0).cast("bigint"), "nb_contrats_en_cours": F.lit(0).cast("bigint"), "total_avances": F.lit(0).cast("decimal(28,2)")}
+    joined = authors.join(summed, "code_auteur", "left")
+    return joined.withColumns({c: F.coalesce(c, zero) for c, zero in none.items()})
+
+
 def dim_book(books: DataFrame) -> DataFrame:
     """Books with a valid ISBN, labelled and banded by price."""
     labelled = books.filter("isbn_valide").select(
@@ -129,6 +150,11 @@ def fact_orders(orders: DataFrame) -> DataFrame:
     )
 
 
+def orders_with_publisher(orders: DataFrame, books: DataFrame) -> DataFrame:
+    """The order fact with the publisher of the book, by which it is laid out; an unknown book has none."""
+    return join_dimension(orders, books.select("isbn", "code_editeur"), ["isbn"], "left")
+
+
 def book_authors(bridge: DataFrame, authors: DataFrame) -> DataFrame:
     """Book-author pairs with role, order and the author's name; a pair without author record stays, unnamed."""
     names = authors.select("code_auteur", "nom_complet")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.columns import as_column
 from quire.operators.joins import join_dimension
+from quire.session import stored_once
 
 CENT = Decimal("0.01")
 AUTHOR = "AUT"
@@ -209,22 +210,23 @@ def stock_by_site(stock: DataFrame) -> DataFrame:
     )
 
 
-def royalties(sales: DataFrame, contracts: DataFrame, bridge: DataFrame) -> DataFrame:
-    """What each contract earned: net HT sales in its term times its rate, against the advance.
+def earnings(sales: DataFrame, contracts: DataFrame, bridge: DataFrame) -> DataFrame:
+    """(num_contrat, date_vente, _cents): net HT sales of a book and day under the contract that they fall to.
 
     A sale counts once per author of the book: under the author's contract for the title if one is in
     term on that day, else under a contract without title; among several the latest start and then the
     highest number. The status does not matter inside the term, and a term without end stays open.
 
-    Sales are summed to book and day before they meet contracts. Contracts meet the years in which their
-    books were sold, and then the days by book and year, so a long-lived pair is spread over tasks. The
-    choice among contracts groups by the join's own keys first, so it needs no further shuffle.
+    Sales are summed to book and day before they meet contracts, and stored, as three steps ask for them. Contracts meet
+    the years in which their books were sold, and then the days by book and year, so a long-lived pair is spread over tasks.
+    The choice among contracts groups by the join's own keys first, so it needs no further shuffle.
     """
-    daily = (
+    daily = stored_once(
         sales.filter(F.col("date_vente").isNotNull())
         .groupBy("isbn", "date_vente")
         .agg(F.sum(cents(F.col("montant_ht"))).alias("_cents"))
-        .withColumn("_year", F.year("date_vente"))
+        .withColumn("_year", F.year("date_vente")),
+        "daily-sales",
     )
     sold = daily.select("isbn", "_year").distinct()
     terms = contracts.select(
@@ -245,21 +247,61 @@ def royalties(sales: DataFrame, contracts: DataFrame, bridge: DataFrame) -> Data
     in_term = (F.col("date_vente") >= F.col("date_debut")) & (
         F.col("date_fin").isNull() | (F.col("date_vente") <= F.col("date_fin"))
     )
-    earned = (
+    return (
         daily.join(by_year, ["isbn", "_year"])
         .filter(in_term)
         .groupBy("isbn", "_year", "date_vente", "code_auteur")
         .agg(F.max("_preference").alias("_best"), F.max("_cents").alias("_cents"))
-        .groupBy("_best.num_contrat")
-        .agg(F.sum("_cents").alias("_cents"))
+        .select("_best.num_contrat", "date_vente", "_cents")
     )
+
+
+def _due(base: Column) -> Column:
+    return F.round(base * F.col("pct_droits") / 100, 2).cast(MONEY)
+
+
+def royalties(sales: DataFrame, contracts: DataFrame, bridge: DataFrame) -> DataFrame:
+    """What each contract earned over its life: net HT sales in its term times its rate, against the advance."""
+    earned = earnings(sales, contracts, bridge).groupBy("num_contrat").agg(F.sum("_cents").alias("_cents"))
     base = from_cents(F.col("_cents"))
     owed = contracts.join(earned, "num_contrat", "left").select(
         "num_contrat",
         "code_auteur",
         base.alias("base_ht"),
-        F.round(base * F.col("pct_droits") / 100, 2).cast(MONEY).alias("droits_dus"),
+        _due(base).alias("droits_dus"),
         F.coalesce("avance", F.lit(0)).cast(MONEY).alias("avance"),
     )
     payable = F.greatest(F.col("droits_dus") - F.col("avance"), F.lit(0)).cast(MONEY)
     return owed.withColumn("droits_a_payer", payable)
+
+
+PERIODS = {"annee": "year", "trimestre": "quarter", "mois": "month"}
+
+
+def royalty_ledger(sales: DataFrame, contracts: DataFrame, bridge: DataFrame, period: str = "annee") -> DataFrame:
+    """Royalties by contract and period with sales: due, set off against the advance, to pay, and the advance left.
+
+    Each amount is the difference of two running totals, so the periods of a contract add up to its row in `royalties` to the
+    cent, and the advance is set off once. A period in which returns outweigh sales has negative amounts. `periode` is
+    the period's first day. Sums are per contract and period before the window, which holds a contract's periods.
+    """
+    first_day = F.trunc("date_vente", PERIODS[period]).alias("periode")
+    earned = earnings(sales, contracts, bridge).groupBy("num_contrat", first_day).agg(F.sum("_cents").alias("_cents"))
+    terms = contracts.select("num_contrat", "code_auteur", "pct_droits", F.coalesce("avance", F.lit(0)).cast(MONEY).alias("avance"))
+    up_to = Window.partitionBy("num_contrat").orderBy("periode").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    in_order = Window.partitionBy("num_contrat").orderBy("periode")
+    running = earned.join(terms, "num_contrat").withColumn("_base", from_cents(F.sum("_cents").over(up_to)))
+    running = running.withColumn("droits_cumules", _due(F.col("_base")))
+    running = running.withColumns({
+        "_set_off": F.least(F.greatest(F.col("droits_cumules"), F.lit(0)), F.col("avance")).cast(MONEY),
+        "_paid": F.greatest(F.col("droits_cumules") - F.col("avance"), F.lit(0)).cast(MONEY),
+    })
+
+    def gained(column: str) -> Column:
+        return (F.col(column) - F.coalesce(F.lag(column).over(in_order), F.lit(0))).cast(MONEY)
+
+    return running.select(
+        "num_contrat", "code_auteur", "periode", from_cents(F.col("_cents")).alias("base_ht"),
+        gained("droits_cumules").alias("droits_dus"), "droits_cumules", gained("_set_off").alias("avance_imputee"),
+        (F.col("avance") - F.col("_set_off")).cast(MONEY).alias("avance_restante"), gained("_paid").alias("droits_a_payer"),
+    )

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,10 @@ from quire.operators.merge import union_evolved
 from quire.plans.measures import MONEY, SHARE, total
 
 
+# 2 ** 12 counters: a standard error of 1.6 %, 4 KB.
+SKETCH_BITS = 12
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
@@ -50,6 +54,14 @@ def manifest(tables: Mapping[str, DataFrame], extracted_at: dt.datetime, status:
     )
 
 
+def counted_manifest(spark: SparkSession, counts: Mapping[str, int], extracted_at: dt.datetime, status: str = "OK") -> DataFrame:
+    """The manifest from rows counted while the tables were written, so that none is read again."""
+    rows = [(f"bronze_{name}", table(name).source, count, table(name).column_organised, extracted_at, status) for name, count in counts.items()]
+    return spark.createDataFrame(
+        rows, "table_name string, source_name string, row_count bigint, is_blu_source boolean, extracted_at timestamp_ntz, status string"
+    )
+
+
 def inventory(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per column of every table: storage kind, rows, type, length, scale, nullable, code page.
 
@@ -81,6 +93,37 @@ def inventory(tables: Mapping[str, DataFrame]) -> DataFrame:
     return union_all(parts)
 
 
+def file_inventory(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Files, bytes, rows and mean row size of stored tables, the largest first; each is scanned for its metadata only."""
+    parts = []
+    for name, df in tables.items():
+        files = df.groupBy("_metadata.file_path").agg(F.max("_metadata.file_size").alias("bytes"), F.count("*").alias("row_count"))
+        summed = files.agg(F.count("*").alias("files"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("bytes", "row_count")])
+        parts.append(summed.select(F.lit(name).alias("table_name"), "files", "bytes", "row_count"))
+    per_row = (F.col("bytes") / F.nullif("row_count", F.lit(0))).cast("decimal(18,2)").alias("bytes_per_row")
+    return union_all(parts).select("*", per_row).orderBy(F.desc("bytes"), "table_name")
+
+
+def distinct_sketches(df: DataFrame, load: str, columns: list[str], bits: int = SKETCH_BITS) -> DataFrame:
+    """A load's distinct values as one sketch for each column: (load, column_name, row_count, sketch), to be stored beside it."""
+    measured = df.agg(F.count("*").alias("_rows"), *[F.hll_sketch_agg(F.col(c).cast("string"), bits).alias(f"_s{i}") for i, c in enumerate(columns)])
+    entries = [F.struct(F.lit(c).alias("column_name"), F.col("_rows").alias("row_count"), F.col(f"_s{i}").alias("sketch")) for i, c in enumerate(columns)]
+    return measured.select(F.lit(load).alias("load"), F.inline(F.array(*entries)))
+
+
+def merged_distinct(sketches: DataFrame) -> DataFrame:
+    """Distinct values over all loads: (column_name, loads, row_count, approx_distinct); no load is read again.
+
+    A sketch of 2 ** bits counters errs by about 1.04 / sqrt(2 ** bits); merging adds no error, the union of the loads'
+    sketches is the sketch of all rows.
+    """
+    return sketches.groupBy("column_name").agg(
+        F.count("*").alias("loads"),
+        F.sum("row_count").alias("row_count"),
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("approx_distinct"),
+    )
+
+
 def control_totals(df: DataFrame, name: str, ht: str, ttc: str, quantity: str, day: str) -> DataFrame:
     """Count, amounts, quantity and date range in one pass."""
     return df.agg(

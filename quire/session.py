@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # AQE splits skewed join partitions, coalesces small ones and re-plans joins from real sizes.
 SCALE_SETTINGS = {
@@ -39,3 +39,10 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
         spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def stored_once(df: DataFrame, label: str) -> DataFrame:
+    """A frame that several later steps ask for: written to the scratch folder and read back."""
+    folder = scratch_folder(df.sparkSession, label)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,7 +31,12 @@ def rows_since(source: DataFrame, column: str, mark: object, strict: bool = Fals
         mark = mark.replace(hour=0, minute=0, second=0, microsecond=0)
     # The literal takes the column's type, or the column would be cast and the filter not pushed.
     bound = literal(mark, kind)
-    return source.filter(c > bound if strict else (c >= bound) | c.isNull())
+    return source.filter(c > bound if strict else since(c, bound))
+
+
+def since(changed: Column, mark: Column) -> Column:
+    """Changed at the mark or after it, or not known when."""
+    return (changed >= mark) | changed.isNull()
 
 
 def slice_predicates(column: str, values: list[object]) -> list[str]:

@@ -397,7 +397,55 @@ ORACLE: dict[str, str] = {
         SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderdate AS DATE) END AS o_day FROM orders""",
     "incremental_pipeline_counts": with_("priced", f"""
         SELECT o_orderstatus, count(*) AS nb_commandes, {cash('sum(o_totalprice)')} AS montant FROM priced GROUP BY 1"""),
-    "layout_proof": with_("isbns sales good_sales", "SELECT count(*) AS row_count, true AS reads_fewer FROM good_sales"),
+    "layout_proof": with_("isbns sales good_sales", """
+        SELECT count(*) AS row_count, count(*) AS plain_row_count, true AS reads_fewer FROM good_sales
+        WHERE date_vente BETWEEN DATE '1998-01-01' AND DATE '1998-03-31'"""),
+    "layout_report": """
+        SELECT true AS in_files, count(*) AS row_count FROM lineitem
+        WHERE l_shipdate BETWEEN TIMESTAMP '1998-01-01' AND TIMESTAMP '1998-12-31'""",
+    "extract_books": with_("isbns books", """
+        SELECT isbn AS OVISBN, rpad(titre, 40, ' ') AS OVTITR, sous_titre AS OVSTIT, code_editeur AS OVEDIT, code_collection AS OVCOLL,
+               format AS OVFMT, langue AS OVLANG, nb_pages AS OVNBPG, prix_ht AS OVPXHT, prix_ttc AS OVPXTTC, taux_tva AS OVTVA,
+               CASE WHEN raw % 211 = 0 THEN 0 WHEN raw % 503 = 0 THEN 1251301
+                    ELSE CAST(CAST(strftime(date_publication, '%Y%m%d') AS INTEGER) - 19000000 AS INTEGER) END AS OVDTPB,
+               1200101 AS OVDTCR, 1250101 AS OVDTMJ, statut AS OVSTAT, tirage_initial AS OVTIRG, poids_grammes AS OVPOID,
+               isbn AS OVEAN, commentaire AS OVCOMM
+        FROM (SELECT *, CAST(substr(isbn, 1, 12) AS BIGINT) - 978000000000 AS raw FROM books)"""),
+    "observed_unreadable": " UNION ALL ".join(
+        "SELECT " + gate_row(
+            f"'unreadable ouvrages.{f.source}'", f"CASE WHEN bad = 0 THEN 'PASS' ELSE '{'WARN' if f.kind == 'cyymmdd' else 'FAIL'}' END",
+            "bad", 0, told(("unreadable", "bad"), ("rows", "n")))
+        + f" FROM (SELECT count(*) FILTER ({'p_partkey % 503 = 0 AND p_partkey % 211 <> 0' if f.source == 'OVDTPB' else 'p_size = 1' if f.source == 'OVPXHT' else 'false'}) AS bad,"
+        " count(*) AS n FROM part)"
+        for f in table("ouvrages").fields if f.kind != "char"),
+    "incremental_runs": with_("isbns sales", f"""
+        SELECT {FACT_COLUMNS} FROM (SELECT *, year(date_vente) AS y, month(date_vente) AS m
+            FROM ({LATEST_SALES.format(last='vestat')}) WHERE valid)"""),
+    "sliced_extraction": RAW_SALES,
+    "merged_sketches": "SELECT column_name, (SELECT count(*) FROM lineitem) AS row_count, true AS within_bound FROM ("
+        + " UNION ALL ".join(f"SELECT '{c}' AS column_name" for c in ("VEISBN", "VENUMR", "VEDTVT", "VECANL", "VEENTR")) + ")",
+    "evolved_deliveries": with_("priced", """
+        SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, o_orderdate, CAST(o_totalprice AS DECIMAL(14,3)) AS o_totalprice,
+               CASE WHEN o_orderstatus = 'P' THEN 'P' END AS o_orderstatus FROM priced"""),
+    "quarantined_lines": with_("isbns line_totals cmd", f"""
+        SELECT CAST(count(*) AS BIGINT) AS lines, CAST(count(*) FILTER (num_commande % 10 <> 3) AS BIGINT) AS accepted,
+               CAST(count(*) FILTER (num_commande % 10 = 3) AS BIGINT) AS rejected, true AS balanced,
+               {cash('sum(montant_ht) FILTER (num_commande % 10 <> 3)')} AS montant_ht FROM cmd"""),
+    "drill_down_orders": """
+        SELECT o_orderkey, CASE WHEN o_orderkey % 997 = 5 THEN 'deleted' ELSE 'updated' END AS change
+        FROM orders WHERE o_orderkey % 997 = 5 OR o_orderkey % 1009 = 7""",
+    "onix_arrivals": with_("isbns", """
+        SELECT isbn AS reference, isbn AS isbn13, CASE WHEN p_partkey % 4 >= 2 THEN p_name ELSE p_type END AS titre, CAST(1 AS BIGINT) AS files_set_aside
+        FROM part JOIN isbns ON p_partkey = k"""),
+    "author_contracts": with_("authors isbns line_totals contracts", """
+        SELECT a.code_auteur, any_value(a.nom_complet) AS nom_complet, count(num_contrat) AS nb_contrats,
+               count(*) FILTER (date_debut <= DATE '{end}' AND (date_fin IS NULL OR date_fin >= DATE '{end}')) AS nb_contrats_en_cours,
+               min(pct) AS pct_droits_min, max(pct) AS pct_droits_max, CAST(coalesce(sum(avance), 0) AS DECIMAL(28,2)) AS total_avances,
+               min(date_debut) AS premier_contrat
+        FROM authors a LEFT JOIN contracts c ON a.code_auteur = c.code_auteur GROUP BY a.code_auteur""".replace("{end}", str(cat.FIRST_LOAD_END))),
+    "orders_with_publisher": with_("isbns books line_totals cmd", """
+        SELECT num_commande, date_commande, code_editeur, qte_commandee, montant_ht
+        FROM cmd LEFT JOIN (SELECT isbn, code_editeur FROM books WHERE valid) b ON cmd.isbn = b.isbn"""),
     "sketches_within_bound": "SELECT column_name, (SELECT count(*) FROM lineitem) AS row_count, true AS within_bound FROM ("
         + " UNION ALL ".join(f"SELECT '{c}' AS column_name" for c in table("ventes").source_columns) + ")",
     "incremental_since": f"""
@@ -432,6 +480,11 @@ ORACLE: dict[str, str] = {
         f"{str(n == 'ventes').lower()} AS is_blu_source, TIMESTAMP '{cat.EXTRACTED_AT}' AS extracted_at, 'OK' AS status FROM {given}"
         for n, (src, given) in COUNT_SOURCES.items()
     ),
+    "observed_manifest": " UNION ALL ".join(
+        f"SELECT 'bronze_{n}' AS table_name, '{src}' AS source_name, count(*) AS row_count, "
+        f"{str(n == 'ventes').lower()} AS is_blu_source, TIMESTAMP '{cat.EXTRACTED_AT}' AS extracted_at, 'OK' AS status FROM {given}"
+        for n, (src, given) in COUNT_SOURCES.items()
+    ),
     "table_inventory": " UNION ALL ".join(
         f"SELECT '{src}' AS table_name, '{'COLUMN' if src == 'VENTEP' else 'ROW'}' AS storage, "
         f"(SELECT count(*) FROM {given}) AS row_count, {i} AS ordinal, '{f.source}' AS column_name, "
@@ -619,6 +672,33 @@ ORACLE: dict[str, str] = {
                 FROM contracts c LEFT JOIN chosen USING (num_contrat))
         SELECT num_contrat, code_auteur, base_ht, {cash('d')} AS droits_dus, {cash('avance')} AS avance,
                {cash('greatest(CAST(d AS DECIMAL(28,2)) - avance, 0)')} AS droits_a_payer FROM due"""),
+    "royalty_ledger": with_("isbns sales good_sales bridge line_totals contracts", f"""
+        , daily AS (SELECT isbn, date_vente, sum(montant_ht) AS ht FROM good_sales GROUP BY ALL),
+        named AS (SELECT DISTINCT isbn, code_auteur FROM bridge),
+        offered AS (
+            SELECT d.isbn, d.date_vente, d.ht, c.code_auteur, c.num_contrat, c.date_debut, 1 AS titled
+            FROM daily d JOIN contracts c ON c.isbn = d.isbn AND d.date_vente >= c.date_debut
+                 AND (c.date_fin IS NULL OR d.date_vente <= c.date_fin)
+            UNION ALL
+            SELECT d.isbn, d.date_vente, d.ht, c.code_auteur, c.num_contrat, c.date_debut, 0
+            FROM daily d JOIN named n ON n.isbn = d.isbn JOIN contracts c ON c.code_auteur = n.code_auteur
+                 AND c.isbn IS NULL AND d.date_vente >= c.date_debut
+                 AND (c.date_fin IS NULL OR d.date_vente <= c.date_fin)),
+        chosen AS (SELECT num_contrat, CAST(date_trunc('year', date_vente) AS DATE) AS periode, sum(ht) AS ht FROM (
+            SELECT *, row_number() OVER (PARTITION BY isbn, date_vente, code_auteur
+                   ORDER BY titled DESC, date_debut DESC, num_contrat DESC) AS place FROM offered)
+            WHERE place = 1 GROUP BY ALL),
+        run AS (SELECT num_contrat, code_auteur, periode, {cash('ht')} AS base_ht, CAST(avance AS DECIMAL(28,2)) AS avance, pct,
+                       CAST(sum(ht) OVER (PARTITION BY num_contrat ORDER BY periode) AS DECIMAL(28,2)) AS whole
+                FROM chosen JOIN contracts USING (num_contrat)),
+        due AS (SELECT *, CAST(CAST(whole * pct * 0.01 AS DECIMAL(28,2)) AS DECIMAL(28,2)) AS d FROM run),
+        cum AS (SELECT *, least(greatest(d, 0), avance) AS off, greatest(d - avance, 0) AS paid FROM due)
+        SELECT num_contrat, code_auteur, periode, base_ht,
+               CAST(d - coalesce(lag(d) OVER w, 0) AS DECIMAL(28,2)) AS droits_dus, d AS droits_cumules,
+               CAST(off - coalesce(lag(off) OVER w, 0) AS DECIMAL(28,2)) AS avance_imputee,
+               CAST(avance - off AS DECIMAL(28,2)) AS avance_restante,
+               CAST(paid - coalesce(lag(paid) OVER w, 0) AS DECIMAL(28,2)) AS droits_a_payer
+        FROM cum WINDOW w AS (PARTITION BY num_contrat ORDER BY periode)"""),
     "order_fill": with_("isbns line_totals cmd", f"""
         SELECT statut, count(*) AS nb_commandes, {big('sum(qte_commandee)')} AS qte_commandee,
                {big('sum(qte_livree)')} AS qte_livree,
