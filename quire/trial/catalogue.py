@@ -38,7 +38,7 @@ from quire.operators.joins import orphan_keys
 from quire.operators.keys import key_collisions
 from quire.operators.merge import snapshot_diff, union_evolved, upsert
 from quire.operators.profile import profile_columns
-from quire.operators.vectors import cosine_topk
+from quire.operators.vectors import CosineSearch, cosine_topk
 from quire.plans import gate, gold, increments, measures, monitor, recon
 from quire.plans.pipeline import Lake
 from quire.plans.silver import excluded_rows, silver
@@ -981,6 +981,15 @@ def cosine_topk_per_label(spark, folder):
     return cosine_topk(vectors, chosen, k=5)
 
 
+@query
+def cosine_blocks_skipped(spark, folder):
+    """The nearest vectors to every twentieth: all pairs of a query and a block are searched or skipped."""
+    vectors = Tables(spark, folder).given("embeddings")
+    asked = vectors.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    told = CosineSearch(vectors, asked, k=5).skipped()
+    return told.select("queries", (F.col("searched") + F.col("skipped") == F.col("queries") * F.col("blocks")).alias("accounted_for"))
+
+
 # Quality gate ------------------------------------------------------------------------------------
 
 ENTITIES = ("ouvrages", "ventes", "stocks", "editeurs", "auteurs")

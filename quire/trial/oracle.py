@@ -773,6 +773,7 @@ ORACLE: dict[str, str] = {
         SELECT query_id, vec_id, CAST(place AS INTEGER) AS place, CAST(s AS DECIMAL(9,6)) AS score
         FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id) AS place FROM scored)
         WHERE place <= 5""",
+    "cosine_blocks_skipped": "SELECT count(*) FILTER (vec_id % 20 = 0) AS queries, true AS accounted_for FROM embeddings",
     "gate_completeness": with_("isbns sales good_sales publishers", COMPLETENESS),
     "gate_row_loss": "SELECT " + gate_row(
         "'row_loss ventes'", f"CASE WHEN {pct('b - s', 'b')} > 0.1 THEN 'FAIL' ELSE 'PASS' END", pct("b - s", "b"), 0.1,

@@ -201,3 +201,30 @@ def test_cosine_topk_equals_brute_force(spark):
         expected |= {(q, i, place + 1) for place, i in enumerate(order[:4])}
     got = cosine_topk(vectors, asked, 4)
     assert {(r["query_id"], r["vec_id"], r["place"]) for r in got.collect()} == expected
+
+
+def test_vector_blocks_are_skipped_and_nothing_is_lost(spark):
+    """Clusters, a vector that a third of all rows repeat, and queries that are not in the table."""
+    import numpy as np
+
+    from quire.operators.vectors import CosineSearch
+
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(12, 8)) * 4
+    points = np.concatenate([centres[i % 12] + rng.normal(size=8) * 0.1 for i in range(400)]).reshape(400, 8)
+    points = np.concatenate([points, np.repeat(points[:1], 200, axis=0)])
+    rows = [(i, [float(x) for x in p]) for i, p in enumerate(points)] + [(901, None), (902, [0.0] * 8), (903, [float("nan")] + [1.0] * 7)]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(5)
+    asked = [(i, rows[i][1]) for i in (0, 1, 5, 17, 450)] + [(-1, [1.0] + [0.0] * 7), (902, [0.0] * 8)]
+    search = CosineSearch(vectors, spark.createDataFrame(asked, "query_id bigint, embedding array<double>"), 5, pivots=16, block_rows=40)
+    unit = points / np.linalg.norm(points, axis=1)[:, None]
+    expected = set()
+    for q, v in asked[:-1]:
+        scores = np.round(unit @ (np.array(v) / np.linalg.norm(v)), 12)
+        order = sorted((i for i in range(600) if i != q), key=lambda i: (-scores[i], i))
+        expected |= {(q, i, place + 1) for place, i in enumerate(order[:5])}
+    assert {(r["query_id"], r["vec_id"], r["place"]) for r in search.result().collect()} == expected
+    told = search.skipped().first()
+    assert told.queries == 6 and told.skipped > 0 and told.searched + told.skipped == told.queries * told.blocks
+    empty = CosineSearch(vectors.limit(0), spark.createDataFrame(asked, "query_id bigint, embedding array<double>"), 5)
+    assert empty.result().count() == 0 and empty.skipped().first().searched == 0

@@ -36,7 +36,7 @@ def test_royalties_have_no_last_year_and_any_contract_number(spark):
 def test_vector_queries_have_no_limit(spark):
     points = np.random.default_rng(1).normal(size=(1001, 3))
     vectors = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(points)], "vec_id bigint, embedding array<double>")
-    got = cosine_topk(vectors, vectors.withColumnRenamed("vec_id", "query_id"), 1, query_block=400)
+    got = cosine_topk(vectors, vectors.withColumnRenamed("vec_id", "query_id"), 1, block_rows=400)
     unit = points / np.linalg.norm(points, axis=1)[:, None]
     scores = unit @ unit.T
     np.fill_diagonal(scores, -2)
