@@ -1080,9 +1080,6 @@ def gate_integrity(spark, folder):
 @query
 def gate_summary(spark, folder):
     t = Tables(spark, folder)
-    for n in ENTITIES:
-        # Asked for by several checks and joins.
-        t.built["silver", n] = stored_once(t.silver(n), f"silver-{n}")
     checks = gate.full_gate(
         {n: t.bronze(n) for n in ENTITIES},
         {n: t.silver(n) for n in ENTITIES},
