@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.session import scratch_folder
@@ -23,6 +23,19 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(folder)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Delete stored tables that no later step reads; what is not under the scratch folder is left alone."""
+    for frame in frames:
+        spark = frame.sparkSession
+        root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(spark.conf.get("spark.checkpoint.dir"))
+        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        top = fs.makeQualified(root).toUri().getPath().rstrip("/") + "/"
+        for folder in {name.rpartition("/")[0] for name in frame.inputFiles()}:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            if path.toUri().getPath().startswith(top):
+                fs.delete(path, True)
+
+
 def fresh_name(frame: DataFrame, name: str) -> str:
     """The name, lengthened until the frame has no such column."""
     taken = {c.lower() for c in frame.columns}
@@ -45,22 +58,26 @@ def utf8(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 
 
+# Edges that a task takes at once: a few edges are not dealt over many tasks, whose files would outweigh them.
+EDGES = 20_000
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """Undirected edges (a, b) of longs to (node, component), the component being its smallest node.
 
     Alternates the two star operations of Kiveris et al. (2014): every node points to the smallest node it knows, until
-    nothing changes. Each round is written to the scratch folder. Edges grow never beyond their number; a hub with most of
-    the edges is a skewed side of a plain join, which adaptive execution splits.
+    nothing changes. Each round is written to the scratch folder, and the one before deleted. Edges grow never beyond their number; a
+    hub with most of the edges is a skewed side of a plain join, which adaptive execution splits.
     """
-    spark = edges.sparkSession
     edges = stored(_ordered(edges), "edges")
     seen = None
     while True:
         found = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("mark")).first()
         if (found.n, found.mark) == seen or not found.n:
             break
-        seen = (found.n, found.mark)
-        edges = stored(_small_star(_large_star(edges)), "edges")
+        seen, tasks = (found.n, found.mark), 1 + found.n // EDGES
+        before, edges = edges, stored(_small_star(_large_star(edges, tasks), tasks), "edges")
+        discard(before)
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         edges.select(F.col("b").alias("node"), F.col("b").alias("component"))
     ).distinct()
@@ -71,25 +88,36 @@ def _ordered(edges: DataFrame) -> DataFrame:
     return edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+def _large_star(edges: DataFrame, tasks: int) -> DataFrame:
+    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).coalesce(tasks)
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    moved = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return moved.coalesce(tasks).distinct().coalesce(tasks)
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, tasks: int) -> DataFrame:
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
     moved = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return _ordered(moved.unionByName(least.select("a", F.col("m").alias("b"))))
+    return _ordered(moved.unionByName(least.select("a", F.col("m").alias("b"))).coalesce(tasks)).coalesce(tasks)
+
+
+def row_key() -> list[Column]:
+    """What tells a row of documents from others: whether it has a doc_id, the doc_id, and a hash of its text."""
+    number = F.col("doc_id").cast("long")
+    return [number.isNull().alias("no_id"), F.coalesce(number, F.lit(0)).alias("doc"), F.xxhash64("text").alias("mark")]
 
 
 def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id is not among the rejected ones; rows without a doc_id stay.
+    """The rows of docs whose doc_id and text are not among those of rejected (doc_id, mark), mark being the text's hash.
 
     A number of rejected rows has no bound, so they are never broadcast, however few they look: the plan is one at all sizes.
     """
-    names = rejected.select("doc_id").distinct().hint("merge")
-    return docs.join(names, "doc_id", "left_anti").select(docs.columns)
+    key = [fresh_name(docs, f"row_{name}") for name in ("no_id", "doc", "mark")]
+    keyed = docs.select("*", *[c.alias(name) for name, c in zip(key, row_key())])
+    number = F.col("doc_id").cast("long")
+    columns = number.isNull(), F.coalesce(number, F.lit(0)), F.col("mark")
+    names = rejected.select(*[c.alias(name) for name, c in zip(key, columns)]).distinct().hint("merge")
+    return keyed.join(names, key, "left_anti").select(docs.columns)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -8,8 +8,8 @@ however frequent, is gathered in one place: a segment's share of its postings is
 
 Words are lower-cased (A-Z only) runs of digits, letters and non-ASCII characters. Null and empty texts have no words and no
 hits. Items without words match nothing; items without an id hit words, but are not listed; repeated item rows count once.
-Repeated document rows get a row each, null ids included. An empty benchmark leaves all documents clean. Other columns are
-ignored.
+Repeated document rows get a row each, null ids included. An empty benchmark leaves all documents clean, and an empty table of
+documents gives no rows. Texts and items may be of any length. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +29,12 @@ from quire.llm.common import WORD, stored, utf8, without
 WINDOW = 10
 NEAR = 20
 SEGMENT_WORDS = 2_000_000
-BLOCK_ITEMS = 5_000
+BLOCK_ITEMS, BLOCK_WORDS = 5_000, 500_000
 CANDIDATES = 2_000_000
 
 _word = re.compile(WORD.encode("ascii"))
-INDEX_SCHEMA = "segment long, doc_ids array<long>, lengths binary, terms binary, counts binary, steps binary"
-FOUND_SCHEMA = "segment long, place int, doc_id long, n_words long, spans array<struct<start:int,end:int>>, items array<long>, near_items array<long>"
+INDEX_SCHEMA = "segment long, doc_ids array<long>, marks array<long>, lengths binary, terms binary, counts binary, steps binary"
+FOUND_SCHEMA = "segment long, place int, doc_id long, mark long, n_words long, spans array<struct<start:int,end:int>>, items array<long>, near_items array<long>"
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -49,11 +48,13 @@ class _Segment:
         self.ids: defaultdict[bytes, int] = defaultdict()
         self.ids.default_factory = self.ids.__len__
         self.doc_ids: list[int | None] = []
+        self.marks: list[int] = []
         self.streams: list[np.ndarray] = []
         self.size = 0
 
-    def add(self, doc_id: int | None, words: list[bytes]) -> None:
+    def add(self, doc_id: int | None, mark: int, words: list[bytes]) -> None:
         self.doc_ids.append(doc_id)
+        self.marks.append(mark)
         self.streams.append(np.fromiter(map(self.ids.__getitem__, words), np.int32, len(words)))
         self.size += len(words)
 
@@ -68,10 +69,10 @@ class _Segment:
         steps = np.diff(listed, prepend=0)
         firsts = np.cumsum(counts) - counts
         steps[firsts] = listed[firsts]
-        values = [segment, self.doc_ids, lengths.tobytes(), b" ".join(self.ids), counts.tobytes(), steps.astype("<i4").tobytes()]
-        kinds = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 4]
+        values = [segment, self.doc_ids, self.marks, lengths.tobytes(), b" ".join(self.ids), counts.tobytes(), steps.astype("<i4").tobytes()]
+        kinds = [pa.int64(), *[pa.list_(pa.int64())] * 2, *[pa.binary()] * 4]
         return pa.RecordBatch.from_arrays(
-            [pa.array([v], k) for v, k in zip(values, kinds)], ["segment", "doc_ids", "lengths", "terms", "counts", "steps"]
+            [pa.array([v], k) for v, k in zip(values, kinds)], ["segment", "doc_ids", "marks", "lengths", "terms", "counts", "steps"]
         )
 
 
@@ -86,16 +87,16 @@ def build_index(docs: DataFrame, segment_words: int = SEGMENT_WORDS) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, segment = TaskContext.get().partitionId() << 32, _Segment()
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for doc_id, mark, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 words = words_of(text.as_py())
                 if segment.doc_ids and segment.size + len(words) > segment_words:
                     yield segment.row(number)
                     number, segment = number + 1, _Segment()
-                segment.add(doc_id, words)
+                segment.add(doc_id, mark, words)
         if segment.doc_ids:
             yield segment.row(number)
 
-    return stored(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, INDEX_SCHEMA), "positional-index")
+    return stored(docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("mark"), "text").mapInArrow(run, INDEX_SCHEMA), "positional-index")
 
 
 class _Windows:
@@ -266,7 +267,7 @@ def _search_block(index: DataFrame, windows: _Windows, within: int) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
-                segment, doc_ids, lengths, terms, counts, steps = (batch.column(i)[at] for i in range(6))
+                segment, doc_ids, marks, lengths, terms, counts, steps = (batch.column(i)[at] for i in range(7))
                 size = np.frombuffer(lengths.as_buffer(), "<i4").astype(np.int64)
                 first = _starts(size)
                 postings = _Postings(terms.as_py(), *(np.frombuffer(x.as_buffer(), "<i4") for x in (counts, steps)), ids)
@@ -279,8 +280,8 @@ def _search_block(index: DataFrame, windows: _Windows, within: int) -> DataFrame
                 n = len(size)
                 yield pa.RecordBatch.from_pylist(
                     [
-                        {"segment": segment.as_py(), "place": i, "doc_id": doc_id, "n_words": words, "spans": spans.get(i, []), "items": items.get(i, []), "near_items": near.get(i, [])}
-                        for i, doc_id, words in zip(range(n), doc_ids.as_py(), size.tolist())
+                        {"segment": segment.as_py(), "place": i, "doc_id": doc_id, "mark": mark, "n_words": words, "spans": spans.get(i, []), "items": items.get(i, []), "near_items": near.get(i, [])}
+                        for i, doc_id, mark, words in zip(range(n), doc_ids.as_py(), marks.as_py(), size.tolist())
                     ],
                     schema=_found_type(),
                 )
@@ -290,7 +291,7 @@ def _search_block(index: DataFrame, windows: _Windows, within: int) -> DataFrame
 
 def _found_type() -> pa.Schema:
     span = pa.struct([("start", pa.int32()), ("end", pa.int32())])
-    return pa.schema([("segment", pa.int64()), ("place", pa.int32()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("spans", pa.list_(span)), ("items", pa.list_(pa.int64())), ("near_items", pa.list_(pa.int64()))])
+    return pa.schema([("segment", pa.int64()), ("place", pa.int32()), ("doc_id", pa.int64()), ("mark", pa.int64()), ("n_words", pa.int64()), ("spans", pa.list_(span)), ("items", pa.list_(pa.int64())), ("near_items", pa.list_(pa.int64()))])
 
 
 def _spans(doc: np.ndarray, start: np.ndarray, size: np.ndarray) -> dict[int, list[dict[str, int]]]:
@@ -306,14 +307,29 @@ def _spans(doc: np.ndarray, start: np.ndarray, size: np.ndarray) -> dict[int, li
     return found
 
 
+def _item_blocks(rows: Iterable[tuple[int | None, str | None]], block_items: int) -> Iterator[list[tuple[int | None, str | None]]]:
+    block, words = [], 0
+    for item, text in rows:
+        own = len(words_of(text))
+        if block and (len(block) >= block_items or words + own > BLOCK_WORDS):
+            yield block
+            block, words = [], 0
+        block.append((item, text))
+        words += own
+    if block:
+        yield block
+
+
 def search(index: DataFrame, benchmark: DataFrame, window: int = WINDOW, within: int = NEAR, block_items: int = BLOCK_ITEMS) -> DataFrame:
-    """Per indexed document: doc_id, n_words, spans (runs of hit word places), items and near_items (item ids, ascending).
+    """Per indexed document: doc_id, mark (a hash of its text), n_words, spans (runs of hit word places), items and near_items (item
+    ids, ascending).
 
-    The benchmark comes to the driver in blocks of at most `block_items` items, each searched in a pass over the index.
+    The benchmark comes to the driver in blocks of at most `block_items` items and about BLOCK_WORDS words, each searched in a
+    pass over the index; one longer item is a block of its own.
     """
     rows = benchmark.select(F.col("item_id").cast("long"), "text").toLocalIterator()
     passes = [_search_block(index, _Windows([], window), within)]
-    while block := [(row[0], row[1]) for row in islice(rows, block_items)]:
+    for block in _item_blocks(((row[0], row[1]) for row in rows), block_items):
         passes.append(_search_block(index, _Windows(block, window), within))
     if len(passes) < 3:
         return passes[-1].drop("segment", "place")
@@ -322,7 +338,7 @@ def search(index: DataFrame, benchmark: DataFrame, window: int = WINDOW, within:
         every = every.unionByName(one)
     gather = lambda name: F.array_sort(F.array_distinct(F.flatten(F.collect_list(name)))).alias(name)
     return every.groupBy("segment", "place").agg(
-        F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), gather("spans"), gather("items"), gather("near_items")
+        F.first("doc_id").alias("doc_id"), F.first("mark").alias("mark"), F.first("n_words").alias("n_words"), gather("spans"), gather("items"), gather("near_items")
     ).drop("segment", "place")
 
 
@@ -342,5 +358,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **options: int) -> Data
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options: int) -> DataFrame:
-    """The documents without any word inside an exact match; rows without a doc_id stay."""
+    """The documents without any word inside an exact match; a row is known by its doc_id, which may be null, and a hash of its text."""
     return without(docs, decontaminate(docs, benchmark, **options).where("contaminated"))

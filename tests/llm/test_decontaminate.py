@@ -2,6 +2,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from quire.llm import decontaminate
 from quire.llm.common import WORD
@@ -86,7 +87,24 @@ def test_empty_tables_and_filter(spark):
     assert all(not r[5] and not r[3] for r in got(spark, rows, []))
     docs = spark.createDataFrame([(1, "x a b c y", None, None), (2, "clean", None, None), (None, "a b c", None, None)], DOCS)
     kept = decontaminate.drop_contaminated(docs, spark.createDataFrame([(1, "a b c")], "item_id long, text string"))
-    assert kept.columns == docs.columns and sorted(map(repr, (r.doc_id for r in kept.collect()))) == ["2", "None"]
+    assert kept.columns == docs.columns and sorted(map(repr, (r.doc_id for r in kept.collect()))) == ["2"]
+
+
+def test_rows_are_known_by_id_and_text(spark):
+    rows = [(None, "x a b c y", "u", None), (5, "a b c", "u", None), (5, "clean", "u", None), (None, "clean too", "u", None), (5, "a b c", "u", None)]
+    docs = spark.createDataFrame(rows, DOCS).withColumn("mark", F.lit("m")).withColumn("row_doc", F.lit("r"))
+    kept = decontaminate.drop_contaminated(docs, spark.createDataFrame([(1, "a b c")], "item_id long, text string"))
+    assert kept.columns == docs.columns
+    assert sorted((repr(r.doc_id), r.text, r.mark, r.row_doc) for r in kept.collect()) == [("5", "clean", "m", "r"), ("None", "clean too", "m", "r")]
+
+
+def test_very_long_texts_and_items(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 1000)
+    long = " ".join(f"w{i}" for i in range(30_000))
+    rows = [(1, long), (2, "w5 w6 w7 w8"), (3, "w29000 " * 12)]
+    items = [(1, long), (2, "w5 w6 w7"), (3, "none of it")]
+    found = {r[0]: (r[2], r[3]) for r in got(spark, rows, items)}
+    assert found == {1: (30_000, [1, 2]), 2: (3, [2]), 3: (0, [])}
 
 
 def test_window_of_ten(spark):

@@ -82,3 +82,17 @@ def test_stage_drops_near_copies_with_distant_fingerprints(spark):
 
 def test_no_rows(spark):
     assert got(spark, []) == []
+
+
+def test_names_of_the_user_stay(spark):
+    rows = [(1, "one two three four five six", "d", "m", "n", "r"), (1, "one two three four five six", "d", "m", "n", "r"), (2, "else", "d", "m", "n", "r")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, near_doc string, near_mark string, near_no_id string, near_row string")
+    kept = near_copies.keep_one(docs)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect())) == [rows[0], rows[2]]
+
+
+def test_large_components_are_verified_by_bucket(spark, monkeypatch):
+    monkeypatch.setattr(near_copies, "LARGE", 200)
+    monkeypatch.setattr(near_copies, "STAR", 2)
+    rows = corpus(4)
+    assert got(spark, rows) == brute(rows)

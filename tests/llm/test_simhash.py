@@ -59,16 +59,8 @@ def test_components_against_all_pairs(spark, seed, radius, tile):
     assert sorted(map(tuple, got), key=repr) == brute(rows, radius)
 
 
-def test_keep_one(spark):
-    rows = [(5, "a b c d e"), (3, "A B c d e"), (3, "a b c d e"), (9, "something else entirely here"), (None, "a b c d e"), (7, None), (8, "")]
-    kept = simhash.keep_one(frame(spark, rows))
-    assert kept.columns == frame(spark, rows).columns
-    assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted([3, 9, None, 7], key=repr)
-
-
 def test_no_rows(spark):
     assert simhash.near_duplicates(frame(spark, [])).count() == 0
-    assert simhash.keep_one(frame(spark, [])).count() == 0
 
 
 def test_chain_of_links(spark):
