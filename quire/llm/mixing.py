@@ -3,12 +3,14 @@
 A source's share of all tokens is raised to an exponent between 0 (all alike) and 1 (as found) and normalised. The exponent is
 bisected until the weights' entropy meets the target, or until no source is repeated more often than allowed, whichever leaves
 the shares closer to those found. Each source then gets its part of the budget: whole epochs, and of one more epoch the first
-documents in a permutation of blocks, up to the budget. A document is in that part if its place is not beyond the source's
-threshold, so the texts are never shuffled or gathered.
+documents, up to the budget. A source's documents are dealt into blocks once; each epoch permutes the blocks anew, and
+the documents of each block. `order` gives every copy its epoch, block and place, `mix` only the copies: a
+document is in the part epoch if its place is not beyond the source's threshold, so `mix` neither shuffles nor gathers texts.
 
 Tokens are white-space separated words. A null source is a source of its own. A source without tokens has weight 0 and its
 documents are read once. Rows with equal doc_id in a source go together. Null doc_ids have a place like any other. Null and
-empty texts have no tokens. An empty table stays empty. Other columns are kept by `mix` and ignored by `plan`.
+empty texts have no tokens, texts may be of any length. An empty table stays empty. Other columns, whatever their names, are kept by
+`mix` and ignored by `plan` and `order`.
 """
 
 from __future__ import annotations
@@ -23,8 +25,8 @@ from quire.llm.common import stored
 LEVELS, ROUNDS = 5, 5
 MOST_REPEATS = 4.0
 SEED = 17
-BLOCKS = 10_000
-LEAST_BLOCK = 10_000
+# Tokens of a block: a ten-thousandth of all, but within these bounds, so that one task can put a block in order.
+BLOCKS, LEAST_BLOCK, MOST_BLOCK = 10_000, 10_000, 1 << 20
 
 
 def tokens_of(text: str = "text") -> Column:
@@ -87,7 +89,7 @@ def plan(docs: DataFrame, target_entropy: float | None = None, most_repeats: flo
     total = sources.agg(F.sum("tokens")).first()[0] or 0
     raised = F.when(F.col("tokens") > 0, F.pow(F.col("tokens") / F.lit(float(max(total, 1))), F.lit(exponent))).otherwise(0.0)
     z = sources.agg(F.sum(raised)).first()[0] or 1.0
-    block = max(LEAST_BLOCK, total // BLOCKS)
+    block = min(max(LEAST_BLOCK, total // BLOCKS), MOST_BLOCK)
     dealt = (
         sources.withColumn("weight", raised / F.lit(z))
         .withColumn("dealt", F.round(F.col("weight") * F.lit(spent)).cast("long"))
@@ -99,7 +101,7 @@ def plan(docs: DataFrame, target_entropy: float | None = None, most_repeats: flo
     placed = rows.join(dealt.select("key", "blocks", "epochs", "rest"), "key").select("key", "tokens", "rest", *_places(seed))
     by_block = placed.groupBy("key", "rest", "block").agg(F.sum("tokens").alias("tokens"))
     ordered = Window.partitionBy("key").orderBy("block")
-    # At most BLOCKS rows and one for each source go through these windows, ordered by the hash that permutes them.
+    # A row for each block goes through these windows, ordered by the hash that permutes them.
     ends = by_block.withColumn("end", F.sum("tokens").over(ordered))
     cut = stored(ends.where("end > rest").groupBy("key").agg(F.min_by("block", "end").alias("cut"), F.min("end").alias("cut_end")), "mixing-cuts")
     # Blocks of equal hash would be one; only the one block of each source in which the budget ends is ordered by document.
@@ -114,30 +116,69 @@ def plan(docs: DataFrame, target_entropy: float | None = None, most_repeats: flo
     ), "mixing-plan")
 
 
+def _home(seed: int, blocks: Column) -> Column:
+    return F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), blocks)
+
+
+def _block_rank(seed: int, key: Column, epoch: Column, home: Column) -> Column:
+    return F.xxhash64(F.lit(seed + 1), key, epoch, home)
+
+
+def _place_rank(seed: int, epoch: Column) -> Column:
+    return F.xxhash64(F.lit(seed + 2), epoch, F.col("doc_id"))
+
+
 def _places(seed: int) -> tuple[Column, Column]:
-    """A document's block, named by the hash that permutes the blocks of an epoch, and its place in the block."""
-    home = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.col("blocks"))
-    block = F.xxhash64(F.lit(seed + 1), F.col("key"), F.col("epochs"), home).alias("block")
-    return block, F.xxhash64(F.lit(seed + 2), F.col("epochs"), F.col("doc_id")).alias("place")
+    """A document's block in the part epoch, named by the hash that permutes the blocks, and its place in the block."""
+    epoch = F.col("epochs")
+    return _block_rank(seed, F.col("key"), epoch, _home(seed, F.col("blocks"))).alias("block"), _place_rank(seed, epoch).alias("place")
 
 
-def copies(docs: DataFrame, sources: DataFrame, seed: int = SEED) -> DataFrame:
+def copies(docs: DataFrame, sources: DataFrame, seed: int = SEED, prefix: str = "mix_") -> DataFrame:
     """docs with mix_key, mix_weight and mix_copies: how often each is read. sources: what `plan` returned."""
-    names = {name: f"mix_{name}" for name in ("key", "weight", "epochs", "blocks", "rest", "last_block", "last_place")}
+    names = {name: f"{prefix}{name}" for name in ("key", "weight", "epochs", "blocks", "rest", "last_block", "last_place")}
+    key, epochs, blocks = (F.col(names[n]) for n in ("key", "epochs", "blocks"))
     # One row per source: Spark broadcasts it if it is small and splits a hot source if it is not.
-    joined = docs.withColumn("mix_key", _key("source")).join(sources.select(*[F.col(a).alias(b) for a, b in names.items()]), "mix_key")
-    home = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.col("mix_blocks"))
-    block = F.xxhash64(F.lit(seed + 1), F.col("mix_key"), F.col("mix_epochs"), home)
-    place = F.xxhash64(F.lit(seed + 2), F.col("mix_epochs"), F.col("doc_id"))
-    cut, last = F.col("mix_last_block"), F.col("mix_last_place")
-    more = (F.col("mix_rest") > 0) & (cut.isNull() | (block < cut) | ((block == cut) & (place <= last)))
-    return joined.withColumn("mix_copies", (F.col("mix_epochs") + F.coalesce(more, F.lit(False)).cast("long"))).select(
-        *docs.columns, "mix_key", "mix_weight", "mix_copies"
+    joined = docs.withColumn(names["key"], _key("source")).join(sources.select(*[F.col(a).alias(b) for a, b in names.items()]), names["key"])
+    block, place = _block_rank(seed, key, epochs, _home(seed, blocks)), _place_rank(seed, epochs)
+    cut, last = F.col(names["last_block"]), F.col(names["last_place"])
+    more = (F.col(names["rest"]) > 0) & (cut.isNull() | (block < cut) | ((block == cut) & (place <= last)))
+    return joined.withColumn(f"{prefix}copies", (epochs + F.coalesce(more, F.lit(False)).cast("long"))).select(
+        *docs.columns, *(f"{prefix}{name}" for name in ("key", "weight", "copies"))
+    )
+
+
+def order(docs: DataFrame, sources: DataFrame, seed: int = SEED) -> DataFrame:
+    """Every copy of every document: doc_id, source, weight, copies, and its epoch (from 1), block and place in it (from 0).
+
+    In the order of epoch, block and place each source is read in permuted blocks, and the part epoch ends with the budget. A
+    document that is not read has one row without epoch. Only ids, sources and token counts are shuffled; a task orders a block at a time.
+    """
+    own = docs.select(F.col("doc_id"), "source", "text")
+    counted = copies(own, sources, seed).join(sources.select(F.col("key").alias("mix_key"), F.col("blocks").alias("mix_blocks")), "mix_key")
+    rows = counted.select(
+        "doc_id", "source", F.col("mix_key").alias("key"), F.col("mix_weight").alias("weight"), F.col("mix_copies").alias("copies"),
+        _home(seed, F.col("mix_blocks")).alias("home"), F.xxhash64("text").alias("mark"),
+    )
+    rows = stored(rows, "mixing-copies")
+    each = rows.withColumn("at", F.explode_outer(F.when(F.col("copies") > 0, F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))))
+    # A row for each block and epoch.
+    read = each.where("at is not null").groupBy("key", "at", "home").agg(F.count("*").alias("n")).drop("n")
+    by_rank = Window.partitionBy("key", "at").orderBy("rank", "home")
+    ranked = read.withColumn("rank", _block_rank(seed, F.col("key"), F.col("at"), F.col("home")))
+    ranked = ranked.select("key", "at", "home", (F.row_number().over(by_rank) - 1).cast("long").alias("block"))
+    in_block = Window.partitionBy("key", "at", "home").orderBy("rank", "doc_id", "mark")
+    placed = each.withColumn("rank", _place_rank(seed, F.col("at"))).withColumn("place", (F.row_number().over(in_block) - 1).cast("long"))
+    return placed.join(ranked, ["key", "at", "home"], "left").select(
+        "doc_id", "source", "weight", "copies", (F.col("at") + 1).alias("epoch"), "block", F.when(F.col("at").isNotNull(), F.col("place")).alias("place")
     )
 
 
 def mix(docs: DataFrame, **options: float) -> DataFrame:
     """docs, each row as often as the mixture reads it."""
-    seed = options.get("seed", SEED)
-    counted = copies(docs, plan(docs, **options), seed)
-    return counted.where("mix_copies > 0").withColumn("mix_epoch", F.explode(F.sequence(F.lit(1), F.col("mix_copies")))).select(docs.columns)
+    seed, prefix = options.get("seed", SEED), "mix_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    counted = copies(docs, plan(docs, **options), seed, prefix)
+    times = F.sequence(F.lit(1).cast("long"), F.col(f"{prefix}copies"))
+    return counted.where(F.col(f"{prefix}copies") > 0).withColumn(f"{prefix}epoch", F.explode(times)).select(docs.columns)
