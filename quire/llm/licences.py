@@ -1,13 +1,16 @@
 """Licence scans with a positional index of the rarest template words.
 
-The templates' words get their document frequency from the whole corpus. Each template is represented by its probes, the
-words with the highest inverse document frequency, and their places. A text looks up its words among the probes; the
-differences between places in text and template are intersected, and where enough probes agree on one, the template's mandatory
-phrases must stand at exactly that distance. Base phrases are found wherever their words are consecutive.
-
-Everything is made of DataFrame functions; a text that has none of the words that every match needs is not looked at closer.
+The templates are a table, and so are the postings of their words: template, word, place and weight, the inverse document
+frequency in the whole corpus. A file that holds all words of a template's mandatory phrases looks up those of the template's words
+that are rarest of the ones it holds. Its own postings of these words are joined with the template's; places are intersected by their
+difference, and where enough of the words agree on one, the mandatory phrases must stand at exactly that distance. Base
+phrases are found wherever their words are consecutive.
+
+Everything is made of DataFrame functions and joins; a text that has none of the words that every match needs is not looked at closer.
+The postings of templates are broadcast: they are bounded by the templates, not by the corpus.
 Words are lower-cased (A-Z only) runs of digits, letters and non-ASCII characters. Null and empty texts have no words, places or
-labels and score 0. Repeated rows and null doc_ids get a row each. An empty table gives no rows. Other columns are ignored.
+labels and score 0. Repeated rows and null doc_ids get a row each. An empty table gives no rows. Texts may be of any length. Other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ import math
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm.common import WORD, stored
@@ -78,11 +81,11 @@ def _strings(values: list[str]) -> Column:
 
 
 def read_words(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, base: dict[str, str] = BASE) -> DataFrame:
-    """(doc_id, n_words, known, words): known are the text's template words, words are kept if anything can match."""
+    """(row, doc_id, n_words, known, words): known are the text's template words, words are kept if anything can match."""
     vocabulary = sorted({word for t in templates for word in t.words} | {word for phrase in base for word in _split(phrase)})
     needed = _needed([_split(phrase) for phrase in base] + [_split(t.mandatory[0]) for t in templates])
-    split = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _words(F.col("text")).alias("words"))
-    known = split.select("doc_id", F.size("words").cast("long").alias("n_words"), F.array_intersect("words", _strings(vocabulary)).alias("known"), "words")
+    split = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), _words(F.col("text")).alias("words"))
+    known = split.select("row", "doc_id", F.size("words").cast("long").alias("n_words"), F.array_intersect("words", _strings(vocabulary)).alias("known"), "words")
     return stored(known.withColumn("words", F.when(F.arrays_overlap("known", _strings(needed)), F.col("words"))), "licence-words")
 
 
@@ -106,42 +109,58 @@ def _places(words: Column, phrase: list[str]) -> Column:
     return F.when(F.size(words) >= len(phrase), F.filter(at, here)).otherwise(empty)
 
 
-def _stands(words: Column, at: Column, phrase: list[str]) -> Column:
-    return F.slice(words, at + 1, len(phrase)) == _strings(phrase)
-
-
-def _matches(words: Column, template: Template, idf: dict[str, float]) -> Column:
-    """Share of the template, by weight, at each distance where probes agree and the mandatory phrases stand."""
-    own = template.words
-    probes = sorted(range(len(own)), key=lambda at: (-idf[own[at]], at))[:PROBES]
-    least = math.ceil(2 * len(probes) / 3)
-
-    def distances(at: int) -> Column:
-        return F.transform(_places(words, [own[at]]), lambda i: i - at)
-
-    votes = F.flatten(F.array(*map(distances, probes)))
-    weights = [idf[word] for word in own]
-    total = sum(weights) or 1.0
-
-    def agreed(votes: Column, shift: Column) -> Column:
-        return F.size(F.filter(votes, lambda v: v == shift)) >= least
-
-    def verified(shift: Column) -> Column:
-        found = F.lit(True)
-        for phrase in map(_split, template.mandatory):
-            where = next(at for at in range(len(own)) if own[at : at + len(phrase)] == phrase)
-            found = found & (shift + where >= 0) & F.when(shift + where >= 0, _stands(words, shift + where, phrase)).otherwise(False)
-        return found
-
-    def share(shift: Column) -> Column:
-        # A text may hold a template without its first words: places before its start are null and count as missing.
-        parts = [F.when(F.when(shift + at >= 0, F.get(words, shift + at)) == word, weight / total).otherwise(0.0) for at, (word, weight) in enumerate(zip(own, weights))]
-        return sum(parts[1:], parts[0])
-
-    # The votes are bound to a name, so that they are counted once a row.
-    return F.flatten(F.transform(F.array(votes), lambda v: F.transform(
-        F.filter(F.array_distinct(v), lambda shift: agreed(v, shift) & verified(shift)), share
-    )))
+def template_table(spark: SparkSession, templates: tuple[Template, ...], idf: dict[str, float]) -> DataFrame:
+    """(template, label, words, weights, by_rarity, required, mandatory): one row for each template."""
+    rows = []
+    for number, t in enumerate(templates):
+        own, phrases = t.words, [_split(phrase) for phrase in t.mandatory]
+        at = [next(i for i in range(len(own)) if own[i : i + len(phrase)] == phrase) for phrase in phrases]
+        rarest = sorted(set(own), key=lambda word: (-idf[word], word))
+        mandatory = F.array(*[F.struct(F.lit(i).alias("at"), _strings(phrase).alias("words")) for i, phrase in zip(at, phrases)])
+        rows.append(F.struct(
+            F.lit(number).alias("template"), F.lit(t.label).alias("label"), _strings(own).alias("template_words"),
+            F.array(*[F.lit(idf[word]) for word in own]).alias("weights"), _strings(rarest).alias("by_rarity"),
+            _strings(sorted({word for phrase in phrases for word in phrase})).alias("required"), mandatory.alias("mandatory"),
+        ))
+    return spark.range(1).select(F.inline(F.array(*rows)))
+
+
+def _agreed(read: DataFrame, table: DataFrame) -> DataFrame:
+    """(row, template, shift): where enough of a template's rarest words, among those that a text holds, stand as in the template."""
+    table = F.broadcast(table)
+    # A template is looked up by its rarest required word, and needs all of them.
+    entry = table.select("template", "required", "by_rarity", F.get(F.filter("by_rarity", lambda w: F.array_contains("required", w)), 0).alias("word"))
+    holds = read.where("words is not null").select("row", "known", F.explode("known").alias("word")).join(F.broadcast(entry), "word")
+    holds = holds.where(F.size(F.array_except("required", "known")) == 0)
+    probes = F.slice(F.filter("by_rarity", lambda word: F.array_contains("known", word)), 1, PROBES)
+    probed = holds.select("row", "template", probes.alias("probes")).select("row", "template", F.size("probes").alias("n"), F.explode("probes").alias("word"))
+    postings = table.select("template", F.posexplode("template_words").alias("template_place", "word"))
+    placed = read.where("words is not null").select("row", F.posexplode("words").alias("place", "word"))
+    both = placed.join(probed, ["row", "word"]).join(F.broadcast(postings), ["template", "word"])
+    votes = both.groupBy("row", "template", "n", (F.col("place") - F.col("template_place")).alias("shift")).agg(F.count_distinct("word").alias("votes"))
+    return votes.where(F.col("votes") >= F.ceil(2 * F.col("n") / 3)).select("row", "template", "shift")
+
+
+def _verified(read: DataFrame, agreed: DataFrame, table: DataFrame) -> DataFrame:
+    """(row, found_labels, share): the templates whose mandatory phrases stand, and the largest share of a template's weight."""
+    shifts = agreed.groupBy("row").agg(F.collect_list(F.struct("template", "shift")).alias("at"))
+    each = read.select("row", "words").join(shifts, "row").select("row", "words", F.inline("at")).join(F.broadcast(table), "template")
+
+    def stands(phrase: Column) -> Column:
+        first = F.col("shift") + phrase["at"]
+        return F.when(first >= 0, F.slice("words", first + 1, F.size(phrase["words"])) == phrase["words"]).otherwise(False)
+
+    # A text may hold a template without its first words: places before its start count as missing.
+    def found(total: Column, i: Column) -> Column:
+        place = F.col("shift") + i
+        here = F.when(place >= 0, F.get("words", place)) == F.get("template_words", i)
+        return total + F.when(here, F.get("weights", i)).otherwise(0.0)
+
+    places = F.sequence(F.lit(0), F.size("template_words") - 1)
+    whole = F.aggregate("weights", F.lit(0.0), lambda total, weight: total + weight)
+    share = F.aggregate(places, F.lit(0.0), found) / whole
+    good = each.where(F.forall("mandatory", stands)).select("row", "label", share.alias("share"))
+    return good.groupBy("row").agg(F.collect_set("label").alias("found_labels"), F.max("share").alias("share"))
 
 
 def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, base: dict[str, str] = BASE) -> DataFrame:
@@ -152,24 +171,19 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, base: dic
     read = read_words(docs, templates, base)
     n, frequency = frequencies(read)
     idf = {word: math.log((n + 1) / (frequency.get(word, 0) + 1)) + 1e-9 for t in templates for word in t.words}
-    words = F.col("words")
-    no_text, no_place, no_share = (F.array().cast(f"array<{kind}>") for kind in ("string", "int", "double"))
-    found = read.select(
-        "doc_id", "n_words",
+    table = template_table(docs.sparkSession, templates, idf)
+    by_template = _verified(read, _agreed(read, table), table)
+    words, no_text, no_place = F.col("words"), F.array().cast("array<string>"), F.array().cast("array<int>")
+    found = read.join(by_template, "row", "left").select(
+        "doc_id", "n_words", "share", F.coalesce("found_labels", no_text).alias("found_labels"),
         *[F.when(words.isNull(), no_place).otherwise(_places(words, _split(phrase))).alias(f"base{i}") for i, phrase in enumerate(base)],
-        *[F.when(words.isNull(), no_share).otherwise(_matches(words, t, idf)).alias(f"template{i}") for i, t in enumerate(templates)],
     )
-
-    def named(prefix: str, labels: list[str]) -> Column:
-        return F.concat(*[F.when(F.size(f"{prefix}{i}") > 0, _strings([label])).otherwise(no_text) for i, label in enumerate(labels)])
-
-    base_labels = F.array_sort(F.array_distinct(named("base", list(base.values()))))
-    by_template = named("template", [t.label for t in templates])
-    shares = F.concat(*[F.col(f"template{i}") for i in range(len(templates))])
+    named = [F.when(F.size(f"base{i}") > 0, _strings([label])).otherwise(no_text) for i, label in enumerate(base.values())]
+    base_labels = F.array_sort(F.array_distinct(F.concat(*named)))
     return found.select(
         "doc_id", "n_words",
         F.array_sort(F.concat(*[F.col(f"base{i}") for i in range(len(base))])).alias("places"),
         base_labels.alias("base_labels"),
-        F.array_sort(F.array_distinct(F.concat(base_labels, by_template))).alias("labels"),
-        F.when(F.size(base_labels) > 0, 1.0).otherwise(F.least(F.lit(1.0), F.coalesce(F.array_max(shares), F.lit(0.0)))).alias("score"),
+        F.array_sort(F.array_distinct(F.concat(base_labels, "found_labels"))).alias("labels"),
+        F.when(F.size(base_labels) > 0, 1.0).otherwise(F.least(F.lit(1.0), F.coalesce("share", F.lit(0.0)))).alias("score"),
     )

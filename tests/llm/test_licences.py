@@ -49,3 +49,49 @@ def test_whole_corpus_places(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     got = {r.doc_id: (r.n_words, list(r.places)) for r in licences.scan(docs).collect()}
     assert got == {r.doc_id: places(r.text) for r in docs.collect()}
+
+
+def template_labels(rows):
+    """Templates by trying every place of every text."""
+    split = lambda text: re.findall(WORD, (text or "").encode().lower().decode())
+    texts = {i: split(text) for i, text in rows}
+    vocabulary = {word for t in licences.TEMPLATES for word in t.words}
+    df = {word: sum(word in own for own in texts.values()) for word in vocabulary}
+    found = {}
+    for i, own in texts.items():
+        labels = set()
+        for t in licences.TEMPLATES:
+            held = sorted(set(t.words) & set(own), key=lambda w: (df[w], w))[: licences.PROBES]
+            phrases = [split(p) for p in t.mandatory]
+            starts = [next(k for k in range(len(t.words)) if t.words[k : k + len(p)] == p) for p in phrases]
+            for shift in range(-len(t.words), len(own)):
+                votes = {w for k, w in enumerate(t.words) if 0 <= shift + k < len(own) and own[shift + k] == w and w in held}
+                stand = all(shift + k >= 0 and own[shift + k : shift + k + len(p)] == p for k, p in zip(starts, phrases))
+                if held and 3 * len(votes) >= 2 * len(held) and stand:
+                    labels.add(t.label)
+        found[i] = labels
+    return found
+
+
+def test_template_labels_against_every_place(spark):
+    import random
+
+    rng = random.Random(2)
+    rows = []
+    for i in range(160):
+        own = []
+        for _ in range(rng.choice([1, 1, 2, 3])):
+            words = rng.choice(licences.TEMPLATES).text.split()
+            low = rng.choice([0, 0, 0, 2])
+            words = words[low : len(words) - rng.choice([0, 0, 1, 5])]
+            for _ in range(rng.choice([0, 0, 1, 3])):
+                if words:
+                    words[rng.randrange(len(words))] = rng.choice(["license", "other", "the", "software"])
+            own += ["filler"] * rng.randint(0, 3) + words
+        rows.append((i, " ".join(own)))
+    # Equal frequencies are ordered by word in both.
+    got = scan(spark, rows)
+    expected = template_labels(rows)
+    base = {i: set(r.base_labels) for i, r in got.items()}
+    assert {i: set(r.labels) for i, r in got.items()} == {i: expected[i] | base[i] for i in expected}
+    assert sum(map(bool, expected.values())) > 60
