@@ -7,7 +7,7 @@ pass over a few vectors gave, so later trees open few boxes where the data allow
 
 Components become floor(1024 * x), x as double. Vectors that are null or hold null or non-finite components take no part.
 Vectors meet only those of their own dimension. Ties go to the smaller id. A query is compared with every row but its own:
-other rows with its id count as own. Candidate rows that repeat an id are one candidate with their highest score; query rows
+other rows with its id count as own. Candidate rows that repeat an id are candidates each; query rows
 that repeat an id are one query, the first vector in order of its components. Null ids take no part. Empty tables give no
 rows. Scores must fit a long; otherwise the search fails. Other columns are ignored.
 """
@@ -141,7 +141,6 @@ def search_tree(queries: _Queries, best: list[list[tuple[int, int]]], ids: np.nd
     for q, heap in enumerate(best):
         floor = queries.floor[q]
         own, ahead = bounds[q], [(-bounds[q][0], 0)]
-        seen = {-i for _, i in heap}
         while ahead:
             reach, node = heapq.heappop(ahead)
             # An equal bound may still win by a smaller id.
@@ -159,15 +158,10 @@ def search_tree(queries: _Queries, best: list[list[tuple[int, int]]], ids: np.nd
                 found = (int(scores[at]), -int(ids[low + at]))
                 if -found[1] == queries.ids[q]:
                     continue
-                if -found[1] in seen:
-                    heap[:] = [max(x, found) if x[1] == found[1] else x for x in heap]
-                    heapq.heapify(heap)
-                elif len(heap) < queries.k:
+                if len(heap) < queries.k:
                     heapq.heappush(heap, found)
-                    seen.add(-found[1])
                 elif found > heap[0]:
-                    seen.discard(-heapq.heapreplace(heap, found)[1])
-                    seen.add(-found[1])
+                    heapq.heapreplace(heap, found)
     return opened
 
 
@@ -255,6 +249,5 @@ def top_k(
     found = frame.sparkSession.createDataFrame([], "query_id long, vec_id long, score long")
     for one in passes:
         found = found.unionByName(one)
-    best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

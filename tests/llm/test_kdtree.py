@@ -17,11 +17,8 @@ def brute(rows, k, is_query=lambda i: i % 10 == 0):
         queries.setdefault(i, [math.floor(1024 * x) for x in v])
     out = []
     for q, v in queries.items():
-        best = {}
-        for i, w in usable:
-            if i != q and len(w) == len(v):
-                best[i] = max(best.get(i, -(10**30)), sum(a * b for a, b in zip(v, w)))
-        out += [(q, rank, i, s) for rank, (i, s) in enumerate(sorted(best.items(), key=lambda x: (-x[1], x[0]))[:k], 1)]
+        best = [(i, sum(a * b for a, b in zip(v, w))) for i, w in usable if i != q and len(w) == len(v)]
+        out += [(q, rank, i, s) for rank, (i, s) in enumerate(sorted(best, key=lambda x: (-x[1], x[0]))[:k], 1)]
     return sorted(out)
 
 
@@ -50,6 +47,12 @@ def test_fewer_than_k_large_numbers_and_no_rows(spark):
     assert kdtree.top_k(frame(spark, rows[:1]), F.col("vec_id") == 0).count() == 0
 
 
+def test_repeated_rows_are_candidates_each(spark):
+    rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (1, [1.0, 5.0]), (2, [0.5, 0.0])]
+    got = sorted(map(tuple, kdtree.top_k(frame(spark, rows), F.col("vec_id") == 0).collect()))
+    assert [r[2] for r in got] == [1, 1, 2] and got == brute(rows, 10, lambda i: i == 0)
+
+
 def test_bounds_skip_boxes():
     rng = np.random.default_rng(0)
     vectors = (rng.normal(size=(4000, 3)) * 1000).astype(np.int64)
