@@ -4,14 +4,16 @@ A line goes if an earlier line (a smaller doc_id, or further up in the same docu
 Words are ordered by rarity, so that similar sets must share one of their first words; every set is listed under these prefix
 words only. Under a word, pairs pass the length filter, the positional filter and a bitmap of the sets; sets that are left come
 together once more with all their words, known by 64-bit hashes, and a pair is verified and counted under its first common word.
-Equal sets are reduced to the first one before any pair is formed, and pairs never leave the task that forms them.
+Equal sets are reduced to the first one before any pair is formed. Of the verified pairs, counts and a spanning forest leave the task that
+forms them; connected components of the forests are the classes of lines.
 
 Rarity comes from a table of counters over all words, of fixed size: words that share a counter only look more frequent. Any
 order is right as long as all lines use the same. Words with very high counts are dealt out by set size too.
 
 Words are lower-cased (A-Z only) runs of digits, letters and non-ASCII characters. Lines are what line feeds separate; a line
 without words is never removed. Null texts have no lines. Rows with equal doc_id are ordered by a hash of their text; equal rows
-are one document and each get its result. Null doc_ids come first. An empty table gives no rows. Other columns are ignored.
+are one document and each get its result. Null doc_ids come first. An empty table gives no rows. Other columns, whatever their names, are
+passed on by `kept_lines` and ignored by `dedup_lines`. Texts and lines may be of any length; the words of one text must fit a task's memory.
 """
 
 from __future__ import annotations
@@ -27,7 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import stored, utf8
+from quire.llm.common import connected_components, fresh_name, stored, utf8
+from quire.llm.simhash import merged
 from quire.llm.suffixes import BASES, Hashes
 
 SLOT_BITS, SLICES = 22, 16
@@ -42,9 +45,9 @@ FILTER_BITS = 20
 # The bytes of a word, once A-Z are lower-cased.
 IN_WORD = np.array([48 <= b <= 57 or 97 <= b <= 122 or b >= 128 for b in range(256)])
 SENT = "bucket int, kind int, docs binary, tokens binary, lasts binary, sets binary, bitmaps binary, sizes binary, places binary, owners binary, lines binary"
-FOUND = "kind int, bucket int, doc long, mark long, line int"
+FOUND = "kind int, bucket int, doc long, mark long, line int, name long"
 WHOLE = "bucket int, docs binary, tokens binary, sizes binary, owners binary, lines binary"
-LINKS = "doc long, mark long, line int, links long, gone boolean"
+LINKS = "doc long, mark long, line int, name long, links long, gone boolean, joined long"
 
 
 def _word_hashes(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -222,7 +225,7 @@ def _send(docs: DataFrame, counts: np.ndarray, buckets: int) -> DataFrame:
             rows = order[first]
             empty = np.zeros(0, np.uint64)
             if len(again):
-                yield _row((shift + number) % buckets, DROPPED, ids, empty, empty, empty, empty, empty, empty, owner[again], line[again])
+                yield _row((shift + number) % buckets, DROPPED, ids, empty, empty, names[again], empty, empty, empty, owner[again], line[again])
             for bucket, own in _by_bucket(names[rows], buckets):
                 own = rows[own]
                 yield _row(bucket, SETS, ids, empty, empty, names[own], empty, empty, empty, owner[own], line[own])
@@ -300,17 +303,17 @@ def _candidates(tokens: np.ndarray, lasts: np.ndarray, sizes: np.ndarray, places
         at = to
 
 
-def _found(kind: int, bucket: int, doc: np.ndarray, mark: np.ndarray, line: np.ndarray) -> pa.RecordBatch:
+def _found(kind: int, bucket: int, doc: np.ndarray, mark: np.ndarray, line: np.ndarray, name: np.ndarray) -> pa.RecordBatch:
     kinds, buckets = (pa.array(np.full(len(doc), v, np.int32)) for v in (kind, bucket))
-    return pa.RecordBatch.from_arrays([kinds, buckets, pa.array(doc, pa.int64()), pa.array(mark, pa.int64()), pa.array(line, pa.int32())], ["kind", "bucket", "doc", "mark", "line"])
+    return pa.RecordBatch.from_arrays([kinds, buckets, pa.array(doc, pa.int64()), pa.array(mark, pa.int64()), pa.array(line, pa.int32()), pa.array(name.view(np.int64))], ["kind", "bucket", "doc", "mark", "line", "name"])
 
 
 def _resolve(group: pa.Table) -> pa.Table:
-    """Lines that repeat a word set (DROPPED), and first lines of sets that may be similar to another one (LISTED)."""
+    """Lines that repeat a word set (DROPPED), first lines of all sets (SETS) and of those that may be similar to another one (LISTED)."""
     bucket = group.column("bucket")[0].as_py()
     gone = _Group(group, DROPPED)
     line, mark, doc = gone.where()
-    out = [_found(DROPPED, bucket, doc, mark, line)]
+    out = [_found(DROPPED, bucket, doc, mark, line, gone.sets)]
     own = _Group(group, SETS)
     line, mark, doc = own.where()
     order = np.lexsort((line, mark, doc, own.sets))
@@ -318,7 +321,9 @@ def _resolve(group: pa.Table) -> pa.Table:
         first = np.append(True, own.sets[order][1:] != own.sets[order][:-1])
         head = order[np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
         again = order[~first & ((doc[order] != doc[head]) | (mark[order] != mark[head]) | (line[order] != line[head]))]
-        out.append(_found(DROPPED, bucket, doc[again], mark[again], line[again]))
+        out.append(_found(DROPPED, bucket, doc[again], mark[again], line[again], own.sets[again]))
+        heads = order[first]
+        out.append(_found(SETS, bucket, doc[heads], mark[heads], line[heads], own.sets[heads]))
     some = _Group(group, LISTED)
     line, mark, doc = some.where()
     # Of equal sets under a word the first one stands for all.
@@ -332,7 +337,7 @@ def _resolve(group: pa.Table) -> pa.Table:
     # A set found under several words of this bucket is one row.
     rows = np.nonzero(flags)[0]
     rows = rows[np.unique(some.sets[rows], return_index=True)[1]]
-    out.append(_found(LISTED, bucket, doc[rows], mark[rows], line[rows]))
+    out.append(_found(LISTED, bucket, doc[rows], mark[rows], line[rows], some.sets[rows]))
     return pa.Table.from_batches(out)
 
 
@@ -399,7 +404,7 @@ def _verified(docs: DataFrame, wanted: DataFrame, counts: np.ndarray, buckets: i
         _, word = np.unique(tokens, return_inverse=True)
         at, step = _spread(sizes)
         member = np.sort((at << 32) | word[begins[at] + step])
-        links, gone = np.zeros(len(line), np.int64), np.zeros(len(line), bool)
+        links, gone, label = np.zeros(len(line), np.int64), np.zeros(len(line), bool), np.arange(len(line))
         for a, b in _candidates(listed.keys[here], listed.lasts[here], sizes[row], place, listed.visitor[here], bitmaps[row]):
             for low in range(0, len(a), VERIFIED):
                 one, two = row[a[low : low + VERIFIED]], row[b[low : low + VERIFIED]]
@@ -415,43 +420,77 @@ def _verified(docs: DataFrame, wanted: DataFrame, counts: np.ndarray, buckets: i
                 one, two = one[keep], two[keep]
                 np.add.at(links, one, 1)
                 np.add.at(links, two, 1)
+                label = merged(label, one, two)
                 # Rows are in the order of lines.
                 gone[np.maximum(one, two)] = True
         use = np.nonzero(links)[0]
-        return pa.table({"doc": where[use, 0], "mark": where[use, 1], "line": line[use].astype(np.int32), "links": links[use], "gone": gone[use]})
+        at, step = _spread(sizes)
+        names = _names(tokens[begins[at] + step], np.cumsum(sizes) - sizes, sizes).view(np.int64)
+        return pa.table({
+            "doc": where[use, 0], "mark": where[use, 1], "line": line[use].astype(np.int32), "name": names[use],
+            "links": links[use], "gone": gone[use], "joined": names[label[use]],
+        })
 
     return _whole_sets(docs, wanted, counts).groupBy("bucket").applyInArrow(run, LINKS)
 
 
 def similar_lines(docs: DataFrame, buckets: int) -> DataFrame:
-    """(doc, mark, line, links, gone): repeats of a word set, and first lines of sets with links."""
+    """(doc, mark, line, name, links, gone, component): lines that repeat a word set, or whose set is similar to another one.
+
+    links: the different sets that this one is similar to; component: the smallest name of a set that links lead to. gone: an
+    earlier line has the same set or a similar one.
+    """
     counts = word_counts(docs)
     found = stored(_send(docs, counts, buckets).groupBy("bucket").applyInArrow(_resolve, FOUND), "line-candidates")
-    repeats = found.where(F.col("kind") == DROPPED).select("doc", "mark", "line", F.lit(0).cast("long").alias("links"), F.lit(True).alias("gone"))
-    return stored(repeats.unionByName(_verified(docs, found.where(F.col("kind") == LISTED), counts, buckets)), "similar-lines")
+    linked = stored(_verified(docs, found.where(F.col("kind") == LISTED), counts, buckets), "line-links")
+    nodes = connected_components(linked.select(F.col("name").alias("a"), F.col("joined").alias("b"))).withColumnRenamed("node", "name")
+    repeated = found.where(F.col("kind") == DROPPED).select("doc", "mark", "line", "name")
+    per_set = linked.groupBy("name").agg(F.sum("links").alias("links"), F.max("gone").alias("gone")).join(nodes, "name", "left")
+    # Sets with repeats have a class of their own if they have no links.
+    alone = repeated.select("name").distinct().join(per_set.select("name"), "name", "left_anti")
+    none = alone.select("name", F.lit(0).cast("long").alias("links"), F.lit(False).alias("gone"), F.col("name").alias("component"))
+    sets = stored(per_set.unionByName(none), "line-sets")
+    heads = found.where(F.col("kind") == SETS).select("doc", "mark", "line", "name", F.lit(False).alias("again"))
+    lines = repeated.withColumn("again", F.lit(True)).unionByName(heads).join(sets, "name")
+    return stored(lines.select("doc", "mark", "line", "name", "links", (F.col("gone") | F.col("again")).alias("gone"), "component"), "similar-lines")
 
 
 def dedup_lines(docs: DataFrame, buckets: int | None = None) -> DataFrame:
-    """Per document: doc_id, n_lines, removed (line numbers from 0, ascending) and n_links.
+    """Per document: doc_id, n_lines, removed (line numbers from 0, ascending), n_links, classes and class_id.
 
-    n_links counts, for the word sets that occur first in this document, the different sets they are similar to.
+    n_links sums, over the different word sets of this document, the different sets that each is similar to. classes: of each line
+    that is like another one, its number and the document and line that come first in its class, by line. class_id is the smallest
+    document with a line like one of these.
     """
     known = _identified(docs)
     own = known.select("doc_id", "doc", "mark", F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("long").alias("n_lines"))
-    none = F.array().cast("array<int>")
-    return own.join(_removed(known, buckets), ["doc", "mark"], "left").select(
-        "doc_id", "n_lines", F.coalesce("removed", none).alias("removed"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
+    buckets = buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lines = similar_lines(known, buckets)
+    firsts = lines.groupBy("component").agg(F.min(F.struct("doc", "mark", "line")).alias("first"))
+    named = lines.join(firsts, "component").groupBy("doc", "mark", "name").agg(
+        F.max("links").alias("links"), F.collect_set(F.struct("line", "gone", F.col("first.doc").alias("first_doc"), F.col("first.line").alias("first_line"))).alias("at")
     )
+    found = named.groupBy("doc", "mark").agg(F.sum("links").alias("n_links"), F.array_sort(F.flatten(F.collect_list("at"))).alias("at"))
+    numbers = lambda rows: F.transform(rows, lambda r: r["line"])
+    none, no_id = F.array().cast("array<int>"), -(2**63)
+    classes = F.transform("at", lambda r: F.struct(r["line"].alias("line"), F.nullif(r["first_doc"], F.lit(no_id)).alias("first_doc"), r["first_line"].alias("first_line")))
+    return own.join(found, ["doc", "mark"], "left").select(
+        "doc_id", "n_lines", F.coalesce(numbers(F.filter("at", lambda r: r["gone"])), none).alias("removed"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce(classes, F.array()).alias("classes"),
+        F.nullif(F.array_min(F.transform("at", lambda r: r["first_doc"])), F.lit(no_id)).alias("class_id"),
+    )
 
 
 def kept_lines(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     """The rows of docs with the lines that stay as their text; null texts stay null."""
-    known = docs.select("*", *[c.alias(f"line_{n}") for n, c in _identity().items()])
-    found = _removed(_identified(docs), buckets).select(F.col("doc").alias("line_doc"), F.col("mark").alias("line_mark"), F.col("removed").alias("line_removed"))
-    gone = F.coalesce("line_removed", F.array().cast("array<int>"))
+    doc, mark, removed = (fresh_name(docs, f"line_{n}") for n in ("doc", "mark", "removed"))
+    identity = _identity()
+    known = docs.select("*", identity["doc"].alias(doc), identity["mark"].alias(mark))
+    found = _removed(_identified(docs), buckets).select(F.col("doc").alias(doc), F.col("mark").alias(mark), F.col("removed").alias(removed))
+    gone = F.coalesce(removed, F.array().cast("array<int>"))
     lines = F.split(F.col("text"), "\n")
     text = F.array_join(_kept(lines, gone), "\n")
-    return known.join(found, ["line_doc", "line_mark"], "left").select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns])
+    return known.join(found, [doc, mark], "left").select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns])
 
 
 def _identity() -> dict[str, Column]:
@@ -465,7 +504,7 @@ def _identified(docs: DataFrame) -> DataFrame:
 def _removed(known: DataFrame, buckets: int | None) -> DataFrame:
     buckets = buckets or int(known.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return similar_lines(known, buckets).groupBy("doc", "mark").agg(
-        F.array_sort(F.collect_set(F.when(F.col("gone"), F.col("line")))).alias("removed"), F.sum("links").alias("n_links")
+        F.array_sort(F.collect_set(F.when(F.col("gone"), F.col("line")))).alias("removed")
     )
 
 

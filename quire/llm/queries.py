@@ -37,9 +37,11 @@ def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = line_dedup.dedup_lines(table(spark, folder, "documents"))
+    told = F.transform("classes", lambda c: F.concat_ws(":", c["line"], F.coalesce(c["first_doc"].cast("string"), F.lit("-")), c["first_line"]))
     return found.select(
         "doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "n_links",
         F.sha2(F.array_join("removed", ",").cast("binary"), 256).alias("removed_sha256"),
+        "class_id", F.size("classes").cast("long").alias("n_in_classes"), F.sha2(F.array_join(told, ",").cast("binary"), 256).alias("classes_sha256"),
     )
 
 
@@ -72,8 +74,7 @@ def op7_token_id_orc(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "source", "text")
-    counted = mixing.copies(docs, mixing.plan(docs))
-    return counted.select("doc_id", "source", F.col("mix_weight").alias("weight"), F.col("mix_copies").alias("copies"))
+    return mixing.order(docs, mixing.plan(docs))
 
 
 def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:

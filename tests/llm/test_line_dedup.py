@@ -24,21 +24,38 @@ def brute(rows):
         if any(s[3] and similar(words, s[3]) for s in lines[:at]):
             removed[i, text].add(n)
         firsts.setdefault(words, (i, text))
+    parent = {words: words for words in firsts}
+
+    def root(x):
+        while parent[x] is not x:
+            x = parent[x]
+        return x
+
     for a in firsts:
         for b in firsts:
             if a != b and similar(a, b):
-                links[firsts[a]] = links.get(firsts[a], 0) + 1
+                links[a] = links.get(a, 0) + 1
+                parent[root(b)] = root(a)
+    own_sets, begins, times = {}, {}, {}
+    for at, (i, text, n, words) in enumerate(lines):
+        if words:
+            own_sets.setdefault((i, text), {})[n] = words
+            begins.setdefault(root(words), (i, n))
+            times[words] = times.get(words, 0) + 1
     out = []
     for i, text in rows:
         own = text.split("\n") if text is not None else []
-        gone = removed[i, text]
-        out.append((i, len(own), sorted(gone), links.get((i, text), 0), None if text is None else "\n".join(x for n, x in enumerate(own) if n not in gone)))
+        gone, sets = removed[i, text], own_sets.get((i, text), {})
+        classes = [(n, *begins[root(words)]) for n, words in sorted(sets.items()) if times[words] > 1 or words in links]
+        firsts_of = [(d is not None, d) for _, d, _ in classes]
+        class_id = min(firsts_of, key=lambda x: (x[0], x[1] or 0))[1] if classes else None
+        out.append((i, len(own), sorted(gone), sum(links.get(words, 0) for words in set(sets.values())), classes, class_id, None if text is None else "\n".join(x for n, x in enumerate(own) if n not in gone)))
     return sorted(out, key=repr)
 
 
 def got(spark, rows):
     frame = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], SCHEMA).repartition(3)
-    return sorted(((r.doc_id, r.n_lines, list(r.removed), r.n_links) for r in line_dedup.dedup_lines(frame).collect()), key=repr)
+    return sorted(((r.doc_id, r.n_lines, list(r.removed), r.n_links, [tuple(c) for c in r.classes], r.class_id) for r in line_dedup.dedup_lines(frame).collect()), key=repr)
 
 
 def kept(spark, rows):
@@ -71,16 +88,36 @@ def corpus(seed, n=40):
 def test_against_all_pairs(spark, seed):
     rows = corpus(seed)
     rows += [(90, None), (91, ""), (92, "\n\n"), (None, rows[4][1] + "\nlast line of words"), rows[6], rows[6], (93, "...\n!!!"), (94, "a b c d e f g h\n" * 3)]
-    assert got(spark, rows) == sorted((r[:4] for r in brute(rows)), key=repr)
-    assert kept(spark, rows) == sorted(((r[0], r[4]) for r in brute(rows)), key=repr)
+    assert got(spark, rows) == sorted((r[:6] for r in brute(rows)), key=repr)
+    assert kept(spark, rows) == sorted(((r[0], r[6]) for r in brute(rows)), key=repr)
 
 
 def test_hot_words_give_the_same(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "HOT_PART", 0.001)
     monkeypatch.setattr(line_dedup, "PAIRS", 50)
     rows = corpus(3)
-    assert got(spark, rows) == sorted((r[:4] for r in brute(rows)), key=repr)
+    assert got(spark, rows) == sorted((r[:6] for r in brute(rows)), key=repr)
 
 
 def test_no_rows(spark):
     assert got(spark, []) == []
+
+
+def test_repeats_keep_their_links_and_class(spark):
+    """Two documents with the same two similar lines: both say so."""
+    one, two = "a b c d e f g h i j", "a b c d e f g h i k"
+    rows = [(1, f"{one}\n{two}"), (2, f"{one}\n{two}"), (3, "nothing like it")]
+    found = {r.doc_id: r for r in line_dedup.dedup_lines(spark.createDataFrame([(i, t, 1, "x") for i, t in rows], SCHEMA)).collect()}
+    assert [found[i].n_links for i in (1, 2, 3)] == [2, 2, 0]
+    assert [found[i].class_id for i in (1, 2, 3)] == [1, 1, None]
+
+
+def test_names_of_the_user_stay(spark):
+    frame = spark.createDataFrame([(1, "a b c\na b c", "d", "m", "r")], "doc_id long, text string, line_doc string, line_mark string, line_removed string")
+    left = line_dedup.kept_lines(frame)
+    assert left.columns == frame.columns and tuple(left.first()) == (1, "a b c", "d", "m", "r")
+
+
+def test_very_long_lines(spark):
+    long = " ".join(f"w{i}" for i in range(40_000))
+    assert [r[2] for r in got(spark, [(1, long), (2, long + " more"), (3, "x")])] == [[], [0], []]

@@ -10,12 +10,12 @@ FOLDER = "/root/testdata/sf0.001"
 COLUMNS = {
     "op1_benchmark_decontamination": "doc_id n_words n_hit n_items items_sha256 contaminated",
     "op2_chat_format": "conv_id n_turns turns_sha256 loss_chars loss_sha256 formatted_chars",
-    "op3_line_dedup": "doc_id n_lines n_removed n_links removed_sha256",
+    "op3_line_dedup": "doc_id n_lines n_removed n_links removed_sha256 class_id n_in_classes classes_sha256",
     "op4_simhash_near_dedup": "doc_id fingerprint component_id",
     "op5_suffix_dedup": "doc_id n_bytes n_removed n_spans kept_sha256",
     "op6_exact_top_k": "query_id rank vec_id score",
     "op7_token_id_orc": "doc_id start n_tokens ids_crc32",
-    "op8_mixing": "doc_id source weight copies",
+    "op8_mixing": "doc_id source weight copies epoch block place",
     "op9_license_scan": "doc_id n_words n_base first_word last_word base_labels labels score",
     "op10_toxicity": "doc_id held_out score predicted",
     "op11_embedding_whitening": "vec_id component n deviation whitened explained identity_error",
@@ -45,4 +45,11 @@ def test_equal_to_sql(spark, connection, name):
 def test_columns_and_rows(spark, name):
     got = QUERIES[name](spark, FOLDER)
     assert got.columns == COLUMNS[name].split()
-    assert got.count() == (4 * spark.read.parquet(f"{FOLDER}/embeddings.parquet").count() if "embedding" in name else spark.read.parquet(f"{FOLDER}/documents.parquet").count())
+    documents = spark.read.parquet(f"{FOLDER}/documents.parquet").count()
+    expected = {"op11_embedding_whitening": 4 * spark.read.parquet(f"{FOLDER}/embeddings.parquet").count()}
+    if name == "op8_mixing":
+        # A row for each copy.
+        assert got.select("doc_id").distinct().count() == documents
+        assert got.where("epoch > copies or epoch is null").count() == 0
+    else:
+        assert got.count() == expected.get(name, documents)
