@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from quire.model import table
 from quire.operators.drilldown import drill_down, unlike_ranges
 from quire.operators.evolve import SchemaConflict, changes_report, read_evolved, widened
-from quire.plans import gold, measures, recon
+from quire.plans import gate, gold, measures, recon
 from quire.plans.pipeline import Lake
 from quire.session import scratch_folder
 from quire.sources.quarantine import take_in
@@ -189,6 +189,9 @@ def test_undecodable_values_reach_the_report(spark):
     found = {r.check: (r.status, int(r.measured)) for r in lake.unreadable("ouvrages").collect()}
     assert found["unreadable ouvrages.OVPXHT"] == ("FAIL", 1) and found["unreadable ouvrages.OVDTPB"] == ("WARN", 1)
     assert found["unreadable ouvrages.OVNBPG"] == ("PASS", 0)
+    delivered = spark.createDataFrame(rows, text)
+    told = gate.full_gate({}, {}, {}, delivered={"ouvrages": delivered, "ref_canaux": delivered})
+    assert {r.check: (r.status, int(r.measured)) for r in told.where("check like 'unreadable %'").collect()} == found
 
 
 @pytest.mark.parametrize("period", ["annee", "trimestre", "mois"])
