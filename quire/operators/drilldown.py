@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from quire.operators.merge import snapshot_diff
 
 FANOUT, LEVELS = 64, 3
-# So many unlike ranges at most are looked into one by one; with more, the two tables are unlike everywhere.
+# With more unlike ranges than this they are not cut further; there are at most FANOUT ** LEVELS.
 MOST_RANGES = 2048
+# Bounds that reach the scan as literals; within them a broadcast table of range numbers tells the unlike ranges apart.
+MOST_BOUNDS = 32
 
 
 def _sums(df: DataFrame, range_of: Column, columns: list[str]) -> DataFrame:
@@ -46,43 +48,65 @@ def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def unlike_ranges(old: DataFrame, new: DataFrame, key: str, levels: int = LEVELS, fanout: int = FANOUT) -> list[tuple[int, int]]:
     """Ranges [low, high) of a whole-number key in which the tables differ; empty if they are alike.
 
-    Each level cuts the unlike ranges of the level before by `fanout`, and reads the rows of these ranges only: the bounds are literals that
-    reach the scan. Nothing but a row per range leaves a task.
+    Each level cuts the unlike ranges of the level before by `fanout`, and reads the rows of these ranges only. Nothing but a row per
+    range leaves a task.
     """
+    return _unlike_ranges(old, new, key, levels, fanout)[0]
+
+
+def _unlike_ranges(old: DataFrame, new: DataFrame, key: str, levels: int, fanout: int) -> tuple[list[tuple[int, int]], int]:
+    """The ranges, and the width of which they are whole multiples, counted from the first one's lower end."""
     columns = sorted(set(old.columns) | set(new.columns))
     if set(old.columns) != set(new.columns):
         raise ValueError(f"columns differ: {sorted(set(old.columns) ^ set(new.columns))}")
     edges = [df.agg(F.min(key), F.max(key)).first() for df in (old, new)]
     known = [v for row in edges for v in row if v is not None]
     if not known:
-        return []
+        return [], 1
     low, high = min(known), max(known) + 1
     ranges, width = [(low, high)], high - low
     for _ in range(levels):
-        width = -(-width // fanout)
-        range_of = F.floor((F.col(key) - F.lit(low)) / F.lit(width)).cast("bigint") if width > 1 else (F.col(key) - F.lit(low)).cast("bigint")
-        inside = _inside(key, ranges)
-        numbers = _unlike(old.where(inside), new.where(inside), range_of, columns)
-        ranges = _merged([(low + n * width, low + (n + 1) * width) for n in numbers])
+        inner = -(-width // fanout)
+        numbers = _unlike(_inside(old, key, ranges, width), _inside(new, key, ranges, width), _number(key, low, inner), columns)
+        ranges, width = _merged([(low + n * inner, low + (n + 1) * inner) for n in numbers]), inner
         if not ranges or len(ranges) > MOST_RANGES or width == 1:
             break
-    return ranges
+    return ranges, width
+
+
+def _number(key: str, low: int, width: int) -> Column:
+    return F.call_function("div", F.col(key) - F.lit(low), F.lit(width).cast("bigint"))
+
+
+def _covering(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """At most MOST_BOUNDS ranges that hold all of these: the widest gaps stay open."""
+    gaps = sorted(range(1, len(ranges)), key=lambda i: ranges[i - 1][1] - ranges[i][0])[: MOST_BOUNDS - 1]
+    starts = [0, *sorted(gaps)]
+    return [(ranges[a][0], ranges[b - 1][1]) for a, b in zip(starts, [*starts[1:], len(ranges)])]
 
 
-def _inside(key: str, ranges: list[tuple[int, int]]) -> Column:
-    found = F.lit(False)
-    for low, high in ranges:
-        found = found | ((F.col(key) >= low) & (F.col(key) < high))
-    return found
+def _inside(df: DataFrame, key: str, ranges: list[tuple[int, int]], width: int) -> DataFrame:
+    """The rows of these ranges, which are whole multiples of `width` apart. The plan is the same however many ranges there are."""
+    if not ranges:
+        return df.where(F.lit(False))
+    near = F.lit(False)
+    for low, high in _covering(ranges):
+        near = near | ((F.col(key) >= low) & (F.col(key) < high))
+    held = df.where(near)
+    if len(ranges) <= MOST_BOUNDS:
+        return held
+    base = ranges[0][0]
+    runs = [((low - base) // width, (high - base) // width - 1) for low, high in ranges]
+    numbers = df.sparkSession.createDataFrame(runs, "first bigint, last bigint").select(F.explode(F.sequence("first", "last")).alias("_range"))
+    # At most FANOUT ** LEVELS numbers.
+    return held.join(F.broadcast(numbers), _number(key, base, width) == F.col("_range"), "left_semi")
 
 
 def drill_down(old: DataFrame, new: DataFrame, key: str, levels: int = LEVELS, fanout: int = FANOUT) -> DataFrame:
     """(key, change) of the rows that differ: inserted, updated or deleted. Rows without a key are compared in any case.
 
-    Only rows in unlike ranges are shuffled. More than MOST_RANGES unlike ranges are taken as one from the first to the last.
+    Only rows in unlike ranges are shuffled.
     """
-    ranges = unlike_ranges(old, new, key, levels, fanout)
-    if len(ranges) > MOST_RANGES:
-        ranges = [(ranges[0][0], ranges[-1][1])]
-    looked_at = F.col(key).isNull() | _inside(key, ranges)
-    return snapshot_diff(old.where(looked_at), new.where(looked_at), [key]).where("change <> 'unchanged'")
+    ranges, width = _unlike_ranges(old, new, key, levels, fanout)
+    sides = [_inside(df, key, ranges, width).unionByName(df.where(F.col(key).isNull())) for df in (old, new)]
+    return snapshot_diff(*sides, [key]).where("change <> 'unchanged'")

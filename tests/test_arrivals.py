@@ -108,6 +108,16 @@ def test_drill_down_names_the_planted_rows(spark):
         unlike_ranges(old, new.drop("t"), "k")
 
 
+def test_drill_down_with_rows_that_differ_everywhere(spark):
+    """More unlike ranges than can be written out one by one in a filter."""
+    old = spark.range(0, 900_000).select((F.col("id") * 2 - 1000).alias("k"), (F.col("id") % 11).alias("v"))
+    new = old.where("k % 997 <> 5").withColumn("v", F.when(F.col("k") % 1009 == 7, -1).otherwise(F.col("v")))
+    differs = [(r.k, "deleted" if r.k % 997 == 5 else "updated") for r in old.where("k % 997 = 5 or k % 1009 = 7").collect()]
+    ranges = unlike_ranges(old, new, "k")
+    assert len(ranges) > 500 and all(any(low <= k < high for low, high in ranges) for k, _ in differs[:50])
+    assert bag(drill_down(old, new, "k")) == sorted(differs, key=repr)
+
+
 def product(reference, title):
     return f"<Product><RecordReference>{reference}</RecordReference><DescriptiveDetail><TitleDetail><TitleType>01</TitleType><TitleElement><TitleText>{title}</TitleText></TitleElement></TitleDetail></DescriptiveDetail></Product>"
 
