@@ -15,8 +15,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: five-word shingles, Jaccard similarity of 0.8 or more."""
-    return near_copies.keep_one(docs)
+    """One document of each group stays: linked by op4's fingerprints, or by a Jaccard similarity of 0.8 or more on five-word shingles."""
+    return near_copies.keep_one(docs, fingerprints=True)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,8 @@ LARGE shingles is verified under its prefix shingles, bucket by bucket. Verified
 Under a shingle all sets are first compared with one of them: of a group of near copies no other pairs are formed.
 Shingles are known by 64-bit hashes.
 
+On request the links of op4 join the groups as well: fingerprints of three-word shingles that differ in at most two bits.
+
 Words are what ASCII white space separates, A-Z lower-cased. A text of fewer than five words is one shingle; null texts and texts
 without words are equal. A row is known by its doc_id and a hash of its text; the row that stays of a group is the one with the
 smallest doc_id, then hash, rows without a doc_id last. Of rows with equal doc_id and text one stays. Texts may be of any length;
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 
 from quire.llm.common import connected_components, discard, fresh_name, row_key, stored, utf8
 from quire.llm.line_dedup import FILTER_BITS, SLICE, _by_bucket, _candidates, _hot_count, _Listing, _listed, _mixed, _names, _pieces, _slots, _spread, counted
-from quire.llm.simhash import merged
+from quire.llm.simhash import fingerprint, links as fingerprint_links, merged
 from quire.llm.suffixes import BASES, Hashes
 
 SHINGLE = 5
@@ -83,16 +85,18 @@ def _sets(texts: list[str | None], counts: np.ndarray | None) -> tuple[np.ndarra
     return np.cumsum(sizes) - sizes, sizes, hashes[fresh], seen[fresh]
 
 
-def _named(docs: DataFrame) -> DataFrame:
-    """(no_id, doc, mark, name, size): each row, and the name and size of its set."""
+def _named(docs: DataFrame, fingerprints: bool) -> DataFrame:
+    """(no_id, doc, mark, name, size, fp): each row, the name and size of its set, and op4's fingerprint of its text if asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _pieces(batches, 3):
             begins, sizes, tokens, _ = _sets(batch.column(3).to_pylist(), None)
             names = _names(tokens, begins, sizes).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(names), pa.array(sizes.astype(np.int64))], [*ROW, "name", "size"])
+            marks = [fingerprint(text) if fingerprints else 0 for text in batch.column(3).to_pylist()]
+            columns = [*batch.columns[:3], pa.array(names), pa.array(sizes.astype(np.int64)), pa.array(np.array(marks, np.uint64).view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, [*ROW, "name", "size", "fp"])
 
-    return docs.mapInArrow(run, "no_id boolean, doc long, mark long, name long, size long")
+    return docs.mapInArrow(run, "no_id boolean, doc long, mark long, name long, size long, fp long")
 
 
 def _packed(bucket: int, *columns: np.ndarray, names: str) -> pa.RecordBatch:
@@ -271,19 +275,28 @@ def links(docs: DataFrame, named: DataFrame, counts: np.ndarray, buckets: int) -
     return found
 
 
-def classes(docs: DataFrame, buckets: int | None = None) -> DataFrame:
-    """(no_id, doc, mark, component) of every row: rows of a component are connected by near copies."""
+def _alike(named: DataFrame) -> DataFrame:
+    """Edges (a, b) between names of sets that connect exactly what op4's links of fingerprints connect."""
+    nodes = connected_components(fingerprint_links(named)).withColumnRenamed("node", "fp")
+    known = stored(named.select("name", "fp").distinct().join(nodes, "fp", "left").select("name", F.coalesce("component", "fp").alias("group")), "near-copy-fingerprints")
+    firsts = known.groupBy("group").agg(F.min("name").alias("first"))
+    return known.join(firsts, "group").where("name <> first").select(F.col("name").alias("a"), F.col("first").alias("b"))
+
+
+def classes(docs: DataFrame, buckets: int | None = None, fingerprints: bool = False) -> DataFrame:
+    """(no_id, doc, mark, component) of every row: rows of a component are connected by near copies, and by links of fingerprints if asked for."""
     buckets = buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     known = docs.select(*row_key(), "text")
-    named = stored(_named(known), "near-copy-names")
+    named = stored(_named(known, fingerprints), "near-copy-names")
     counts = counted(known, lambda raw: _shingles(raw)[0])
-    nodes = connected_components(links(known, named, counts, buckets)).withColumnRenamed("node", "name")
+    edges = links(known, named, counts, buckets)
+    nodes = connected_components(edges.unionByName(_alike(named)) if fingerprints else edges).withColumnRenamed("node", "name")
     return named.join(nodes, "name", "left").select(*ROW, F.coalesce("component", "name").alias("component"))
 
 
-def keep_one(docs: DataFrame, buckets: int | None = None) -> DataFrame:
+def keep_one(docs: DataFrame, buckets: int | None = None, fingerprints: bool = False) -> DataFrame:
     """The documents without all but one of each group."""
-    found = stored(classes(docs, buckets).groupBy("component", *ROW).agg(F.count("*").alias("rows")), "near-copies")
+    found = stored(classes(docs, buckets, fingerprints).groupBy("component", *ROW).agg(F.count("*").alias("rows")), "near-copies")
     firsts = found.groupBy("component").agg(F.min(F.struct(*ROW)).alias("first"))
     judged = found.join(firsts, "component").select(*ROW, "rows", (F.struct(*ROW) == F.col("first")).alias("stays"))
     judged = stored(judged, "near-copies-judged")

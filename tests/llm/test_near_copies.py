@@ -4,7 +4,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from quire.llm import line_dedup, near_copies
+from quire.llm import line_dedup, near_copies, simhash
 
 SCHEMA = "doc_id long, text string, source string"
 FOLDER = "/root/testdata/sf0.001"
@@ -80,6 +80,18 @@ def test_stage_drops_near_copies_with_distant_fingerprints(spark):
     assert sorted((False, r.doc_id) for r in kept.collect()) == brute(rows)
 
 
+def test_stage_drops_what_fingerprints_link(spark):
+    """op4's links count in the pipeline: a passage read fifty times with some words after it, below 0.8 on five-word shingles."""
+    rng = random.Random(7)
+    words = [f"w{rng.randrange(10**9)}" for _ in range(41)] * 50
+    one, two = " ".join(words), " ".join([*words, *(f"x{i}" for i in range(12))])
+    rows = [(1, one), (2, two), (3, "something else altogether")]
+    assert (simhash.fingerprint(one) ^ simhash.fingerprint(two)).bit_count() <= simhash.RADIUS
+    assert [number for _, number in brute(rows)] == [1, 2, 3]
+    frame = spark.createDataFrame([(i, t, "x") for i, t in rows], SCHEMA)
+    assert sorted(r.doc_id for r in dict(corpus_pipeline.STAGES)["near_dedup"](spark, frame, FOLDER).collect()) == [1, 3]
+
+
 def test_no_rows(spark):
     assert got(spark, []) == []
 
