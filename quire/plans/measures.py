@@ -210,6 +210,23 @@ def stock_by_site(stock: DataFrame) -> DataFrame:
     )
 
 
+def in_force(terms: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, num_contrat, _from, _until): by key the contract that counts on each day; the spans of a key do not overlap.
+
+    A span goes from a day on which a term begins or has ended to the next such day, `_until` being the first day after it and NULL for
+    ever. Of several contracts in term the latest by (_for_title, date_debut, num_contrat) counts. A NULL key is a key.
+    """
+    ended = terms.where("date_fin is not null").select(*keys, F.date_add("date_fin", 1).alias("_from"))
+    days = terms.select(*keys, F.col("date_debut").alias("_from")).unionByName(ended).distinct()
+    until = F.lead("_from").over(Window.partitionBy(*keys).orderBy("_from")).alias("_until")
+    spans = days.select(*[F.col(k).alias(f"_s_{k}") for k in keys], "_from", until)
+    open_ = (F.col("date_debut") <= F.col("_from")) & (F.col("date_fin").isNull() | (F.col("date_fin") >= F.col("_from")))
+    for k in keys:
+        open_ = open_ & F.col(k).eqNullSafe(F.col(f"_s_{k}"))
+    best = F.max(F.struct("_for_title", "date_debut", "num_contrat")).alias("_best")
+    return terms.join(spans, open_).groupBy(*keys, "_from", "_until").agg(best).select(*keys, "_best.num_contrat", "_from", "_until")
+
+
 def earnings(sales: DataFrame, contracts: DataFrame, bridge: DataFrame) -> DataFrame:
     """(num_contrat, date_vente, _cents): net HT sales of a book and day under the contract that they fall to.
 
@@ -217,43 +234,29 @@ def earnings(sales: DataFrame, contracts: DataFrame, bridge: DataFrame) -> DataF
     term on that day, else under a contract without title; among several the latest start and then the
     highest number. The status does not matter inside the term, and a term without end stays open.
 
-    Sales are summed to book and day before they meet contracts, and stored, as three steps ask for them. Contracts meet
-    the years in which their books were sold, and then the days by book and year, so a long-lived pair is spread over tasks.
-    The choice among contracts groups by the join's own keys first, so it needs no further shuffle.
+    The choice among contracts is made before any sale is met: by author for contracts without title, by book and author where there is
+    one for the title. So a book, author and day meet one contract, and what comes out needs no further grouping. Sales are summed to book
+    and day before; a book has a row a day at most.
     """
     daily = stored_once(
-        sales.filter(F.col("date_vente").isNotNull())
-        .groupBy("isbn", "date_vente")
-        .agg(F.sum(cents(F.col("montant_ht"))).alias("_cents"))
-        .withColumn("_year", F.year("date_vente")),
+        sales.filter(F.col("date_vente").isNotNull()).groupBy("isbn", "date_vente").agg(F.sum(cents(F.col("montant_ht"))).alias("_cents")),
         "daily-sales",
     )
-    sold = daily.select("isbn", "_year").distinct()
-    terms = contracts.select(
-        "num_contrat", "code_auteur", F.nullif("isbn", F.lit("")).alias("isbn"), "date_debut", "date_fin"
-    )
-    titled = terms.filter(F.col("isbn").isNotNull()).withColumn("_for_title", F.lit(1))
-    # Only books with sales; an author of very many is split.
-    wrote = bridge.select("isbn", "code_auteur").distinct().join(sold.select("isbn").distinct(), "isbn", "left_semi")
-    untitled = terms.filter(F.col("isbn").isNull()).drop("isbn")
-    anywhere = join_dimension(wrote, untitled, ["code_auteur"]).withColumn("_for_title", F.lit(0))
-    open_year = (F.year("date_debut") <= F.col("_year")) & (
-        F.col("date_fin").isNull() | (F.year("date_fin") >= F.col("_year"))
-    )
-    by_year = titled.unionByName(anywhere).join(sold, "isbn").filter(open_year).select(
-        "isbn", "_year", "code_auteur", "date_debut", "date_fin",
-        F.struct("_for_title", "date_debut", "num_contrat").alias("_preference"),
-    )
-    in_term = (F.col("date_vente") >= F.col("date_debut")) & (
-        F.col("date_fin").isNull() | (F.col("date_vente") <= F.col("date_fin"))
-    )
-    return (
-        daily.join(by_year, ["isbn", "_year"])
-        .filter(in_term)
-        .groupBy("isbn", "_year", "date_vente", "code_auteur")
-        .agg(F.max("_preference").alias("_best"), F.max("_cents").alias("_cents"))
-        .select("_best.num_contrat", "date_vente", "_cents")
-    )
+    sold = daily.select("isbn").distinct()
+    in_term = F.col("date_debut").isNotNull() & (F.col("date_fin").isNull() | (F.col("date_fin") >= F.col("date_debut")))
+    isbn = F.nullif("isbn", F.lit(""))
+    terms = contracts.where(in_term).select("num_contrat", "code_auteur", isbn.alias("isbn"), "date_debut", "date_fin", F.when(isbn.isNull(), 0).otherwise(1).alias("_for_title"))
+    terms = stored_once(terms, "contract-terms")
+    titled, untitled = terms.where("isbn is not null").join(sold, "isbn", "left_semi").select(terms.columns), terms.where("isbn is null")
+    # Only books with sales.
+    wrote = stored_once(bridge.select("isbn", "code_auteur").distinct().join(sold, "isbn", "left_semi"), "written-books")
+    for_title = titled.select("isbn", "code_auteur").distinct()
+    both = wrote.join(for_title, ["isbn", "code_auteur"], "left_semi").join(untitled.drop("isbn"), "code_auteur").select(terms.columns)
+    # An author of very many books is split.
+    anywhere = join_dimension(wrote.join(for_title, ["isbn", "code_auteur"], "left_anti"), in_force(untitled, ["code_auteur"]), ["code_auteur"])
+    spans = in_force(titled.unionByName(both), ["isbn", "code_auteur"]).unionByName(anywhere.select("isbn", "code_auteur", "num_contrat", "_from", "_until"))
+    within = (F.col("date_vente") >= F.col("_from")) & (F.col("_until").isNull() | (F.col("date_vente") < F.col("_until")))
+    return spans.join(daily, "isbn").where(within).select("num_contrat", "date_vente", "_cents")
 
 
 def _due(base: Column) -> Column:
