@@ -21,6 +21,9 @@ PRODUCT_SCHEMA = """
         Price: array<struct<PriceType: string, PriceAmount: string, CurrencyCode: string>>>>>>
 """
 
+# Products of a written file: some tens of megabytes.
+FILE_PRODUCTS = 50_000
+
 # Identifier types of the standard.
 ISBN10_TYPE = "02"
 ISBN13_TYPE = "15"
@@ -38,6 +41,12 @@ def read_products(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def write_products(products: DataFrame, path: str, mode: str = "error") -> None:
+    """Products as XML files of bounded size: a file is read by one task, as its records cannot be found from the middle."""
+    rows = products.hint("rebalance")
+    rows.write.mode(mode).format("xml").option("rowTag", "Product").option("rootTag", "ONIXMessage").option("maxRecordsPerFile", FILE_PRODUCTS).save(path)
+
+
 def product_identifiers(products: DataFrame) -> DataFrame:
     """Reference, ISBN-13, ISBN-10 and title of each product: the distinctive title, else the first one."""
 

@@ -54,7 +54,7 @@ from quire.sources import (
 from quire.sources.quarantine import take_in
 from quire.sources.sinks import overwrite, overwrite_clustered, overwrite_partitioned, overwrite_sorted, write_json
 from quire.sources.slices import SlicedExtract
-from quire.sources.xml import product_identifiers, read_products
+from quire.sources.xml import product_identifiers, read_products, write_products
 from quire.streaming.drop_folder import load_drop_folder
 from quire.streaming.onix import load_products, merge_batch, products, quarantined
 from quire.trial import mapping
@@ -432,7 +432,7 @@ def xml_products(spark, folder):
         F.array(pair("15", "_isbn"), pair("02", "_short")).alias("ProductIdentifier"),
         F.struct(F.array(title("03", "p_type"), title("01", "p_name")).alias("TitleDetail")).alias("DescriptiveDetail"),
     )
-    products.write.format("xml").option("rowTag", "Product").option("rootTag", "ONIXMessage").save(path)
+    write_products(products, path)
     return product_identifiers(read_products(spark, path))
 
 
@@ -449,7 +449,7 @@ def onix_arrivals(spark, folder):
     """Products that arrive in two batches: the second renames some; a file that breaks off is set aside, a batch run again changes nothing."""
     place = scratch_folder(spark, "onix")
     part = Tables(spark, folder).given("part").select(mapping.isbn_of("p_partkey").alias("_isbn"), "p_partkey", "p_name", "p_type")
-    arrive = lambda df, title: _as_products(df, title).write.mode("append").format("xml").option("rowTag", "Product").option("rootTag", "ONIXMessage").save(f"{place}/in")
+    arrive = lambda df, title: write_products(_as_products(df, title), f"{place}/in", "append")
     arrive(part.where("p_partkey % 4 <> 3"), "p_type")
     broken = "<ONIXMessage><Product><RecordReference>0000000000000</RecordReference></Product><Product><RecordReference>1"
     spark.createDataFrame([(broken,)], "value string").write.mode("append").text(f"{place}/in")

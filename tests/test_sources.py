@@ -130,3 +130,14 @@ def test_json_report(spark):
     path = scratch_folder(spark, "report")
     write_json(spark.createDataFrame([("isbn", "PASS")], "check string, status string"), path)
     assert [tuple(r) for r in spark.read.json(path).select("check", "status").collect()] == [("isbn", "PASS")]
+
+
+def test_written_products_are_dealt_over_files(spark, tmp_path, monkeypatch):
+    from quire.sources import xml
+
+    monkeypatch.setattr(xml, "FILE_PRODUCTS", 100)
+    rows = spark.range(1050).select(F.col("id").cast("string").alias("RecordReference"))
+    xml.write_products(rows.coalesce(1), str(tmp_path / "products"))
+    read = xml.read_products(spark, str(tmp_path / "products"))
+    assert len(read.inputFiles()) >= 11
+    assert sorted(int(r.RecordReference) for r in read.collect()) == list(range(1050))
