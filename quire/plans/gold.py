@@ -173,6 +173,16 @@ def lead_authors(pairs: DataFrame) -> DataFrame:
     )
 
 
+def named_leads(bridge: DataFrame, authors: DataFrame) -> DataFrame:
+    """`lead_authors` with the names put in last: only the first-named authors meet the author dimension, not all pairs."""
+    first = F.min(F.struct("ordre", "code_auteur"))
+    leads = bridge.groupBy("isbn", "role").agg(first.alias("_first"), F.count("*").alias("nb_auteurs"))
+    leads = leads.select("isbn", "role", "_first.code_auteur", "nb_auteurs")
+    return join_dimension(leads, authors.select("code_auteur", "nom_complet"), ["code_auteur"], "left").select(
+        "isbn", "role", "code_auteur", F.coalesce("nom_complet", F.lit("Inconnu")).alias("nom_complet"), "nb_auteurs"
+    )
+
+
 # Lookup table, code column and label column per coded column of a fact or dimension.
 CODED = {
     "canal": ("ref_canaux", "libelle_canal"),

@@ -738,7 +738,7 @@ def book_authors(spark, folder):
 @query
 def lead_authors(spark, folder):
     t = Tables(spark, folder)
-    return gold.lead_authors(gold.book_authors(t.bridge, t.dim_author))
+    return gold.named_leads(t.bridge, t.dim_author)
 
 
 @query
@@ -754,7 +754,7 @@ def resolve_codes(spark, folder):
 @query
 def sales_by_publisher_author_month(spark, folder):
     t = Tables(spark, folder)
-    leads = gold.lead_authors(gold.book_authors(t.bridge, t.dim_author))
+    leads = gold.named_leads(t.bridge, t.dim_author)
     return measures.sales_by_publisher_author_month(t.fact_sales, t.dim_book, t.dim_publisher, leads)
 
 

@@ -3,7 +3,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from quire.plans import gate, measures, monitor, recon
+from quire.plans import gate, gold, measures, monitor, recon
 from quire.plans.gold import dim_author, fact_stock
 from quire.streaming.drop_folder import load_drop_folder
 
@@ -173,3 +173,11 @@ def test_drop_folder_loads_each_file_once(spark, landing, tmp_path):
     load_drop_folder(spark, str(drop), table("stocks"), target, marks)
     loaded = spark.read.parquet(target)
     assert loaded.count() == 22 and loaded.columns == table("stocks").source_columns
+
+
+def test_leads_are_named_after_they_are_chosen(spark):
+    pairs = spark.createDataFrame([("i1", "A", "AUT", 2), ("i1", "B", "AUT", 1), ("i1", "C", "TRA", 1), ("i2", "Z", "AUT", 1), ("i2", "A", "AUT", 1)], "isbn string, code_auteur string, role string, ordre int")
+    authors = spark.createDataFrame([("A", "Ann"), ("B", "Bea")], "code_auteur string, nom_complet string")
+    found = gold.named_leads(pairs, authors)
+    assert {tuple(r) for r in found.collect()} == {("i1", "AUT", "B", "Bea", 2), ("i1", "TRA", "C", "Inconnu", 1), ("i2", "AUT", "A", "Ann", 2)}
+    assert {tuple(r) for r in found.collect()} == {tuple(r) for r in gold.lead_authors(gold.book_authors(pairs, authors)).collect()}
