@@ -37,7 +37,7 @@ from quire.operators.dedupe import collapse_report, keep_latest, latest_with_tie
 from quire.operators.joins import orphan_keys
 from quire.operators.keys import key_collisions
 from quire.operators.merge import snapshot_diff, union_evolved, upsert
-from quire.operators.profile import profile_columns
+from quire.operators.profile import exact_distinct, profile_columns
 from quire.operators.vectors import CosineSearch, cosine_topk
 from quire.plans import gate, gold, increments, measures, monitor, recon
 from quire.plans.pipeline import Lake
@@ -334,7 +334,7 @@ def merged_sketches(spark, folder):
         recon.distinct_sketches(load, str(1900 + year), columns).write.mode("append").parquet(place)
     loads = spark.read.parquet(place)
     merged = recon.merged_distinct(loads.where("row_count > 0"))
-    exact = sales.agg(*[F.count_distinct(c).alias(c) for c in columns]).select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("exact")) for c in columns])))
+    exact = exact_distinct(sales.select(columns))
     near = F.abs(F.col("approx_distinct") - F.col("exact")) <= F.greatest(F.col("exact") * 0.05, F.lit(1))
     return merged.join(exact, "column_name").select("column_name", "row_count", near.alias("within_bound"))
 
@@ -500,8 +500,7 @@ def layout_proof(spark, folder):
 def sketches_within_bound(spark, folder):
     """Sketched distinct counts against exact ones, column by column; 15 % is three standard errors."""
     sales = to_raw(Tables(spark, folder).bronze("ventes"), table("ventes"))
-    exact = sales.agg(*[F.count_distinct(c).alias(c) for c in sales.columns])
-    counted = exact.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("exact")) for c in sales.columns])))
+    counted = exact_distinct(sales)
     near = F.abs(F.col("approx_distinct") - F.col("exact")) <= F.col("exact") * 0.15
     return profile_columns(sales, "VENTEP").join(counted, "column_name").select("column_name", "row_count", near.alias("within_bound"))
 
