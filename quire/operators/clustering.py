@@ -48,15 +48,16 @@ def _bounds(values: list, ranges: int) -> list:
     return list(dict.fromkeys(known[len(known) * i // ranges] for i in range(1, ranges))) if known else []
 
 
-def cluster_by(df: DataFrame, columns: tuple[str, ...], partitions: int | None = None) -> DataFrame:
+def cluster_by(df: DataFrame, columns: tuple[str, ...], partitions: int | None = None, stored: bool = False) -> DataFrame:
     """Rows partitioned and sorted along a space-filling order of several columns.
 
     A sample of fixed size cuts each column, whatever its type, into ranges by its own values; the ranges
     are the cells of the order. Rows are dealt out by range of cell and values, so a cell of any size is
     cut by value over as many partitions as its rows need, and one value by the row's place in the input.
+    `stored` says that df is read straight from files; else its rows are written first.
     """
     # The sample, the range shuffle's own sample and the shuffle each read the rows.
-    df = stored_once(df, "clustering")
+    df = df if stored else stored_once(df, "clustering")
     partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bits = max(1, min(MOST_BITS, CELL_BITS // len(columns)))
     chosen = df.select(*columns).withColumn("_row", F.monotonically_increasing_id())

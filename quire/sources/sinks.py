@@ -36,10 +36,10 @@ def overwrite_partitioned(df: DataFrame, path: str, by: str, partitions: int | N
 
 
 def overwrite_clustered(
-    df: DataFrame, path: str, columns: tuple[str, ...], partitions: int | None = None
+    df: DataFrame, path: str, columns: tuple[str, ...], partitions: int | None = None, stored: bool = False
 ) -> None:
     """Replace a table, laid out for skipping files on several columns."""
-    cluster_by(df, columns, partitions).write.mode("overwrite").parquet(path)
+    cluster_by(df, columns, partitions, stored).write.mode("overwrite").parquet(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:

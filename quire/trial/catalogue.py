@@ -487,7 +487,7 @@ def layout_proof(spark, folder):
     place, files = scratch_folder(spark, "layout"), int(spark.conf.get("spark.sql.shuffle.partitions"))
     sales = stored_once(Tables(spark, folder).fact_sales, "layout-sales")
     overwrite(sales.repartition(files), f"{place}/plain")
-    overwrite_clustered(sales, f"{place}/clustered", ("date_vente", "isbn"), files)
+    overwrite_clustered(sales, f"{place}/clustered", ("date_vente", "isbn"), files, stored=True)
     bounds = {"date_vente": (dt.date(1998, 1, 1), dt.date(1998, 3, 31))}
     laid = {n: read_parquet(spark, f"{place}/{n}") for n in ("plain", "clustered")}
     rows = {n: df.count() for n, df in laid.items()}
@@ -953,7 +953,7 @@ def fact_orders(spark, folder):
 
 @query
 def cluster_same_rows(spark, folder):
-    return cluster_by(Tables(spark, folder).fact_sales, ("date_vente", "isbn"), partitions=16)
+    return cluster_by(Tables(spark, folder).fact_sales, ("date_vente", "isbn"))
 
 
 @query
