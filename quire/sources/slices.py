@@ -69,21 +69,22 @@ class SlicedExtract:
             else:
                 own = plan.where(F.col(SLICE).isin(numbers))
                 # Literals first, which the source can filter by; the join then tells the slices apart.
-                chosen = source.where(reduce(Column.__or__, [self._is(values[n], source) for n in numbers]))
+                chosen = source.where(self._may_be([values[n] for n in numbers], source))
                 rows = chosen.join(F.broadcast(own), self.columns)
             self._write(rows.select(*source.columns, SLICE), numbers)
             read += numbers
         return read
 
-    def _is(self, row, source: DataFrame) -> Column:
-        return reduce(Column.__and__, [F.col(c) == literal(row[c], source.schema[c].dataType) for c in self.columns])
+    def _may_be(self, rows: list, source: DataFrame) -> Column:
+        """Each column has a value of one of these slices: one list for each column, as a term for each slice outgrows the JVM's
+        compile limit."""
+        named = {c: [literal(value, source.schema[c].dataType) for value in dict.fromkeys(row[c] for row in rows)] for c in self.columns}
+        return reduce(Column.__and__, [F.col(c).isin(values) for c, values in named.items()])
 
     def _write(self, rows: DataFrame, numbers: list[int]) -> None:
         data = f"{self.folder}/data"
-        spread = F.xxhash64(*rows.columns)
-        # A heavy slice is cut over as many tasks and files as its rows need.
-        dealt = rows.withColumn("_spread", spread).repartitionByRange(SLICE, "_spread").drop("_spread")
-        dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(SLICE).parquet(data)
+        # A heavy slice is cut over as many tasks and files as its rows need, by their measured size: no sample reads the source before.
+        rows.hint("rebalance", SLICE).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(SLICE).parquet(data)
         counts = {}
         if self._files._names(data):
             written = self.spark.read.schema(rows.schema).parquet(data).where(F.col(SLICE).isin(numbers))

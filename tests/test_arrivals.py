@@ -41,6 +41,24 @@ def test_slices_go_on_where_they_stopped(spark):
     assert extract.run(failing) == [] and extract.missing() == []
 
 
+def test_each_pass_reads_the_source_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = [(i, 2000 + i % 5, "AB"[i % 2] if i % 9 else None) for i in range(300)]
+    source = spark.createDataFrame(rows, "id int, year int, publisher string")
+    source = source.mapInArrow(counted, source.schema)
+    extract = SlicedExtract(spark, scratch_folder(spark, "slices"), ["year", "publisher"])
+    extract.run(source, together=5)
+    # The plan, two passes of five slices each, and the rows that no slice names.
+    assert read.value == 4 * 300
+    assert bag(extract.table(source)) == bag(spark.createDataFrame(rows, source.schema))
+
+
 def test_a_slice_half_written_is_written_again(spark, monkeypatch):
     source = spark.range(40).select("id", (F.col("id") % 4).cast("int").alias("year"))
     extract = SlicedExtract(spark, scratch_folder(spark, "slices"), ["year"])
