@@ -39,9 +39,12 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], newest_by: tupl
     return union_evolved(untouched, winners)
 
 
-def replace_by_key(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """The target without the rows whose key the batch has, and all rows of the batch; a NULL key is a key."""
-    names = batch.select(*[F.col(k).alias(f"_b_{k}") for k in keys]).distinct()
+def replace_by_key(target: DataFrame, batch: DataFrame, keys: list[str], named: DataFrame | None = None) -> DataFrame:
+    """The target without the rows whose key the batch has, and all rows of the batch; a NULL key is a key.
+
+    named: the batch's keys, where they can be had for less than the batch.
+    """
+    names = (batch if named is None else named).select(*[F.col(k).alias(f"_b_{k}") for k in keys]).distinct()
     same = None
     for k in keys:
         equal = F.col(k).eqNullSafe(F.col(f"_b_{k}"))

@@ -70,14 +70,18 @@ class Run:
         df.write.parquet(folder)
         return self._point(name, df, {"": folder})
 
-    def write_years(self, name: str, df: DataFrame, date: str, touched: set[str]) -> DataFrame:
-        """The touched years of a table replaced by df, which holds these years only."""
-        folder = self.lake.new_folder(name)
-        # Rows of a year are dealt out by a hash, so a heavy year is cut over many tasks and files.
-        spread = F.xxhash64(*df.columns)
-        df.withColumns({YEAR: year_of(date), "_spread": spread}).repartitionByRange(YEAR, "_spread").drop("_spread").write.partitionBy(YEAR).parquet(folder)
+    def write_years(self, name: str, df: DataFrame, date: str, touched: set[str], laid_out: bool = False) -> set[str]:
+        """The touched years of a table replaced by df, which holds these years only; gives the years that df has.
+
+        laid_out: df lies in files of one year each, so its tasks write few years without a shuffle.
+        """
+        folder, dated = self.lake.new_folder(name), df.withColumn(YEAR, year_of(date))
+        # A heavy year is cut over as many tasks and files as its rows need, by their measured size: no sample computes df before.
+        (dated if laid_out else dated.hint("rebalance", YEAR)).write.partitionBy(YEAR).parquet(folder)
         kept = {year: path for year, path in self.tables.get(name, {}).get("folders", {}).items() if year not in touched}
-        return self._point(name, df, {**kept, **self.lake.parts(folder, YEAR)})
+        written = self.lake.parts(folder, YEAR)
+        self._point(name, df, {**kept, **written})
+        return set(written)
 
     def deliver(self, name: str, source: DataFrame, full: bool) -> DataFrame:
         """Bronze: what the source holds since the last mark, stored in one read that also counts it and finds the next mark."""
@@ -109,21 +113,20 @@ class Run:
             whole = old is None or name not in CHANGED_BY
             self.write(own, clean if whole else replace_by_key(old, clean, keys))
             return set()
-        # Cleaned once: it is asked for its years and its keys before it is written.
-        folder = self.lake.new_folder(f"batch_{name}")
-        clean.write.parquet(folder)
-        clean = self.spark.read.schema(clean.schema).parquet(folder)
-        touched = self._years(clean, DATED[name])
         if old is None:
-            touched |= set(self.tables.get(own, {}).get("folders", {}))
+            touched = set(self.tables.get(own, {}).get("folders", {}))
             state = clean
         else:
+            # Years and keys are asked of the delivery by their own columns; all of it is cleaned once, as it is written.
+            fields = {f.name: f for f in table(name).fields}
+            named = batch.select([fields[k].cleaned() for k in keys])
+            touched = self._years(batch.select(fields[DATED[name]].cleaned()), DATED[name])
             # A delivered key may stand in a year that the delivery does not name.
             rest = self.known(own, set(self.tables[own]["folders"]) - touched)
             if rest is not None:
-                touched |= self._years(rest.join(clean.select(*keys).distinct(), keys, "left_semi"), DATED[name])
-            state = replace_by_key(self.known(own, touched), clean, keys)
-        self.write_years(own, state, DATED[name], touched)
+                touched |= self._years(rest.join(named.distinct(), keys, "left_semi"), DATED[name])
+            state = replace_by_key(self.known(own, touched), clean, keys, named)
+        touched |= self.write_years(own, state, DATED[name], touched)
         self.years[name] = sorted(touched)
         return touched
 
@@ -153,7 +156,8 @@ class Run:
                 years = set(self.tables[f"silver_{name}"]["folders"]) | set(self.tables.get(own, {}).get("folders", {}))
             rows = self.known(f"silver_{name}", years)
             built = gold.fact_sales(rows) if name == "ventes" else gold.fact_orders(rows) if name == "commandes" else gold.fact_stock(rows, books)
-            self.write_years(own, built, DATED[name], years)
+            # Facts of sales and orders are rows of silver, which lies by year; that of stocks comes from a join.
+            self.write_years(own, built, DATED[name], years, laid_out=name != "stocks")
         if {"commandes", "ouvrages"} <= state.keys():
             by_publisher = gold.orders_with_publisher(self.known("gold_fact_commandes"), self.known("gold_dim_ouvrages"))
             self.write("gold_fact_commandes_editeurs", by_publisher)

@@ -100,6 +100,22 @@ def test_a_run_that_dies_leaves_the_version_before(spark, sources, lake, monkeyp
     assert bag(increments.read(spark, one, "gold", "fact_ventes", version=1)) == before
 
 
+def test_years_are_written_in_one_reading(spark):
+    """No sample computes the rows before they are written."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(300).selectExpr("id", "date_add(DATE '2020-11-01', int(id)) AS day", "'x' AS t")
+    run = increments.Run(spark, scratch_folder(spark, "years"))
+    assert run.write_years("t", rows.mapInArrow(counted, rows.schema), "day", set()) == {"2020", "2021"}
+    assert read.value == 300 and bag(run.known("t")) == bag(rows)
+    assert bag(run.known("t", {"2020"})) == bag(rows.where("year(day) = 2020"))
+
+
 def test_of_two_runs_from_one_version_one_commits(spark):
     files = Commits(spark, scratch_folder(spark, "conflict"))
     assert files.latest() == Commit() and files.read(Commit(), "t") is None
