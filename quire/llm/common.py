@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quire.session import scratch_folder
@@ -58,31 +58,68 @@ def utf8(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 
 
-# Edges that a task takes at once: a few edges are not dealt over many tasks, whose files would outweigh them.
-EDGES = 20_000
+# Edges that a task takes at once: a few edges are not dealt over many tasks, whose files would outweigh them. Up to WITHIN edges, one
+# task's few megabytes, are connected without rounds.
+EDGES, WITHIN = 20_000, 1 << 18
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """Undirected edges (a, b) of longs to (node, component), the component being its smallest node.
 
     Alternates the two star operations of Kiveris et al. (2014): every node points to the smallest node it knows, until
-    nothing changes. Each round is written to the scratch folder, and the one before deleted. Edges grow never beyond their number; a
-    hub with most of the edges is a skewed side of a plain join, which adaptive execution splits.
+    nothing changes. Each round is written to the scratch folder, counted by the way, and the one before deleted. Edges grow never beyond
+    their number; a hub with most of the edges is a skewed side of a plain join, which adaptive execution splits. Few edges need
+    no rounds: each round is several jobs, whose plans and task states the driver holds, however little they do.
     """
-    edges = stored(_ordered(edges), "edges")
+    edges, found = _stored_edges(_ordered(edges))
+    if found[0] <= WITHIN:
+        nodes = stored(edges.coalesce(1).mapInArrow(_within, "node long, component long"), "components")
+        discard(edges)
+        return nodes
     seen = None
-    while True:
-        found = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("mark")).first()
-        if (found.n, found.mark) == seen or not found.n:
-            break
-        seen, tasks = (found.n, found.mark), 1 + found.n // EDGES
-        before, edges = edges, stored(_small_star(_large_star(edges, tasks), tasks), "edges")
+    while found != seen:
+        seen, tasks = found, 1 + found[0] // EDGES
+        before = edges
+        edges, found = _stored_edges(_small_star(_large_star(edges, tasks), tasks))
         discard(before)
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         edges.select(F.col("b").alias("node"), F.col("b").alias("component"))
     ).distinct()
 
 
+def _stored_edges(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges, stored, and their number and a sum of their hashes."""
+    seen = Observation()
+    marked = edges.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("mark"))
+    return stored(marked, "edges"), (seen.get["n"], seen.get["mark"])
+
+
+def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The components of all edges of the batches."""
+    sides = [(batch.column(0).to_numpy(), batch.column(1).to_numpy()) for batch in batches if batch.num_rows]
+    if sides:
+        a, b = (np.concatenate(side) for side in zip(*sides))
+        nodes, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+        label = merged(np.arange(len(nodes)), place[: len(a)], place[len(a) :])
+        yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[label])], ["node", "component"])
+
+
+def merged(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The labels, each the smallest place of its group, once the pairs (i, j) are linked too."""
+    i, j = label[i], label[j]
+    while True:
+        low = np.minimum(label[i], label[j])
+        new = label.copy()
+        np.minimum.at(new, i, low)
+        np.minimum.at(new, j, low)
+        np.minimum.at(new, label[i], low)
+        np.minimum.at(new, label[j], low)
+        new = new[new]
+        if np.array_equal(new, label):
+            return label
+        label = new
+
+
 def _ordered(edges: DataFrame) -> DataFrame:
     """The larger end first, no loops, each edge once."""
     return edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()

@@ -25,18 +25,18 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import connected_components, fresh_name, stored, utf8
-from quire.llm.simhash import merged
+from quire.llm.common import connected_components, fresh_name, merged, stored, utf8
 from quire.llm.suffixes import BASES, Hashes
 
 SLOT_BITS, SLICES = 22, 16
 # A word is hot if it has this part of a bucket's words.
 HOT_PART = 0.125
-PAIRS = 1 << 21
+# Pairs formed at once: a task holds some 150 bytes of each.
+PAIRS = 1 << 18
 VERIFIED = 1 << 15
 DROPPED, SETS, LISTED = 0, 1, 2
 
@@ -205,11 +205,7 @@ def _names(tokens: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndar
     return _mixed(np.add.reduceat(tokens, begins) + sizes.astype(np.uint64))
 
 
-def _send(docs: DataFrame, counts: np.ndarray, buckets: int) -> DataFrame:
-    hot_count = _hot_count(counts, buckets)
-    # A table of fixed size.
-    shared = docs.sparkSession.sparkContext.broadcast(counts)
-
+def _send(docs: DataFrame, shared: Broadcast, hot_count: int, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shift = TaskContext.get().partitionId()
         for number, batch in enumerate(_pieces(batches, 2)):
@@ -341,14 +337,13 @@ def _resolve(group: pa.Table) -> pa.Table:
     return pa.Table.from_batches(out)
 
 
-def _whole_sets(docs: DataFrame, wanted: DataFrame, counts: np.ndarray) -> DataFrame:
+def _whole_sets(docs: DataFrame, wanted: DataFrame, shared: Broadcast) -> DataFrame:
     """The wanted lines' word hashes in order of rarity, packed by bucket."""
     lists = wanted.groupBy("doc", "mark").agg(F.collect_list(F.struct("bucket", "line")).alias("lines"))
     # At most 2 ** FILTER_BITS numbers: texts whose number is not among them hold no wanted line and stay where they are.
     slot = F.pmod(F.xxhash64("doc", "mark"), F.lit(1 << FILTER_BITS)).alias("slot")
     near = docs.select("doc", "mark", "text", slot).join(F.broadcast(lists.select(slot).distinct()), "slot", "left_semi")
     joined = near.select("doc", "mark", "text").join(lists, ["doc", "mark"])
-    shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -374,10 +369,8 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame, counts: np.ndarray) -> DataF
     return joined.mapInArrow(run, WHOLE)
 
 
-def _verified(docs: DataFrame, wanted: DataFrame, counts: np.ndarray, buckets: int) -> DataFrame:
+def _verified(docs: DataFrame, wanted: DataFrame, shared: Broadcast, hot_count: int, buckets: int) -> DataFrame:
     """Per set, by its first line: verified links formed in a bucket, and whether an earlier line is similar."""
-    hot_count = _hot_count(counts, buckets)
-    shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(group: pa.Table) -> pa.Table:
         def column(name: str, form: str) -> list[np.ndarray]:
@@ -431,7 +424,7 @@ def _verified(docs: DataFrame, wanted: DataFrame, counts: np.ndarray, buckets: i
             "links": links[use], "gone": gone[use], "joined": names[label[use]],
         })
 
-    return _whole_sets(docs, wanted, counts).groupBy("bucket").applyInArrow(run, LINKS)
+    return _whole_sets(docs, wanted, shared).groupBy("bucket").applyInArrow(run, LINKS)
 
 
 def similar_lines(docs: DataFrame, buckets: int) -> DataFrame:
@@ -441,8 +434,13 @@ def similar_lines(docs: DataFrame, buckets: int) -> DataFrame:
     earlier line has the same set or a similar one.
     """
     counts = word_counts(docs)
-    found = stored(_send(docs, counts, buckets).groupBy("bucket").applyInArrow(_resolve, FOUND), "line-candidates")
-    linked = stored(_verified(docs, found.where(F.col("kind") == LISTED), counts, buckets), "line-links")
+    hot_count = _hot_count(counts, buckets)
+    # A table of fixed size, sent once: every executor and each of its Python workers hold it as often as it is broadcast.
+    shared = docs.sparkSession.sparkContext.broadcast(counts)
+    del counts
+    found = stored(_send(docs, shared, hot_count, buckets).groupBy("bucket").applyInArrow(_resolve, FOUND), "line-candidates")
+    linked = stored(_verified(docs, found.where(F.col("kind") == LISTED), shared, hot_count, buckets), "line-links")
+    shared.destroy()
     nodes = connected_components(linked.select(F.col("name").alias("a"), F.col("joined").alias("b"))).withColumnRenamed("node", "name")
     repeated = found.where(F.col("kind") == DROPPED).select("doc", "mark", "line", "name")
     per_set = linked.groupBy("name").agg(F.sum("links").alias("links"), F.max("gone").alias("gone")).join(nodes, "name", "left")

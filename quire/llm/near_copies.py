@@ -22,12 +22,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import connected_components, discard, fresh_name, row_key, stored, utf8
+from quire.llm.common import connected_components, discard, fresh_name, merged, row_key, stored, utf8
 from quire.llm.line_dedup import FILTER_BITS, SLICE, _by_bucket, _candidates, _hot_count, _Listing, _listed, _mixed, _names, _pieces, _slots, _spread, counted
-from quire.llm.simhash import fingerprint, links as fingerprint_links, merged
+from quire.llm.simhash import fingerprint, links as fingerprint_links
 from quire.llm.suffixes import BASES, Hashes
 
 SHINGLE = 5
@@ -152,11 +153,8 @@ def _forest(bucket: int, names: np.ndarray, label: np.ndarray) -> pa.Table:
     return pa.table(columns)
 
 
-def _candidate_links(docs: DataFrame, counts: np.ndarray, buckets: int) -> DataFrame:
+def _candidate_links(docs: DataFrame, shared: Broadcast, hot_count: int, buckets: int) -> DataFrame:
     """(bucket, a, b): names that connect what may be similar under a shingle of the bucket."""
-    hot_count = _hot_count(counts, buckets)
-    # A table of fixed size.
-    shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _pieces(batches, 0):
@@ -202,13 +200,12 @@ def _routes(named: DataFrame, candidates: DataFrame, buckets: int) -> DataFrame:
     return small.unionByName(spread.agg(F.collect_list(F.struct(F.col("component").alias("owner"), "bucket")).alias("routes")).select("row.*", "routes"))
 
 
-def _whole(docs: DataFrame, routes: DataFrame, counts: np.ndarray) -> DataFrame:
+def _whole(docs: DataFrame, routes: DataFrame, shared: Broadcast) -> DataFrame:
     """The candidate sets' shingles in order of rarity, packed by where they are verified."""
     # At most 2 ** FILTER_BITS numbers: texts whose number is not among them are not wanted and stay where they are.
     slot = F.pmod(F.xxhash64(*ROW), F.lit(1 << FILTER_BITS)).alias("slot")
     near = docs.select(*ROW, "text", slot).join(F.broadcast(routes.select(slot).distinct()), "slot", "left_semi")
     joined = near.select(*ROW, "text").join(routes, ROW).select("text", "routes")
-    shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _pieces(batches, 0):
@@ -255,9 +252,11 @@ def _linked(tokens: np.ndarray, seen: np.ndarray, begins: np.ndarray, sizes: np.
 def links(docs: DataFrame, named: DataFrame, counts: np.ndarray, buckets: int) -> DataFrame:
     """Edges (a, b) between names of sets that connect exactly what the pairs of 0.8 or more connect."""
     hot_count = _hot_count(counts, buckets)
-    candidates = stored(_candidate_links(docs, counts, buckets), "near-copy-candidates")
-    routes = stored(_routes(named, candidates, buckets), "near-copy-routes")
+    # A table of fixed size, sent once: every executor, each of its Python workers and the driver hold it as often as it is broadcast.
     shared = docs.sparkSession.sparkContext.broadcast(counts)
+    del counts
+    candidates = stored(_candidate_links(docs, shared, hot_count, buckets), "near-copy-candidates")
+    routes = stored(_routes(named, candidates, buckets), "near-copy-routes")
 
     def run(group: pa.Table) -> pa.Table:
         bucket, whole = group.column("bucket")[0].as_py(), group.column("owner")[0].as_py() is None
@@ -270,8 +269,9 @@ def links(docs: DataFrame, named: DataFrame, counts: np.ndarray, buckets: int) -
         seen = np.minimum(shared.value[_slots(tokens)], len(tokens) + 1) if whole else shared.value[_slots(tokens)]
         return _forest(bucket, names, _linked(tokens, seen, begins, sizes, *where)).select(["a", "b"])
 
-    found = stored(_whole(docs, routes, counts).groupBy("owner", "bucket").applyInArrow(run, "a long, b long"), "near-copy-links")
+    found = stored(_whole(docs, routes, shared).groupBy("owner", "bucket").applyInArrow(run, "a long, b long"), "near-copy-links")
     discard(candidates, routes)
+    shared.destroy()
     return found
 
 
@@ -288,8 +288,7 @@ def classes(docs: DataFrame, buckets: int | None = None, fingerprints: bool = Fa
     buckets = buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     known = docs.select(*row_key(), "text")
     named = stored(_named(known, fingerprints), "near-copy-names")
-    counts = counted(known, lambda raw: _shingles(raw)[0])
-    edges = links(known, named, counts, buckets)
+    edges = links(known, named, counted(known, lambda raw: _shingles(raw)[0]), buckets)
     nodes = connected_components(edges.unionByName(_alike(named)) if fingerprints else edges).withColumnRenamed("node", "name")
     return named.join(nodes, "name", "left").select(*ROW, F.coalesce("component", "name").alias("component"))
 

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import connected_components, stored, utf8
+from quire.llm.common import connected_components, merged, stored, utf8
 
 SEED = 42
 SHINGLE = 3
@@ -140,22 +140,6 @@ def _forest(left: np.ndarray, right: np.ndarray, radius: int) -> tuple[np.ndarra
     return values[ends], values[label[ends]]
 
 
-def merged(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """The labels, each the smallest place of its group, once the pairs (i, j) are linked too."""
-    i, j = label[i], label[j]
-    while True:
-        low = np.minimum(label[i], label[j])
-        new = label.copy()
-        np.minimum.at(new, i, low)
-        np.minimum.at(new, j, low)
-        np.minimum.at(new, label[i], low)
-        np.minimum.at(new, label[j], low)
-        new = new[new]
-        if np.array_equal(new, label):
-            return label
-        label = new
-
-
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, tile_rows: int = TILE) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every document; component_id is the smallest doc_id reachable by links."""
     marked = stored(with_fingerprints(docs, shingle), "fingerprints")
