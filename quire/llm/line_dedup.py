@@ -33,6 +33,8 @@ from quire.llm.common import connected_components, fresh_name, merged, stored, u
 from quire.llm.suffixes import BASES, Hashes
 
 SLOT_BITS, SLICES = 22, 16
+# What a counter's byte stands for: counts up to 64, then steps of a tenth.
+LEVELS = np.minimum(np.append(np.arange(64), np.floor(64 * 1.095 ** np.arange(192))), 2**31 - 1).astype(np.int32)
 # A word is hot if it has this part of a bucket's words.
 HOT_PART = 0.125
 # Pairs formed at once: a task holds some 150 bytes of each.
@@ -87,12 +89,17 @@ def _slots(hashes: np.ndarray) -> np.ndarray:
     return (hashes & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)
 
 
+def _seen(counts: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """How often each hash occurs in all texts, by its counter."""
+    return LEVELS[counts[_slots(hashes)]]
+
+
 def _line_sets(texts: list[str | None], counts: np.ndarray) -> tuple[np.ndarray, ...]:
     """Per line with words: text, line number, first place and number of its distinct words; and these words by rarity:
     hashes and counts."""
     hashes, owner, line = _word_hashes([utf8(text) for text in texts])
     unique, place = np.unique(hashes, return_inverse=True)
-    seen = counts[_slots(unique)]
+    seen = _seen(counts, unique)
     by_rank = np.lexsort((unique, seen))
     rank = np.empty(len(by_rank), np.int64)
     rank[by_rank] = np.arange(len(by_rank))
@@ -115,7 +122,11 @@ def word_counts(docs: DataFrame) -> np.ndarray:
 
 
 def counted(docs: DataFrame, hashes_of: Callable[[list[bytes]], np.ndarray]) -> np.ndarray:
-    """Counters of all hashes of all texts, 2 ** SLOT_BITS of them: that, and no more, comes to the driver."""
+    """Counters of all hashes of all texts, 2 ** SLOT_BITS of them: that, and no more, comes to the driver.
+
+    A counter is one byte, its count's place among LEVELS: what occurs once is told from what occurs twice, and the order of
+    rarity is that of the levels.
+    """
     width = (1 << SLOT_BITS) // SLICES
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,13 +146,13 @@ def counted(docs: DataFrame, hashes_of: Callable[[list[bytes]], np.ndarray]) ->
         total = np.zeros(width, np.int64)
         for slots, counts in zip(group.column("slots"), group.column("counts")):
             total[np.frombuffer(slots.as_buffer(), "<i4")] += np.frombuffer(counts.as_buffer(), "<i8")
-        used = np.minimum(total, 2**31 - 1).astype("<i4").tobytes()
+        used = (np.searchsorted(LEVELS, total, "right") - 1).astype(np.uint8).tobytes()
         return pa.table({"part": pa.array([group.column("part")[0].as_py()], pa.int32()), "counts": pa.array([used], pa.binary())})
 
     sums = docs.select("text").mapInArrow(count, "part int, slots binary, counts binary").groupBy("part").applyInArrow(add, "part int, counts binary")
-    total = np.zeros(1 << SLOT_BITS, np.int32)
+    total = np.zeros(1 << SLOT_BITS, np.uint8)
     for row in sums.collect():
-        total[row.part * width : (row.part + 1) * width] = np.frombuffer(row.counts, "<i4")
+        total[row.part * width : (row.part + 1) * width] = np.frombuffer(row.counts, np.uint8)
     return total
 
 
@@ -172,7 +183,8 @@ class _Listing(NamedTuple):
 
 
 def _hot_count(counts: np.ndarray, buckets: int) -> int:
-    return max(2, int(HOT_PART * counts.sum(dtype=np.int64) / buckets))
+    whole = int(np.bincount(counts, minlength=len(LEVELS)) @ LEVELS.astype(np.int64))
+    return max(2, int(HOT_PART * whole / buckets))
 
 
 def _listed(tokens: np.ndarray, seen: np.ndarray, begins: np.ndarray, sizes: np.ndarray, hot_count: int) -> _Listing:
@@ -388,7 +400,7 @@ def _verified(docs: DataFrame, wanted: DataFrame, shared: Broadcast, hot_count:
         fresh = np.append(True, (np.diff(where[order], axis=0) != 0).any(axis=1) | (np.diff(line[order]) != 0))
         order = order[fresh]
         where, line, begins, sizes = where[order], line[order], begins[order], sizes[order]
-        tokens, seen = hashes, shared.value[_slots(hashes)]
+        tokens, seen = hashes, _seen(shared.value, hashes)
         at, step = _spread(sizes)
         bitmaps = _bitmaps(tokens[begins[at] + step], np.cumsum(sizes) - sizes)
         listed = _listed(tokens, seen, begins, sizes, hot_count)

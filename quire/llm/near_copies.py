@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.llm.common import connected_components, discard, fresh_name, merged, row_key, stored, utf8
-from quire.llm.line_dedup import FILTER_BITS, SLICE, _by_bucket, _candidates, _hot_count, _Listing, _listed, _mixed, _names, _pieces, _slots, _spread, counted
+from quire.llm.line_dedup import FILTER_BITS, SLICE, _by_bucket, _candidates, _hot_count, _Listing, _listed, _mixed, _names, _pieces, _seen, _spread, counted
 from quire.llm.simhash import fingerprint, links as fingerprint_links
 from quire.llm.suffixes import BASES, Hashes
 
@@ -78,7 +78,7 @@ def _slice(raw: list[bytes], held: list[int]) -> tuple[np.ndarray, np.ndarray]:
 def _sets(texts: list[str | None], counts: np.ndarray | None) -> tuple[np.ndarray, ...]:
     """Per text: first place and number of its distinct shingles; and these by rarity: hashes and counts."""
     hashes, owner = _shingles([utf8(text) for text in texts])
-    seen = np.zeros(len(hashes), np.int32) if counts is None else counts[_slots(hashes)]
+    seen = np.zeros(len(hashes), np.int32) if counts is None else _seen(counts, hashes)
     order = np.lexsort((hashes, seen, owner))
     hashes, owner, seen = hashes[order], owner[order], seen[order]
     fresh = np.append(True, (np.diff(hashes) != 0) | (np.diff(owner) != 0)) if len(hashes) else np.zeros(0, bool)
@@ -266,7 +266,8 @@ def links(docs: DataFrame, named: DataFrame, counts: np.ndarray, buckets: int) -
         names, rows = np.unique(names, return_index=True)
         begins, sizes = begins[rows], sizes[rows]
         where = (len(tokens) + 1, 0, 1) if whole else (hot_count, bucket, buckets)
-        seen = np.minimum(shared.value[_slots(tokens)], len(tokens) + 1) if whole else shared.value[_slots(tokens)]
+        seen = _seen(shared.value, tokens)
+        seen = np.minimum(seen, len(tokens) + 1) if whole else seen
         return _forest(bucket, names, _linked(tokens, seen, begins, sizes, *where)).select(["a", "b"])
 
     found = stored(_whole(docs, routes, shared).groupBy("owner", "bucket").applyInArrow(run, "a long, b long"), "near-copy-links")

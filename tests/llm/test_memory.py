@@ -67,3 +67,14 @@ def test_counters_are_broadcast_once(spark, monkeypatch, operator):
     rows = spark.createDataFrame([(1, "a b c d e f g h i j"), (2, "a b c d e f g h i j k"), (3, "else")], SCHEMA)
     assert len(operator(rows).collect()) == 3
     assert sent == [1 << line_dedup.SLOT_BITS]
+
+
+def test_counters_are_bytes_in_order_of_counts(spark):
+    """The driver gets 4 MB, whatever the input; a word read once is told from one read twice."""
+    times = [1, 2, 3, 63, 64, 900, 5000]
+    words = [f"word{n}" for n in times]
+    rows = spark.createDataFrame([(n, f"{w} " * n) for n, w in zip(times, words)], SCHEMA).repartition(3)
+    counts = line_dedup.word_counts(rows)
+    seen = line_dedup._seen(counts, line_dedup._word_hashes([" ".join(words).encode()])[0])
+    assert counts.nbytes == 1 << line_dedup.SLOT_BITS
+    assert seen[:5].tolist() == times[:5] and all(0.9 * n <= s <= n for s, n in zip(seen.tolist(), times)) and (np.diff(seen) > 0).all()
