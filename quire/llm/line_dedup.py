@@ -2,10 +2,11 @@
 
 A line goes if an earlier line (a smaller doc_id, or further up in the same document) is that similar, judged on the input.
 Words are ordered by rarity, so that similar sets must share one of their first words; every set is listed under these prefix
-words only. Under a word, pairs pass the length filter, the positional filter and a bitmap of the sets; sets that are left come
-together once more with all their words, known by 64-bit hashes, and a pair is verified and counted under its first common word.
-Equal sets are reduced to the first one before any pair is formed. Of the verified pairs, counts and a spanning forest leave the task that
-forms them; connected components of the forests are the classes of lines.
+words only. Under a word, pairs pass the length filter, the positional filter and a bitmap of the sets; the pairs that are left leave the
+task as a spanning forest of names. Each set in such a forest is sent once more, as its line's text, to the block of its component. There a
+pair is verified by all words, known by 64-bit hashes, and counted under its first common word; a component of more than MEMBERS sets
+or LARGE words is verified under its prefix words, bucket by bucket. Equal sets are reduced to the first one before any pair
+is formed. Of the verified pairs, counts and a spanning forest leave the task; connected components of these are the classes of lines.
 
 Rarity comes from a table of counters over all words, of fixed size: words that share a counter only look more frequent. Any
 order is right as long as all lines use the same. Words with very high counts are dealt out by set size too.
@@ -18,18 +19,16 @@ passed on by `kept_lines` and ignored by `dedup_lines`. Texts and lines may be o
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import connected_components, fresh_name, merged, stored, utf8
+from quire.llm.common import connected_components, discard, fresh_name, merged, stored, utf8
 from quire.llm.suffixes import BASES, Hashes
 
 SLOT_BITS, SLICES = 22, 16
@@ -39,16 +38,17 @@ LEVELS = np.minimum(np.append(np.arange(64), np.floor(64 * 1.095 ** np.arange(19
 HOT_PART = 0.125
 # Pairs formed at once: a task holds some 150 bytes of each.
 PAIRS = 1 << 18
-VERIFIED = 1 << 15
+# Words looked up at once, and sets and words of a component from which on it is verified bucket by bucket.
+VERIFIED, MEMBERS, LARGE = 1 << 20, 1 << 9, 1 << 18
 DROPPED, SETS, LISTED = 0, 1, 2
 
-SLICE, PIECE = 1 << 20, 1 << 23
-FILTER_BITS = 20
+SLICE, PIECE = 1 << 20, 1 << 22
+# Bits that tell which lines may be wanted, 64 to a row of a broadcast table.
+WANTED_BITS = 25
 # The bytes of a word, once A-Z are lower-cased.
 IN_WORD = np.array([48 <= b <= 57 or 97 <= b <= 122 or b >= 128 for b in range(256)])
-SENT = "bucket int, kind int, docs binary, tokens binary, lasts binary, sets binary, bitmaps binary, sizes binary, places binary, owners binary, lines binary"
-FOUND = "kind int, bucket int, doc long, mark long, line int, name long"
-WHOLE = "bucket int, docs binary, tokens binary, sizes binary, owners binary, lines binary"
+SENT = "bucket int, kind int, docs binary, owners binary, lines binary, sets binary, sizes binary, keys binary, bitmaps binary, places binary"
+FOUND = "kind int, bucket int, doc long, mark long, line int, size int, name long, joined long"
 LINKS = "doc long, mark long, line int, name long, links long, gone boolean, joined long"
 
 
@@ -94,10 +94,10 @@ def _seen(counts: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return LEVELS[counts[_slots(hashes)]]
 
 
-def _line_sets(texts: list[str | None], counts: np.ndarray) -> tuple[np.ndarray, ...]:
+def _line_sets(raw: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, ...]:
     """Per line with words: text, line number, first place and number of its distinct words; and these words by rarity:
     hashes and counts."""
-    hashes, owner, line = _word_hashes([utf8(text) for text in texts])
+    hashes, owner, line = _word_hashes(raw)
     unique, place = np.unique(hashes, return_inverse=True)
     seen = _seen(counts, unique)
     by_rank = np.lexsort((unique, seen))
@@ -105,7 +105,8 @@ def _line_sets(texts: list[str | None], counts: np.ndarray) -> tuple[np.ndarray,
     rank[by_rank] = np.arange(len(by_rank))
     group = np.cumsum(np.append(0, (np.diff(owner) != 0) | (np.diff(line) != 0))) if len(owner) else owner
     first = np.nonzero(np.append(True, np.diff(group) != 0))[0] if len(group) else group
-    packed = np.unique((group << 32) | rank[place])
+    packed = np.sort((group << 32) | rank[place])
+    packed = packed[np.append(True, np.diff(packed) != 0)] if len(packed) else packed
     begins = np.nonzero(np.append(True, np.diff(packed >> 32) != 0))[0] if len(packed) else packed
     words = by_rank[packed & 0xFFFFFFFF]
     return owner[first], line[first], begins, np.diff(np.append(begins, len(packed))), unique[words], seen[words]
@@ -208,9 +209,9 @@ def _listed(tokens: np.ndarray, seen: np.ndarray, begins: np.ndarray, sizes: np.
 
 
 def _bitmaps(tokens: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """Two words of 64 bits per set in which each of its tokens sets one bit: two sets differ in at least as many tokens as bits."""
+    """Two words of 64 bits per set in which each of its tokens flips one bit: two sets differ in at least as many tokens as bits."""
     bit, half = np.uint64(1) << (tokens >> np.uint64(58)), ((tokens >> np.uint64(57)) & np.uint64(1)).astype(bool)
-    return np.stack([np.bitwise_or.reduceat(np.where(half, bit, np.uint64(0)), begins), np.bitwise_or.reduceat(np.where(half, np.uint64(0), bit), begins)], axis=1)
+    return np.stack([np.bitwise_xor.reduceat(np.where(half, bit, np.uint64(0)), begins), np.bitwise_xor.reduceat(np.where(half, np.uint64(0), bit), begins)], axis=1)
 
 
 def _names(tokens: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -222,7 +223,7 @@ def _send(docs: DataFrame, shared: Broadcast, hot_count: int, buckets: int) -> D
         shift = TaskContext.get().partitionId()
         for number, batch in enumerate(_pieces(batches, 2)):
             ids = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1)], axis=1)
-            owner, line, begins, sizes, token, seen = _line_sets(batch.column(2).to_pylist(), shared.value)
+            owner, line, begins, sizes, token, seen = _line_sets([utf8(text) for text in batch.column(2).to_pylist()], shared.value)
             if not len(owner):
                 continue
             names, bitmaps = _names(token, begins, sizes), _bitmaps(token, begins)
@@ -231,16 +232,17 @@ def _send(docs: DataFrame, shared: Broadcast, hot_count: int, buckets: int) -> D
             head = order[np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
             again = order[~first & ((ids[owner[order]] != ids[owner[head]]).any(axis=1) | (line[order] != line[head]))]
             rows = order[first]
-            empty = np.zeros(0, np.uint64)
             if len(again):
-                yield _row((shift + number) % buckets, DROPPED, ids, empty, empty, names[again], empty, empty, empty, owner[again], line[again])
+                yield _lines((shift + number) % buckets, DROPPED, ids, owner[again], line[again], names[again], sizes[again])
             for bucket, own in _by_bucket(names[rows], buckets):
                 own = rows[own]
-                yield _row(bucket, SETS, ids, empty, empty, names[own], empty, empty, empty, owner[own], line[own])
+                yield _lines(bucket, SETS, ids, owner[own], line[own], names[own], sizes[own])
             found = _listed(token, seen, begins[rows], sizes[rows], hot_count)
             for bucket, own in _by_bucket(found.keys, buckets):
                 r = rows[found.row[own]]
-                yield _row(bucket, LISTED, ids, found.keys[own], found.lasts[own], names[r], bitmaps[r], sizes[r], found.places[own] * 2 + found.visitor[own], owner[r], line[r])
+                # Half a key: words that share it meet for nothing, which the filters see.
+                keys, places = (found.keys[own] >> np.uint64(32)).astype("<u4"), found.places[own] * 2 + found.visitor[own]
+                yield _row(bucket, LISTED, sets=names[r], sizes=_planes(sizes[r]), keys=keys, bitmaps=bitmaps[r], places=_planes(places))
 
     return docs.select("doc", "mark", "text").mapInArrow(run, SENT)
 
@@ -253,44 +255,59 @@ def _by_bucket(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray
         yield number, order[low:high]
 
 
-def _row(bucket: int, kind: int, ids: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
-    *rest, owners, lines = columns
+def _row(bucket: int, kind: int, **columns: np.ndarray) -> pa.RecordBatch:
+    names = [field.split()[0] for field in SENT.split(", ")]
+    values = [columns[name].tobytes() if name in columns else None for name in names[2:]]
+    return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([kind], pa.int32()), *(pa.array([v], pa.binary()) for v in values)], names)
+
+
+def _lines(bucket: int, kind: int, ids: np.ndarray, owners: np.ndarray, lines: np.ndarray, sets: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
     used, owner = np.unique(owners, return_inverse=True)
-    kinds = ["<u8", "<u8", "<u8", "<u8", "<i4", "<i4"]
-    values = [ids[used].astype("<i8"), *(v.astype(k) for v, k in zip(rest, kinds)), owner.astype("<i4"), lines.astype("<i4")]
-    names = ["bucket", "kind", "docs", "tokens", "lasts", "sets", "bitmaps", "sizes", "places", "owners", "lines"]
-    return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([kind], pa.int32()), *(pa.array([v.tobytes()], pa.binary()) for v in values)], names)
+    return _row(bucket, kind, docs=ids[used].astype("<i8"), owners=_planes(owner), lines=_planes(lines), sets=sets, sizes=_planes(sizes))
+
+
+def _planes(values: np.ndarray) -> np.ndarray:
+    """Numbers of 32 bits, all lowest bytes first: of small numbers the rest are runs of zeros, which the shuffle compresses."""
+    return np.ascontiguousarray(values.astype("<i4").view(np.uint8).reshape(-1, 4).T)
+
+
+def _whole(planes: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<i4").ravel()
 
 
 class _Group:
     """The rows of one kind in a bucket, as arrays."""
 
     def __init__(self, group: pa.Table, kind: int) -> None:
-        rows = group.filter(pa.compute.equal(group.column("kind"), kind))
+        self.group, self.rows = group, np.nonzero(group.column("kind").to_numpy() == kind)[0].tolist()
+
+    def parts(self, name: str, form: str) -> list[np.ndarray]:
+        column = self.group.column(name)
+        return [np.frombuffer(column[row].as_buffer(), form) for row in self.rows]
 
-        def column(name: str, form: str) -> list[np.ndarray]:
-            return [np.frombuffer(value.as_buffer(), form) for value in rows.column(name)] or [np.zeros(0, form)]
+    def column(self, name: str, form: str) -> np.ndarray:
+        return np.concatenate([np.zeros(0, form), *self.parts(name, form)])
 
-        docs = column("docs", "<i8")
-        self.ids = np.concatenate(docs).reshape(-1, 2)
-        base = np.cumsum([0, *(len(d) // 2 for d in docs[:-1])])
-        self.owner = np.concatenate([own + at for own, at in zip(column("owners", "<i4"), base)]).astype(np.int64)
-        self.tokens, self.lasts, self.sets, self.bitmaps = (np.concatenate(column(name, "<u8")) for name in ("tokens", "lasts", "sets", "bitmaps"))
-        self.bitmaps = self.bitmaps.reshape(-1, 2)
-        self.sizes, self.places, self.lines = (np.concatenate(column(name, "<i4")).astype(np.int64) for name in ("sizes", "places", "lines"))
+    def numbers(self, name: str) -> np.ndarray:
+        return np.concatenate([np.zeros(0, np.int64), *(_whole(part) for part in self.parts(name, np.uint8))])
 
     def where(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Least significant first: line, mark, doc."""
-        return self.lines, self.ids[self.owner, 1], self.ids[self.owner, 0]
+        docs = self.parts("docs", "<i8")
+        base = np.cumsum([0, *(len(d) // 2 for d in docs)])
+        owner = np.concatenate([np.zeros(0, np.int64), *(_whole(own) + at for own, at in zip(self.parts("owners", np.uint8), base))])
+        ids = np.concatenate([np.zeros(0, np.int64), *docs]).reshape(-1, 2)
+        return self.numbers("lines"), ids[owner, 1], ids[owner, 0]
 
 
-def _candidates(tokens: np.ndarray, lasts: np.ndarray, sizes: np.ndarray, places: np.ndarray, visitor: np.ndarray, bitmaps: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _candidates(tokens: np.ndarray, lasts: np.ndarray | None, sizes: np.ndarray, places: np.ndarray, visitor: np.ndarray, bitmaps: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of rows under a common word that pass the length, positional and bitmap filters.
 
-    A pair with the same word before is formed under that word.
+    A pair with the same word before, if that is known, is formed under that word.
     """
     order = np.lexsort((sizes, tokens))
-    size, place, bitmap, last, guest = sizes[order], places[order], bitmaps[order], lasts[order], visitor[order]
+    size, place, bitmap, guest = sizes[order], places[order], bitmaps[order], visitor[order]
+    last = None if lasts is None else lasts[order]
     group = np.cumsum(np.append(0, np.diff(tokens[order]) != 0)) if len(order) else np.zeros(0, np.int64)
     key = (group << 32) | size
     to_last = np.searchsorted(key, (group << 32) | np.minimum(5 * size // 4, 2**31), "right")
@@ -305,114 +322,118 @@ def _candidates(tokens: np.ndarray, lasts: np.ndarray, sizes: np.ndarray, places
         most = np.minimum(place[one], place[two]) + np.minimum(size[one] - place[one], size[two] - place[two])
         both = size[one] + size[two]
         least = (4 * both + 8) // 9
-        keep = (most >= least) & (np.bitwise_count(bitmap[one] ^ bitmap[two]).sum(axis=1) <= both - 2 * least) & (guest[one] + guest[two] < 2)
-        keep &= (last[one] != last[two]) | (place[one] == 0) | (place[two] == 0)
-        yield order[one[keep]], order[two[keep]]
+        keep = (most >= least) & (guest[one] + guest[two] < 2)
+        if last is not None:
+            keep &= (last[one] != last[two]) | (place[one] == 0) | (place[two] == 0)
+        one, two, spare = one[keep], two[keep], (both - 2 * least)[keep]
+        near = np.bitwise_count(bitmap[one] ^ bitmap[two]).sum(axis=1) <= spare
+        yield order[one[near]], order[two[near]]
         at = to
 
 
-def _found(kind: int, bucket: int, doc: np.ndarray, mark: np.ndarray, line: np.ndarray, name: np.ndarray) -> pa.RecordBatch:
+def _found(kind: int, bucket: int, doc: np.ndarray, mark: np.ndarray, line: np.ndarray, size: np.ndarray, name: np.ndarray) -> pa.RecordBatch:
     kinds, buckets = (pa.array(np.full(len(doc), v, np.int32)) for v in (kind, bucket))
-    return pa.RecordBatch.from_arrays([kinds, buckets, pa.array(doc, pa.int64()), pa.array(mark, pa.int64()), pa.array(line, pa.int32()), pa.array(name.view(np.int64))], ["kind", "bucket", "doc", "mark", "line", "name"])
+    values = [pa.array(doc, pa.int64()), pa.array(mark, pa.int64()), pa.array(line, pa.int32()), pa.array(size, pa.int32()), pa.array(name.view(np.int64)), pa.nulls(len(doc), pa.int64())]
+    return pa.RecordBatch.from_arrays([kinds, buckets, *values], [field.split()[0] for field in FOUND.split(", ")])
 
 
 def _resolve(group: pa.Table) -> pa.Table:
-    """Lines that repeat a word set (DROPPED), first lines of all sets (SETS) and of those that may be similar to another one (LISTED)."""
+    """Lines that repeat a word set (DROPPED), first lines of all sets (SETS), and names that connect sets which may be similar (LISTED)."""
     bucket = group.column("bucket")[0].as_py()
     gone = _Group(group, DROPPED)
     line, mark, doc = gone.where()
-    out = [_found(DROPPED, bucket, doc, mark, line, gone.sets)]
+    out = [_found(DROPPED, bucket, doc, mark, line, gone.numbers("sizes"), gone.column("sets", "<u8"))]
     own = _Group(group, SETS)
     line, mark, doc = own.where()
-    order = np.lexsort((line, mark, doc, own.sets))
+    sets, sizes = own.column("sets", "<u8"), own.numbers("sizes")
+    order = np.lexsort((line, mark, doc, sets))
     if len(order):
-        first = np.append(True, own.sets[order][1:] != own.sets[order][:-1])
+        first = np.append(True, sets[order][1:] != sets[order][:-1])
         head = order[np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
         again = order[~first & ((doc[order] != doc[head]) | (mark[order] != mark[head]) | (line[order] != line[head]))]
-        out.append(_found(DROPPED, bucket, doc[again], mark[again], line[again], own.sets[again]))
-        heads = order[first]
-        out.append(_found(SETS, bucket, doc[heads], mark[heads], line[heads], own.sets[heads]))
-    some = _Group(group, LISTED)
-    line, mark, doc = some.where()
-    # Of equal sets under a word the first one stands for all.
-    order = np.lexsort((line, mark, doc, some.sets, some.tokens))
-    tokens, sets = some.tokens[order], some.sets[order]
-    if len(order):
-        order = order[np.append(True, (tokens[1:] != tokens[:-1]) | (sets[1:] != sets[:-1]))]
-    flags = np.zeros(len(some.tokens), bool)
-    for a, b in _candidates(some.tokens[order], some.lasts[order], some.sizes[order], some.places[order] >> 1, some.places[order] & 1, some.bitmaps[order]):
-        flags[order[a]] = flags[order[b]] = True
-    # A set found under several words of this bucket is one row.
-    rows = np.nonzero(flags)[0]
-    rows = rows[np.unique(some.sets[rows], return_index=True)[1]]
-    out.append(_found(LISTED, bucket, doc[rows], mark[rows], line[rows], some.sets[rows]))
+        for kind, rows in ((DROPPED, again), (SETS, order[first])):
+            out.append(_found(kind, bucket, doc[rows], mark[rows], line[rows], sizes[rows], sets[rows]))
+    a, b = _may_be_similar(_Group(group, LISTED))
+    none = pa.nulls(len(a), pa.int64())
+    kinds, buckets = (pa.array(np.full(len(a), v, np.int32)) for v in (LISTED, bucket))
+    numbers = pa.nulls(len(a), pa.int32())
+    out.append(pa.RecordBatch.from_arrays([kinds, buckets, none, none, numbers, numbers, pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], out[0].schema.names))
     return pa.Table.from_batches(out)
 
 
-def _whole_sets(docs: DataFrame, wanted: DataFrame, shared: Broadcast) -> DataFrame:
-    """The wanted lines' word hashes in order of rarity, packed by bucket."""
-    lists = wanted.groupBy("doc", "mark").agg(F.collect_list(F.struct("bucket", "line")).alias("lines"))
-    # At most 2 ** FILTER_BITS numbers: texts whose number is not among them hold no wanted line and stay where they are.
-    slot = F.pmod(F.xxhash64("doc", "mark"), F.lit(1 << FILTER_BITS)).alias("slot")
-    near = docs.select("doc", "mark", "text", slot).join(F.broadcast(lists.select(slot).distinct()), "slot", "left_semi")
-    joined = near.select("doc", "mark", "text").join(lists, ["doc", "mark"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1)], axis=1)
-            texts, places, known = [], [], {}
-            for owner, (text, lines) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
-                own = utf8(text).split(b"\n")
-                for one in lines:
-                    if (owner, one["line"]) not in known:
-                        known[owner, one["line"]] = len(texts)
-                        texts.append(own[one["line"]].decode("utf-8", "replace"))
-                    places.append((one["bucket"], known[owner, one["line"]], owner, one["line"]))
-            at, _, begins, sizes, hashes, _ = _line_sets(texts, shared.value)
-            sets = {int(t): hashes[b : b + n] for t, b, n in zip(at, begins, sizes)}
-            parts: dict[int, list[tuple[np.ndarray, int, int]]] = defaultdict(list)
-            for bucket, text, owner, line in places:
-                parts[bucket].append((sets[text], owner, line))
-            for bucket, rows in parts.items():
-                used, owner = np.unique([o for _, o, _ in rows], return_inverse=True)
-                values = [ids[used].astype("<i8"), np.concatenate([h for h, _, _ in rows]), np.array([len(h) for h, _, _ in rows], "<i4"), owner.astype("<i4"), np.array([n for *_, n in rows], "<i4")]
-                yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), *(pa.array([v.tobytes()], pa.binary()) for v in values)], ["bucket", "docs", "tokens", "sizes", "owners", "lines"])
-
-    return joined.mapInArrow(run, WHOLE)
-
-
-def _verified(docs: DataFrame, wanted: DataFrame, shared: Broadcast, hot_count: int, buckets: int) -> DataFrame:
-    """Per set, by its first line: verified links formed in a bucket, and whether an earlier line is similar."""
+def _may_be_similar(some: _Group) -> tuple[np.ndarray, np.ndarray]:
+    """Edges between the names of listed sets that connect all pairs which pass the filters under a word."""
+    keys, sets, places = some.column("keys", "<u4"), some.column("sets", "<u8"), some.numbers("places")
+    # Of equal sets under a word one stands for all; another word with the same half of the key has another place.
+    order = np.lexsort((places, sets, keys))
+    keys, sets, places = keys[order], sets[order], places[order]
+    fresh = np.append(True, (np.diff(keys) != 0) | (np.diff(sets) != 0) | (np.diff(places) != 0)) if len(order) else np.zeros(0, bool)
+    order, keys, sets, places = order[fresh], keys[fresh], sets[fresh], places[fresh]
+    # A word of one set only makes no pair.
+    alike = np.diff(keys) == 0
+    order, keys, sets, places = (v[np.append(False, alike) | np.append(alike, False)] if len(v) else v for v in (order, keys, sets, places))
+    names, row = np.unique(sets, return_inverse=True)
+    label = np.arange(len(names))
+    sizes, bitmaps = some.numbers("sizes")[order], some.column("bitmaps", "<u8").reshape(-1, 2)[order]
+    for a, b in _candidates(keys, None, sizes, places >> 1, places & 1, bitmaps):
+        label = merged(label, row[a], row[b])
+    ends = np.nonzero(label != np.arange(len(label)))[0]
+    return names[ends], names[label[ends]]
+
+
+def _routes(found: DataFrame, buckets: int) -> DataFrame:
+    """(doc, mark, line, owner, bucket): the first line of each set that may be similar to another one, and where it is verified: an owner,
+    which is a large component or null, and a bucket."""
+    edges = found.where(F.col("kind") == LISTED).select("bucket", F.col("name").alias("a"), F.col("joined").alias("b"))
+    nodes = connected_components(edges.select("a", "b")).withColumnRenamed("node", "name")
+    heads = found.where(F.col("kind") == SETS).select("name", "doc", "mark", "line", "size")
+    known = stored(nodes.join(heads, "name"), "line-components")
+    large = known.groupBy("component").agg(F.count("*").alias("sets"), F.sum("size").alias("words")).where((F.col("sets") > MEMBERS) | (F.col("words") > LARGE)).select("component")
+    none, block = F.lit(None).cast("long").alias("owner"), F.pmod(F.xxhash64("component"), F.lit(buckets)).cast("int").alias("bucket")
+    small = known.join(large, "component", "left_anti").select("doc", "mark", "line", none, block)
+    ends = edges.select("bucket", F.explode(F.array("a", "b")).alias("name")).distinct()
+    spread = known.join(large, "component", "left_semi").join(ends, "name")
+    return small.unionByName(spread.select("doc", "mark", "line", F.col("component").alias("owner"), "bucket"))
+
+
+def _wanted_lines(docs: DataFrame, routes: DataFrame) -> DataFrame:
+    """(owner, bucket, doc, mark, line, text): the routed lines' texts."""
+    # 2 ** WANTED_BITS bits, at most 2 ** (WANTED_BITS - 6) rows of them: lines whose bit is not set stay where they are.
+    slot = F.pmod(F.xxhash64("doc", "mark", "line"), F.lit(1 << WANTED_BITS))
+    word, bit = F.shiftright(slot, 6), F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int"))
+    bits = routes.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))
+    lines = docs.select("doc", "mark", F.posexplode(F.split("text", "\n")).alias("line", "text")).withColumn("word", word)
+    near = lines.join(F.broadcast(bits), "word").where(F.col("bits").bitwiseAND(bit) != 0)
+    return near.select("doc", "mark", "line", F.col("text").cast("binary").alias("text")).join(routes, ["doc", "mark", "line"])
+
+
+def _verified(docs: DataFrame, routes: DataFrame, shared: Broadcast, hot_count: int, buckets: int) -> DataFrame:
+    """Per set, by its first line: verified links formed in a block or a bucket, and whether an earlier line is similar."""
 
     def run(group: pa.Table) -> pa.Table:
-        def column(name: str, form: str) -> list[np.ndarray]:
-            return [np.frombuffer(value.as_buffer(), form) for value in group.column(name)]
-
-        bucket, docs_of = group.column("bucket")[0].as_py(), column("docs", "<i8")
-        base = np.cumsum([0, *(len(d) // 2 for d in docs_of[:-1])])
-        ids = np.concatenate(docs_of).reshape(-1, 2)
-        where = ids[np.concatenate([own + at for own, at in zip(column("owners", "<i4"), base)])]
-        line = np.concatenate(column("lines", "<i4"))
-        hashes, sizes = np.concatenate(column("tokens", "<u8")), np.concatenate(column("sizes", "<i4")).astype(np.int64)
-        begins = np.cumsum(sizes) - sizes
+        bucket, whole = group.column("bucket")[0].as_py(), group.column("owner")[0].as_py() is None
+        where = np.stack([group.column(name).to_numpy() for name in ("doc", "mark")], axis=1)
+        line = group.column("line").to_numpy()
         # Equal rows of the table send the same line again.
         order = np.lexsort((line, where[:, 1], where[:, 0]))
-        fresh = np.append(True, (np.diff(where[order], axis=0) != 0).any(axis=1) | (np.diff(line[order]) != 0))
-        order = order[fresh]
-        where, line, begins, sizes = where[order], line[order], begins[order], sizes[order]
-        tokens, seen = hashes, _seen(shared.value, hashes)
-        at, step = _spread(sizes)
-        bitmaps = _bitmaps(tokens[begins[at] + step], np.cumsum(sizes) - sizes)
-        listed = _listed(tokens, seen, begins, sizes, hot_count)
-        here = np.nonzero((_mixed(listed.keys) % np.uint64(buckets)).astype(np.int64) == bucket)[0]
+        order = order[np.append(True, (np.diff(where[order], axis=0) != 0).any(axis=1) | (np.diff(line[order]) != 0))]
+        where, line = where[order], line[order]
+        texts = group.column("text").take(pa.array(order)).to_pylist()
+        _, _, begins, sizes, tokens, seen = _line_sets(texts, shared.value)
+        bitmaps = _bitmaps(tokens, begins)
+        # A whole component meets here: under all its words, none of them hot.
+        listed = _listed(tokens, np.minimum(seen, len(tokens) + 1) if whole else seen, begins, sizes, len(tokens) + 1 if whole else hot_count)
+        here = np.arange(len(listed.row)) if whole else np.nonzero((_mixed(listed.keys) % np.uint64(buckets)).astype(np.int64) == bucket)[0]
         row, place = listed.row[here], listed.places[here]
         _, word = np.unique(tokens, return_inverse=True)
         at, step = _spread(sizes)
-        member = np.sort((at << 32) | word[begins[at] + step])
+        member = np.sort((at << 32) | word)
         links, gone, label = np.zeros(len(line), np.int64), np.zeros(len(line), bool), np.arange(len(line))
         for a, b in _candidates(listed.keys[here], listed.lasts[here], sizes[row], place, listed.visitor[here], bitmaps[row]):
-            for low in range(0, len(a), VERIFIED):
-                one, two = row[a[low : low + VERIFIED]], row[b[low : low + VERIFIED]]
+            low, ends = 0, np.cumsum(sizes[row[a]])
+            while low < len(a):
+                high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + VERIFIED, "right")))
+                one, two = row[a[low:high]], row[b[low:high]]
                 at, step = _spread(sizes[one])
                 wanted_key = (two[at] << 32) | word[begins[one[at]] + step]
                 hit = member[np.minimum(np.searchsorted(member, wanted_key), len(member) - 1)] == wanted_key
@@ -421,22 +442,22 @@ def _verified(docs: DataFrame, wanted: DataFrame, shared: Broadcast, hot_count:
                 rows_hit, first = np.unique(at[hit], return_index=True)
                 begin = np.full(len(one), -1)
                 begin[rows_hit] = step[hit][first]
-                keep = (begin == place[a[low : low + VERIFIED]]) & (10 * shared_words >= 8 * (sizes[one] + sizes[two] - shared_words))
+                keep = (begin == place[a[low:high]]) & (10 * shared_words >= 8 * (sizes[one] + sizes[two] - shared_words))
                 one, two = one[keep], two[keep]
                 np.add.at(links, one, 1)
                 np.add.at(links, two, 1)
                 label = merged(label, one, two)
                 # Rows are in the order of lines.
                 gone[np.maximum(one, two)] = True
+                low = high
         use = np.nonzero(links)[0]
-        at, step = _spread(sizes)
-        names = _names(tokens[begins[at] + step], np.cumsum(sizes) - sizes, sizes).view(np.int64)
+        names = _names(tokens, begins, sizes).view(np.int64)
         return pa.table({
             "doc": where[use, 0], "mark": where[use, 1], "line": line[use].astype(np.int32), "name": names[use],
             "links": links[use], "gone": gone[use], "joined": names[label[use]],
         })
 
-    return _whole_sets(docs, wanted, shared).groupBy("bucket").applyInArrow(run, LINKS)
+    return _wanted_lines(docs, routes).groupBy("owner", "bucket").applyInArrow(run, LINKS)
 
 
 def similar_lines(docs: DataFrame, buckets: int) -> DataFrame:
@@ -451,8 +472,10 @@ def similar_lines(docs: DataFrame, buckets: int) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(counts)
     del counts
     found = stored(_send(docs, shared, hot_count, buckets).groupBy("bucket").applyInArrow(_resolve, FOUND), "line-candidates")
-    linked = stored(_verified(docs, found.where(F.col("kind") == LISTED), shared, hot_count, buckets), "line-links")
+    routes = stored(_routes(found, buckets), "line-routes")
+    linked = stored(_verified(docs, routes, shared, hot_count, buckets), "line-links")
     shared.destroy()
+    discard(routes)
     nodes = connected_components(linked.select(F.col("name").alias("a"), F.col("joined").alias("b"))).withColumnRenamed("node", "name")
     repeated = found.where(F.col("kind") == DROPPED).select("doc", "mark", "line", "name")
     per_set = linked.groupBy("name").agg(F.sum("links").alias("links"), F.max("gone").alias("gone")).join(nodes, "name", "left")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.llm.common import connected_components, discard, fresh_name, merged, row_key, stored, utf8
-from quire.llm.line_dedup import FILTER_BITS, SLICE, _by_bucket, _candidates, _hot_count, _Listing, _listed, _mixed, _names, _pieces, _seen, _spread, counted
+from quire.llm.line_dedup import SLICE, _by_bucket, _candidates, _hot_count, _Listing, _listed, _mixed, _names, _pieces, _seen, _spread, counted
 from quire.llm.simhash import fingerprint, links as fingerprint_links
 from quire.llm.suffixes import BASES, Hashes
 
@@ -35,6 +35,7 @@ SHINGLE = 5
 # Shingles compared at once, sets under a shingle from which on they are compared with one of them first, and shingles of a component
 # that is verified in one task.
 VERIFIED, STAR, LARGE = 1 << 20, 16, 1 << 24
+FILTER_BITS = 20
 SPACE = np.array([b in b" \t\n\r\x0b\x0c" for b in range(256)])
 FACTORS = _mixed(np.arange(1, SHINGLE + 1, dtype=np.uint64)) | np.uint64(1)
 ROW = ["no_id", "doc", "mark"]

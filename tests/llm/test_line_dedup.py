@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from quire.llm import line_dedup
@@ -121,3 +123,45 @@ def test_names_of_the_user_stay(spark):
 def test_very_long_lines(spark):
     long = " ".join(f"w{i}" for i in range(40_000))
     assert [r[2] for r in got(spark, [(1, long), (2, long + " more"), (3, "x")])] == [[], [0], []]
+
+
+def near_lines(n):
+    """Sets of twenty words that all differ in one, and lines unlike them."""
+    common = " ".join(f"w{i}" for i in range(19))
+    return [(i, f"{common} own{i}\nother{i} more{i} x{i} y{i} z{i}") for i in range(n)]
+
+
+def test_a_set_is_sent_once_to_be_verified(spark, monkeypatch):
+    """It went to the bucket of each of its words under which it may be similar to another one."""
+    sent = []
+    monkeypatch.setattr(line_dedup, "stored", lambda frame, label, store=line_dedup.stored: sent.append((label, out := store(frame, label), out.count())) or out)
+    rows = near_lines(12) + [(100 + i, t) for i, t in near_lines(12)]
+    assert got(spark, rows) == sorted((r[:6] for r in brute(rows)), key=repr)
+    assert [n for label, _, n in sent if label == "line-routes"] == [12]
+
+
+@pytest.mark.parametrize("limit", [("MEMBERS", 3), ("LARGE", 30), ("VERIFIED", 25)])
+def test_large_components_give_the_same(spark, monkeypatch, limit):
+    monkeypatch.setattr(line_dedup, *limit)
+    rows = near_lines(9) + [(100 + i, t) for i, t in corpus(4, 25)]
+    assert got(spark, rows) == sorted((r[:6] for r in brute(rows)), key=repr)
+
+
+def test_bitmaps_tell_long_sets_apart():
+    """Bits that are set by any word are all set in long sets; bits flipped by each word are not."""
+    rng = np.random.default_rng(1)
+    for size in (20, 60, 200):
+        tokens = rng.integers(1, 1 << 63, 200 * size).astype(np.uint64) * np.uint64(2)
+        sizes, begins = np.full(200, size), np.arange(200) * size
+        row = np.arange(200)
+        ones = np.ones(200, np.uint64)
+        found = [p for p in line_dedup._candidates(ones, row.astype(np.uint64), sizes, 0 * row, 0 * row, line_dedup._bitmaps(tokens, begins))]
+        assert sum(len(a) for a, _ in found) <= 20
+
+
+def test_words_that_share_half_a_key_lose_no_pair():
+    """A set listed twice under one half key keeps both places: the second word is the one in common."""
+    own = {"sets": np.array([7, 7, 9], np.uint64), "sizes": line_dedup._planes(np.array([10, 10, 10])), "keys": np.array([5, 5, 5], "<u4")}
+    row = line_dedup._row(0, line_dedup.LISTED, bitmaps=np.zeros((3, 2), np.uint64), places=line_dedup._planes(np.array([0, 2, 2])), **own)
+    a, b = line_dedup._may_be_similar(line_dedup._Group(pa.Table.from_batches([row]), line_dedup.LISTED))
+    assert sorted([*a.tolist(), *b.tolist()]) == [7, 9]
