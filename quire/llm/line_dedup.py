@@ -40,7 +40,9 @@ HOT_PART = 0.125
 PAIRS = 1 << 18
 # Words looked up at once, and sets and words of a component from which on it is verified bucket by bucket.
 VERIFIED, MEMBERS, LARGE = 1 << 20, 1 << 9, 1 << 18
-DROPPED, SETS, LISTED = 0, 1, 2
+DROPPED, SETS, LISTED, REPEATED = range(4)
+# Sets of more words have bitmaps of 256 bits, others of 128.
+WIDE = 128
 
 SLICE, PIECE = 1 << 20, 1 << 22
 # Bits that tell which lines may be wanted, 64 to a row of a broadcast table.
@@ -139,14 +141,15 @@ def counted(docs: DataFrame, hashes_of: Callable[[list[bytes]], np.ndarray]) ->
             used = np.nonzero(own)[0]
             if len(used):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([part], pa.int32()), pa.array([used.astype("<i4").tobytes()], pa.binary()), pa.array([own[used].tobytes()], pa.binary())],
+                    [pa.array([part], pa.int32()), *(pa.array([_planes(v).tobytes()], pa.binary()) for v in (np.diff(used, prepend=0), np.minimum(own[used], LEVELS[-1])))],
                     ["part", "slots", "counts"],
                 )
 
     def add(group: pa.Table) -> pa.Table:
         total = np.zeros(width, np.int64)
         for slots, counts in zip(group.column("slots"), group.column("counts")):
-            total[np.frombuffer(slots.as_buffer(), "<i4")] += np.frombuffer(counts.as_buffer(), "<i8")
+            steps, more = (_whole(np.frombuffer(v.as_buffer(), np.uint8)) for v in (slots, counts))
+            total[np.cumsum(steps)] += more
         used = (np.searchsorted(LEVELS, total, "right") - 1).astype(np.uint8).tobytes()
         return pa.table({"part": pa.array([group.column("part")[0].as_py()], pa.int32()), "counts": pa.array([used], pa.binary())})
 
@@ -208,10 +211,26 @@ def _listed(tokens: np.ndarray, seen: np.ndarray, begins: np.ndarray, sizes: np.
     return _Listing(np.append(row, row[hot]), np.append(own, above), np.append(place, place[hot]), np.append(last, last[hot]), visitor)
 
 
-def _bitmaps(tokens: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """Two words of 64 bits per set in which each of its tokens flips one bit: two sets differ in at least as many tokens as bits."""
-    bit, half = np.uint64(1) << (tokens >> np.uint64(58)), ((tokens >> np.uint64(57)) & np.uint64(1)).astype(bool)
-    return np.stack([np.bitwise_xor.reduceat(np.where(half, bit, np.uint64(0)), begins), np.bitwise_xor.reduceat(np.where(half, np.uint64(0), bit), begins)], axis=1)
+def _bitmaps(tokens: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Four words of 64 bits per set in which each of its tokens flips one bit, and which `_apart` compares.
+
+    The last two words are folded into the first two, and kept for sets of more than WIDE tokens only.
+    """
+    bit, word = np.uint64(1) << ((tokens >> np.uint64(56)) & np.uint64(63)), tokens >> np.uint64(62)
+    one, two, three, four = (np.bitwise_xor.reduceat(np.where(word == np.uint64(k), bit, np.uint64(0)), begins) for k in range(4))
+    wide = sizes > WIDE
+    return np.stack([one ^ three, two ^ four, np.where(wide, three, np.uint64(0)), np.where(wide, four, np.uint64(0))], axis=1)
+
+
+def _apart(one: np.ndarray, two: np.ndarray, wide: np.ndarray) -> np.ndarray:
+    """Bits in which bitmaps differ: two sets differ in at least as many tokens. wide: whether both sets have all words of theirs."""
+    bits = one ^ two
+    least = np.bitwise_count(bits[:, :2]).sum(axis=1, dtype=np.int64)
+    whole = bits[wide]
+    if whole.shape[1] == 4:
+        whole[:, :2] ^= whole[:, 2:]
+        least[wide] = np.bitwise_count(whole).sum(axis=1, dtype=np.int64)
+    return least
 
 
 def _names(tokens: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -226,23 +245,26 @@ def _send(docs: DataFrame, shared: Broadcast, hot_count: int, buckets: int) -> D
             owner, line, begins, sizes, token, seen = _line_sets([utf8(text) for text in batch.column(2).to_pylist()], shared.value)
             if not len(owner):
                 continue
-            names, bitmaps = _names(token, begins, sizes), _bitmaps(token, begins)
+            names, bitmaps = _names(token, begins, sizes), _bitmaps(token, begins, sizes)
             order = np.lexsort((line, ids[owner, 1], ids[owner, 0], names))
             first = np.append(True, names[order][1:] != names[order][:-1])
             head = order[np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
-            again = order[~first & ((ids[owner[order]] != ids[owner[head]]).any(axis=1) | (line[order] != line[head]))]
-            rows = order[first]
+            repeats = ~first & ((ids[owner[order]] != ids[owner[head]]).any(axis=1) | (line[order] != line[head]))
+            again, rows = order[repeats], order[first]
+            repeated = np.zeros(len(names), np.int64)
+            repeated[head[repeats]] = 1
             if len(again):
                 yield _lines((shift + number) % buckets, DROPPED, ids, owner[again], line[again], names[again], sizes[again])
             for bucket, own in _by_bucket(names[rows], buckets):
                 own = rows[own]
-                yield _lines(bucket, SETS, ids, owner[own], line[own], names[own], sizes[own])
+                yield _lines(bucket, SETS, ids, owner[own], line[own], names[own], sizes[own] * 2 + repeated[own])
+            rows = rows[np.argsort(sizes[rows], kind="stable")]
             found = _listed(token, seen, begins[rows], sizes[rows], hot_count)
             for bucket, own in _by_bucket(found.keys, buckets):
                 r = rows[found.row[own]]
                 # Half a key: words that share it meet for nothing, which the filters see.
                 keys, places = (found.keys[own] >> np.uint64(32)).astype("<u4"), found.places[own] * 2 + found.visitor[own]
-                yield _row(bucket, LISTED, sets=names[r], sizes=_planes(sizes[r]), keys=keys, bitmaps=bitmaps[r], places=_planes(places))
+                yield _row(bucket, LISTED, sets=names[r], sizes=_planes(sizes[r]), keys=keys, bitmaps=np.ascontiguousarray(bitmaps[r].T), places=_planes(places))
 
     return docs.select("doc", "mark", "text").mapInArrow(run, SENT)
 
@@ -326,7 +348,7 @@ def _candidates(tokens: np.ndarray, lasts: np.ndarray | None, sizes: np.ndarray,
         if last is not None:
             keep &= (last[one] != last[two]) | (place[one] == 0) | (place[two] == 0)
         one, two, spare = one[keep], two[keep], (both - 2 * least)[keep]
-        near = np.bitwise_count(bitmap[one] ^ bitmap[two]).sum(axis=1) <= spare
+        near = _apart(bitmap[one], bitmap[two], np.minimum(size[one], size[two]) > WIDE) <= spare
         yield order[one[near]], order[two[near]]
         at = to
 
@@ -338,7 +360,8 @@ def _found(kind: int, bucket: int, doc: np.ndarray, mark: np.ndarray, line: np.n
 
 
 def _resolve(group: pa.Table) -> pa.Table:
-    """Lines that repeat a word set (DROPPED), first lines of all sets (SETS), and names that connect sets which may be similar (LISTED)."""
+    """Lines that repeat a word set (DROPPED), first lines of such sets (REPEATED) and of all others (SETS), and names that connect sets
+    which may be similar (LISTED)."""
     bucket = group.column("bucket")[0].as_py()
     gone = _Group(group, DROPPED)
     line, mark, doc = gone.where()
@@ -350,9 +373,11 @@ def _resolve(group: pa.Table) -> pa.Table:
     if len(order):
         first = np.append(True, sets[order][1:] != sets[order][:-1])
         head = order[np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
-        again = order[~first & ((doc[order] != doc[head]) | (mark[order] != mark[head]) | (line[order] != line[head]))]
-        for kind, rows in ((DROPPED, again), (SETS, order[first])):
-            out.append(_found(kind, bucket, doc[rows], mark[rows], line[rows], sizes[rows], sets[rows]))
+        again = ~first & ((doc[order] != doc[head]) | (mark[order] != mark[head]) | (line[order] != line[head]))
+        repeated = np.maximum.reduceat(again | (sizes[order] & 1).astype(bool), np.nonzero(first)[0])
+        heads = order[first]
+        for kind, rows in ((DROPPED, order[again]), (REPEATED, heads[repeated]), (SETS, heads[~repeated])):
+            out.append(_found(kind, bucket, doc[rows], mark[rows], line[rows], sizes[rows] >> 1, sets[rows]))
     a, b = _may_be_similar(_Group(group, LISTED))
     none = pa.nulls(len(a), pa.int64())
     kinds, buckets = (pa.array(np.full(len(a), v, np.int32)) for v in (LISTED, bucket))
@@ -374,7 +399,8 @@ def _may_be_similar(some: _Group) -> tuple[np.ndarray, np.ndarray]:
     order, keys, sets, places = (v[np.append(False, alike) | np.append(alike, False)] if len(v) else v for v in (order, keys, sets, places))
     names, row = np.unique(sets, return_inverse=True)
     label = np.arange(len(names))
-    sizes, bitmaps = some.numbers("sizes")[order], some.column("bitmaps", "<u8").reshape(-1, 2)[order]
+    bitmaps = np.concatenate([np.zeros((0, 4), np.uint64), *(part.reshape(4, -1).T for part in some.parts("bitmaps", "<u8"))])[order]
+    sizes = some.numbers("sizes")[order]
     for a, b in _candidates(keys, None, sizes, places >> 1, places & 1, bitmaps):
         label = merged(label, row[a], row[b])
     ends = np.nonzero(label != np.arange(len(label)))[0]
@@ -386,7 +412,7 @@ def _routes(found: DataFrame, buckets: int) -> DataFrame:
     which is a large component or null, and a bucket."""
     edges = found.where(F.col("kind") == LISTED).select("bucket", F.col("name").alias("a"), F.col("joined").alias("b"))
     nodes = connected_components(edges.select("a", "b")).withColumnRenamed("node", "name")
-    heads = found.where(F.col("kind") == SETS).select("name", "doc", "mark", "line", "size")
+    heads = _near(found.where(F.col("kind").isin(SETS, REPEATED)).select("name", "doc", "mark", "line", "size"), nodes, "name")
     known = stored(nodes.join(heads, "name"), "line-components")
     large = known.groupBy("component").agg(F.count("*").alias("sets"), F.sum("size").alias("words")).where((F.col("sets") > MEMBERS) | (F.col("words") > LARGE)).select("component")
     none, block = F.lit(None).cast("long").alias("owner"), F.pmod(F.xxhash64("component"), F.lit(buckets)).cast("int").alias("bucket")
@@ -396,15 +422,22 @@ def _routes(found: DataFrame, buckets: int) -> DataFrame:
     return small.unionByName(spread.select("doc", "mark", "line", F.col("component").alias("owner"), "bucket"))
 
 
+def _near(frame: DataFrame, wanted: DataFrame, *key: str) -> DataFrame:
+    """The rows of a frame whose key may be in wanted; others stay where they are.
+
+    2 ** WANTED_BITS bits, at most 2 ** (WANTED_BITS - 6) rows of them, are broadcast: some 20 MB, whatever the input.
+    """
+    slot = F.pmod(F.xxhash64(*key), F.lit(1 << WANTED_BITS))
+    word, bit = F.shiftright(slot, 6), F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int"))
+    bits = wanted.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))
+    return frame.withColumn("word", word).join(F.broadcast(bits), "word").where(F.col("bits").bitwiseAND(bit) != 0).select(frame.columns)
+
+
 def _wanted_lines(docs: DataFrame, routes: DataFrame) -> DataFrame:
     """(owner, bucket, doc, mark, line, text): the routed lines' texts."""
-    # 2 ** WANTED_BITS bits, at most 2 ** (WANTED_BITS - 6) rows of them: lines whose bit is not set stay where they are.
-    slot = F.pmod(F.xxhash64("doc", "mark", "line"), F.lit(1 << WANTED_BITS))
-    word, bit = F.shiftright(slot, 6), F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int"))
-    bits = routes.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))
-    lines = docs.select("doc", "mark", F.posexplode(F.split("text", "\n")).alias("line", "text")).withColumn("word", word)
-    near = lines.join(F.broadcast(bits), "word").where(F.col("bits").bitwiseAND(bit) != 0)
-    return near.select("doc", "mark", "line", F.col("text").cast("binary").alias("text")).join(routes, ["doc", "mark", "line"])
+    key = ["doc", "mark", "line"]
+    lines = _near(docs.select("doc", "mark", F.posexplode(F.split("text", "\n")).alias("line", "text")), routes, *key)
+    return lines.select(*key, F.col("text").cast("binary").alias("text")).join(routes, key)
 
 
 def _verified(docs: DataFrame, routes: DataFrame, shared: Broadcast, hot_count: int, buckets: int) -> DataFrame:
@@ -420,7 +453,7 @@ def _verified(docs: DataFrame, routes: DataFrame, shared: Broadcast, hot_count:
         where, line = where[order], line[order]
         texts = group.column("text").take(pa.array(order)).to_pylist()
         _, _, begins, sizes, tokens, seen = _line_sets(texts, shared.value)
-        bitmaps = _bitmaps(tokens, begins)
+        bitmaps = _bitmaps(tokens, begins, sizes)
         # A whole component meets here: under all its words, none of them hot.
         listed = _listed(tokens, np.minimum(seen, len(tokens) + 1) if whole else seen, begins, sizes, len(tokens) + 1 if whole else hot_count)
         here = np.arange(len(listed.row)) if whole else np.nonzero((_mixed(listed.keys) % np.uint64(buckets)).astype(np.int64) == bucket)[0]
@@ -461,9 +494,9 @@ def _verified(docs: DataFrame, routes: DataFrame, shared: Broadcast, hot_count:
 
 
 def similar_lines(docs: DataFrame, buckets: int) -> DataFrame:
-    """(doc, mark, line, name, links, gone, component): lines that repeat a word set, or whose set is similar to another one.
+    """(doc, mark, line, name, links, gone, first): lines that repeat a word set, or whose set is similar to another one.
 
-    links: the different sets that this one is similar to; component: the smallest name of a set that links lead to. gone: an
+    links: the different sets that this one is similar to; first: the first line (doc, mark, line) of all sets that links lead to. gone: an
     earlier line has the same set or a similar one.
     """
     counts = word_counts(docs)
@@ -477,15 +510,17 @@ def similar_lines(docs: DataFrame, buckets: int) -> DataFrame:
     shared.destroy()
     discard(routes)
     nodes = connected_components(linked.select(F.col("name").alias("a"), F.col("joined").alias("b"))).withColumnRenamed("node", "name")
-    repeated = found.where(F.col("kind") == DROPPED).select("doc", "mark", "line", "name")
-    per_set = linked.groupBy("name").agg(F.sum("links").alias("links"), F.max("gone").alias("gone")).join(nodes, "name", "left")
+    place = F.struct("doc", "mark", "line")
+    per_set = linked.groupBy("name").agg(F.sum("links").alias("links"), F.max("gone").alias("gone"), F.min(place).alias("at")).join(nodes, "name", "left")
     # Sets with repeats have a class of their own if they have no links.
-    alone = repeated.select("name").distinct().join(per_set.select("name"), "name", "left_anti")
-    none = alone.select("name", F.lit(0).cast("long").alias("links"), F.lit(False).alias("gone"), F.col("name").alias("component"))
+    alone = found.where(F.col("kind") == REPEATED).select("name", place.alias("at")).join(per_set.select("name"), "name", "left_anti")
+    none = alone.select("name", F.lit(0).cast("long").alias("links"), F.lit(False).alias("gone"), "at", F.col("name").alias("component"))
     sets = stored(per_set.unionByName(none), "line-sets")
-    heads = found.where(F.col("kind") == SETS).select("doc", "mark", "line", "name", F.lit(False).alias("again"))
-    lines = repeated.withColumn("again", F.lit(True)).unionByName(heads).join(sets, "name")
-    return stored(lines.select("doc", "mark", "line", "name", "links", (F.col("gone") | F.col("again")).alias("gone"), "component"), "similar-lines")
+    # The first line of a class is the first one of a set.
+    firsts = sets.groupBy("component").agg(F.min("at").alias("first"))
+    sets = stored(sets.join(firsts, "component").drop("component"), "line-classes")
+    again = found.where(F.col("kind") == DROPPED).select("doc", "mark", "line", "name").join(sets.drop("at"), "name").withColumn("gone", F.lit(True))
+    return stored(sets.select("at.*", "name", "links", "gone", "first").unionByName(again), "similar-lines")
 
 
 def dedup_lines(docs: DataFrame, buckets: int | None = None) -> DataFrame:
@@ -499,11 +534,10 @@ def dedup_lines(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     own = known.select("doc_id", "doc", "mark", F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("long").alias("n_lines"))
     buckets = buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lines = similar_lines(known, buckets)
-    firsts = lines.groupBy("component").agg(F.min(F.struct("doc", "mark", "line")).alias("first"))
-    named = lines.join(firsts, "component").groupBy("doc", "mark", "name").agg(
-        F.max("links").alias("links"), F.collect_set(F.struct("line", "gone", F.col("first.doc").alias("first_doc"), F.col("first.line").alias("first_line"))).alias("at")
-    )
-    found = named.groupBy("doc", "mark").agg(F.sum("links").alias("n_links"), F.array_sort(F.flatten(F.collect_list("at"))).alias("at"))
+    each = F.struct("line", "gone", F.col("first.doc").alias("first_doc"), F.col("first.line").alias("first_line"), "name", "links")
+    found = lines.groupBy("doc", "mark").agg(F.array_sort(F.collect_set(each)).alias("at"))
+    sets = F.array_distinct(F.transform("at", lambda r: F.struct(r["name"], r["links"].alias("links"))))
+    found = found.withColumn("n_links", F.aggregate(sets, F.lit(0).cast("long"), lambda n, r: n + r["links"]))
     numbers = lambda rows: F.transform(rows, lambda r: r["line"])
     none, no_id = F.array().cast("array<int>"), -(2**63)
     classes = F.transform("at", lambda r: F.struct(r["line"].alias("line"), F.nullif(r["first_doc"], F.lit(no_id)).alias("first_doc"), r["first_line"].alias("first_line")))

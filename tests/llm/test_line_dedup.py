@@ -150,18 +150,18 @@ def test_large_components_give_the_same(spark, monkeypatch, limit):
 def test_bitmaps_tell_long_sets_apart():
     """Bits that are set by any word are all set in long sets; bits flipped by each word are not."""
     rng = np.random.default_rng(1)
-    for size in (20, 60, 200):
+    for size in (20, 60, 200, 350):
         tokens = rng.integers(1, 1 << 63, 200 * size).astype(np.uint64) * np.uint64(2)
         sizes, begins = np.full(200, size), np.arange(200) * size
         row = np.arange(200)
         ones = np.ones(200, np.uint64)
-        found = [p for p in line_dedup._candidates(ones, row.astype(np.uint64), sizes, 0 * row, 0 * row, line_dedup._bitmaps(tokens, begins))]
+        found = [p for p in line_dedup._candidates(ones, row.astype(np.uint64), sizes, 0 * row, 0 * row, line_dedup._bitmaps(tokens, begins, sizes))]
         assert sum(len(a) for a, _ in found) <= 20
 
 
 def test_words_that_share_half_a_key_lose_no_pair():
     """A set listed twice under one half key keeps both places: the second word is the one in common."""
     own = {"sets": np.array([7, 7, 9], np.uint64), "sizes": line_dedup._planes(np.array([10, 10, 10])), "keys": np.array([5, 5, 5], "<u4")}
-    row = line_dedup._row(0, line_dedup.LISTED, bitmaps=np.zeros((3, 2), np.uint64), places=line_dedup._planes(np.array([0, 2, 2])), **own)
+    row = line_dedup._row(0, line_dedup.LISTED, bitmaps=np.zeros((4, 3), np.uint64), places=line_dedup._planes(np.array([0, 2, 2])), **own)
     a, b = line_dedup._may_be_similar(line_dedup._Group(pa.Table.from_batches([row]), line_dedup.LISTED))
     assert sorted([*a.tolist(), *b.tolist()]) == [7, 9]
