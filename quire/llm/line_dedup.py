@@ -20,6 +20,7 @@ passed on by `kept_lines` and ignored by `dedup_lines`. Texts and lines may be o
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.common import connected_components, discard, fresh_name, merged, stored, utf8
-from quire.llm.suffixes import BASES, Hashes
+from quire.llm.suffixes import BASES
 
 SLOT_BITS, SLICES = 22, 16
 # What a counter's byte stands for: counts up to 64, then steps of a tenth.
@@ -41,8 +42,10 @@ PAIRS = 1 << 18
 # Words looked up at once, and sets and words of a component from which on it is verified bucket by bucket.
 VERIFIED, MEMBERS, LARGE = 1 << 20, 1 << 9, 1 << 18
 DROPPED, SETS, LISTED, REPEATED = range(4)
-# Sets of more words have bitmaps of 256 bits, others of 128.
-WIDE = 128
+# Sets of at most NARROW words have bitmaps of 96 bits, those of more than WIDE of 256, others of 128.
+NARROW, WIDE = 64, 128
+# Bytes of a listed set's name and of a word's key. Both only choose what meets: sets that share them are told apart when they are verified.
+NAME, KEY = 5, 3
 
 SLICE, PIECE = 1 << 20, 1 << 22
 # Bits that tell which lines may be wanted, 64 to a row of a broadcast table.
@@ -65,7 +68,10 @@ def _word_hashes(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             inside = IN_WORD[bytes_of]
             first = np.nonzero(inside & np.append(True, ~inside[:-1]))[0]
             end = np.nonzero(inside & np.append(~inside[1:], True))[0] + 1
-            hashes = Hashes(bytes_of, BASES[0]).of(first, end - first) + (end - first).astype(np.uint64)
+            powers, inverse = _powers(max(5, 1 + 4 * len(bytes_of) // SLICE) * SLICE // 4)
+            prefix = np.zeros(len(bytes_of) + 1, np.uint64)
+            np.cumsum((bytes_of.astype(np.uint64) + np.uint64(1)) * powers[: len(bytes_of)], out=prefix[1:])
+            hashes = (prefix[end] - prefix[first]) * inverse[first] + (end - first).astype(np.uint64)
             starts = np.cumsum([0, *(len(raw[n]) + 1 for n in held[:-1])])
             own = np.searchsorted(starts, first, "right") - 1
             feeds = np.cumsum(bytes_of == 10)
@@ -77,6 +83,14 @@ def _word_hashes(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return tuple(np.concatenate(column) for column in zip(*parts))
 
 
+@lru_cache(1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the base of word hashes and its inverse, which most slices of text share."""
+    powers, inverse = np.full(n, BASES[0], np.uint64), np.full(n, pow(BASES[0], -1, 1 << 64), np.uint64)
+    powers[0] = inverse[0] = 1
+    return np.cumprod(powers), np.cumprod(inverse)
+
+
 def _pieces(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
     """Batches cut to PIECE bytes of text, or to one row where it has more."""
     for batch in batches:
@@ -135,7 +149,7 @@ def counted(docs: DataFrame, hashes_of: Callable[[list[bytes]], np.ndarray]) ->
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << SLOT_BITS, np.int64)
         for batch in _pieces(batches, 0):
-            total += np.bincount(_slots(hashes_of([utf8(text) for text in batch.column(0).to_pylist()])), minlength=len(total))
+            np.add.at(total, _slots(hashes_of([utf8(text) for text in batch.column(0).to_pylist()])), 1)
         for part in range(SLICES):
             own = total[part * width : (part + 1) * width]
             used = np.nonzero(own)[0]
@@ -214,23 +228,39 @@ def _listed(tokens: np.ndarray, seen: np.ndarray, begins: np.ndarray, sizes: np.
 def _bitmaps(tokens: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Four words of 64 bits per set in which each of its tokens flips one bit, and which `_apart` compares.
 
-    The last two words are folded into the first two, and kept for sets of more than WIDE tokens only.
+    The last two words are folded into the first two, and kept for sets of more than WIDE tokens only; of sets of at most NARROW
+    tokens the second word is folded into its lower half.
     """
     bit, word = np.uint64(1) << ((tokens >> np.uint64(56)) & np.uint64(63)), tokens >> np.uint64(62)
     one, two, three, four = (np.bitwise_xor.reduceat(np.where(word == np.uint64(k), bit, np.uint64(0)), begins) for k in range(4))
-    wide = sizes > WIDE
-    return np.stack([one ^ three, two ^ four, np.where(wide, three, np.uint64(0)), np.where(wide, four, np.uint64(0))], axis=1)
+    wide, two_four = sizes > WIDE, two ^ four
+    return np.stack([one ^ three, np.where(sizes > NARROW, two_four, _folded(two_four)), np.where(wide, three, np.uint64(0)), np.where(wide, four, np.uint64(0))], axis=1)
+
 
+def _folded(word: np.ndarray) -> np.ndarray:
+    return (word ^ (word >> np.uint64(32))) & np.uint64(0xFFFFFFFF)
 
-def _apart(one: np.ndarray, two: np.ndarray, wide: np.ndarray) -> np.ndarray:
-    """Bits in which bitmaps differ: two sets differ in at least as many tokens. wide: whether both sets have all words of theirs."""
+
+def _apart(one: np.ndarray, two: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Bits in which bitmaps differ: two sets differ in at least as many tokens. size: of the smaller set."""
     bits = one ^ two
-    least = np.bitwise_count(bits[:, :2]).sum(axis=1, dtype=np.int64)
-    whole = bits[wide]
-    if whole.shape[1] == 4:
-        whole[:, :2] ^= whole[:, 2:]
-        least[wide] = np.bitwise_count(whole).sum(axis=1, dtype=np.int64)
-    return least
+    if bits.shape[1] == 4:
+        narrow, wide = size <= NARROW, size > WIDE
+        bits[narrow, 1] = _folded(bits[narrow, 1])
+        bits[wide, :2] ^= bits[wide, 2:]
+        bits[~wide, 2:] = 0
+    return np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
+
+
+def _flat(bitmaps: np.ndarray) -> np.ndarray:
+    """Word by word, the second one by halves: what small sets lack are runs of zeros."""
+    one, two, *rest = (np.ascontiguousarray(word) for word in bitmaps.T)
+    return np.concatenate([one, np.ascontiguousarray(two.view("<u4").reshape(-1, 2).T).ravel().view("<u8"), *rest])
+
+
+def _unflat(words: np.ndarray) -> np.ndarray:
+    one, two, *rest = words.reshape(4, -1)
+    return np.stack([one, np.ascontiguousarray(two.view("<u4").reshape(2, -1).T).ravel().view("<u8"), *rest], axis=1)
 
 
 def _names(tokens: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -262,9 +292,8 @@ def _send(docs: DataFrame, shared: Broadcast, hot_count: int, buckets: int) -> D
             found = _listed(token, seen, begins[rows], sizes[rows], hot_count)
             for bucket, own in _by_bucket(found.keys, buckets):
                 r = rows[found.row[own]]
-                # Half a key: words that share it meet for nothing, which the filters see.
-                keys, places = (found.keys[own] >> np.uint64(32)).astype("<u4"), found.places[own] * 2 + found.visitor[own]
-                yield _row(bucket, LISTED, sets=names[r], sizes=_planes(sizes[r]), keys=keys, bitmaps=np.ascontiguousarray(bitmaps[r].T), places=_planes(places))
+                places = found.places[own] * 2 + found.visitor[own]
+                yield _row(bucket, LISTED, sets=_cut(names[r], NAME), sizes=_planes(sizes[r]), keys=_cut(found.keys[own] >> np.uint64(40), KEY), bitmaps=_flat(bitmaps[r]), places=_planes(places))
 
     return docs.select("doc", "mark", "text").mapInArrow(run, SENT)
 
@@ -297,6 +326,17 @@ def _whole(planes: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, -1).T).view("<i4").ravel()
 
 
+def _cut(values: np.ndarray, n: int) -> np.ndarray:
+    """The lowest n bytes of each."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :n]
+
+
+def _uncut(cut: np.ndarray, n: int) -> np.ndarray:
+    values = np.zeros((len(cut) // n, 8), np.uint8)
+    values[:, :n] = cut.reshape(-1, n)
+    return values.view("<u8").ravel()
+
+
 class _Group:
     """The rows of one kind in a bucket, as arrays."""
 
@@ -348,7 +388,7 @@ def _candidates(tokens: np.ndarray, lasts: np.ndarray | None, sizes: np.ndarray,
         if last is not None:
             keep &= (last[one] != last[two]) | (place[one] == 0) | (place[two] == 0)
         one, two, spare = one[keep], two[keep], (both - 2 * least)[keep]
-        near = _apart(bitmap[one], bitmap[two], np.minimum(size[one], size[two]) > WIDE) <= spare
+        near = _apart(bitmap[one], bitmap[two], size[one]) <= spare
         yield order[one[near]], order[two[near]]
         at = to
 
@@ -388,19 +428,21 @@ def _resolve(group: pa.Table) -> pa.Table:
 
 def _may_be_similar(some: _Group) -> tuple[np.ndarray, np.ndarray]:
     """Edges between the names of listed sets that connect all pairs which pass the filters under a word."""
-    keys, sets, places = some.column("keys", "<u4"), some.column("sets", "<u8"), some.numbers("places")
-    # Of equal sets under a word one stands for all; another word with the same half of the key has another place.
-    order = np.lexsort((places, sets, keys))
-    keys, sets, places = keys[order], sets[order], places[order]
-    fresh = np.append(True, (np.diff(keys) != 0) | (np.diff(sets) != 0) | (np.diff(places) != 0)) if len(order) else np.zeros(0, bool)
-    order, keys, sets, places = order[fresh], keys[fresh], sets[fresh], places[fresh]
+    cut = {name: _uncut(some.column(name, np.uint8), n) for name, n in (("sets", NAME), ("keys", KEY))}
+    both, places, sizes = cut["keys"] << np.uint64(8 * NAME) | cut["sets"], some.numbers("places"), some.numbers("sizes")
+    bitmaps = np.concatenate([np.zeros((0, 4), np.uint64), *(_unflat(part) for part in some.parts("bitmaps", "<u8"))])
+    # Of equal sets under a word one stands for all; another word or set with the same bytes has another place or bitmap.
+    order = np.argsort(both)
+    both, place, bitmap = both[order], places[order], bitmaps[order]
+    fresh = np.append(True, (np.diff(both) != 0) | (np.diff(place) != 0) | (bitmap[1:] != bitmap[:-1]).any(axis=1)) if len(order) else np.zeros(0, bool)
+    order = order[fresh]
+    keys = cut["keys"][order]
     # A word of one set only makes no pair.
     alike = np.diff(keys) == 0
-    order, keys, sets, places = (v[np.append(False, alike) | np.append(alike, False)] if len(v) else v for v in (order, keys, sets, places))
+    order = order[np.append(False, alike) | np.append(alike, False)] if len(order) else order
+    keys, sets, places, sizes, bitmaps = (column[order] for column in (cut["keys"], cut["sets"], places, sizes, bitmaps))
     names, row = np.unique(sets, return_inverse=True)
     label = np.arange(len(names))
-    bitmaps = np.concatenate([np.zeros((0, 4), np.uint64), *(part.reshape(4, -1).T for part in some.parts("bitmaps", "<u8"))])[order]
-    sizes = some.numbers("sizes")[order]
     for a, b in _candidates(keys, None, sizes, places >> 1, places & 1, bitmaps):
         label = merged(label, row[a], row[b])
     ends = np.nonzero(label != np.arange(len(label)))[0]
@@ -412,13 +454,15 @@ def _routes(found: DataFrame, buckets: int) -> DataFrame:
     which is a large component or null, and a bucket."""
     edges = found.where(F.col("kind") == LISTED).select("bucket", F.col("name").alias("a"), F.col("joined").alias("b"))
     nodes = connected_components(edges.select("a", "b")).withColumnRenamed("node", "name")
-    heads = _near(found.where(F.col("kind").isin(SETS, REPEATED)).select("name", "doc", "mark", "line", "size"), nodes, "name")
+    heads = found.where(F.col("kind").isin(SETS, REPEATED)).withColumn("name", F.col("name").bitwiseAND(F.lit((1 << 8 * NAME) - 1)))
+    heads = _near(heads.select("name", "doc", "mark", "line", "size"), nodes, "name")
     known = stored(nodes.join(heads, "name"), "line-components")
     large = known.groupBy("component").agg(F.count("*").alias("sets"), F.sum("size").alias("words")).where((F.col("sets") > MEMBERS) | (F.col("words") > LARGE)).select("component")
     none, block = F.lit(None).cast("long").alias("owner"), F.pmod(F.xxhash64("component"), F.lit(buckets)).cast("int").alias("bucket")
     small = known.join(large, "component", "left_anti").select("doc", "mark", "line", none, block)
-    ends = edges.select("bucket", F.explode(F.array("a", "b")).alias("name")).distinct()
-    spread = known.join(large, "component", "left_semi").join(ends, "name")
+    spread = known.join(large, "component", "left_semi")
+    ends = _near(edges.select("bucket", F.explode(F.array("a", "b")).alias("name")), spread, "name").distinct()
+    spread = spread.join(ends, "name")
     return small.unionByName(spread.select("doc", "mark", "line", F.col("component").alias("owner"), "bucket"))
 
 

@@ -159,9 +159,23 @@ def test_bitmaps_tell_long_sets_apart():
         assert sum(len(a) for a, _ in found) <= 20
 
 
-def test_words_that_share_half_a_key_lose_no_pair():
-    """A set listed twice under one half key keeps both places: the second word is the one in common."""
-    own = {"sets": np.array([7, 7, 9], np.uint64), "sizes": line_dedup._planes(np.array([10, 10, 10])), "keys": np.array([5, 5, 5], "<u4")}
-    row = line_dedup._row(0, line_dedup.LISTED, bitmaps=np.zeros((4, 3), np.uint64), places=line_dedup._planes(np.array([0, 2, 2])), **own)
+def test_words_that_share_a_key_lose_no_pair():
+    """A set listed twice under one cut key keeps both places: the second word is the one in common."""
+    cut = {"sets": line_dedup._cut(np.array([7, 7, 9]), line_dedup.NAME), "keys": line_dedup._cut(np.array([5, 5, 5]), line_dedup.KEY)}
+    shape = {"sizes": line_dedup._planes(np.array([10, 10, 10])), "places": line_dedup._planes(np.array([0, 2, 2]))}
+    row = line_dedup._row(0, line_dedup.LISTED, bitmaps=line_dedup._flat(np.zeros((3, 4), np.uint64)), **cut, **shape)
     a, b = line_dedup._may_be_similar(line_dedup._Group(pa.Table.from_batches([row]), line_dedup.LISTED))
     assert sorted([*a.tolist(), *b.tolist()]) == [7, 9]
+
+
+def test_bitmaps_differ_in_no_more_bits_than_sets_do():
+    """Whatever the sizes on both sides of a limit, and also once they were sent."""
+    rng = np.random.default_rng(2)
+    limits = line_dedup.NARROW, line_dedup.WIDE
+    for size in (4, 40, *(n + k for n in limits for k in (-6, 0, 1, 6)), 300):
+        base = rng.integers(1, 1 << 63, size + 20).astype(np.uint64) * np.uint64(2)
+        for more in range(1, 20):
+            begins, sizes = np.array([0, size]), np.array([size, size + more])
+            bitmaps = line_dedup._bitmaps(np.append(base[:size], base[: size + more]), begins, sizes)
+            assert (line_dedup._unflat(line_dedup._flat(bitmaps)) == bitmaps).all()
+            assert line_dedup._apart(bitmaps[:1], bitmaps[1:], sizes[:1])[0] <= more
