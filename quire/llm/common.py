@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from quire.session import scratch_folder
+from quire.session import discard, scratch_folder
 
 # A word is a run of digits, small letters and anything beyond ASCII, after A-Z became a-z.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -23,19 +23,6 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(folder)
 
 
-def discard(*frames: DataFrame) -> None:
-    """Delete stored tables that no later step reads; what is not under the scratch folder is left alone."""
-    for frame in frames:
-        spark = frame.sparkSession
-        root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(spark.conf.get("spark.checkpoint.dir"))
-        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        top = fs.makeQualified(root).toUri().getPath().rstrip("/") + "/"
-        for folder in {name.rpartition("/")[0] for name in frame.inputFiles()}:
-            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-            if path.toUri().getPath().startswith(top):
-                fs.delete(path, True)
-
-
 def fresh_name(frame: DataFrame, name: str) -> str:
     """The name, lengthened until the frame has no such column."""
     taken = {c.lower() for c in frame.columns}

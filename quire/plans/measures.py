@@ -8,19 +8,23 @@ from __future__ import annotations
 
 import datetime as dt
 from decimal import Decimal
+from functools import reduce
+from math import inf
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.columns import as_column
-from quire.operators.joins import join_dimension
-from quire.session import stored_once
+from quire.operators.joins import HOT_ROWS, join_dimension
+from quire.session import discard, stored_once
 
 CENT = Decimal("0.01")
 AUTHOR = "AUT"
 MONEY = "decimal(28,2)"
 SHARE = "decimal(9,6)"
 UNKNOWN = "Inconnu"
+# Parts that authors are dealt into for royalties, and rows of contracts and book-author pairs in a part until there are so many parts.
+SLICES, SLICE_ROWS = 8, 900_000
 
 
 def cents(value: Column) -> Column:
@@ -227,6 +231,36 @@ def in_force(terms: DataFrame, keys: list[str]) -> DataFrame:
     return terms.join(spans, open_).groupBy(*keys, "_from", "_until").agg(best).select(*keys, "_best.num_contrat", "_from", "_until")
 
 
+def _earning(sales: DataFrame, contracts: DataFrame, bridge: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What `earnings` matches, stored: net HT sales by book and day, contracts with a term, and book-author pairs; of books with sales only."""
+    # The bridge has shuffles of its own, whose files go before others come.
+    pairs = stored_once(bridge.select("isbn", "code_auteur"), "book-authors")
+    daily = sales.filter(F.col("date_vente").isNotNull()).groupBy("isbn", "date_vente").agg(F.sum(cents(F.col("montant_ht"))).alias("_cents"))
+    # Side by side, the days of a book take half the room, here and in each shuffle to come.
+    daily = stored_once(daily.repartition("isbn").sortWithinPartitions("isbn", "date_vente"), "daily-sales")
+    in_term = F.col("date_debut").isNotNull() & (F.col("date_fin").isNull() | (F.col("date_fin") >= F.col("date_debut")))
+    isbn = F.nullif("isbn", F.lit(""))
+    terms = contracts.where(in_term).select("num_contrat", "code_auteur", isbn.alias("isbn"), "date_debut", "date_fin", F.when(isbn.isNull(), 0).otherwise(1).alias("_for_title"))
+    sold = stored_once(daily.select("isbn").distinct(), "sold-books")
+    titled = terms.where("isbn is not null").join(sold, "isbn", "left_semi").select(terms.columns)
+    terms = stored_once(titled.unionByName(terms.where("isbn is null")), "contract-terms")
+    wrote = stored_once(pairs.distinct().join(sold, "isbn", "left_semi"), "written-books")
+    discard(pairs, sold)
+    return daily, terms, wrote
+
+
+def _matched(daily: DataFrame, terms: DataFrame, wrote: DataFrame, limit: float | None = None) -> DataFrame:
+    """The result of `earnings` from its parts; limit: as in `join_dimension`, for the authors' contracts."""
+    titled, untitled = terms.where("isbn is not null"), terms.where("isbn is null")
+    for_title = titled.select("isbn", "code_auteur").distinct()
+    both = wrote.join(for_title, ["isbn", "code_auteur"], "left_semi").join(untitled.drop("isbn"), "code_auteur").select(terms.columns)
+    # An author of very many books is split.
+    anywhere = join_dimension(wrote.join(for_title, ["isbn", "code_auteur"], "left_anti"), in_force(untitled, ["code_auteur"]), ["code_auteur"], limit=limit)
+    spans = in_force(titled.unionByName(both), ["isbn", "code_auteur"]).unionByName(anywhere.select("isbn", "code_auteur", "num_contrat", "_from", "_until"))
+    within = (F.col("date_vente") >= F.col("_from")) & (F.col("_until").isNull() | (F.col("date_vente") < F.col("_until")))
+    return spans.join(daily, "isbn").where(within).select("num_contrat", "date_vente", "_cents")
+
+
 def earnings(sales: DataFrame, contracts: DataFrame, bridge: DataFrame) -> DataFrame:
     """(num_contrat, date_vente, _cents): net HT sales of a book and day under the contract that they fall to.
 
@@ -238,25 +272,34 @@ def earnings(sales: DataFrame, contracts: DataFrame, bridge: DataFrame) -> DataF
     one for the title. So a book, author and day meet one contract, and what comes out needs no further grouping. Sales are summed to book
     and day before; a book has a row a day at most.
     """
-    daily = stored_once(
-        sales.filter(F.col("date_vente").isNotNull()).groupBy("isbn", "date_vente").agg(F.sum(cents(F.col("montant_ht"))).alias("_cents")),
-        "daily-sales",
-    )
-    sold = daily.select("isbn").distinct()
-    in_term = F.col("date_debut").isNotNull() & (F.col("date_fin").isNull() | (F.col("date_fin") >= F.col("date_debut")))
-    isbn = F.nullif("isbn", F.lit(""))
-    terms = contracts.where(in_term).select("num_contrat", "code_auteur", isbn.alias("isbn"), "date_debut", "date_fin", F.when(isbn.isNull(), 0).otherwise(1).alias("_for_title"))
-    terms = stored_once(terms, "contract-terms")
-    titled, untitled = terms.where("isbn is not null").join(sold, "isbn", "left_semi").select(terms.columns), terms.where("isbn is null")
-    # Only books with sales.
-    wrote = stored_once(bridge.select("isbn", "code_auteur").distinct().join(sold, "isbn", "left_semi"), "written-books")
-    for_title = titled.select("isbn", "code_auteur").distinct()
-    both = wrote.join(for_title, ["isbn", "code_auteur"], "left_semi").join(untitled.drop("isbn"), "code_auteur").select(terms.columns)
-    # An author of very many books is split.
-    anywhere = join_dimension(wrote.join(for_title, ["isbn", "code_auteur"], "left_anti"), in_force(untitled, ["code_auteur"]), ["code_auteur"])
-    spans = in_force(titled.unionByName(both), ["isbn", "code_auteur"]).unionByName(anywhere.select("isbn", "code_auteur", "num_contrat", "_from", "_until"))
-    within = (F.col("date_vente") >= F.col("_from")) & (F.col("_until").isNull() | (F.col("date_vente") < F.col("_until")))
-    return spans.join(daily, "isbn").where(within).select("num_contrat", "date_vente", "_cents")
+    return _matched(*_earning(sales, contracts, bridge))
+
+
+def _earned(sales: DataFrame, contracts: DataFrame, bridge: DataFrame, *keys: str | Column) -> DataFrame:
+    """Sums of `earnings` by contract and whatever else is among the keys.
+
+    Books have many authors and authors many books, so what meets is many times the sales. All choices are an author's: the authors go
+    through in up to SLICES parts, one after the other, and each leaves its sums only.
+    """
+    daily, terms, wrote = parts = _earning(sales, contracts, bridge)
+    slices = min(SLICES, 1 + (terms.count() + wrote.count()) // SLICE_ROWS)
+    # Authors are counted once, not in every part.
+    busy = wrote.groupBy("code_auteur").agg(F.count("*").alias("_rows")).where(F.col("_rows") > HOT_ROWS)
+    limit = inf if busy.isEmpty() else None
+    sums = []
+    for number in range(slices):
+        own = F.pmod(F.xxhash64("code_auteur"), F.lit(slices)) == number
+        matched = _matched(daily, terms.where(own), wrote.where(own), limit)
+        sums.append(stored_once(matched.groupBy(*keys).agg(F.sum("_cents").alias("_cents")), "earned"))
+    discard(*parts)
+    whole = reduce(DataFrame.unionByName, sums)
+    # A number may be that of several authors' contracts.
+    return whole.groupBy([c for c in whole.columns if c != "_cents"]).agg(F.sum("_cents").alias("_cents"))
+
+
+def _rated(contracts: DataFrame) -> DataFrame:
+    """The contracts, stored: their terms are asked for first, their rates and advances last."""
+    return stored_once(contracts.select("num_contrat", "code_auteur", "isbn", "date_debut", "date_fin", "pct_droits", "avance"), "contracts")
 
 
 def _due(base: Column) -> Column:
@@ -288,8 +331,8 @@ def royalty_ledger(sales: DataFrame, contracts: DataFrame, bridge: DataFrame, pe
     cent, and the advance is set off once. A period in which returns outweigh sales has negative amounts. `periode` is
     the period's first day. Sums are per contract and period before the window, which holds a contract's periods.
     """
-    first_day = F.trunc("date_vente", PERIODS[period]).alias("periode")
-    earned = earnings(sales, contracts, bridge).groupBy("num_contrat", first_day).agg(F.sum("_cents").alias("_cents"))
+    contracts = _rated(contracts)
+    earned = _earned(sales, contracts, bridge, "num_contrat", F.trunc("date_vente", PERIODS[period]).alias("periode"))
     terms = contracts.select("num_contrat", "code_auteur", "pct_droits", F.coalesce("avance", F.lit(0)).cast(MONEY).alias("avance"))
     up_to = Window.partitionBy("num_contrat").orderBy("periode").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     in_order = Window.partitionBy("num_contrat").orderBy("periode")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,8 +43,36 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+SHUFFLES_REMOVED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries that start in here remove their shuffle files when they end; else these stay until the driver collects its garbage."""
+    before = spark.conf.get(SHUFFLES_REMOVED, None)
+    spark.conf.set(SHUFFLES_REMOVED, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLES_REMOVED) if before is None else spark.conf.set(SHUFFLES_REMOVED, before)
+
+
 def stored_once(df: DataFrame, label: str) -> DataFrame:
     """A frame that several later steps ask for: written to the scratch folder and read back."""
     folder = scratch_folder(df.sparkSession, label)
-    df.write.parquet(folder)
+    with shuffles_removed(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete stored tables that no later step reads; what is not under the scratch folder is left alone."""
+    for frame in frames:
+        spark = frame.sparkSession
+        root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(spark.conf.get("spark.checkpoint.dir"))
+        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        top = fs.makeQualified(root).toUri().getPath().rstrip("/") + "/"
+        for folder in {name.rpartition("/")[0] for name in frame.inputFiles()}:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            if path.toUri().getPath().startswith(top):
+                fs.delete(path, True)

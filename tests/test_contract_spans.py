@@ -1,10 +1,13 @@
 import datetime as dt
 import random
+import time
 from collections import Counter
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from quire.plans import measures
+from quire.session import stored_once
 
 DAY = dt.date(2020, 1, 1)
 
@@ -54,3 +57,34 @@ def test_spans_of_a_key_do_not_overlap(spark):
     )
     got = {tuple(r) for r in measures.in_force(held, ["code_auteur"]).collect()}
     assert got == {("a", 1, day(0), day(5)), ("a", 2, day(5), day(10)), ("a", 1, day(10), None), (None, 3, day(1), day(3))}
+
+
+def test_parts_of_authors_add_up_to_the_whole(spark, monkeypatch):
+    rng = random.Random(7)
+    sales = [(f"b{rng.randrange(6)}", day(rng.randrange(900)), rng.randrange(-50, 200)) for _ in range(300)]
+    terms = [(n % 50, rng.choice(["a", "b", "c", "d", None]), rng.choice(["b0", "b1", None, ""]), day(rng.randrange(300)), rng.choice([None, day(700)]), 5, n) for n in range(60)]
+    sold = spark.createDataFrame(sales, "isbn string, date_vente date, m int").withColumn("montant_ht", F.col("m").cast("decimal(11,2)"))
+    held = spark.createDataFrame(terms, "num_contrat bigint, code_auteur string, isbn string, date_debut date, date_fin date, pct_droits int, avance int")
+    held = held.withColumns({c: F.col(c).cast("decimal(11,2)") for c in ("pct_droits", "avance")})
+    wrote = spark.createDataFrame([(f"b{i}", a) for i in range(6) for a in "abcd" if rng.random() < 0.7], "isbn string, code_auteur string")
+    stored = []
+    monkeypatch.setattr(measures, "stored_once", lambda df, label: stored.append(label) or stored_once(df, label))
+    results = []
+    for rows in (10**6, 1):
+        monkeypatch.setattr(measures, "SLICE_ROWS", rows)
+        results.append([sorted(map(repr, f(sold, held, wrote).collect())) for f in (measures.royalty_ledger,)])
+    assert results[0] == results[1] and len(results[0][0]) > 50
+    assert stored.count("earned") == 1 + measures.SLICES
+
+
+def test_a_stored_frame_leaves_no_shuffle_files(spark):
+    def left():
+        manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {f for top in manager.localDirsString() for f in Path(top).rglob("shuffle_*")}
+
+    before = left()
+    stored = stored_once(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "shuffled")
+    end = time.time() + 20
+    while left() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not left() - before and stored.count() == 7
