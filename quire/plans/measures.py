@@ -308,7 +308,8 @@ def _due(base: Column) -> Column:
 
 def royalties(sales: DataFrame, contracts: DataFrame, bridge: DataFrame) -> DataFrame:
     """What each contract earned over its life: net HT sales in its term times its rate, against the advance."""
-    earned = earnings(sales, contracts, bridge).groupBy("num_contrat").agg(F.sum("_cents").alias("_cents"))
+    contracts = _rated(contracts)
+    earned = _earned(sales, contracts, bridge, "num_contrat")
     base = from_cents(F.col("_cents"))
     owed = contracts.join(earned, "num_contrat", "left").select(
         "num_contrat",

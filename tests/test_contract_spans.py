@@ -72,9 +72,9 @@ def test_parts_of_authors_add_up_to_the_whole(spark, monkeypatch):
     results = []
     for rows in (10**6, 1):
         monkeypatch.setattr(measures, "SLICE_ROWS", rows)
-        results.append([sorted(map(repr, f(sold, held, wrote).collect())) for f in (measures.royalty_ledger,)])
-    assert results[0] == results[1] and len(results[0][0]) > 50
-    assert stored.count("earned") == 1 + measures.SLICES
+        results.append([sorted(map(repr, f(sold, held, wrote).collect())) for f in (measures.royalties, measures.royalty_ledger)])
+    assert results[0] == results[1] and len(results[0][1]) > 50
+    assert stored.count("earned") == 2 * (1 + measures.SLICES)
 
 
 def test_a_stored_frame_leaves_no_shuffle_files(spark):
