@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from quire.session import discard, scratch_folder
+from quire.session import discard, scratch_folder, shuffles_removed
 
 # A word is a run of digits, small letters and anything beyond ASCII, after A-Z became a-z.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -19,7 +19,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 def stored(frame: DataFrame, label: str) -> DataFrame:
     """Write a frame once to the shared scratch folder and read it back: later steps neither recompute nor lose it."""
     folder = scratch_folder(frame.sparkSession, label)
-    frame.write.option("compression", "zstd").parquet(folder)
+    with shuffles_removed(frame.sparkSession):
+        frame.write.option("compression", "zstd").parquet(folder)
     return frame.sparkSession.read.schema(frame.schema).parquet(folder)
 
 

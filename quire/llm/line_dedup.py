@@ -205,13 +205,13 @@ def _hot_count(counts: np.ndarray, buckets: int) -> int:
     return max(2, int(HOT_PART * whole / buckets))
 
 
-def _listed(tokens: np.ndarray, seen: np.ndarray, begins: np.ndarray, sizes: np.ndarray, hot_count: int) -> _Listing:
-    """List sets, given as runs of word hashes in order of rarity, under their prefix words.
+def _listed(tokens: np.ndarray, seen: np.ndarray, begins: np.ndarray, sizes: np.ndarray, hot_count: int, more: np.ndarray | int = 0) -> _Listing:
+    """List sets, given as runs of word hashes in order of rarity, under their prefix words and so many more.
 
     Under a word with more than hot_count occurrences only sets of similar size meet: in its own size class a set
     meets all, and in the class above it is a visitor, which meets only the owners.
     """
-    row, place = _spread(_prefix(sizes))
+    row, place = _spread(_prefix(sizes) + more)
     at = begins[row] + place
     # A word seen once in all texts has no partner.
     use = seen[at] > 1

@@ -1,8 +1,9 @@
 """Near copies of documents: an exact join of texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
 The join is that of line_dedup, with documents for lines and shingles for words: shingles by rarity, sets listed under their
-prefix shingles, length and positional filters. The pairs that are left leave a task as a spanning forest of names. Each set in such
-a forest is then sent once more, whole, to the block of its component, where pairs are verified; a component of more than
+prefix shingles, length and positional filters. Beside the prefix a set is listed under one shingle more for every MORE that it has:
+sets that are similar then share as many and one more. A set that meets others under fewer has no similar one, however common shingles
+are, and goes before pairs are formed. The pairs that are left leave a task as a spanning forest of names. Each set in such a forest is then sent once more, whole, to the block of its component, where pairs are verified; a component of more than
 LARGE shingles is verified under its prefix shingles, bucket by bucket. Verified pairs leave a task as a spanning forest, too.
 Under a shingle all sets are first compared with one of them: of a group of near copies no other pairs are formed.
 Shingles are known by 64-bit hashes.
@@ -27,7 +28,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.llm.common import connected_components, discard, fresh_name, merged, row_key, stored, utf8
-from quire.llm.line_dedup import SLICE, _by_bucket, _candidates, _hot_count, _Listing, _listed, _mixed, _names, _pieces, _seen, _spread, counted
+from quire.llm.line_dedup import (
+    SLICE, _by_bucket, _candidates, _cut, _hot_count, _Listing, _listed, _mixed, _names, _near, _pieces, _planes, _seen, _spread, _uncut, _whole as _unplaned, counted,
+)
 from quire.llm.simhash import fingerprint, links as fingerprint_links
 from quire.llm.suffixes import BASES, Hashes
 
@@ -35,11 +38,13 @@ SHINGLE = 5
 # Shingles compared at once, sets under a shingle from which on they are compared with one of them first, and shingles of a component
 # that is verified in one task.
 VERIFIED, STAR, LARGE = 1 << 20, 16, 1 << 24
-FILTER_BITS = 20
+# Shingles to one more that a set is listed under, and bytes of a listed shingle: others with the same bytes only look like it.
+MORE, KEY = 8, 5
 SPACE = np.array([b in b" \t\n\r\x0b\x0c" for b in range(256)])
 FACTORS = _mixed(np.arange(1, SHINGLE + 1, dtype=np.uint64)) | np.uint64(1)
 ROW = ["no_id", "doc", "mark"]
-SENT = "bucket int, tokens binary, lasts binary, sets binary, sizes binary, places binary"
+SENT = "bucket int, keys binary, sets binary, sizes binary, places binary"
+MET = "bucket int, key long, name long, size int, place int"
 WHOLE = "owner long, bucket int, sets binary, tokens binary, sizes binary"
 
 
@@ -154,36 +159,58 @@ def _forest(bucket: int, names: np.ndarray, label: np.ndarray) -> pa.Table:
     return pa.table(columns)
 
 
-def _candidate_links(docs: DataFrame, shared: Broadcast, hot_count: int, buckets: int) -> DataFrame:
-    """(bucket, a, b): names that connect what may be similar under a shingle of the bucket."""
+def _meetings(docs: DataFrame, shared: Broadcast, hot_count: int, buckets: int) -> DataFrame:
+    """(bucket, key, name, size, place): listed sets that meet one of similar size under a shingle."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _pieces(batches, 0):
             begins, sizes, tokens, seen = _sets(batch.column(0).to_pylist(), shared.value)
             names = _names(tokens, begins, sizes)
             rows = np.unique(names, return_index=True)[1]
-            found = _listed(tokens, seen, begins[rows], sizes[rows], hot_count)
+            found = _listed(tokens, seen, begins[rows], sizes[rows], hot_count, sizes[rows] // MORE)
             for bucket, own in _by_bucket(found.keys, buckets):
                 r = rows[found.row[own]]
                 places = found.places[own] * 2 + found.visitor[own]
-                yield _packed(bucket, found.keys[own], found.lasts[own], names[r], sizes[r].astype("<i4"), places.astype("<i4"), names=SENT)
+                yield _packed(bucket, _cut(found.keys[own] >> np.uint64(64 - 8 * KEY), KEY), names[r], _planes(sizes[r]), _planes(places), names=SENT)
+
+    def meet(group: pa.Table) -> pa.Table:
+        keys, sets = _uncut(_column(group, "keys", np.uint8), KEY), _column(group, "sets", "<u8")
+        sizes, places = (np.concatenate([_unplaned(np.frombuffer(v.as_buffer(), np.uint8)) for v in group.column(name)]) for name in ("sizes", "places"))
+        order = np.lexsort((places, sets, sizes, keys))
+        keys, sets, sizes, places = (column[order] for column in (keys, sets, sizes, places))
+        # Another shingle of a set with the same bytes has another place.
+        fresh = np.append(True, (np.diff(keys) != 0) | (np.diff(sets) != 0) | (np.diff(places) != 0))
+        keys, sets, sizes, places = (column[fresh] for column in (keys, sets, sizes, places))
+        # Under a shingle sets are in order of size: if any is similar in size, a neighbour is.
+        close = (np.diff(keys) == 0) & (4 * sizes[1:].astype(np.int64) <= 5 * sizes[:-1].astype(np.int64))
+        use = np.append(False, close) | np.append(close, False)
+        bucket = np.full(use.sum(), group.column("bucket")[0].as_py(), np.int32)
+        columns = bucket, keys[use].view(np.int64), sets[use].view(np.int64), sizes[use], places[use]
+        return pa.table([pa.array(c) for c in columns], [n.split()[0] for n in MET.split(", ")])
+
+    return docs.select("text").mapInArrow(send, SENT).groupBy("bucket").applyInArrow(meet, MET)
+
+
+def _candidate_links(met: DataFrame) -> DataFrame:
+    """(bucket, a, b): names that connect what may be similar under a shingle of the bucket.
+
+    A set is taken if it meets others under as many shingles as the smallest set similar to it has in common with it at least.
+    """
+    often = F.count("*").over(Window.partitionBy("name")) > F.expr(f"(4 * size + 4) div 5 div {MORE}")
+    # Where two sets have met under the shingle before as well, they are a pair there.
+    before = F.lag(F.struct("bucket", "key", "place")).over(Window.partitionBy("name").orderBy("place"))
+    next_to = F.shiftright("place", 1) == F.shiftright("before.place", 1) + 1
+    last = F.when(next_to, F.xxhash64("before.bucket", "before.key")).otherwise(F.xxhash64("name", "place")).alias("last")
 
     def resolve(group: pa.Table) -> pa.Table:
-        bucket = group.column("bucket")[0].as_py()
-        tokens, lasts, sets = (_column(group, name, "<u8") for name in ("tokens", "lasts", "sets"))
-        sizes, places = (_column(group, name, "<i4").astype(np.int64) for name in ("sizes", "places"))
-        order = np.lexsort((sets, tokens))
-        order = order[np.append(True, (np.diff(tokens[order]) != 0) | (np.diff(sets[order]) != 0))]
-        # A shingle of one set only makes no pair.
-        _, at, n = np.unique(tokens[order], return_inverse=True, return_counts=True)
-        order = order[n[at] > 1]
-        names, firsts, row = np.unique(sets[order], return_index=True, return_inverse=True)
-        size = sizes[order][firsts]
-        listed = _Listing(row, tokens[order], places[order] >> 1, lasts[order], places[order] & 1)
+        sets, key, size, place, last = (group.column(name).to_numpy() for name in ("name", "key", "size", "place", "last"))
+        names, firsts, row = np.unique(sets.view(np.uint64), return_index=True, return_inverse=True)
+        listed = _Listing(row, key, place.astype(np.int64) >> 1, last, place.astype(np.int64) & 1)
         near = lambda a, b: np.ones(len(a), bool)
-        return _forest(bucket, names, _joined(listed, size, near, np.arange(len(names))))
+        return _forest(group.column("bucket")[0].as_py(), names, _joined(listed, size[firsts].astype(np.int64), near, np.arange(len(names))))
 
-    return docs.select("text").mapInArrow(send, SENT).groupBy("bucket").applyInArrow(resolve, "bucket int, a long, b long")
+    taken = met.select("*", often.alias("often"), before.alias("before")).where("often").select(*met.columns, last)
+    return taken.groupBy("bucket").applyInArrow(resolve, "bucket int, a long, b long")
 
 
 def _routes(named: DataFrame, candidates: DataFrame, buckets: int) -> DataFrame:
@@ -196,17 +223,17 @@ def _routes(named: DataFrame, candidates: DataFrame, buckets: int) -> DataFrame:
     block = F.pmod(F.xxhash64("component"), F.lit(buckets)).cast("int")
     whole = F.array(F.struct(F.lit(None).cast("long").alias("owner"), block.alias("bucket")))
     small = known.join(large, "component", "left_anti").select("row.*", whole.alias("routes"))
-    ends = candidates.select("bucket", F.explode(F.array("a", "b")).alias("name")).distinct()
-    spread = known.join(large, "component", "left_semi").join(ends, "name").groupBy("row", "component")
+    # Both ends of an edge are of one component: only edges of large ones tell where sets go.
+    spread = known.join(large, "component", "left_semi")
+    edges = candidates.join(spread.select(F.col("name").alias("a")), "a", "left_semi")
+    ends = edges.select("bucket", F.explode(F.array("a", "b")).alias("name")).distinct()
+    spread = spread.join(ends, "name").groupBy("row", "component")
     return small.unionByName(spread.agg(F.collect_list(F.struct(F.col("component").alias("owner"), "bucket")).alias("routes")).select("row.*", "routes"))
 
 
 def _whole(docs: DataFrame, routes: DataFrame, shared: Broadcast) -> DataFrame:
     """The candidate sets' shingles in order of rarity, packed by where they are verified."""
-    # At most 2 ** FILTER_BITS numbers: texts whose number is not among them are not wanted and stay where they are.
-    slot = F.pmod(F.xxhash64(*ROW), F.lit(1 << FILTER_BITS)).alias("slot")
-    near = docs.select(*ROW, "text", slot).join(F.broadcast(routes.select(slot).distinct()), "slot", "left_semi")
-    joined = near.select(*ROW, "text").join(routes, ROW).select("text", "routes")
+    joined = _near(docs.select(*ROW, "text"), routes, *ROW).join(routes, ROW).select("text", "routes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _pieces(batches, 0):
@@ -256,7 +283,9 @@ def links(docs: DataFrame, named: DataFrame, counts: np.ndarray, buckets: int) -
     # A table of fixed size, sent once: every executor, each of its Python workers and the driver hold it as often as it is broadcast.
     shared = docs.sparkSession.sparkContext.broadcast(counts)
     del counts
-    candidates = stored(_candidate_links(docs, shared, hot_count, buckets), "near-copy-candidates")
+    met = stored(_meetings(docs, shared, hot_count, buckets), "near-copy-meetings")
+    candidates = stored(_candidate_links(met), "near-copy-candidates")
+    discard(met)
     routes = stored(_routes(named, candidates, buckets), "near-copy-routes")
 
     def run(group: pa.Table) -> pa.Table:

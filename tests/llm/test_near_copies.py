@@ -1,6 +1,7 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -108,3 +109,28 @@ def test_large_components_are_verified_by_bucket(spark, monkeypatch):
     monkeypatch.setattr(near_copies, "STAR", 2)
     rows = corpus(4)
     assert got(spark, rows) == brute(rows)
+
+
+def test_common_shingles_alone_make_no_candidates(spark, monkeypatch):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    common = [" ".join(word() for _ in range(6)) for _ in range(10)]
+    texts = [" ".join([*(word() for _ in range(100)), *rng.sample(common, 3)]) for _ in range(60)]
+    texts += [texts[0] + " " + word(), word() + " " + texts[1]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").select(*near_copies.row_key(), "text")
+    found = {}
+
+    def kept(frame, label):
+        found[label] = near_copies_stored(frame, label)
+        found[label + "-rows"] = found[label].count()
+        return found[label]
+
+    near_copies_stored = near_copies.stored
+    monkeypatch.setattr(near_copies, "stored", kept)
+    named = near_copies._named(docs, False)
+    name = {r.doc: r.name for r in named.collect()}
+    # Counters that are full, as those of a very large table: no shingle looks rarer than another.
+    full = np.full(1 << 22, 60, np.uint8)
+    edges = {frozenset(r) for r in near_copies.links(docs, named, full, 4).collect()}
+    assert edges == {frozenset((name[0], name[60])), frozenset((name[1], name[61]))}
+    assert 2 <= found["near-copy-candidates-rows"] <= 2 * 4
